@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analysis this library reproduces is a batch pipeline: every input is a
+finished table and every output is written once. It has no stream, watermark
+or stateful operator, so this package holds none. A user who receives OD rows
+as a stream can run the batch operators per micro-batch with
+``writeStream.foreachBatch``; nothing here is needed for that.
+"""
