@@ -31,6 +31,7 @@ def class_benchmark(
     zone_pops: DataFrame,
     exclude: Sequence | None = None,
     benchmark: str = "all",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """``gap``: a cleaned gap table; ``classes``: zone_id, name, zone_class;
     ``zone_pops``: zone_id, zone_pop.
@@ -40,9 +41,11 @@ def class_benchmark(
     sub-population value minus the class average of ``benchmark`` ('all' as
     the analysis does, or 'sub'). The class population is that of the class
     table after exclusions; an unclassified zone forms its own NULL class.
+    ``by`` columns of ``gap`` (e.g. ``mode``) give separate benchmarks.
     """
     if benchmark not in ("all", "sub"):
         raise ValueError("benchmark must be 'all' or 'sub'")
+    by = list(by)
     keep = (lambda c: _isin_keep_null(c, exclude)) if exclude else (lambda c: F.lit(True))
     class_pops = (
         classes.select("zone_id", "name", "zone_class")
@@ -51,16 +54,19 @@ def class_benchmark(
     )
     class_total = class_pops.groupBy("zone_class").agg(
         F.coalesce(F.sum("zone_pop"), F.lit(0.0)).alias("_class_pop")
-    )
+    ).withColumnRenamed("zone_class", "_tcls")
     table = gap.join(checked_broadcast(class_pops), ["zone_id", "name"], "left").where(keep(F.col("zone_id")))
-    sums = table.groupBy("zone_class").agg(
+    sums = table.groupBy("zone_class", *by).agg(
         *[_strict_sum(F.col(m) * F.col("zone_pop")).alias(f"_s_{m}") for m in _MEASURES]
     )
-    avgs = sums.join(class_total, sums["zone_class"].eqNullSafe(class_total["zone_class"]), "left").select(
-        sums["zone_class"].alias("_cls"),
+    avgs = sums.join(checked_broadcast(class_total), sums["zone_class"].eqNullSafe(F.col("_tcls")), "left").select(
+        F.col("zone_class").alias("_cls"), *[F.col(b).alias(f"_by_{b}") for b in by],
         *[safe_div(F.col(f"_s_{m}"), F.col("_class_pop")).alias(f"{m}_class_avg") for m in _MEASURES],
     )
-    out = table.join(checked_broadcast(avgs), table["zone_class"].eqNullSafe(avgs["_cls"]), "left")
+    cond = table["zone_class"].eqNullSafe(avgs["_cls"])
+    for b in by:
+        cond = cond & table[b].eqNullSafe(avgs[f"_by_{b}"])
+    out = table.join(checked_broadcast(avgs), cond, "left")
     return out.select(
         *gap.columns, "zone_class", "zone_pop",
         "dist_sub_class_avg", "time_sub_class_avg", "dist_all_class_avg", "time_all_class_avg",

@@ -74,8 +74,8 @@ def zone_access(
     weights: DataFrame,
     values: Sequence[str] = ("avg_dist", "avg_time"),
     outputs: Sequence[str] | None = None,
-    weight: str = "w_all",
-    fallback_weight: str | None = None,
+    weight: str | Column = "w_all",
+    fallback_weight: str | Column | None = None,
     fallback_ids: Sequence | None = None,
     empty_as_zero: bool = False,
     reachable_only: bool = False,
@@ -84,19 +84,21 @@ def zone_access(
     """Weighted mean of block values per zone.
 
     ``block_means``: block_id + ``values``; ``weights``: from
-    :func:`block_weights`. With ``fallback_weight``, a zone whose ``weight``
-    total is 0 or missing uses ``fallback_weight`` instead -- for the zones in
-    ``fallback_ids``, or for every such zone when ``fallback_ids`` is None.
+    :func:`block_weights`. ``weight`` is a weight column name or expression.
+    With ``fallback_weight``, a zone whose ``weight`` total is 0 or missing
+    uses ``fallback_weight`` instead -- for the zones in ``fallback_ids``, or
+    for every such zone when ``fallback_ids`` is None.
 
     ``empty_as_zero=True`` reproduces the analysis exactly: a populated zone
     where no block reaches a destination scores 0 instead of NULL.
     ``reachable_only=True`` leaves blocks without a value out of the
     denominator.
 
-    ``by`` rolls up several tables at once, e.g. ``{"mode": ["auto",
-    "pedestrian"]}`` when ``block_means`` carries a ``mode`` column: every
-    block weight is repeated once per listed value (a fixed fan-out), so each
-    mode's denominator sees every populated block, reachable or not.
+    ``by`` rolls up several tables in the same pass, e.g. ``{"mode": ["auto",
+    "pedestrian"], "population": ["all", "sub"]}`` when ``block_means``
+    carries those columns: every block weight is repeated once per listed
+    value (a fixed fan-out), so each table's denominator sees every populated
+    block, reachable or not. ``weight`` may then depend on these columns.
     """
     outputs = list(outputs or values)
     by = dict(by or {})
@@ -105,19 +107,17 @@ def zone_access(
     keys = ["block_id", *by]
     # Left join from the weights: the denominator sees every populated block.
     joined = weights.join(block_means.select(*keys, *values), keys, "left")
+    w_main = F.col(weight) if isinstance(weight, str) else weight
+    weight_sets = [("", w_main)]
+    if fallback_weight is not None:
+        w_fb = F.col(fallback_weight) if isinstance(fallback_weight, str) else fallback_weight
+        weight_sets.append(("_fb", w_fb))
     aggs = []
-
-    def weight_total(wcol: str, vcol: str) -> Column:
-        w = F.col(wcol)
-        if reachable_only:
-            w = F.when(F.col(vcol).isNotNull(), w)
-        return F.sum(w)
-
-    weight_sets = [("", weight)] + ([("_fb", fallback_weight)] if fallback_weight else [])
-    for suffix, wcol in weight_sets:
+    for suffix, w in weight_sets:
         for v in values:
-            aggs.append(F.sum(F.col(v) * F.col(wcol)).alias(f"_n_{v}{suffix}"))
-            aggs.append(weight_total(wcol, v).alias(f"_w_{v}{suffix}"))
+            aggs.append(F.sum(F.col(v) * w).alias(f"_n_{v}{suffix}"))
+            w_used = F.when(F.col(v).isNotNull(), w) if reachable_only else w
+            aggs.append(F.sum(w_used).alias(f"_w_{v}{suffix}"))
     zoned = joined.groupBy("zone_id", *by).agg(*aggs)
 
     def mean(v: str, suffix: str) -> Column:
@@ -129,7 +129,7 @@ def zone_access(
     cols = [F.col("zone_id"), *[F.col(c) for c in by]]
     for v, out in zip(values, outputs):
         result = mean(v, "")
-        if fallback_weight:
+        if fallback_weight is not None:
             w = F.col(f"_w_{v}")
             use_fb = w.isNull() | (w == F.lit(0.0))
             if fallback_ids is not None:

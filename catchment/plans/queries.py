@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.gap import access_gap, clean_gap
+from ..operators.classes import class_benchmark
+from ..operators.gap import access_gap_long, clean_gap
+from ..operators.ranktest import signed_rank_test, test_report
+from ..operators.summary import summary_table
 from ..operators.nearest import nearest_k_mean
 from ..operators.od import od_by_population
 from ..operators.weighting import area_shares, block_weights, zone_access, zone_population
@@ -46,24 +49,34 @@ def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_weights(roles.block_pops(spark, sf_dir), roles.block_zone(spark, sf_dir), shares)
 
 
-def zone_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Zone roll-ups for the whole population and the sub-population, both
-    modes at once."""
+def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """zone_id, mode, population, dist, time: both populations and both modes
+    rolled up in one pass. The sub-population weight falls back to the whole
+    population in zones where it is zero."""
     means = block_means(spark, sf_dir)
     w = weights(spark, sf_dir)
-    all_z = zone_access(
-        means.where(F.col("population") == "all"), w, outputs=["dist", "time"], weight="w_all", by=BY_MODE
+    is_all = F.col("population") == F.lit("all")
+    return zone_access(
+        means, w, outputs=["dist", "time"],
+        weight=F.when(is_all, F.col("w_all")).otherwise(F.col("w_sub")),
+        fallback_weight="w_all",
+        by={**BY_MODE, "population": ["all", "sub"]},
     )
-    sub_z = zone_access(
-        means.where(F.col("population") == "sub"), w, outputs=["dist", "time"],
-        weight="w_sub", fallback_weight="w_all", by=BY_MODE,
-    )
-    return all_z, sub_z
 
 
 def gap_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_z, sub_z = zone_tables(spark, sf_dir)
-    return access_gap(all_z, sub_z, roles.zone_names(spark, sf_dir), by=["mode"])
+    return access_gap_long(zone_table(spark, sf_dir), roles.zone_names(spark, sf_dir), by=["mode"])
+
+
+def class_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned gap table with class benchmarks, both modes."""
+    zp = zone_population(roles.block_zone(spark, sf_dir), roles.block_pops(spark, sf_dir))
+    return class_benchmark(clean_gap(gap_table(spark, sf_dir)), roles.zone_classes(spark, sf_dir), zp, by=["mode"])
+
+
+# Which variables each mode's summary and test use.
+SUMMARY_VARIABLES = {"auto": ["time_all", "time_sub", "diff_t"], "pedestrian": ["dist_all", "dist_sub", "diff_d"]}
+TESTS = [("auto", "time_all", "time_sub", "Driving", "Time"), ("pedestrian", "dist_all", "dist_sub", "Walking", "Distance")]
 
 
 # ------------------------------------------------------------ the queries
@@ -75,12 +88,17 @@ def q_nearest_k_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(block_means(spark, sf_dir))
 
 
+def _one_population(spark: SparkSession, sf_dir: str, population: str) -> DataFrame:
+    z = zone_table(spark, sf_dir)
+    return rounded(z.where(F.col("population") == F.lit(population)).drop("population"))
+
+
 def q_zone_weighted_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(zone_tables(spark, sf_dir)[0])
+    return _one_population(spark, sf_dir, "all")
 
 
 def q_zone_weighted_mean_sub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(zone_tables(spark, sf_dir)[1])
+    return _one_population(spark, sf_dir, "sub")
 
 
 def q_zone_population(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +109,32 @@ def q_clean_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(clean_gap(gap_table(spark, sf_dir)))
 
 
+def q_class_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(class_table(spark, sf_dir))
+
+
+def q_summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = spark.createDataFrame(
+        [(m, v) for m, vs in SUMMARY_VARIABLES.items() for v in vs], "mode string, variable string"
+    )
+    variables = [v for vs in SUMMARY_VARIABLES.values() for v in vs]
+    return summary_table(class_table(spark, sf_dir), variables, by="zone_class", keys=["mode"], pairs=pairs)
+
+
+def q_signed_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per mode and class: time (driving) or distance (walking), whole
+    population vs sub-population, one-sided 'less'."""
+    ct = class_table(spark, sf_dir)
+    is_auto = F.col("mode") == F.lit("auto")
+    x = F.when(is_auto, F.col("time_all")).otherwise(F.col("dist_all"))
+    y = F.when(is_auto, F.col("time_sub")).otherwise(F.col("dist_sub"))
+    return rounded(signed_rank_test(ct, x, y, by=["mode", "zone_class"], alternative="less"), 12)
+
+
+def q_test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(test_report(class_table(spark, sf_dir), TESTS, alternative="less"), 12)
+
+
 QUERIES = {
     "access_gap": q_access_gap,
     "nearest_k_mean": q_nearest_k_mean,
@@ -98,4 +142,8 @@ QUERIES = {
     "zone_weighted_mean_sub": q_zone_weighted_mean_sub,
     "zone_population": q_zone_population,
     "clean_gap": q_clean_gap,
+    "class_benchmark": q_class_benchmark,
+    "summary_table": q_summary_table,
+    "signed_rank": q_signed_rank,
+    "test_report": q_test_report,
 }
