@@ -17,6 +17,8 @@ from ..operators.ranktest import signed_rank_test, test_report
 from ..operators.summary import summary_table
 from ..operators.nearest import nearest_k_mean
 from ..operators.od import od_by_population
+from ..operators.percapita import per_capita, zone_populations
+from ..operators.spatial import points_in_zones, zone_counts
 from ..operators.weighting import area_shares, block_weights, zone_access, zone_population
 from . import roles
 
@@ -135,6 +137,48 @@ def q_test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(test_report(class_table(spark, sf_dir), TESTS, alternative="less"), 12)
 
 
+# Grid cell of the spatial join (metres) for the driver zones.
+CELL_M = 5000.0
+ORIGIN = (roles.PLANE_LON0, roles.PLANE_LAT0)
+
+
+def point_pairs(spark: SparkSession, sf_dir: str, sub_only: bool = False) -> DataFrame:
+    return points_in_zones(
+        roles.points(spark, sf_dir, sub_only), roles.zones(spark, sf_dir),
+        tolerance_m=roles.TOLERANCE_M, cell_m=CELL_M, origin=ORIGIN,
+    )
+
+
+def counts(spark: SparkSession, sf_dir: str, sub_only: bool = False) -> DataFrame:
+    return zone_counts(
+        point_pairs(spark, sf_dir, sub_only), roles.zone_names(spark, sf_dir),
+        roles.points(spark, sf_dir, sub_only), total_id=roles.TOTAL_ZONE_ID, total_name=roles.TOTAL_NAME,
+    )
+
+
+def zone_pops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_populations(
+        roles.zone_attributes(spark, sf_dir), roles.POP_ATTRIBUTE, roles.SUB_ONLY_ATTRIBUTE,
+        roles.SUB_EXTRA_ATTRIBUTE,
+    )
+
+
+def q_points_in_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return point_pairs(spark, sf_dir).select("point_id", "zone_id")
+
+
+def q_zone_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts(spark, sf_dir)
+
+
+def q_attribute_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(zone_pops(spark, sf_dir))
+
+
+def q_per_capita(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(per_capita(counts(spark, sf_dir), counts(spark, sf_dir, True), zone_pops(spark, sf_dir)), 12)
+
+
 QUERIES = {
     "access_gap": q_access_gap,
     "nearest_k_mean": q_nearest_k_mean,
@@ -146,4 +190,8 @@ QUERIES = {
     "summary_table": q_summary_table,
     "signed_rank": q_signed_rank,
     "test_report": q_test_report,
+    "points_in_zones": q_points_in_zones,
+    "zone_counts": q_zone_counts,
+    "attribute_pivot": q_attribute_pivot,
+    "per_capita": q_per_capita,
 }

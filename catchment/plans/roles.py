@@ -154,9 +154,10 @@ SQL_POPS = """pops AS (
 def area_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long area table: area_id, attribute_id (market segment), value (percent
     of the area's blocks in that segment)."""
-    pops = block_pops(spark, sf_dir).select("block_id", "area_id")
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("block_id"), "c_mktsegment")
-    counts = pops.join(c, "block_id").groupBy("area_id", F.col("c_mktsegment").alias("attribute_id")).count()
+    c = table(spark, sf_dir, "customer").select(
+        F.substring(F.lpad(F.col("c_custkey").cast("string"), 8, "0"), 1, 6).alias("area_id"), "c_mktsegment"
+    )
+    counts = c.groupBy("area_id", F.col("c_mktsegment").alias("attribute_id")).count()
     total = F.sum("count").over(Window.partitionBy("area_id"))
     return counts.select(
         "area_id", "attribute_id", (_d(100.0) * F.col("count") / total).alias("value")
@@ -232,12 +233,12 @@ def zone_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     zone = F.when(F.col("_g") == 1, F.lit(TOTAL_ZONE_ID)).otherwise(F.col("c_nationkey")).cast("string")
     g = g.select(zone.alias("zone_id"), "event_type", "total", "n")
-    share = _d(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy("zone_id"))
+    g = g.withColumn("share", _d(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy("zone_id")))
     return g.select(
         "zone_id",
         F.inline(F.array(
             F.struct(F.col("event_type").alias("attribute"), F.col("total").alias("value")),
-            F.struct(F.concat(F.lit("pct_"), F.col("event_type")).alias("attribute"), share.alias("value")),
+            F.struct(F.concat(F.lit("pct_"), F.col("event_type")).alias("attribute"), F.col("share").alias("value")),
         )),
     )
 
