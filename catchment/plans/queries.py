@@ -17,7 +17,13 @@ from ..operators.ranktest import signed_rank_test, test_report
 from ..operators.summary import summary_table
 from ..operators.nearest import nearest_k_mean
 from ..operators.od import od_by_population
+from ..operators.figures import (FIGURE_SPEC_ROWS, attribute_vs_metric, bivariate_data, figure_data,
+                                 figure_limits, outlines_for)
+from ..operators.od import od_for_destinations
 from ..operators.percapita import per_capita, zone_populations
+from ..session import shared_dir
+from ..sources import files, sinks
+from .. import schemas
 from ..operators.spatial import points_in_zones, zone_counts
 from ..operators.weighting import area_shares, block_weights, zone_access, zone_population
 from . import roles
@@ -27,12 +33,20 @@ K = 5
 BY_MODE = {"mode": list(roles.MODES)}
 
 
+def quantize(col, digits: int):
+    """``floor(x * 10^d + 0.5) / 10^d``: the same double on every engine for
+    the same input (no decimal-tie rules involved)."""
+    scale = float(10 ** digits)
+    return F.floor(col * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+
+
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double column (the last step of a registered query)."""
+    """Quantize every double column (the last step of a registered query whose
+    values are sums or means, which depend on the order of addition)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            cols.append(quantize(F.col(f.name), digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -179,6 +193,142 @@ def q_per_capita(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(per_capita(counts(spark, sf_dir), counts(spark, sf_dir, True), zone_pops(spark, sf_dir)), 12)
 
 
+# Fixed values for the figure data sets: walking maps show one class only,
+# and the outline rule (no zone of the first class -> only outlines of the second).
+WALK_CLASS = "AMERICA"
+OUTLINE_IF_ABSENT, OUTLINE_KEEP_ONLY = "AFRICA", "AMERICA"
+FIG_VARS = ["dist_all", "time_all", "dist_sub", "time_sub"]
+SCATTER_ATTRIBUTE = roles.SUB_ONLY_ATTRIBUTE
+
+
+def figure_spec(spark: SparkSession) -> DataFrame:
+    return files.literal_table(spark, FIGURE_SPEC_ROWS, schemas.FIGURE_SPEC)
+
+
+def figure_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every zone x mode with its metrics (zones without metrics kept, as the
+    outline table is joined first), tagged with the figure data table."""
+    ct = class_table(spark, sf_dir)
+    z = roles.zone_names(spark, sf_dir).select("zone_id", "name").withColumn(
+        "mode", F.explode(F.array(*[F.lit(m) for m in roles.MODES]))
+    )
+    j = z.join(ct.select("zone_id", "mode", "zone_class", *FIG_VARS), ["zone_id", "mode"], "left")
+    dt = F.when(F.col("mode") == "auto", F.lit("auto")).when(
+        (F.col("mode") == "pedestrian") & (F.col("zone_class") == F.lit(WALK_CLASS)), F.lit("walk"))
+    j = j.withColumn("data_table", dt).where(F.col("data_table").isNotNull())
+    return j.unpivot(["data_table", "zone_id", "name", "zone_class"], FIG_VARS, "variable", "value")
+
+
+def q_figure_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(figure_data(figure_long(spark, sf_dir), figure_spec(spark)))
+
+
+def q_figure_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = figure_data(figure_long(spark, sf_dir), figure_spec(spark))
+    return rounded(figure_limits(data, figure_spec(spark)))
+
+
+def class_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """zone_class, rings: the bounding box of each class's zones."""
+    from ..functions.geo import rings_bbox
+    z = roles.zones(spark, sf_dir).join(roles.zone_classes(spark, sf_dir).select("zone_id", "zone_class"), "zone_id")
+    b = z.select("zone_class", rings_bbox(F.col("rings")).alias("b")).groupBy("zone_class").agg(
+        F.min("b.min_x").alias("x0"), F.min("b.min_y").alias("y0"), F.max("b.max_x").alias("x1"), F.max("b.max_y").alias("y1"))
+    pt = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    return b.select("zone_class", F.array(F.array(pt("x0", "y0"), pt("x1", "y0"), pt("x1", "y1"), pt("x0", "y1"), pt("x0", "y0"))).alias("rings"))
+
+
+def q_figure_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outlines kept for each figure data table (rings dropped for the check)."""
+    long = figure_long(spark, sf_dir)
+    outl = class_outlines(spark, sf_dir)
+    parts = []
+    for dt in ("auto", "walk"):
+        kept = outlines_for(long.where(F.col("data_table") == dt), outl, OUTLINE_IF_ABSENT, OUTLINE_KEEP_ONLY)
+        parts.append(kept.select(F.lit(dt).alias("data_table"), "zone_class", F.size("rings").alias("n_rings")))
+    return parts[0].unionByName(parts[1])
+
+
+def q_attribute_vs_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ct = class_table(spark, sf_dir).where(F.col("mode") == "auto")
+    return rounded(attribute_vs_metric(roles.zone_attributes(spark, sf_dir), SCATTER_ATTRIBUTE, ct, "diff_t"))
+
+
+def q_bivariate_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ct = class_table(spark, sf_dir).where(F.col("mode") == "auto")
+    z = roles.zone_names(spark, sf_dir)
+    return rounded(bivariate_data(z, ct, "time_sub", roles.zone_attributes(spark, sf_dir), SCATTER_ATTRIBUTE))
+
+
+def q_od_by_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return od_by_population(roles.od_table(spark, sf_dir), roles.destinations(spark, sf_dir))
+
+
+def q_od_sub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return od_for_destinations(roles.od_table(spark, sf_dir), roles.destinations(spark, sf_dir), ["in_scope", "sub"])
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+    return f"{shared_dir(spark)}/catchment-io/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block populations (numbers with grouping marks) and the block -> zone
+    lookup written as CSV and read back typed; then zone populations."""
+    base = _scratch(spark, "csv")
+    c = roles.table(spark, sf_dir, "customer")
+    bid = F.lpad(F.col("c_custkey").cast("string"), 8, "0")
+    pops = c.select(bid.alias("DBUID"),
+                    F.format_number(F.floor(F.greatest(F.col("c_acctbal"), F.lit(0.0))), 0).alias("pop"))
+    sinks.write_csv(pops, f"{base}/pops.csv")
+    sinks.write_csv(c.select(bid.alias("block_id"), F.col("c_nationkey").alias("zone_id")), f"{base}/lookup.csv")
+    pops_back = files.read_block_pops(spark, f"{base}/pops.csv", area_width=6)
+    lookup_back = files.read_table(spark, f"{base}/lookup.csv", schemas.LOOKUP)
+    return rounded(zone_population(lookup_back, pops_back))
+
+
+def q_destinations_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Destinations written with the source column names and read back: flag
+    combinations and their counts."""
+    base = _scratch(spark, "dest")
+    d = roles.destinations(spark, sf_dir)
+    src = d.select(F.col("dest_id").cast("string").alias("cpso"), F.lit(45.0).alias("lat"), F.lit(-75.0).alias("lng"),
+                   F.when(F.col("in_scope"), "TRUE").otherwise("FALSE").alias("family_physician"),
+                   F.when(F.col("sub"), "TRUE").otherwise("FALSE").alias("french"))
+    sinks.write_csv(src, f"{base}/dest.csv")
+    back = files.read_destinations(spark, f"{base}/dest.csv")
+    return back.groupBy("in_scope", "sub").agg(F.count("*").alias("n"))
+
+
+def q_od_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The OD table written partitioned by mode and read back; nearest-5
+    means over all destinations."""
+    base = _scratch(spark, "od")
+    sinks.write_partitioned(roles.od_table(spark, sf_dir), f"{base}/od", by="mode")
+    od = files.read_od(spark, f"{base}/od")
+    return rounded(nearest_k_mean(od, keys=["block_id", "mode"], k=K))
+
+
+def q_geojson_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone outlines written as GeoJSON features (one per line) and read back:
+    rings and vertices per zone."""
+    base = _scratch(spark, "geo")
+    z = roles.zones(spark, sf_dir)
+    coords = F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
+    feat = z.select(F.to_json(F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct(F.col("zone_id").cast("string").alias("zone_id"), "name", "name_alt").alias("properties"),
+        F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates")).alias("geometry"),
+    )).alias("value"))
+    feat.write.mode("overwrite").text(f"{base}/zones.geojsonl")
+    back = files.read_zones_geojson(spark, f"{base}/zones.geojsonl", feature_per_line=True)
+    return back.select(
+        "zone_id", "name", "name_alt", F.size("rings").cast("long").alias("n_rings"),
+        F.aggregate("rings", F.lit(0).cast("long"), lambda a, r: a + F.size(r)).alias("n_vertices"),
+    )
+
+
 QUERIES = {
     "access_gap": q_access_gap,
     "nearest_k_mean": q_nearest_k_mean,
@@ -194,4 +344,15 @@ QUERIES = {
     "zone_counts": q_zone_counts,
     "attribute_pivot": q_attribute_pivot,
     "per_capita": q_per_capita,
+    "figure_data": q_figure_data,
+    "figure_limits": q_figure_limits,
+    "figure_outlines": q_figure_outlines,
+    "attribute_vs_metric": q_attribute_vs_metric,
+    "bivariate_data": q_bivariate_data,
+    "od_by_population": q_od_by_population,
+    "od_sub": q_od_sub,
+    "csv_round_trip": q_csv_round_trip,
+    "destinations_csv": q_destinations_csv,
+    "od_round_trip": q_od_round_trip,
+    "geojson_zones": q_geojson_zones,
 }
