@@ -64,8 +64,17 @@ KX = EARTH_RADIUS_M * math.cos(PLANE_LAT0 * DEG) * DEG   # metres per degree of
 KY = EARTH_RADIUS_M * DEG                                # metres per degree of latitude
 
 
+_TABLES: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table ``name`` (one scan definition per session, so the
+    file listing and footer read happen once)."""
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df
 
 
 def _d(x: float):
@@ -80,7 +89,9 @@ def od_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_suppkey", "l_extendedprice", "l_discount", "l_quantity", "l_tax"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    joined = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+    # A join of two fact tables: shuffled on the order key at any scale (never
+    # a broadcast, whatever the statistics of a small test file say).
+    joined = li.join(orders.hint("merge"), li["l_orderkey"] == orders["o_orderkey"])
     auto = F.struct(
         F.lit("auto").alias("mode"),
         (F.col("l_extendedprice") / _d(1000.0)).alias("distance"),
