@@ -71,7 +71,27 @@ def per_capita(all_counts: DataFrame, sub_counts: DataFrame, pops: DataFrame) ->
         F.col("n").alias("num_sub"),
     )
     cond = a["zone_id"].eqNullSafe(s["_z"]) & a["name"].eqNullSafe(s["_n"]) & a["name_alt"].eqNullSafe(s["_a"])
-    df = a.join(checked_broadcast(s), cond, "left").drop("_z", "_n", "_a")
+    return _rates(a.join(checked_broadcast(s), cond, "left").drop("_z", "_n", "_a"), pops)
+
+
+def per_capita_long(
+    counts: DataFrame, pops: DataFrame, population_col: str = "population", all_label: str = "all",
+    sub_label: str = "sub",
+) -> DataFrame:
+    """As :func:`per_capita`, from one count table with a population column
+    (``zone_counts(..., by={"population": [...]})``): the two populations are
+    put side by side with one conditional aggregate, so the spatial join
+    below is planned once."""
+    p = F.col(population_col)
+    wide = counts.groupBy("zone_id", "name", "name_alt").agg(
+        F.max(F.when(p == F.lit(all_label), F.col("n"))).alias("num_all"),
+        F.max(F.when(p == F.lit(sub_label), F.col("n"))).alias("num_sub"),
+        F.count(F.when(p == F.lit(all_label), 1)).alias("_has_all"),
+    ).where(F.col("_has_all") > 0).drop("_has_all")
+    return _rates(wide, pops)
+
+
+def _rates(df: DataFrame, pops: DataFrame) -> DataFrame:
     df = df.join(checked_broadcast(pops), "zone_id", "left")
     rates = {
         "percap_all": safe_div(F.col("num_all"), F.col("pop_all")),

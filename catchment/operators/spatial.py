@@ -17,6 +17,7 @@ splits the hot cell's partition.
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,22 +108,30 @@ def zone_counts(
     total_name: str = "Total",
     total_alt: str | None = None,
     keys: tuple[str, ...] = ("zone_id", "name", "name_alt"),
+    by: Mapping[str, Sequence] | None = None,
 ) -> DataFrame:
     """Points per zone, with every zone present (0 where none) and, when
     ``points`` is given and ``total_id`` is not None, a total row holding the
     number of points (not the sum of zone counts: a point in two buffers is
-    counted in both zones)."""
-    counts = pairs.groupBy("zone_id").agg(F.count("*").alias(count_col))
+    counted in both zones).
+
+    ``by`` counts several point sets in one pass, e.g. ``{"population":
+    ["all", "sub"]}`` when the points carry a ``population`` column: every zone
+    is listed once per value (a fixed fan-out)."""
+    by = dict(by or {})
+    counts = pairs.groupBy("zone_id", *by).agg(F.count("*").alias(count_col))
     z = zones.select(*keys)
-    full = z.join(counts, "zone_id", "full").select(
-        *keys, F.coalesce(F.col(count_col), F.lit(0)).cast("long").alias(count_col)
+    for col, vals in by.items():
+        z = z.withColumn(col, F.explode(F.array(*[F.lit(v) for v in vals])))
+    full = z.join(counts, ["zone_id", *by], "full").select(
+        *keys, *by, F.coalesce(F.col(count_col), F.lit(0)).cast("long").alias(count_col)
     )
     if points is None or total_id is None:
         return full
-    total = points.agg(F.count("*").cast("long").alias(count_col)).select(
+    total = points.groupBy(*by).agg(F.count("*").cast("long").alias(count_col)).select(
         F.lit(total_id).cast(zones.schema["zone_id"].dataType).alias("zone_id"),
         F.lit(total_name).alias(keys[1]),
         F.lit(total_alt if total_alt is not None else total_name).alias(keys[2]),
-        count_col,
+        *by, count_col,
     )
     return full.unionByName(total)

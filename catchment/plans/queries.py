@@ -20,7 +20,7 @@ from ..operators.od import od_by_population
 from ..operators.figures import (FIGURE_SPEC_ROWS, attribute_vs_metric, bivariate_data, figure_data,
                                  figure_limits, outlines_for)
 from ..operators.od import od_for_destinations
-from ..operators.percapita import per_capita, zone_populations
+from ..operators.percapita import per_capita_long, zone_populations
 from ..session import shared_dir
 from ..sources import files, sinks
 from .. import schemas
@@ -190,7 +190,13 @@ def q_attribute_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_per_capita(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(per_capita(counts(spark, sf_dir), counts(spark, sf_dir, True), zone_pops(spark, sf_dir)), 12)
+    """Both point populations in one spatial join: every point once as 'all'
+    and once more as 'sub' when it belongs to the sub-population."""
+    pts = roles.points_tagged(spark, sf_dir)
+    pairs = points_in_zones(pts, roles.zones(spark, sf_dir), tolerance_m=roles.TOLERANCE_M, cell_m=CELL_M, origin=ORIGIN)
+    cnt = zone_counts(pairs, roles.zone_names(spark, sf_dir), pts, total_id=roles.TOTAL_ZONE_ID,
+                      total_name=roles.TOTAL_NAME, by={"population": ["all", "sub"]})
+    return rounded(per_capita_long(cnt, zone_pops(spark, sf_dir)), 12)
 
 
 # Fixed values for the figure data sets: walking maps show one class only,
