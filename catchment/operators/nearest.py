@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_k_per_group(df: DataFrame, keys: Sequence[str], order_col: str, k: int) -> DataFrame:
-    """First ``k`` rows of each group by ascending ``order_col``, NULLs last.
+def top_k_per_group(df: DataFrame, keys: Sequence[str], order_col: str | Sequence[str], k: int) -> DataFrame:
+    """First ``k`` rows of each group by ascending ``order_col`` (one column
+    or several, the later ones breaking ties), NULLs last.
 
-    Ties at rank k are cut arbitrarily; the mean of the k smallest values does
-    not depend on which tied row is kept.
+    With one order column, ties at rank k are cut arbitrarily; the mean of
+    the k smallest values does not depend on which tied row is kept.
     """
-    w = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(order_col))
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    w = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) for c in order])
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k).drop("_rank")
 
 

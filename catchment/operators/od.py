@@ -10,9 +10,10 @@ sub-population's destinations).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checked_broadcast
@@ -56,3 +57,119 @@ def od_by_population(
     return od.join(checked_broadcast(tagged), "dest_id").select(
         *od.columns, F.explode("_pops").alias("population")
     )
+
+
+# Straight-line proxy per travel mode -- detour factor (road
+# distance / straight-line distance) and speed in km/h.
+STRAIGHT_LINE_MODES: dict[str, tuple[float, float]] = {"auto": (1.3, 40.0), "pedestrian": (1.2, 5.0)}
+
+
+def nearest_destinations(
+    origins: DataFrame,
+    dests: DataFrame,
+    k: int = 5,
+    cell_m: float | None = None,
+    plane_origin: tuple[float, float] | None = None,
+    checkpoint: bool = True,
+) -> DataFrame:
+    """The ``k`` nearest destinations of every origin by straight-line
+    distance: block_id, dest_id, dist_m. Ties are broken by ``dest_id``.
+
+    Exact, without a cross join, on a grid whose cells double in size from
+    round to round: in round r (cell side s = cell_m * 2^r) every still-open
+    origin is joined, on the cell key, with the destinations of the 3 x 3
+    cells around its own. That square holds every destination closer than s,
+    so an origin is settled once its k-th candidate is at most s away -- or
+    once the square holds every destination. Each round costs 9 lookups per
+    open origin; the number of rounds grows with log2(extent / cell_m). Each
+    round's top-k is checkpointed (short lineage, kept in the shared
+    ``spark.checkpoint.dir``) before it is split into settled and open
+    origins.
+    """
+    from ..functions.geo import plane_scale, to_plane
+    from .nearest import top_k_per_group
+
+    spark = origins.sparkSession
+    if checkpoint:
+        from ..session import shared_dir
+        shared_dir(spark)
+    o = origins.select("block_id", "lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    d = dests.select("dest_id", "lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    st = d.agg(F.count("*").alias("n"), F.min("lon").alias("x0"), F.max("lon").alias("x1"),
+               F.min("lat").alias("y0"), F.max("lat").alias("y1")).first()
+    if not st["n"]:
+        return spark.createDataFrame([], "block_id long, dest_id long, dist_m double").select(
+            F.col("block_id").cast(origins.schema["block_id"].dataType),
+            F.col("dest_id").cast(dests.schema["dest_id"].dataType), "dist_m")
+    if plane_origin is None:
+        plane_origin = ((st["x0"] + st["x1"]) / 2.0, (st["y0"] + st["y1"]) / 2.0)
+    kx, ky = plane_scale(plane_origin[1])
+    if cell_m is None:
+        w_m, h_m = (st["x1"] - st["x0"]) * kx, (st["y1"] - st["y0"]) * ky
+        cell_m = max(math.sqrt(max(w_m * h_m, 1.0) * k / st["n"]), 1.0)
+    dx_, dy_ = to_plane(F.col("lon"), F.col("lat"), plane_origin)
+    dm = d.select("dest_id", dx_.alias("dx"), dy_.alias("dy"))
+    ox_, oy_ = to_plane(F.col("lon"), F.col("lat"), plane_origin)
+    pending = o.select("block_id", ox_.alias("ox"), oy_.alias("oy"))
+    ext = dm.agg(F.min("dx").alias("a"), F.max("dx").alias("b"), F.min("dy").alias("c"), F.max("dy").alias("e")).first()
+    off = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    settled: list[DataFrame] = []
+    side = float(cell_m)
+    while True:
+        sd = F.lit(side)
+        dcell = checked_broadcast(dm.withColumns({"cx": F.floor(F.col("dx") / sd), "cy": F.floor(F.col("dy") / sd)}))
+        cur = pending.withColumns({"ocx": F.floor(F.col("ox") / sd), "ocy": F.floor(F.col("oy") / sd)})
+        near = cur.select("*", F.explode(off).alias("_i")).select("*", F.explode(off).alias("_j")).select(
+            "block_id", "ox", "oy", "ocx", "ocy",
+            (F.col("ocx") + F.col("_i")).alias("cx"), (F.col("ocy") + F.col("_j")).alias("cy"))
+        pairs = near.join(dcell, ["cx", "cy"]).select(
+            "block_id", "dest_id", "ocx", "ocy",
+            F.sqrt((F.col("dx") - F.col("ox")) * (F.col("dx") - F.col("ox"))
+                   + (F.col("dy") - F.col("oy")) * (F.col("dy") - F.col("oy"))).alias("dist_m"))
+        top = top_k_per_group(pairs, ["block_id"], ["dist_m", "dest_id"], k)
+        w = Window.partitionBy("block_id")
+        top = top.withColumns({"_n": F.count("*").over(w), "_kth": F.max("dist_m").over(w)})
+        if checkpoint:
+            top = top.checkpoint()
+        lo_x, hi_x = F.floor(F.lit(ext["a"]) / sd), F.floor(F.lit(ext["b"]) / sd)
+        lo_y, hi_y = F.floor(F.lit(ext["c"]) / sd), F.floor(F.lit(ext["e"]) / sd)
+        covers_all = ((F.col("ocx") - 1 <= lo_x) & (F.col("ocx") + 1 >= hi_x)
+                      & (F.col("ocy") - 1 <= lo_y) & (F.col("ocy") + 1 >= hi_y))
+        done = ((F.col("_n") >= k) & (F.col("_kth") <= sd)) | covers_all
+        settled.append(top.where(done).select("block_id", "dest_id", "dist_m"))
+        open_ids = top.where(~done).select("block_id").distinct()
+        # still open: origins with too few or too far candidates, and origins
+        # with no candidate at all in their square
+        pending = pending.join(top.select("block_id").distinct(), "block_id", "left_anti").unionByName(
+            pending.join(open_ids, "block_id", "left_semi"))
+        if checkpoint:
+            pending = pending.checkpoint()
+        if pending.isEmpty():
+            break
+        side *= 2.0
+    out = settled[0]
+    for part in settled[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def od_straight_line(
+    origins: DataFrame,
+    dests: DataFrame,
+    k: int = 5,
+    modes: dict[str, tuple[float, float]] | None = None,
+    **kw,
+) -> DataFrame:
+    """Straight-line proxy of an OD table, restricted to each origin's ``k``
+    nearest destinations (exact for nearest-k means with the same or a
+    smaller k): block_id, dest_id, mode, distance (km, times the mode's detour
+    factor), time (s, at the mode's speed). Road routing is not built; this is
+    a proxy and only a proxy."""
+    modes = dict(modes or STRAIGHT_LINE_MODES)
+    near = nearest_destinations(origins, dests, k=k, **kw)
+    rows = [F.struct(F.lit(name).alias("mode"), F.lit(float(f)).alias("_f"), F.lit(float(v)).alias("_v"))
+            for name, (f, v) in modes.items()]
+    x = near.select("block_id", "dest_id", "dist_m", F.inline(F.array(*rows)))
+    dist_km = F.col("dist_m") / F.lit(1000.0) * F.col("_f")
+    return x.select("block_id", "dest_id", "mode", dist_km.alias("distance"),
+                    (dist_km / F.col("_v") * F.lit(3600.0)).alias("time"))

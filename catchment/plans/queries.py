@@ -19,7 +19,7 @@ from ..operators.nearest import nearest_k_mean
 from ..operators.od import od_by_population
 from ..operators.figures import (FIGURE_SPEC_ROWS, attribute_vs_metric, bivariate_data, figure_data,
                                  figure_limits, outlines_for)
-from ..operators.od import od_for_destinations
+from ..operators.od import od_for_destinations, od_straight_line
 from ..operators.percapita import per_capita_long, zone_populations
 from ..session import shared_dir
 from ..sources import files, sinks
@@ -335,6 +335,20 @@ def q_geojson_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def straight_line_od(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return od_straight_line(roles.block_points(spark, sf_dir), roles.dest_points(spark, sf_dir), k=K,
+                            plane_origin=ORIGIN)
+
+
+def q_od_straight_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(straight_line_od(spark, sf_dir))
+
+
+def q_straight_line_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest-5 means over the straight-line proxy OD."""
+    return rounded(nearest_k_mean(straight_line_od(spark, sf_dir), keys=["block_id", "mode"], k=K))
+
+
 QUERIES = {
     "access_gap": q_access_gap,
     "nearest_k_mean": q_nearest_k_mean,
@@ -361,4 +375,6 @@ QUERIES = {
     "destinations_csv": q_destinations_csv,
     "od_round_trip": q_od_round_trip,
     "geojson_zones": q_geojson_zones,
+    "od_straight_line": q_od_straight_line,
+    "straight_line_access": q_straight_line_access,
 }

@@ -328,6 +328,30 @@ def points(spark: SparkSession, sf_dir: str, sub_only: bool = False) -> DataFram
     )
 
 
+def block_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """block_id, lon, lat: origin locations (the customer location rule)."""
+    return points(spark, sf_dir).withColumnRenamed("point_id", "block_id")
+
+
+def dest_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dest_id, lon, lat: destination locations (the same rule on the supplier
+    key), in-scope destinations only."""
+    s = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= _d(IN_SCOPE_MIN_BALANCE))
+    return s.select(
+        F.col("s_suppkey").alias("dest_id"),
+        (_d(BOX_LON0) + ((F.col("s_suppkey") * 7919) % 1500).cast("double") / _d(1000.0)).alias("lon"),
+        (_d(BOX_LAT0) + ((F.col("s_suppkey") * 104729) % 500).cast("double") / _d(1000.0)).alias("lat"),
+    )
+
+
+SQL_DEST_POINTS = f"""dpts AS (
+  SELECT s_suppkey AS dest_id,
+         {BOX_LON0}::DOUBLE + CAST((s_suppkey * 7919) % 1500 AS DOUBLE) / 1000.0::DOUBLE AS lon,
+         {BOX_LAT0}::DOUBLE + CAST((s_suppkey * 104729) % 500 AS DOUBLE) / 1000.0::DOUBLE AS lat
+  FROM supplier WHERE s_acctbal >= {IN_SCOPE_MIN_BALANCE}::DOUBLE
+)"""
+
+
 def points_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """point_id, lon, lat, population: every point as 'all', and once more as
     'sub' when it is in the sub-population."""
