@@ -34,3 +34,28 @@ def write_table_file(df: DataFrame, path: str, mode: str = "overwrite") -> DataF
     data."""
     df.coalesce(1).write.mode(mode).option("header", True).option("nullValue", "NA").csv(path)
     return df
+
+
+def ordered(df: DataFrame, order: list[tuple[str, bool]]) -> DataFrame:
+    """Sort for publication: ``order`` is a list of (column, descending);
+    missing values go last either way. Only at a sink: sorting inside a plan
+    buys nothing."""
+    from pyspark.sql import functions as F
+
+    return df.orderBy(*[F.desc_nulls_last(c) if desc else F.asc_nulls_last(c) for c, desc in order])
+
+
+def write_published(
+    df: DataFrame, path: str, order: list[tuple[str, bool]] | None = None, by: str | None = None,
+    mode: str = "overwrite",
+) -> DataFrame:
+    """A zone-sized published table: sorted (``order``), one CSV file, or one
+    per value of ``by`` (e.g. per travel mode), header and ``NA``."""
+    out = ordered(df, order) if order else df
+    if by is not None:
+        if by not in df.columns:
+            raise ValueError(f"column {by!r} is required: it names the output partitions")
+        out.coalesce(1).write.mode(mode).partitionBy(by).option("header", True).option("nullValue", "NA").csv(path)
+    else:
+        out.coalesce(1).write.mode(mode).option("header", True).option("nullValue", "NA").csv(path)
+    return df

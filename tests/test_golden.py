@@ -122,3 +122,18 @@ def test_signed_rank_on_published_driving_table(spark):
     for cls, n, v, z in [("Suburban", 41, 46.0, -4.97601), ("Urban", 47, 74.0, -5.17997)]:
         assert got[cls]["n"] == n and got[cls]["statistic"] == v and got[cls]["method"] == "normal"
         assert got[cls]["p_value"] == pytest.approx(0.5 * math.erfc(-z / math.sqrt(2)), rel=1e-4)
+
+
+@need
+@pytest.mark.parametrize("gap_file", ["auto", "pedestrian"])
+def test_gd5_published_order(spark, gap_file, tmp_path):
+    from catchment.sources.sinks import ordered, write_published
+    path = f"{REF}/ons_weighted_table_{gap_file}.csv"
+    gap = read_csv(spark, path, GAP, rename=RENAME)
+    shipped = [r["time_all"] for r in gap.collect()]          # file order
+    got = [r["time_all"] for r in ordered(gap, [("time_all", True)]).collect()]
+    assert got == shipped and got[-1] is None
+    out = str(tmp_path / "gap")
+    write_published(gap, out, order=[("time_all", True)])
+    back = read_csv(spark, out, GAP, rename=RENAME)
+    assert [r["time_all"] for r in back.collect()] == shipped
