@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast
+from ..session import checked_broadcast, materialize
 
 DEFAULT_POPULATIONS: dict[str, tuple[str, ...]] = {"all": ("in_scope",), "sub": ("in_scope", "sub")}
 
@@ -82,17 +82,14 @@ def nearest_destinations(
     so an origin is settled once its k-th candidate is at most s away -- or
     once the square holds every destination. Each round costs 9 lookups per
     open origin; the number of rounds grows with log2(extent / cell_m). Each
-    round's top-k is checkpointed (short lineage, kept in the shared
-    ``spark.checkpoint.dir``) before it is split into settled and open
-    origins.
+    round's top-k and the open origins are written to the shared
+    ``spark.checkpoint.dir`` (short lineage, one computation each) before the
+    next round reads them.
     """
     from ..functions.geo import plane_scale, to_plane
     from .nearest import top_k_per_group
 
     spark = origins.sparkSession
-    if checkpoint:
-        from ..session import shared_dir
-        shared_dir(spark)
     o = origins.select("block_id", "lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
     d = dests.select("dest_id", "lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
     st = d.agg(F.count("*").alias("n"), F.min("lon").alias("x0"), F.max("lon").alias("x1"),
@@ -130,7 +127,7 @@ def nearest_destinations(
         w = Window.partitionBy("block_id")
         top = top.withColumns({"_n": F.count("*").over(w), "_kth": F.max("dist_m").over(w)})
         if checkpoint:
-            top = top.checkpoint()
+            top = materialize(top)
         lo_x, hi_x = F.floor(F.lit(ext["a"]) / sd), F.floor(F.lit(ext["b"]) / sd)
         lo_y, hi_y = F.floor(F.lit(ext["c"]) / sd), F.floor(F.lit(ext["e"]) / sd)
         covers_all = ((F.col("ocx") - 1 <= lo_x) & (F.col("ocx") + 1 >= hi_x)
@@ -143,7 +140,7 @@ def nearest_destinations(
         pending = pending.join(top.select("block_id").distinct(), "block_id", "left_anti").unionByName(
             pending.join(open_ids, "block_id", "left_semi"))
         if checkpoint:
-            pending = pending.checkpoint()
+            pending = materialize(pending)
         if pending.isEmpty():
             break
         side *= 2.0

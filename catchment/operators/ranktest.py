@@ -9,18 +9,20 @@ ties nor zeros (subset-sum counts built with array higher-order functions, one
 row per group); otherwise the normal approximation with tie and continuity
 correction. The normal CDF is column arithmetic (``normal_cdf``).
 
-Ranks come from one aggregate over (group, |d|) and a running sum over the
-distinct absolute differences, so repeated values collapse before the window.
+Ranks are exact and distributed (``ranking.distinct_ranks``): no group is
+ever gathered in one task, so the test also runs on block-level data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import normal_cdf
+from ..session import materialize
+from .ranking import distinct_ranks, join_on_keys
 
 ALTERNATIVES = ("less", "greater", "two.sided")
 
@@ -56,16 +58,12 @@ def signed_rank_test(
     by = list(by)
     xc = F.col(x) if isinstance(x, str) else x
     yc = F.col(y) if isinstance(y, str) else y
-    d = df.select(*by, (xc - yc).alias("_d")).where(F.col("_d").isNotNull())
+    d = materialize(df.select(*by, (xc - yc).alias("_d")).where(F.col("_d").isNotNull()))
 
     zeros = d.groupBy(*by).agg(F.count(F.when(F.col("_d") == 0, 1)).alias("_zeros"))
-    distinct_abs = (
-        d.where(F.col("_d") != 0)
-        .groupBy(*by, F.abs("_d").alias("_a"))
-        .agg(F.count("*").alias("_t"), F.count(F.when(F.col("_d") > 0, 1)).alias("_pos"))
+    ranked = distinct_ranks(
+        d.where(F.col("_d") != 0), by, F.abs(F.col("_d")), extra={"_pos": F.count(F.when(F.col("_d") > 0, 1))}
     )
-    w = Window.partitionBy(*by).orderBy("_a").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = distinct_abs.withColumn("_less", F.coalesce(F.sum("_t").over(w), F.lit(0)))
     avg_rank = F.col("_less") + (F.col("_t") + F.lit(1)) / F.lit(2.0)
     stats = ranked.groupBy(*by).agg(
         F.sum("_t").alias("n"),
@@ -73,7 +71,7 @@ def signed_rank_test(
         F.sum(F.col("_t") * F.col("_t") * F.col("_t") - F.col("_t")).alias("_tie"),
         F.max("_t").alias("_max_t"),
     )
-    stats = _join_keys(zeros, stats, by)
+    stats = join_on_keys(zeros, stats, by, "left")
     n = F.coalesce(F.col("n"), F.lit(0))
     v = F.col("statistic")
     use_exact = (n < 50) if exact is None else F.lit(bool(exact))
@@ -120,19 +118,6 @@ def signed_rank_test(
     )
 
 
-def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of two per-group aggregates on the group keys, NULL-safe (a
-    NULL class is a group of its own); with no keys, on a constant."""
-    if not keys:
-        return left.withColumn("_k", F.lit(1)).join(right.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
-
-
 def test_report(
     df: DataFrame,
     tests: Sequence[tuple[str, str, str, str, str]],

@@ -1,10 +1,11 @@
 """Quantile summary tables: minimum, quartiles and maximum of several
-variables, per class and over all rows, in one ``GROUPING SETS`` aggregate.
+variables, per class and over all rows.
 
-Quantiles interpolate linearly between order statistics (Spark's exact
-``percentile``, the usual "type 7" rule). The input is a zone-level table;
-``percentile`` keeps the distinct values of a group, which is bounded by the
-number of zones.
+Quantiles interpolate linearly between order statistics (the usual "type 7"
+rule), computed exactly and distributed (``ranking.order_statistics``): no
+group is gathered in one task, whatever the size of the input. Every row is
+used twice -- with its class and in the overall group -- a fixed fan-out
+that gives both grouping levels in one pass.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import range_text
+from ..session import materialize
+from .ranking import join_on_keys, order_statistics
 
 PROBS = [0.0, 0.25, 0.5, 0.75, 1.0]
 Q_COLS = ["p0", "p25", "p50", "p75", "p100"]
@@ -45,10 +48,16 @@ def summary_table(
     )
     if pairs is not None:
         long = long.join(F.broadcast(pairs.select(*keys, "variable")), [*keys, "variable"], "left_semi")
-    g = long.groupingSets(
-        [[*keys, by, "variable"], [*keys, "variable"]], *keys, by, "variable"
-    ).agg(F.percentile("value", PROBS).alias("_q"), F.grouping(by).alias("_overall"))
-    label = F.when(F.col("_overall") == 1, F.lit(overall_label)).otherwise(F.col(by))
+    long = long.select(*keys, "variable", "value", F.inline(F.array(
+        F.struct(F.col(by).alias("_cls"), F.lit(False).alias("_overall")),
+        F.struct(F.lit(None).cast(long.schema[by].dataType).alias("_cls"), F.lit(True).alias("_overall")),
+    )))
+    gk = [*keys, "_cls", "_overall", "variable"]
+    long = materialize(long)
+    groups = long.select(*gk).distinct()
+    g = join_on_keys(groups, order_statistics(long, gk, "value", PROBS), gk, "left")
+    g = g.withColumn(by, F.col("_cls")).withColumnRenamed("q", "_q")
+    label = F.when(F.col("_overall"), F.lit(overall_label)).otherwise(F.col(by))
     q = [F.bround(F.col("_q")[i], digits).alias(c) for i, c in enumerate(Q_COLS)]
     out = g.select(*keys, label.alias(by), "variable", *q)
     is_diff = F.col("variable").contains(diff_marker)

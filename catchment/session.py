@@ -73,3 +73,18 @@ def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
     return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder
+    and continue from the written table: one computation (a plain
+    ``checkpoint()`` computes its input twice unless it is also persisted),
+    lineage cut, and it survives the loss of executors. Used where an
+    operator reads the same intermediate several times, so that the plan
+    above it is neither re-run nor re-planned per reader."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/catchment-tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
