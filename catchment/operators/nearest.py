@@ -1,11 +1,10 @@
 """Nearest-k access: per origin, the mean cost to its k cheapest destinations.
 
 Each measure ranks on itself (the k nearest by distance and the k quickest by
-time may be different destinations). One window branch per measure keeps the
-``row_number() <= k`` filter directly above its window, which lets Catalyst
-insert a partial ``WindowGroupLimit`` *before* the shuffle: every map task
-ships at most k rows per origin, so neither the OD size nor a hot origin
-reaches the exchange.
+time may be different destinations). The ``row_number() <= k`` filter sits directly above
+its window, which lets Catalyst insert a partial ``WindowGroupLimit`` *before*
+the shuffle: every map task ships at most k rows per origin and measure, so
+neither the OD size nor a hot origin reaches the exchange.
 """
 
 from __future__ import annotations
@@ -41,20 +40,28 @@ def nearest_k_mean(
     Missing costs rank last and are skipped by the mean, so an origin with fewer
     than k known costs gets the mean of those it has. Rows without a key are
     dropped: they cannot be attributed to an origin.
+
+    One pass: every OD row is turned into one (measure, value) row per measure
+    inside the scan's pipeline; a single window over (key, measure) with the
+    ``<= k`` filter gets its partial limit before the one exchange; the small
+    per-key result is pivoted back to one column per measure.
     """
     if measures is None:
         measures = {"avg_dist": ("distance", 1.0), "avg_time": ("time", 60.0)}
     keys = list(keys)
     base = od.where(_all_not_null(keys))
-    out: DataFrame | None = None
-    for name, (col, divisor) in measures.items():
-        branch = top_k_per_group(base.select(*keys, F.col(col).alias("_v")), keys, "_v", k)
-        mean = F.avg("_v")
+    long = base.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("_m"), F.col(col).cast("double").alias("_v")) for name, (col, _) in measures.items()
+    ])))
+    top = top_k_per_group(long, [*keys, "_m"], "_v", k)
+    per_measure = top.groupBy(*keys, "_m").agg(F.avg("_v").alias("_a"))
+    cols = []
+    for name, (_, divisor) in measures.items():
+        mean = F.max(F.when(F.col("_m") == F.lit(name), F.col("_a")))
         if divisor != 1.0:
             mean = mean / F.lit(float(divisor))
-        agg = branch.groupBy(*keys).agg(mean.alias(name))
-        out = agg if out is None else out.join(agg, keys, "inner")
-    return out
+        cols.append(mean.alias(name))
+    return per_measure.groupBy(*keys).agg(*cols)
 
 
 def _all_not_null(keys: Sequence[str]):

@@ -52,11 +52,12 @@ def od_by_population(
         for f in flags:
             cond = cond & F.coalesce(F.col(f), F.lit(False))
         tags.append(F.when(cond, F.lit(name)))
-    tagged = dests.select("dest_id", F.array_compact(F.array(*tags)).alias("_pops"))
-    tagged = tagged.where(F.size("_pops") > 0)
-    return od.join(checked_broadcast(tagged), "dest_id").select(
-        *od.columns, F.explode("_pops").alias("population")
-    )
+    # One row per (destination, population) it serves: the fan-out happens
+    # on the destination table, so the OD rows meet it in a plain equi-join
+    # (code-generated, no per-row array functions).
+    tagged = dests.select("dest_id", F.explode(F.array(*tags)).alias("population")).where(
+        F.col("population").isNotNull())
+    return od.join(checked_broadcast(tagged), "dest_id").select(*od.columns, "population")
 
 
 # Straight-line proxy per travel mode -- detour factor (road

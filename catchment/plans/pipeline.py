@@ -102,7 +102,8 @@ def run(
     # per-capita supply: in-scope destinations, and those also serving the sub-population
     pts = dests.where(F.coalesce(F.col("in_scope"), F.lit(False))).select(
         F.col("dest_id").alias("point_id"), "lon", "lat",
-        F.explode(F.array_compact(F.array(F.lit("all"), F.when(F.col("sub"), F.lit("sub"))))).alias("population"))
+        F.explode(F.array(F.lit("all"), F.when(F.col("sub"), F.lit("sub")))).alias("population")).where(
+        F.col("population").isNotNull())
     hits = points_in_zones(pts, zones, tolerance_m=p.tolerance_m)
     counts = zone_counts(hits, zones, pts, total_id=p.total_id, total_name=p.total_name,
                          by={"population": ["all", "sub"]})

@@ -356,13 +356,13 @@ def points_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """point_id, lon, lat, population: every point as 'all', and once more as
     'sub' when it is in the sub-population."""
     c = table(spark, sf_dir, "customer")
-    pops = F.array_compact(F.array(F.lit("all"), F.when(F.col("c_mktsegment") == F.lit(SUB_ATTRIBUTE), F.lit("sub"))))
+    pops = F.array(F.lit("all"), F.when(F.col("c_mktsegment") == F.lit(SUB_ATTRIBUTE), F.lit("sub")))
     return c.select(
         F.col("c_custkey").alias("point_id"),
         (_d(BOX_LON0) + ((F.col("c_custkey") * 7919) % 1500).cast("double") / _d(1000.0)).alias("lon"),
         (_d(BOX_LAT0) + ((F.col("c_custkey") * 104729) % 500).cast("double") / _d(1000.0)).alias("lat"),
         F.explode(pops).alias("population"),
-    )
+    ).where(F.col("population").isNotNull())
 
 
 def sql_points(name: str = "pts", sub_only: bool = False) -> str:
