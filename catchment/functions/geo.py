@@ -124,3 +124,51 @@ def within_tolerance(rings_m: Column, px: Column, py: Column, tolerance_m: float
     boundary: the tolerance buffer of the zone, as a predicate."""
     cd = crossings_and_distance(rings_m, px, py)
     return ((cd["c"] % 2) == 1) | (cd["d2"] <= F.lit(float(tolerance_m) ** 2))
+
+
+def ring_edges(rings_m: Column) -> Column:
+    """array<struct<x1,y1,x2,y2>> of every edge of every (closed) ring."""
+    per_ring = F.transform(
+        rings_m,
+        lambda r: F.transform(
+            F.sequence(F.lit(0), F.size(r) - 2),
+            lambda i: F.struct(
+                F.element_at(r, i + 1)["x"].alias("x1"), F.element_at(r, i + 1)["y"].alias("y1"),
+                F.element_at(r, i + 2)["x"].alias("x2"), F.element_at(r, i + 2)["y"].alias("y2"),
+            ),
+        ),
+    )
+    return F.flatten(per_ring)
+
+
+def crosses(e: Column, px: Column, py: Column) -> Column:
+    """The ray from (px, py) towards +x crosses edge ``e`` (half-open rule)."""
+    straddles = (e["y1"] > py) != (e["y2"] > py)
+    return F.when(
+        straddles, px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+    ).otherwise(F.lit(False))
+
+
+def dist2_to_edge(e: Column, px: Column, py: Column) -> Column:
+    """Squared distance from (px, py) to edge ``e``."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    len2 = dx * dx + dy * dy
+    t = F.when(
+        len2 > F.lit(0.0),
+        F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - e["x1"]) * dx + (py - e["y1"]) * dy) / len2)),
+    ).otherwise(F.lit(0.0))
+    ex = e["x1"] + t * dx - px
+    ey = e["y1"] + t * dy - py
+    return ex * ex + ey * ey
+
+
+def parity(edges: Column, px: Column, py: Column) -> Column:
+    """Number of ``edges`` crossed by the ray from (px, py), modulo 2 == 1."""
+    n = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(crosses(e, px, py), F.lit(1)).otherwise(F.lit(0)))
+    return (n % 2) == 1
+
+
+def near_any(edges: Column, px: Column, py: Column, tolerance_m: float) -> Column:
+    """Some edge of ``edges`` is within ``tolerance_m`` of (px, py)."""
+    tol2 = F.lit(float(tolerance_m) ** 2)
+    return F.exists(edges, lambda e: dist2_to_edge(e, px, py) <= tol2)

@@ -2,12 +2,18 @@
 
 Join strategy: every zone is cut into grid cells covering its bounding box
 plus the tolerance (a few cells per zone, cell size ~ the median zone
-extent); every point falls in exactly one cell. Candidate (point, zone) pairs
-come from an equi-join on the cell -- a hash join, with the zone-cell table
-broadcast behind a size check -- and each pair is then refined exactly (inside
-by ray casting, or within the tolerance of an edge). A point may match
-several zones when their buffers overlap; a (point, zone) pair is found once,
-because a point has a single cell.
+extent); every point falls in exactly one cell. Each (zone, cell) keeps only
+the edges that can matter to a point of that cell: edges reaching into the
+cell's horizontal band to its right (they are the only ones a ray from the
+point towards +x can cross) and edges within the tolerance of the cell (the
+only ones that can be that close). A cell no edge comes near has one status
+for all its points -- inside (kept without a test) or outside (dropped) --
+decided once at its centre. Candidate (point, zone) pairs come from an
+equi-join on the cell (the zone-cell table is zone-sized and broadcast behind
+a size check), and only points in boundary cells are tested, against their
+cell's few edges. A point may match several zones when their buffers
+overlap; a (point, zone) pair is found once, because a point has a single
+cell.
 
 With the cell table broadcast, a dense cell (a third of all points in one
 downtown cell) costs no shuffle; without the broadcast, AQE's skew handling
@@ -22,7 +28,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import close_rings, rings_bbox, rings_to_plane, to_plane, within_tolerance
+from ..functions.geo import close_rings, near_any, parity, ring_edges, rings_bbox, rings_to_plane, to_plane
 from ..session import checked_broadcast
 
 
@@ -66,6 +72,37 @@ def zone_cells(zones_m: DataFrame, cell_m: float, tolerance_m: float) -> DataFra
     )
 
 
+def zone_cell_edges(zones_m: DataFrame, cell_m: float, tolerance_m: float) -> DataFrame:
+    """cx, cy, zone_id, all_in, edges: the cells of each zone that hold a
+    point of its tolerance buffer, with the edges a point of the cell needs
+    (empty for cells wholly inside, which have ``all_in``)."""
+    cs, tol = F.lit(float(cell_m)), F.lit(float(tolerance_m))
+    cells = zone_cells(zones_m, cell_m, tolerance_m)
+    edges = zones_m.select("zone_id", F.explode(ring_edges(F.col("rings_m"))).alias("e"))
+    x0, x1 = F.col("cx") * cs, (F.col("cx") + 1) * cs
+    y0, y1 = F.col("cy") * cs, (F.col("cy") + 1) * cs
+    lo_x, hi_x = F.least("e.x1", "e.x2"), F.greatest("e.x1", "e.x2")
+    lo_y, hi_y = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
+    near = (lo_x - tol <= x1) & (hi_x + tol >= x0) & (lo_y - tol <= y1) & (hi_y + tol >= y0)
+    band = (lo_y <= y1) & (hi_y >= y0) & (hi_x >= x0)
+    j = cells.join(edges, "zone_id").select("zone_id", "cx", "cy", "e", near.alias("near"), band.alias("band"))
+    j = j.where(F.col("near") | F.col("band"))
+    per_cell = j.groupBy("zone_id", "cx", "cy").agg(
+        F.collect_list(F.when(F.col("band"), F.col("e"))).alias("band_edges"),
+        F.collect_list(F.when(F.col("near"), F.col("e"))).alias("near_edges"),
+    )
+    # a cell without a near edge has one status for all its points: its centre's
+    ccx, ccy = (F.col("cx") + 0.5) * cs, (F.col("cy") + 0.5) * cs
+    uniform = F.size("near_edges") == 0
+    centre_in = parity(F.col("band_edges"), ccx, ccy)
+    per_cell = per_cell.where(~uniform | centre_in).select(
+        "zone_id", "cx", "cy", uniform.alias("all_in"),
+        F.when(uniform, F.array()).otherwise(F.col("band_edges")).alias("band_edges"),
+        F.when(uniform, F.array()).otherwise(F.col("near_edges")).alias("near_edges"),
+    )
+    return per_cell
+
+
 def points_in_zones(
     points: DataFrame,
     zones: DataFrame,
@@ -85,16 +122,17 @@ def points_in_zones(
         cell_m = max(median_extent(zm), 4.0 * tolerance_m)
     if not (cell_m > 0 and math.isfinite(cell_m)):
         raise ValueError("cell_m must be a positive number")
-    cells = zone_cells(zm, cell_m, tolerance_m)
+    cells = zone_cell_edges(zm, cell_m, tolerance_m)
     px, py = to_plane(F.col(lon), F.col(lat), origin)
     cs = F.lit(float(cell_m))
     pts = points.select(
         *points.columns, px.alias("_px"), py.alias("_py"),
     ).withColumns({"cx": F.floor(F.col("_px") / cs), "cy": F.floor(F.col("_py") / cs)})
     cand = pts.join(checked_broadcast(cells), ["cx", "cy"])
-    geo = checked_broadcast(zm.select("zone_id", "rings_m"))
-    hit = cand.join(geo, "zone_id").where(
-        within_tolerance(F.col("rings_m"), F.col("_px"), F.col("_py"), tolerance_m)
+    ppx, ppy = F.col("_px"), F.col("_py")
+    hit = cand.where(
+        F.col("all_in") | parity(F.col("band_edges"), ppx, ppy)
+        | near_any(F.col("near_edges"), ppx, ppy, tolerance_m)
     )
     return hit.select(*points.columns, "zone_id")
 
