@@ -50,3 +50,24 @@ def test_partitioned_sink_requires_mode(spark, tmp_path):
     assert back.where("mode = 'auto'").count() == 1
     with pytest.raises(ValueError):
         sinks.write_partitioned(df.drop("mode"), str(tmp_path / "x"), by="mode")
+
+
+def test_area_attributes_and_block_points(spark, tmp_path):
+    p = tmp_path / "da.csv"
+    p.write_text("area_id,attribute_id,a,b,value,v2,v3\n35061234,7002,x,y,12.5,1,2\n35061235,7002,x,y,NA,,\n")
+    df = files.read_area_attributes(spark, str(p))
+    assert rows(df.select("area_id", "attribute_id", "value")) == [("35061234", "7002", 12.5), ("35061235", "7002", None)]
+    q = tmp_path / "pts.csv"
+    q.write_text("DBUID,lon,lat\n35061234001,-75.7,45.4\n35061234002,x,45.5\n")
+    pts = files.read_block_points(spark, str(q))
+    assert rows(pts) == [("35061234001", -75.7, 45.4), ("35061234002", None, 45.5)]
+
+
+def test_single_file_table_sink(spark, tmp_path):
+    df = spark.createDataFrame([("Overall", "time_all", 1.5), ("Rural", "time_all", None)], "c string, v string, p double")
+    out = str(tmp_path / "t")
+    sinks.write_table_file(df, out)
+    parts = [f for f in os.listdir(out) if f.endswith(".csv")]
+    assert len(parts) == 1
+    text = open(os.path.join(out, parts[0])).read().splitlines()
+    assert text[0] == "c,v,p" and "Rural,time_all,NA" in text

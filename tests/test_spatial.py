@@ -95,3 +95,35 @@ def test_zone_counts_with_empty_zones_and_total(spark, zones):
     got = rows(zone_counts(pairs, zones, p, total_id=0, total_name="City"))
     assert got == [(0, "City", "City", 3), (1, "sq", "", 2), (2, "adj", "adj2", 1), (3, "L", "l", 0),
                    (4, "hole", "h", 0), (5, "empty", "e", 0)]
+
+
+def test_many_vertex_outline_matches_brute_force(spark):
+    # a 240-vertex wavy ring (concave in many places) and 500 random points
+    rnd = random.Random(2)
+    ring_m = []
+    for i in range(240):
+        a = 2 * math.pi * i / 240
+        r = 1500 + 300 * math.sin(7 * a)
+        ring_m.append((2000 + r * math.cos(a), 2000 + r * math.sin(a)))
+    zones = spark.createDataFrame([(9, "wavy", "w", [ring(*ring_m)])], ZONES)
+    xy = [(rnd.uniform(0, 4000), rnd.uniform(0, 4000)) for _ in range(500)]
+    got = hits(spark, zones, xy, cell=250.0)
+    closed = ring_m + [ring_m[0]]
+
+    def inside(px, py):
+        c, d2 = 0, math.inf
+        for (x1, y1), (x2, y2) in zip(closed, closed[1:]):
+            if (y1 > py) != (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1:
+                c += 1
+            dx, dy = x2 - x1, y2 - y1
+            t = max(0.0, min(1.0, ((px - x1) * dx + (py - y1) * dy) / (dx * dx + dy * dy)))
+            d2 = min(d2, (x1 + t * dx - px) ** 2 + (y1 + t * dy - py) ** 2)
+        return c % 2 == 1 or d2 <= 2500.0
+
+    exp = []
+    for i, (x, y) in enumerate(xy):
+        lon, lat = m2deg(x, y)
+        if inside((lon - ORIGIN[0]) * KX, (lat - ORIGIN[1]) * KY):
+            exp.append((i, 9))
+    # vertices go through degrees and back: compare away from the boundary +- 1 mm
+    assert got == sorted(exp)
