@@ -19,7 +19,7 @@ from catchment.session import local_session  # noqa: E402
 
 HEADLINE = [
     "access_gap", "nearest_k_mean", "class_benchmark", "summary_table", "test_report",
-    "points_in_zones", "per_capita", "figure_data", "od_by_population",
+    "points_in_zones", "per_capita", "figure_data", "od_by_population", "od_straight_line",
 ]
 
 
