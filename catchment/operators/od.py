@@ -81,7 +81,10 @@ def nearest_destinations(
     origin is joined, on the cell key, with the destinations of the 3 x 3
     cells around its own. That square holds every destination closer than s,
     so an origin is settled once its k-th candidate is at most s away -- or
-    once the square holds every destination. Each round costs 9 lookups per
+    once the square holds every destination. The starting cell follows the
+    mean density and is halved until no cell holds more than 32 k
+    destinations, so a dense downtown does not hand every nearby origin
+    thousands of candidates. Each round costs 9 lookups per
     open origin; the number of rounds grows with log2(extent / cell_m). Each
     round's top-k and the open origins are written to the shared
     ``spark.checkpoint.dir`` (short lineage, one computation each) before the
@@ -102,11 +105,22 @@ def nearest_destinations(
     if plane_origin is None:
         plane_origin = ((st["x0"] + st["x1"]) / 2.0, (st["y0"] + st["y1"]) / 2.0)
     kx, ky = plane_scale(plane_origin[1])
-    if cell_m is None:
+    auto_cell = cell_m is None
+    if auto_cell:
         w_m, h_m = (st["x1"] - st["x0"]) * kx, (st["y1"] - st["y0"]) * ky
         cell_m = max(math.sqrt(max(w_m * h_m, 1.0) * k / st["n"]), 1.0)
     dx_, dy_ = to_plane(F.col("lon"), F.col("lat"), plane_origin)
     dm = d.select("dest_id", dx_.alias("dx"), dy_.alias("dy"))
+    if auto_cell:
+        # Dense spots: halve the starting cell until no cell holds more than
+        # 32 k destinations, so an origin never meets a crowd of candidates.
+        for _ in range(12):
+            cs0 = F.lit(float(cell_m))
+            densest = dm.groupBy(F.floor(F.col("dx") / cs0), F.floor(F.col("dy") / cs0)).count().agg(
+                F.max("count")).first()[0]
+            if densest <= 32 * k or cell_m <= 1.0:
+                break
+            cell_m = max(cell_m / 2.0, 1.0)
     ox_, oy_ = to_plane(F.col("lon"), F.col("lat"), plane_origin)
     pending = o.select("block_id", ox_.alias("ox"), oy_.alias("oy"))
     ext = dm.agg(F.min("dx").alias("a"), F.max("dx").alias("b"), F.min("dy").alias("c"), F.max("dy").alias("e")).first()

@@ -7,7 +7,9 @@ and equal values always fall in the same one. Per bucket, the number of rows
 gives the bucket's offset (a running sum over at most ``buckets`` rows per
 group); within a bucket, a running sum over the *distinct* values gives each
 value's position. A value repeated by a third of all rows is one row after
-the first aggregate.
+the first aggregate. While no group has more than ``MAX_VALUES_PER_TASK``
+distinct values, one bucket per group is enough (a bounded window, fewer
+stages); the bucket count grows with the largest group beyond that.
 """
 
 from __future__ import annotations
@@ -19,7 +21,10 @@ from pyspark.sql import functions as F
 
 from ..session import checked_broadcast, materialize
 
-DEFAULT_BUCKETS = 64
+# Largest number of distinct values one window task may hold; above it the
+# group is split into buckets of about BUCKET_TARGET values.
+MAX_VALUES_PER_TASK = 50_000
+BUCKET_TARGET = 20_000
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -41,17 +46,28 @@ def distinct_ranks(
     keys: Sequence[str],
     value: str | Column,
     extra: dict[str, Column] | None = None,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per group and distinct non-NULL value: *keys, ``_v`` (the
     value), ``_t`` (rows with it), ``_less`` (rows of the group with a smaller
     value), ``_bucket``, and the ``extra`` aggregates (e.g. a count of
-    positives) over the rows with that value."""
+    positives) over the rows with that value.
+
+    ``buckets=None`` sizes the buckets from the data (one small aggregate):
+    a single bucket while the largest group has at most
+    ``MAX_VALUES_PER_TASK`` distinct values, else buckets of about
+    ``BUCKET_TARGET`` values."""
     keys = list(keys)
     v = F.col(value) if isinstance(value, str) else value
     rows = df.select("*", v.alias("_v")).where(F.col("_v").isNotNull())
     aggs = [F.count("*").alias("_t")] + [c.alias(n) for n, c in (extra or {}).items()]
     distinct = rows.groupBy(*keys, "_v").agg(*aggs)
+    if buckets is None:
+        largest = distinct.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        buckets = 1 if largest <= MAX_VALUES_PER_TASK else -(-largest // BUCKET_TARGET)
+    if buckets <= 1:
+        within = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+        return distinct.withColumns({"_bucket": F.lit(0), "_less": F.coalesce(F.sum("_t").over(within), F.lit(0))})
     # bounds over the distinct values: buckets hold similar numbers of them,
     # which is what the window within a bucket has to hold
     probs = [i / buckets for i in range(1, buckets)]
@@ -74,7 +90,7 @@ def order_statistics(
     keys: Sequence[str],
     value: str | Column,
     probs: Sequence[float],
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Quantiles by linear interpolation between order statistics (the
     "type 7" rule: position (n - 1) p), exact, one row per group with the

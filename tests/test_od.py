@@ -18,7 +18,7 @@ def brute(origins, dests, k):
     return out
 
 
-@pytest.mark.parametrize("n_dests,cell", [(40, None), (3, None), (60, 50.0), (1, 10.0)])
+@pytest.mark.parametrize("n_dests,cell", [(40, None), (3, None), (60, 50.0), (1, 10.0), (400, None)])
 def test_nearest_destinations_exact(spark, n_dests, cell):
     rnd = random.Random(n_dests)
     # clustered destinations: most in a small downtown square, a few far out

@@ -18,7 +18,7 @@ def data(spark):
     return rows, spark.createDataFrame(rows, "g string, v double")
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 64])
+@pytest.mark.parametrize("buckets", [None, 1, 2, 7, 64])
 def test_distinct_ranks_exact(spark, data, buckets):
     rows, df = data
     got = {(r["g"], r["_v"]): (r["_t"], r["_less"]) for r in distinct_ranks(df, ["g"], "v", buckets=buckets).collect()}
