@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
-from check_oracle import TABLES, digest  # noqa: E402
+from check_oracle import TABLES, digest, type_mismatches  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 need = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -46,5 +46,6 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     exp = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert type_mismatches(df, res) == {}
     assert len(got) == len(exp)
     assert digest(got, df.columns)[0] == digest(exp, ocols)[0]
