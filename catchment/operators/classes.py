@@ -3,7 +3,8 @@ every zone's deviation from it.
 
 Class totals come from one small aggregate joined back to the zones (a
 checked broadcast), not from a window over a whole class, so no class is ever
-gathered into a single task.
+gathered into a single task. The zone table is read twice for that, so it is
+written once to the shared checkpoint folder first.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
-from ..session import checked_broadcast
+from ..session import checked_broadcast, materialize
 from .weighting import _isin_keep_null
 
 _MEASURES = ["dist_sub", "time_sub", "dist_all", "time_all"]
@@ -55,7 +56,11 @@ def class_benchmark(
     class_total = class_pops.groupBy("zone_class").agg(
         F.coalesce(F.sum("zone_pop"), F.lit(0.0)).alias("_class_pop")
     ).withColumnRenamed("zone_class", "_tcls")
-    table = gap.join(checked_broadcast(class_pops), ["zone_id", "name"], "left").where(keep(F.col("zone_id")))
+    # Zone-sized and read twice (class sums, then the join back): written once,
+    # so the plan above it is not run and planned once per reader.
+    table = materialize(
+        gap.join(checked_broadcast(class_pops), ["zone_id", "name"], "left").where(keep(F.col("zone_id")))
+    )
     sums = table.groupBy("zone_class", *by).agg(
         *[_strict_sum(F.col(m) * F.col("zone_pop")).alias(f"_s_{m}") for m in _MEASURES]
     )

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import replace_first
-from ..session import checked_broadcast
+from ..session import checked_broadcast, materialize
 
 # The published figure list, and the label texts.
 FIGURE_SPEC_ROWS = [
@@ -69,6 +69,7 @@ def figure_data(long: DataFrame, spec: DataFrame, zones: DataFrame | None = None
     """One row per (figure, zone): filename, *keys, fill_value, other_value
     (+ rings when ``zones`` is given: outlines are attached last, by zone)."""
     specs = checked_broadcast(figure_specs(spec))
+    long = materialize(long)  # zone-sized, read twice (fill and counterpart values)
     fill = long.join(specs, (long["data_table"] == specs["data_table"]) & (long["variable"] == specs["fill_column"]))
     fill = fill.select(specs["filename"], long["data_table"], *[long[k] for k in keys],
                        F.col("value").alias("fill_value"), specs["other_column"])
