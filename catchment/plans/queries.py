@@ -21,7 +21,7 @@ from ..operators.figures import (FIGURE_SPEC_ROWS, attribute_vs_metric, bivariat
                                  figure_limits, outlines_for)
 from ..operators.od import od_for_destinations, od_straight_line
 from ..operators.percapita import per_capita_long, zone_populations
-from ..session import shared_dir
+from ..session import materialize, shared_dir
 from ..sources import files, sinks
 from .. import schemas
 from ..operators.spatial import points_in_zones, zone_counts
@@ -246,7 +246,7 @@ def class_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_figure_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outlines kept for each figure data table (rings dropped for the check)."""
-    long = figure_long(spark, sf_dir)
+    long = materialize(figure_long(spark, sf_dir))  # read once per data table
     outl = class_outlines(spark, sf_dir)
     parts = []
     for dt in ("auto", "walk"):
