@@ -23,7 +23,6 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed values of the role mapping.
 MODES = ("auto", "pedestrian")
