@@ -38,13 +38,18 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a folder every executor can reach; it is
-    read, never replaced. Only where it is unset (local tests) a folder of our
-    own is created and set.
+    read, never replaced, and a cluster session without it is an error. Only
+    a local session without it (tests) gets a folder of our own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: name a folder every executor can reach "
+                "(a machine-local temporary folder would not survive the loss of an executor)"
+            )
         path = tempfile.mkdtemp(prefix="catchment-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
