@@ -28,9 +28,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, shuffle_partitions=cpus)
-    # Warm-up, not timed: the same queries once on the smallest driver tables
+    # Warm-up, not timed: the same queries once on smaller driver tables
     # (JVM start, JIT and code generation), never on the benchmark's data.
-    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
     if os.path.isdir(warm) and warm.rstrip("/") != sf_dir:
         for name in names:
             Q.QUERIES[name](spark, warm).write.format("noop").mode("overwrite").save()
