@@ -41,20 +41,26 @@ def shared_dir(spark: SparkSession) -> str:
     read, never replaced, and a cluster session without it is an error. Only
     a local session without it (tests) gets a folder of our own.
     """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - Spark Connect has no SparkContext
+        sc = None
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise ValueError(
                 "spark.checkpoint.dir is not set: name a folder every executor can reach "
                 "(a machine-local temporary folder would not survive the loss of an executor)"
             )
         path = tempfile.mkdtemp(prefix="catchment-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        if sc is not None:
+            sc.setCheckpointDir(path)
+    elif sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
