@@ -1,8 +1,9 @@
 """Registered queries: each takes ``(spark, sf_dir)``, reads the driver tables
 through :mod:`.roles` and runs the library's operators over the whole tables.
 
-Double outputs are rounded to ``DIGITS`` places at the very end (and in the
-oracle SQL) because sums of doubles depend on the order of addition.
+Double outputs of sums and means are quantized to ``DIGITS`` places at the
+very end (and the same way in the oracle SQL), because sums of doubles depend
+on the order of addition; row-level values are returned as computed.
 """
 
 from __future__ import annotations
@@ -11,21 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schemas
 from ..operators.classes import class_benchmark
-from ..operators.gap import access_gap_long, clean_gap
-from ..operators.ranktest import signed_rank_test, test_report
-from ..operators.summary import summary_table
-from ..operators.nearest import nearest_k_mean
-from ..operators.od import od_by_population
 from ..operators.figures import (FIGURE_SPEC_ROWS, attribute_vs_metric, bivariate_data, figure_data,
                                  figure_limits, outlines_for)
-from ..operators.od import od_for_destinations, od_straight_line
+from ..operators.gap import access_gap_long, clean_gap
+from ..operators.nearest import nearest_k_mean
+from ..operators.od import od_by_population, od_for_destinations, od_straight_line
 from ..operators.percapita import per_capita_long, zone_populations
-from ..session import materialize, shared_dir
-from ..sources import files, sinks
-from .. import schemas
+from ..operators.ranktest import signed_rank_test, test_report
 from ..operators.spatial import points_in_zones, zone_counts
+from ..operators.summary import summary_table
 from ..operators.weighting import area_shares, block_weights, zone_access, zone_population
+from ..session import materialize, shared_dir
+from ..sources import files, sinks
 from . import roles
 
 DIGITS = 6
