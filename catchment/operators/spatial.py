@@ -54,53 +54,48 @@ def median_extent(zones_m: DataFrame) -> float:
     return float(v) if v else 1000.0
 
 
-def zone_cells(zones_m: DataFrame, cell_m: float, tolerance_m: float) -> DataFrame:
-    """cx, cy, zone_id for every grid cell touched by a zone's bbox plus the
-    tolerance."""
-    cs, tol = F.lit(float(cell_m)), F.lit(float(tolerance_m))
-    return zones_m.select(
-        "zone_id",
-        F.explode(F.sequence(
-            F.floor((F.col("bbox.min_x") - tol) / cs), F.floor((F.col("bbox.max_x") + tol) / cs)
-        )).alias("cx"),
-        F.col("bbox"),
-    ).select(
-        "zone_id", "cx",
-        F.explode(F.sequence(
-            F.floor((F.col("bbox.min_y") - tol) / cs), F.floor((F.col("bbox.max_y") + tol) / cs)
-        )).alias("cy"),
-    )
-
-
 def zone_cell_edges(zones_m: DataFrame, cell_m: float, tolerance_m: float) -> DataFrame:
-    """cx, cy, zone_id, all_in, edges: the cells of each zone that hold a
-    point of its tolerance buffer, with the edges a point of the cell needs
-    (empty for cells wholly inside, which have ``all_in``)."""
+    """cx, cy, zone_id, all_in, band_edges, near_edges: the cells of each zone
+    that hold a point of its tolerance buffer, with the edges a point of the
+    cell needs (none for cells wholly inside, which have ``all_in``).
+
+    Every edge names its own cells -- no cells x edges product: for the ray
+    test, the cell rows its y-range spans, from the zone's first column to
+    the column of its right end; for the distance test, the cells of its
+    bounding box grown by the tolerance.
+    """
     cs, tol = F.lit(float(cell_m)), F.lit(float(tolerance_m))
-    cells = zone_cells(zones_m, cell_m, tolerance_m)
-    edges = zones_m.select("zone_id", F.explode(ring_edges(F.col("rings_m"))).alias("e"))
-    x0, x1 = F.col("cx") * cs, (F.col("cx") + 1) * cs
-    y0, y1 = F.col("cy") * cs, (F.col("cy") + 1) * cs
+    edges = zones_m.select(
+        "zone_id", F.floor((F.col("bbox.min_x") - tol) / cs).alias("_cx0"),
+        F.explode(ring_edges(F.col("rings_m"))).alias("e"),
+    )
     lo_x, hi_x = F.least("e.x1", "e.x2"), F.greatest("e.x1", "e.x2")
     lo_y, hi_y = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
-    near = (lo_x - tol <= x1) & (hi_x + tol >= x0) & (lo_y - tol <= y1) & (hi_y + tol >= y0)
-    band = (lo_y <= y1) & (hi_y >= y0) & (hi_x >= x0)
-    j = cells.join(edges, "zone_id").select("zone_id", "cx", "cy", "e", near.alias("near"), band.alias("band"))
-    j = j.where(F.col("near") | F.col("band"))
-    per_cell = j.groupBy("zone_id", "cx", "cy").agg(
+    band = (
+        edges.where(lo_y < hi_y)  # a horizontal edge is never crossed
+        .select("zone_id", "e", "_cx0", F.explode(F.sequence(F.floor(lo_y / cs), F.floor(hi_y / cs))).alias("cy"))
+        .select("zone_id", "e", "cy", F.explode(F.sequence(F.col("_cx0"), F.floor(hi_x / cs))).alias("cx"))
+        .select("zone_id", "cx", "cy", "e", F.lit(True).alias("band"), F.lit(False).alias("near"))
+    )
+    near = (
+        edges.select("zone_id", "e", F.explode(F.sequence(F.floor((lo_x - tol) / cs), F.floor((hi_x + tol) / cs))).alias("cx"))
+        .select("zone_id", "e", "cx", F.explode(F.sequence(F.floor((lo_y - tol) / cs), F.floor((hi_y + tol) / cs))).alias("cy"))
+        .select("zone_id", "cx", "cy", "e", F.lit(False).alias("band"), F.lit(True).alias("near"))
+    )
+    per_cell = band.unionByName(near).groupBy("zone_id", "cx", "cy").agg(
         F.collect_list(F.when(F.col("band"), F.col("e"))).alias("band_edges"),
         F.collect_list(F.when(F.col("near"), F.col("e"))).alias("near_edges"),
     )
-    # a cell without a near edge has one status for all its points: its centre's
+    # A cell without a near edge has one status for all its points: its
+    # centre's. Cells with no edge at all hold no point of the buffer.
     ccx, ccy = (F.col("cx") + 0.5) * cs, (F.col("cy") + 0.5) * cs
     uniform = F.size("near_edges") == 0
     centre_in = parity(F.col("band_edges"), ccx, ccy)
-    per_cell = per_cell.where(~uniform | centre_in).select(
+    return per_cell.where(~uniform | centre_in).select(
         "zone_id", "cx", "cy", uniform.alias("all_in"),
         F.when(uniform, F.array()).otherwise(F.col("band_edges")).alias("band_edges"),
         F.when(uniform, F.array()).otherwise(F.col("near_edges")).alias("near_edges"),
     )
-    return per_cell
 
 
 def points_in_zones(
