@@ -1,5 +1,7 @@
 """The whole analysis from its own inputs, as one function returning the
-output tables (lazily; nothing runs until a sink or an action).
+output tables. The zone-level gap table is computed once, when ``run`` is
+called (it is written to the shared checkpoint folder); every other output is
+lazy and reads from it.
 
 Inputs are DataFrames (see ``catchment.schemas`` and ``catchment.sources``):
 
@@ -34,6 +36,7 @@ from ..operators.spatial import points_in_zones, zone_counts
 from ..operators.summary import summary_table
 from ..operators.weighting import area_shares, block_weights, zone_access, zone_population
 from .. import schemas
+from ..session import materialize
 
 
 @dataclass
@@ -88,7 +91,9 @@ def run(
         by={**by_mode, "population": ["all", "sub"]},
     )
     names = zones.select("zone_id", "name")
-    gap = access_gap_long(zone_long, names, by=["mode"])
+    # zone-sized and the root of every later output: written once, so the OD
+    # pipeline runs once for all of them
+    gap = materialize(access_gap_long(zone_long, names, by=["mode"]))
     zpop = zone_population(lookup, pops)
     classes = class_benchmark(clean_gap(gap, p.clean_exclude), zone_classes, zpop, exclude=p.class_exclude,
                               benchmark=p.benchmark, by=["mode"])
