@@ -101,11 +101,13 @@ def figure_limits(data: DataFrame, spec: DataFrame) -> DataFrame:
 def outlines_for(data: DataFrame, outlines: DataFrame, if_absent: str, keep_only: str,
                  class_col: str = "zone_class") -> DataFrame:
     """Class outlines to draw with ``data``: all of them, unless ``data`` has
-    no row of class ``if_absent`` -- then only ``keep_only``. The decision is a
-    one-row aggregate joined on a constant key, inside the plan."""
-    flag = data.agg(F.max(F.coalesce(F.col(class_col) == F.lit(if_absent), F.lit(False))).alias("_has")).withColumn("_k", F.lit(1))
-    o = outlines.withColumn("_k", F.lit(1)).join(F.broadcast(flag), "_k")
-    return o.where(F.col("_has") | (F.col(class_col) == F.lit(keep_only))).drop("_k", "_has")
+    no row of class ``if_absent`` -- then only ``keep_only``. The decision is
+    an uncorrelated scalar subquery (one small aggregate, evaluated once and
+    used as a value): no join, no round trip through the driver."""
+    has = data.select(
+        F.coalesce(F.max(F.coalesce(F.col(class_col) == F.lit(if_absent), F.lit(False))), F.lit(False))
+    ).scalar()
+    return outlines.where(has | (F.col(class_col) == F.lit(keep_only)))
 
 
 def attribute_vs_metric(attributes: DataFrame, attribute: str, metrics: DataFrame, metric: str,

@@ -29,10 +29,13 @@ BUCKET_TARGET = 20_000
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on ``keys`` where NULL matches NULL (a NULL class is a group of
-    its own); with no keys, on a constant (both sides have one row per group)."""
+    its own). With no keys, ``right`` must be a one-row aggregate: its columns
+    are attached as one scalar subquery (evaluated once; no join), NULL when
+    it is empty."""
     keys = list(keys)
     if not keys:
-        return left.withColumn("_k", F.lit(1)).join(right.withColumn("_k", F.lit(1)), "_k", how).drop("_k")
+        one = right.select(F.struct(*right.columns).alias("_s")).scalar()
+        return left.select("*", *[one[c].alias(c) for c in right.columns])
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = None
     for k in keys:
@@ -59,6 +62,9 @@ def distinct_ranks(
     ``BUCKET_TARGET`` values."""
     keys = list(keys)
     v = F.col(value) if isinstance(value, str) else value
+    if not keys:  # one group: give it a key, so that every join below has one
+        out = distinct_ranks(df.select("*", v.alias("_v0"), F.lit(0).alias("_g")), ["_g"], "_v0", extra, buckets)
+        return out.drop("_g")
     rows = df.select("*", v.alias("_v")).where(F.col("_v").isNotNull())
     aggs = [F.count("*").alias("_t")] + [c.alias(n) for n, c in (extra or {}).items()]
     distinct = rows.groupBy(*keys, "_v").agg(*aggs)
@@ -96,6 +102,10 @@ def order_statistics(
     "type 7" rule: position (n - 1) p), exact, one row per group with the
     array ``q`` (NULL values are ignored; an empty group gives NULLs)."""
     keys = list(keys)
+    if not keys:  # one group: give it a key, so that every join below has one
+        v = F.col(value) if isinstance(value, str) else value
+        out = order_statistics(df.select(v.alias("_v0"), F.lit(0).alias("_g")), ["_g"], "_v0", probs, buckets)
+        return out.drop("_g")
     ranks = materialize(distinct_ranks(df, keys, value, buckets=buckets))
     n = ranks.groupBy(*keys).agg(F.sum("_t").alias("_n"))
     targets = n.select(

@@ -35,3 +35,12 @@ def test_order_statistics_type7(spark, data):
     for g in ["a", "b", None]:
         vals = np.array([x for gg, x in rows if gg == g and x is not None])
         assert got[g] == pytest.approx(list(np.quantile(vals, probs)), abs=1e-12)
+
+
+def test_without_group_keys(spark, data):
+    rows, df = data
+    vals = np.array([x for _, x in rows if x is not None])
+    got = order_statistics(df, [], "v", [0.0, 0.5, 1.0]).collect()[0]["q"]
+    assert got == pytest.approx(list(np.quantile(vals, [0.0, 0.5, 1.0])), abs=1e-12)
+    r = {row["_v"]: row["_less"] for row in distinct_ranks(df, [], "v", buckets=3).collect()}
+    assert r[7.0] == sum(1 for x in vals if x < 7.0)
