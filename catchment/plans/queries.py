@@ -349,6 +349,32 @@ def q_straight_line_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(nearest_k_mean(straight_line_od(spark, sf_dir), keys=["block_id", "mode"], k=K))
 
 
+def pipeline_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The end-to-end ``pipeline.run`` on the driver tables, its parameters
+    mapped to the driver roles (no hard-coded zones apply to nations)."""
+    from .pipeline import Params, run
+
+    dests = roles.destinations(spark, sf_dir).join(
+        roles.dest_points(spark, sf_dir).select("dest_id", "lon", "lat"), "dest_id", "left")
+    params = Params(
+        share_attribute=roles.SUB_ATTRIBUTE, fallback_ids=None, clean_exclude=(), class_exclude=(),
+        total_id=roles.TOTAL_ZONE_ID, total_name=roles.TOTAL_NAME, pop_attr=roles.POP_ATTRIBUTE,
+        sub_only_attr=roles.SUB_ONLY_ATTRIBUTE, sub_extra_attr=roles.SUB_EXTRA_ATTRIBUTE, extra_attrs=(),
+        scatter_attr=SCATTER_ATTRIBUTE, walk_class=WALK_CLASS,
+    )
+    return run(
+        od=roles.od_table(spark, sf_dir), dests=dests, pops=roles.block_pops(spark, sf_dir),
+        area_attributes=roles.area_attributes(spark, sf_dir), lookup=roles.block_zone(spark, sf_dir),
+        zones=roles.zones(spark, sf_dir), zone_classes=roles.zone_classes(spark, sf_dir),
+        zone_attributes=roles.zone_attributes(spark, sf_dir), params=params,
+    )
+
+
+def q_pipeline_class_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class table as the end-to-end pipeline produces it."""
+    return rounded(pipeline_outputs(spark, sf_dir)["class_table"])
+
+
 QUERIES = {
     "access_gap": q_access_gap,
     "nearest_k_mean": q_nearest_k_mean,
@@ -377,4 +403,5 @@ QUERIES = {
     "geojson_zones": q_geojson_zones,
     "od_straight_line": q_od_straight_line,
     "straight_line_access": q_straight_line_access,
+    "pipeline_class_table": q_pipeline_class_table,
 }
