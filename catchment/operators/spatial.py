@@ -161,7 +161,16 @@ def zone_counts(
     )
     if points is None or total_id is None:
         return full
-    total = points.groupBy(*by).agg(F.count("*").cast("long").alias(count_col)).select(
+    total = points.groupBy(*by).agg(F.count("*").cast("long").alias(count_col))
+    if by:
+        # every listed value gets a total row, 0 when it has no point at all
+        listed = points.sparkSession.range(1).select(*[F.explode(F.array(*[F.lit(v) for v in vals])).alias(c)
+                                                      for c, vals in list(by.items())[:1]])
+        for c, vals in list(by.items())[1:]:
+            listed = listed.withColumn(c, F.explode(F.array(*[F.lit(v) for v in vals])))
+        total = listed.join(total, list(by), "left").withColumn(
+            count_col, F.coalesce(F.col(count_col), F.lit(0).cast("long")))
+    total = total.select(
         F.lit(total_id).cast(zones.schema["zone_id"].dataType).alias("zone_id"),
         F.lit(total_name).alias(keys[1]),
         F.lit(total_alt if total_alt is not None else total_name).alias(keys[2]),

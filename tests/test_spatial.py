@@ -127,3 +127,13 @@ def test_many_vertex_outline_matches_brute_force(spark):
             exp.append((i, 9))
     # vertices go through degrees and back: compare away from the boundary +- 1 mm
     assert got == sorted(exp)
+
+
+def test_zone_counts_by_population_with_an_empty_population(spark, zones):
+    from pyspark.sql import functions as F
+    p = pts(spark, [(500, 500), (1000, 500)]).withColumn("population", F.lit("all"))
+    pairs = points_in_zones(p, zones, tolerance_m=50.0, origin=ORIGIN)
+    got = {(r["zone_id"], r["population"]): r["n"] for r in
+           zone_counts(pairs, zones, p, total_id=0, by={"population": ["all", "sub"]}).collect()}
+    assert got[(0, "all")] == 2 and got[(0, "sub")] == 0
+    assert got[(1, "all")] == 2 and got[(1, "sub")] == 0 and got[(3, "sub")] == 0
