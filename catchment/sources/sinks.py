@@ -51,11 +51,16 @@ def write_published(
 ) -> DataFrame:
     """A zone-sized published table: sorted (``order``), one CSV file, or one
     per value of ``by`` (e.g. per travel mode), header and ``NA``."""
-    out = ordered(df, order) if order else df
-    if by is not None:
-        if by not in df.columns:
-            raise ValueError(f"column {by!r} is required: it names the output partitions")
-        out.coalesce(1).write.mode(mode).partitionBy(by).option("header", True).option("nullValue", "NA").csv(path)
-    else:
-        out.coalesce(1).write.mode(mode).option("header", True).option("nullValue", "NA").csv(path)
+    from pyspark.sql import functions as F
+
+    w_opts = {"header": True, "nullValue": "NA"}
+    if by is None:
+        ordered(df, order or []).coalesce(1).write.mode(mode).options(**w_opts).csv(path)
+        return df
+    if by not in df.columns:
+        raise ValueError(f"column {by!r} is required: it names the output partitions")
+    # One task sorts by the partition column first, then the publication
+    # order: the partitioned writer finds the order it needs and keeps it.
+    keys = [F.asc(by)] + [F.desc_nulls_last(c) if desc else F.asc_nulls_last(c) for c, desc in (order or [])]
+    df.coalesce(1).sortWithinPartitions(*keys).write.mode(mode).partitionBy(by).options(**w_opts).csv(path)
     return df

@@ -71,3 +71,18 @@ def test_single_file_table_sink(spark, tmp_path):
     assert len(parts) == 1
     text = open(os.path.join(out, parts[0])).read().splitlines()
     assert text[0] == "c,v,p" and "Rural,time_all,NA" in text
+
+
+def test_published_order_kept_per_partition(spark, tmp_path):
+    import random
+    rnd = random.Random(3)
+    data = [(m, i, rnd.random()) for m in ("auto", "pedestrian") for i in range(300)] + [("auto", 999, None)]
+    df = spark.createDataFrame(data, "mode string, zone_id int, time_all double").repartition(7)
+    out = str(tmp_path / "pub")
+    sinks.write_published(df, out, order=[("time_all", True)], by="mode")
+    for m in ("auto", "pedestrian"):
+        back = spark.read.schema("zone_id int, time_all double").option("header", True).option("nullValue", "NA").csv(f"{out}/mode={m}")
+        vals = [r["time_all"] for r in back.collect()]
+        nn = [v for v in vals if v is not None]
+        assert nn == sorted(nn, reverse=True)
+        assert vals[-1] is None if m == "auto" else None not in vals
