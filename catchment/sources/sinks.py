@@ -55,7 +55,7 @@ def write_published(
 
     w_opts = {"header": True, "nullValue": "NA"}
     if by is None:
-        ordered(df, order or []).coalesce(1).write.mode(mode).options(**w_opts).csv(path)
+        (ordered(df, order) if order else df).coalesce(1).write.mode(mode).options(**w_opts).csv(path)
         return df
     if by not in df.columns:
         raise ValueError(f"column {by!r} is required: it names the output partitions")
