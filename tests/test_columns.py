@@ -40,3 +40,16 @@ def test_normal_cdf_accuracy(spark):
     for z, p in zip(zs, got):
         exact = 0.5 * math.erfc(-z / math.sqrt(2.0))
         assert abs(p - exact) <= 1e-9 * max(exact, 1e-300) + 1e-15, (z, p, exact)
+
+
+def test_null_zero_nonfinite_and_if_else(spark):
+    from catchment.functions.columns import if_else, nonfinite_to_null, null_to_zero, zero_to_null
+    df = spark.createDataFrame([(0.0, None), (2.0, True), (float("nan"), False), (float("inf"), None)],
+                               "x double, c boolean")
+    got = [tuple(r) for r in df.select(
+        null_to_zero(zero_to_null("x")), nonfinite_to_null("x"), if_else(F.col("c"), F.lit("y"), F.lit("n"))
+    ).collect()]
+    assert got[0] == (0.0, 0.0, None)          # 0 -> NULL -> 0; NULL condition gives NULL
+    assert got[1] == (2.0, 2.0, "y")
+    assert got[2][1] is None and got[2][2] == "n"
+    assert got[3][1] is None and got[3][2] is None

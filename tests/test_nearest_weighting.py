@@ -137,3 +137,17 @@ def test_area_shares_and_zone_population(spark, blocks):
     assert rows(area_shares(attrs, "7002")) == [("A", 0.125), ("B", None)]
     zp = {r["zone_id"]: r["zone_pop"] for r in zone_population(lookup, pops).collect()}
     assert zp == {1: 450.0, 2: 200.0, 3: 0.0}
+
+
+def test_attribute_pivot_duplicates_and_lenient_ids(spark):
+    from catchment.operators.percapita import zone_populations
+    attrs = spark.createDataFrame([
+        ("07", "pop", 1000.0), ("07", "pop", 1000.0),          # exact duplicate
+        ("07", "only", 2.5), ("07", "extra", 10.0), ("07", "unused", 99.0),
+        (" 8 ", "pop", 400.0), ("8", "only", 0.0), ("8", "extra", 50.0),
+        ("x", "pop", 5.0),                                     # not an integer id
+    ], "zone_id string, attribute string, value double")
+    got = {r["zone_id"]: r for r in zone_populations(attrs, "pop", "only", "extra").collect()}
+    assert got[7]["pop_all"] == 1000.0 and got[7]["pop_sub_only"] == 25.0 and got[7]["pop_sub"] == 125.0
+    assert got[8]["pop_sub_only"] is None and got[8]["pop_sub"] == 200.0   # 0 -> NULL
+    assert None in got and got[None]["pop_all"] == 5.0
