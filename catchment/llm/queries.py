@@ -96,11 +96,11 @@ ORACLE: dict[str, str] = {
         WITH RECURSIVE toks AS (
             SELECT doc_id, list_filter(regexp_split_to_array(
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
-                x -> x <> '') AS w
+                lambda x: x <> '') AS w
             FROM documents),
         sets AS (
             SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
-                ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END AS s
+                ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
             FROM toks),
         sh AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
         links AS (
@@ -128,11 +128,11 @@ ORACLE: dict[str, str] = {
         WITH v AS (
             SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
             WHERE embedding IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-              AND len(list_filter(embedding, x -> x <> 0)) > 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
         d AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                   sqrt(list_sum(list_transform(range(1, len(q.e) + 1), i -> (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])))) AS score
+                   sqrt(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])))) AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
         SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM d
         WINDOW w AS (PARTITION BY query_id ORDER BY score, vec_id) QUALIFY row_number() OVER w <= 10
