@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catchment.llm import mixing, packing, sharding
 from catchment.llm.queries import tokenizer_path
+from catchment.session import materialize
 
 
 def count_words(text):
@@ -56,15 +57,15 @@ def test_shards(spark, docs, corpus, awkward, no_docs, monkeypatch):
 
 
 def test_shards_repeat_and_mix(spark):
-    df = spark.range(4000, numPartitions=5).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
-    a, b = (sharding.shard_documents(df, 4, seed=3).collect() for _ in range(2))
+    df = materialize(spark.range(4000, numPartitions=5).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")))
+    a, b = (sharding.shard_documents(df, 4, seed=3, stored=True).collect() for _ in range(2))
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     where = np.zeros(4000)
     for r in a:
         where[r.doc_id] = r.shard * 1000 + r.slot
     assert abs(np.corrcoef(np.arange(4000), where)[0, 1]) < 0.06
-    first = Counter(r.shard for r in a if r.doc_id < 800)  # the first partition
-    assert all(150 < first[s] < 250 for s in range(4))
+    part = Counter(r.shard for r in a if r.doc_id < 800)  # rows of one partition
+    assert all(150 < part[s] < 250 for s in range(4))
 
 
 # ------------------------------------------------------------ mixing
