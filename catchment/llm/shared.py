@@ -53,13 +53,13 @@ def attach_groups(rows: DataFrame, keys: list[str], aggregates: dict) -> DataFra
     least two do (else null), and ``_n``, their number (else 1).
 
     The aggregate is summed up before its shuffle and stored; the rows then
-    meet it in a plain join, which Spark broadcasts if the stored table is
-    small and else splits at hot keys (adaptive skew join)."""
+    meet it in a merge join of two plain shuffles, which Spark splits at hot
+    keys (adaptive skew join)."""
     groups = materialize(
         rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in aggregates.items()])
         .where(F.col("_n") > 1)
     )
-    joined = rows.alias("r").join(groups.alias("g"), [F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys], "left")
+    joined = rows.alias("r").join(groups.hint("merge").alias("g"), [F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys], "left")
     return joined.select("r.*", F.coalesce("g._n", F.lit(1).cast("long")).alias("_n"), *[f"g.{n}" for n in aggregates])
 
 
