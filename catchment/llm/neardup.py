@@ -4,14 +4,16 @@ A document is the set of its distinct k-word shingles (five words unless told
 otherwise). One hash of a shingle picks a bin and a value; the smallest value
 of each bin is the signature, and an empty bin copies the bin that its own
 probe sequence reaches first (optimal densification). Bands of the signature
-are bucket keys. Within a bucket only star-shaped pairs are compared: every
-member with a centre. Pairs are confirmed on the full shingle sets.
+are bucket keys. Within a bucket only star-shaped
+pairs are compared: every member with the centre. Pairs are confirmed on the
+full shingle sets.
 
 Stars alone can miss a link between two members of which neither is a centre.
-So buckets that hold more than one component after a round get further centres,
-twice as many each round, until every bucket lies in one component or all its
-members have been centres. Every bucket pair is thus compared, or is in one
-component already, without writing out all pairs of a group.
+So buckets whose other members still lie in several components are settled
+exactly: their members are dealt into blocks, every two blocks of a bucket form
+a tile, and a task computes all similarities of a tile as a matrix product on
+the full sets. A tile hands on only a spanning forest of its links, so no group
+writes out its pairs.
 
 Defined results. Null or blank text: empty set, linked with nothing. Fewer than
 k words: the whole word sequence is the one shingle. Rows with a null id keep a
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -37,6 +39,9 @@ from .text import chunks, mix, word_hashes
 # probability (1 - 0.8 ** 4) ** 24, about 3e-6.
 BANDS = 24
 ROWS = 4
+# Documents of a block, and shingles of a matrix slice, when buckets are settled.
+BLOCK_DOCS = 256
+SLICE = 8192
 
 _U = np.uint64
 
@@ -141,6 +146,70 @@ def _confirm_batches(percent: int):
     return work
 
 
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of sorted sets, as matrix products over
+    slices of the shingles that both sides have."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    flat_a, flat_b = np.concatenate(a), np.concatenate(b)
+    row_a, row_b = (np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (a, b))
+    both = np.intersect1d(flat_a, flat_b)
+    in_a, in_b = np.isin(flat_a, both), np.isin(flat_b, both)
+    row_a, row_b = row_a[in_a], row_b[in_b]
+    col_a, col_b = np.searchsorted(both, flat_a[in_a]), np.searchsorted(both, flat_b[in_b])
+    for lo in range(0, len(both), SLICE):
+        width = min(SLICE, len(both) - lo)
+        dense = []
+        for n, row, col in ((len(a), row_a, col_a), (len(b), row_b, col_b)):
+            m = np.zeros((n, width), np.float32)
+            mine = (col >= lo) & (col < lo + width)
+            m[row[mine], col[mine] - lo] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _forest(linked: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Smallest node index reached from each node, starting from labels ``first``."""
+    label = first
+    while True:
+        low = np.minimum(label, np.where(linked, label[None, :], len(label)).min(axis=1, initial=len(label)))
+        low = np.minimum(low, low[low])
+        if (low == label).all():
+            return label
+        label = low
+
+
+def _tile_batches(percent: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for tile in batch.to_pylist():
+                ids = np.array(tile["ids_a"] + ([] if tile["same"] else tile["ids_b"]))
+                comp = np.array(tile["comps_a"] + ([] if tile["same"] else tile["comps_b"]))
+                if comp.min() == comp.max():
+                    continue
+                a = [np.frombuffer(s, _U) for s in tile["sets_a"]]
+                b = a if tile["same"] else [np.frombuffer(s, _U) for s in tile["sets_b"]]
+                both = shared_counts(a, b)
+                na, nb = (np.array([len(s) for s in x]) for x in (a, b))
+                close = 100 * both >= percent * (na[:, None] + nb[None, :] - both)
+                n = len(ids)
+                linked = np.zeros((n, n), bool)
+                if tile["same"]:
+                    linked[:] = close
+                else:
+                    linked[: len(a), len(a):] = close
+                    linked[len(a):, : len(a)] = close.T
+                linked &= comp[:, None] != comp[None, :]
+                first = np.unique(comp, return_index=True)[1][np.unique(comp, return_inverse=True)[1]]
+                linked[np.arange(n), first] = linked[first, np.arange(n)] = True  # known components
+                label = _forest(linked, np.arange(n))
+                new = np.flatnonzero(comp[label] != comp)
+                if len(new):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[label[new]]), pa.array(ids[new])], ["a", "b"])
+
+    return work
+
+
 def components(links: DataFrame) -> DataFrame:
     """``id, component``: for every end of a link (columns ``a, b``) the
     smallest id it is connected with. Alternates the two star contractions;
@@ -168,18 +237,38 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(r)
 
 
-def _compare(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+def _shingle_table(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """Stored shingle sets of the documents named in ``ids``."""
+    wanted = docs.join(ids.hint("merge"), "id", "left_semi")
+    return materialize(wanted.mapInArrow(_set_batches(k), "id long, shingles binary").dropDuplicates(["id", "shingles"]))
+
+
+def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (columns ``a, b``) whose full sets are similar enough."""
-    pairs = materialize(pairs.select("a", "b").distinct())
-    ids = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    sets = materialize(
-        docs.join(ids, "id", "left_semi").mapInArrow(_set_batches(k), "id long, shingles binary").dropDuplicates(["id", "shingles"])
-    )
     half = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     full = half.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "sa", "sb")
     return materialize(full.mapInArrow(_confirm_batches(percent), "a long, b long"))
 
 
+def _settle(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a spanning forest per tile) between components that meet in a
+    bucket. ``open_members``: stored ``band, key, id, comp, size`` (of the bucket)."""
+    blocks = materialize(
+        open_members.withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / F.lit(BLOCK_DOCS))))
+        .join(sets, "id").groupBy("band", "key", "block")
+        .agg(F.collect_list("id").alias("ids"), F.collect_list("comp").alias("comps"), F.collect_list("shingles").alias("sets"),
+             F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    )
+
+    def side(name: str) -> DataFrame:
+        return blocks.select("band", "key", *[F.col(c).alias(f"{c}_{name}") for c in ("block", "ids", "comps", "sets", "lo", "hi")])
+
+    several = (F.least("lo_a", "lo_b") < F.greatest("hi_a", "hi_b")) & (F.col("block_a") <= F.col("block_b"))
+    tiles = side("a").join(side("b"), ["band", "key"]).where(several).select(
+        (F.col("block_a") == F.col("block_b")).alias("same"), "ids_a", "comps_a", "sets_a", "ids_b", "comps_b", "sets_b")
+    return materialize(tiles.mapInArrow(_tile_batches(percent), "a long, b long"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
     bands: int = BANDS, rows: int = ROWS,
@@ -202,40 +291,27 @@ def near_duplicates(
         .where("centre < last").select("band", "key", "centre")
     )
     members = materialize(members.join(crowded, ["band", "key"]))
-    fit = _sizes_fit(percent)
-    centres = members.where("id = centre").select("band", "key", "id", F.col("n").alias("cn")).withColumnRenamed("id", "centre")
-    pairs = members.where("id <> centre").join(centres, ["band", "key", "centre"]).where(fit).select(
-        F.col("centre").alias("a"), F.col("id").alias("b"))
-    links = _compare(docs, pairs, k, percent)
+    sets = _shingle_table(docs, materialize(members.select("id").distinct()), k)
+    centres = members.where("id = centre").select("band", "key", "centre", F.col("n").alias("cn"))
+    near = F.least("n", "cn") * 100 >= F.greatest("n", "cn") * percent  # else the sizes alone forbid it
+    pairs = materialize(
+        members.where("id <> centre").join(centres, ["band", "key", "centre"]).where(near)
+        .select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    )
+    links = _compare(pairs, sets, percent)
     found = materialize(components(links))
-    members = members.where("id <> centre").drop("centre")
-    several = 1
-    while True:
-        labelled = members.alias("m").join(found.alias("f"), "id", "left").select(
-            "m.*", F.coalesce("f.component", "id").alias("comp"))
-        labelled = materialize(labelled)
-        mixed = materialize(
-            labelled.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            .where("lo < hi").select("band", "key")
-        )
-        open_members = materialize(labelled.join(mixed, ["band", "key"], "left_semi"))
-        if open_members.isEmpty():
-            break
-        turn = Window.partitionBy("band", "key").orderBy(F.desc("comp"), F.desc("id"))
-        centres = materialize(
-            open_members.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= several)
-            .select("band", "key", F.col("id").alias("centre"), F.col("n").alias("cn"), F.col("comp").alias("ccomp"), "turn")
-        )
-        met = open_members.join(centres, ["band", "key"])
-        pairs = met.where(fit & (F.col("comp") != F.col("ccomp"))).select(
-            F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
-        more = _compare(docs, pairs, k, percent)
-        if not more.isEmpty():
-            links = materialize(links.union(more))
-            found = materialize(components(links))
-        members = materialize(open_members.join(
-            centres.select("band", "key", F.col("centre").alias("id")), ["band", "key", "id"], "left_anti").drop("comp"))
-        several *= 2
+    others = materialize(
+        members.where("id <> centre").alias("m").join(found.alias("f"), "id", "left")
+        .select("m.band", "m.key", "m.id", F.coalesce("f.component", "m.id").alias("comp"))
+    )
+    mixed = materialize(
+        others.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
+        .where("lo < hi").select("band", "key", "size")
+    )
+    open_members = materialize(others.join(mixed, ["band", "key"]))
+    more = _settle(open_members, sets, percent)
+    if not more.isEmpty():
+        found = materialize(components(links.union(more)))
     return own.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component", "rep").alias("component_id"),
@@ -243,11 +319,6 @@ def near_duplicates(
     )
 
 
-def _sizes_fit(percent: int) -> Column:
-    """No pair whose set sizes differ more can be similar enough."""
-    return F.least("n", "cn") * 100 >= F.greatest("n", "cn") * percent
-
-
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` (same columns) without near duplicates: of each
     component the document with the smallest id stays."""
