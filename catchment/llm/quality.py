@@ -124,8 +124,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1
     w = v = np.zeros(x.shape[1], x.dtype)
     for t in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
-        new = v - (x.T @ (weight * (p - y)) + l2 * v) / top
-        v, w = new + t / (t + 3) * (new - w), new
+        new = v - (x.T @ (weight * (p - y)).astype(x.dtype) + x.dtype.type(l2) * v) / x.dtype.type(top)
+        v, w = new + x.dtype.type(t / (t + 3)) * (new - w), new
     return w
 
 
