@@ -1,10 +1,11 @@
 """Token ids of whole texts by a tokenizer file, fast enough for a large
 corpus: a text is cut before every run of ASCII white space that follows
-something else, and each distinct piece is encoded once and kept. Neither a
+something else and between an ASCII letter and ASCII punctuation after it, and
+each distinct piece is encoded once and kept. Neither a
 byte-level BPE with its usual pre-tokeniser nor a BPE that drops white space
 forms a token across such a cut, so the ids are those of the whole text (the
-tests compare). Texts with other white space or control separators, and texts
-with the marker character, are encoded whole."""
+tests compare). Texts with other white space or control separators are encoded
+whole."""
 
 from __future__ import annotations
 
@@ -16,10 +17,14 @@ import numpy as np
 from .text import hash_spans, segments
 
 # Pieces kept per task; beyond that the store starts anew with the chunk at hand.
-CACHE_PIECES = 1 << 20
-_MARK = " \ue000"
+CACHE_PIECES = 1 << 21
+# New pieces that are encoded in one call, each on its own.
+GROUP = 64
 _ODD = re.compile(
-    rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xee\x80\x80")
+    rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+
+_LEAD = np.zeros(256, bool)  # bytes that such a separator begins with
+_LEAD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 class Encoder:
@@ -31,7 +36,6 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.mark = np.array(self._ids([_MARK])[0], np.uint32)
         self.keys, self.start, self.length = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.uint32)
 
@@ -41,9 +45,10 @@ class Encoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows as one array, and the offsets of the rows in it."""
         raw = data.tobytes()
-        odd = np.unique(np.searchsorted(offsets, [m.start() for m in _ODD.finditer(raw)], "right") - 1)
+        hits = [m.start() for m in _ODD.finditer(raw)] if _LEAD[data].any() else []
+        odd = np.unique(np.searchsorted(offsets, hits, "right") - 1)
         start, end, before = segments(data, offsets)
-        plain = ~np.isin(np.searchsorted(offsets, start, "right") - 1, odd)
+        plain = ~np.isin(np.searchsorted(offsets, start, "right") - 1, odd) if len(odd) else slice(None)
         h = hash_spans(data, start, end)
         uniq, first, inverse = np.unique(h[plain], return_index=True, return_inverse=True)
         at = self._find(uniq)
@@ -55,7 +60,12 @@ class Encoder:
         begin = np.zeros(len(start), np.int64)
         n[plain], begin[plain] = self.length[at][inverse], self.start[at][inverse]
         ends = np.cumsum(n)
-        ids = self.pool[np.repeat(begin - (ends - n), n) + np.arange(int(n.sum()))]
+        step = np.ones(int(ends[-1]) if len(ends) else 0, np.int64)  # from one id to the next in the pool
+        some = np.flatnonzero(n)
+        if len(some):
+            last = begin[some] + n[some] - 1
+            step[ends[some] - n[some]] = begin[some] - np.concatenate([[0], last[:-1]])
+        ids = self.pool[np.cumsum(step)]
         row = np.concatenate([[0], ends])[before]
         if len(odd):
             whole = dict(zip(odd.tolist(), self._ids([raw[offsets[r]: offsets[r + 1]].decode("utf-8", "replace") for r in odd])))
@@ -71,39 +81,23 @@ class Encoder:
         return np.where(self.keys[at] == keys, at, -1)
 
     def _learn(self, keys: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray, needed: np.ndarray) -> None:
-        pieces = [raw[a:b] for a, b in zip(start.tolist(), end.tolist())]
-        joins = np.array([p[:1].isspace() and not p.isspace() for p in pieces], bool)
-        lists: list = [None] * len(pieces)
-        together = np.flatnonzero(joins)
-        mark = _MARK.encode()
-        for i in range(0, len(together), 4096):
-            group = together[i: i + 4096]
-            ids = np.array(self._ids([b"".join(pieces[g] + mark for g in group).decode()])[0], np.uint32)
-            hit = np.ones(len(ids) - len(self.mark) + 1, bool)
-            for j, m in enumerate(self.mark):
-                hit &= ids[j: len(ids) - len(self.mark) + 1 + j] == m
-            hit = np.flatnonzero(hit)
-            if len(hit) != len(group):
-                joins[group] = False
-                continue
-            for g, a, b in zip(group.tolist(), np.concatenate([[0], hit[:-1] + len(self.mark)]).tolist(), hit.tolist()):
-                lists[g] = ids[a:b]
-        single = np.flatnonzero(~joins)
-        for g, x in zip(single.tolist(), self._ids([pieces[g].decode() for g in single])):
-            lists[g] = np.array(x, np.uint32)
+        pieces = [raw[a:b].decode() for a, b in zip(start.tolist(), end.tolist())]
+        groups = [pieces[i: i + GROUP] for i in range(0, len(pieces), GROUP)]
+        done = self.tok.encode_batch(groups, is_pretokenized=True, add_special_tokens=False)
+        ids = [np.array(e.ids, np.uint32) for e in done]
+        length = np.concatenate([np.bincount(np.array(e.word_ids, np.int64), minlength=len(g)) for e, g in zip(done, groups)])
         if len(self.keys) + len(keys) > CACHE_PIECES:
             keep = np.isin(self.keys, needed)
             old = [self.pool[s: s + n] for s, n in zip(self.start[keep].tolist(), self.length[keep].tolist())]
             self.keys, self.length = self.keys[keep], self.length[keep]
             self.pool = np.concatenate(old) if old else np.empty(0, np.uint32)
             self.start = np.cumsum(self.length) - self.length
-        length = np.array([len(x) for x in lists], np.int64)
         all_keys = np.concatenate([self.keys, keys])
         all_start = np.concatenate([self.start, len(self.pool) + np.cumsum(length) - length])
         order = np.argsort(all_keys, kind="stable")
         self.keys, self.start = all_keys[order], all_start[order]
         self.length = np.concatenate([self.length, length])[order]
-        self.pool = np.concatenate([self.pool, *lists])
+        self.pool = np.concatenate([self.pool, *ids])
 
 
 _encoders: dict[str, Encoder] = {}

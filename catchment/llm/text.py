@@ -22,6 +22,10 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+_PUNCT = np.zeros(256, bool)
+_PUNCT[[0x21 + i for i in range(94) if not chr(0x21 + i).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -96,10 +100,12 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Like ``words``, but each piece takes the white space before it along, so
-    that the pieces of a row cover it (white space at its end is a piece)."""
+    that the pieces of a row cover it (white space at its end is a piece), and
+    ASCII punctuation after an ASCII letter starts a piece of its own."""
     solid = ~_SPACE[data]
     starts = ~solid
     starts[1:] &= solid[:-1]
+    starts[1:] |= _PUNCT[data[1:]] & _LETTER[data[:-1]]
     at = offsets[:-1]
     starts[at[at < len(data)]] = True
     start = np.flatnonzero(starts)
