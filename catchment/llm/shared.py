@@ -19,7 +19,7 @@ from ..session import materialize, shared_dir
 
 def new_folder(spark: SparkSession, kind: str) -> str:
     """The name of an unused folder below the shared one (not yet made)."""
-    return f"{shared_dir(spark)}/catchment-llm/{kind}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/catchment-tables/{kind}-{uuid.uuid4().hex}"
 
 
 def open_folder(url: str) -> tuple[pafs.FileSystem, str]:

@@ -82,8 +82,9 @@ def judge_urls(
         F.explode(_rule_tokens(F.col("host"), F.col("path"))).alias("token"),
     )
     wanted = filed.select("token").distinct()
-    carried = addresses.select("pages", F.explode("tokens").alias("token")).join(wanted, "token", "left_semi").groupBy(
-        "token").agg(F.sum("pages").alias("carried"))
+    # summed up per token before the tokens meet the rules
+    carried = addresses.select("pages", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.sum("pages").alias("carried")).join(wanted, "token", "left_semi")
     index = materialize(
         filed.join(carried, "token", "left").groupBy("rule", "verdict", "pattern")
         .agg(F.min(F.struct(F.coalesce("carried", F.lit(0)).alias("n"), "token")).alias("best"))
