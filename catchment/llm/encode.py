@@ -18,6 +18,8 @@ from .text import hash_spans, segments
 
 # Pieces kept per task; beyond that the store starts anew with the chunk at hand.
 CACHE_PIECES = 1 << 21
+# Bytes of text that are encoded at once: new pieces are merged into the store once for each.
+ENCODE_BYTES = 4 << 20
 # New pieces that are encoded in one call, each on its own.
 GROUP = 64
 _ODD = re.compile(

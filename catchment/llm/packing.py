@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .encode import encoder
+from .encode import ENCODE_BYTES, encoder
 from .shared import numbered
 from .text import chunks
 
@@ -108,7 +108,7 @@ def _piece_batches(path: str, end_id: int, window: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            for lo, hi, data, offsets in chunks(batch.column(1)):
+            for lo, hi, data, offsets in chunks(batch.column(1), ENCODE_BYTES):
                 flat, row = enc.encode(data, offsets)
                 ids = np.insert(flat, row[1:], end_id).astype("<u4")
                 length = np.diff(row) + 1

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .bitpack import PackedFile, file_parts, width
-from .encode import encoder
+from .encode import ENCODE_BYTES, encoder
 from .shared import map_file, new_folder, write_file
 from .text import chunks
 
@@ -49,7 +49,7 @@ def _write_batches(path: str, end_id: int, bits: int, folder: str):
 
         enc = encoder(path)
         for batch in batches:
-            for lo, hi, data, offsets in chunks(batch.column(1)):
+            for lo, hi, data, offsets in chunks(batch.column(1), ENCODE_BYTES):
                 flat, row = enc.encode(data, offsets)
                 if docs and held + len(flat) + hi - lo > FILE_IDS:
                     yield flush()
