@@ -54,7 +54,9 @@ def source_targets(sized: DataFrame, weights: tuple = (5, 2, 1), share: float =
     full = F.coalesce(F.sum("cap").over(by_full.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     open_w = F.sum("w").over(by_full.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     per = per.withColumn("level", (F.col("total") - full) / open_w).withColumn("at", F.col("cap") / F.col("w"))
-    level = F.min(F.when(F.col("level") <= F.col("at"), F.struct("at", "level"))).over(every)["level"]
+    per = per.withColumn("turn", F.row_number().over(by_full))
+    # the first source in that order that the level of its place does not fill
+    level = F.min(F.when(F.col("level") <= F.col("at"), F.struct("turn", "level"))).over(every)["level"]
     per = per.withColumn("lv", level)
     target = F.when(F.col("lv").isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("lv") * F.col("w")))
     return per.select("source", "source_size", target.alias("target"))

@@ -120,6 +120,14 @@ def test_mix_of_many_levels_and_repeated_rows(spark, monkeypatch):
     check_mix(mixing.mix_sources(df).collect(), df.collect())
 
 
+def test_targets_of_sources_that_fill_together(spark):
+    for weights in ((1, 1), (5, 2, 1), (3,)):
+        sizes = {"a": 150, "b": 150, "c": 60, "d": 24, "e": 0, None: 30}
+        df = spark.createDataFrame(list(sizes.items()), "source string, size long")
+        got = {r.source: r.target for r in mixing.source_targets(df, weights=weights).collect()}
+        assert got == {s: pytest.approx(t) for s, t in brute_targets(sizes, weights).items()}
+
+
 def test_mix_is_fair(spark):
     """A document of any size is taken about as often as its source asks."""
     rows = [(i, "w " * (1 + 3 * (i % 2)), "a" if i < 60 else "b") for i in range(120)]
