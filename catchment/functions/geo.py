@@ -29,13 +29,17 @@ def plane_scale(lat0: float) -> tuple[float, float]:
     return EARTH_RADIUS_M * math.cos(lat0 * DEG) * DEG, EARTH_RADIUS_M * DEG
 
 
+def valid_lonlat(lon: Column, lat: Column) -> Column:
+    """True where both coordinates are present, finite and in range."""
+    return F.coalesce(lon.between(-180.0, 180.0) & lat.between(-90.0, 90.0), F.lit(False))
+
+
 def point(lon: Column | str, lat: Column | str) -> Column:
     """Point struct from lon/lat columns; NULL when a coordinate is missing or
     out of range."""
     lo = F.col(lon) if isinstance(lon, str) else lon
     la = F.col(lat) if isinstance(lat, str) else lat
-    ok = lo.between(-180.0, 180.0) & la.between(-90.0, 90.0)
-    return F.when(ok, F.struct(lo.alias("lon"), la.alias("lat")))
+    return F.when(valid_lonlat(lo, la), F.struct(lo.alias("lon"), la.alias("lat")))
 
 
 def to_plane(lon: Column, lat: Column, origin: tuple[float, float]) -> tuple[Column, Column]:

@@ -118,7 +118,7 @@ def attribute_vs_metric(attributes: DataFrame, attribute: str, metrics: DataFram
     dropped."""
     zid = F.col("zone_id").cast("string")
     a = attributes.where(F.col("attribute") == F.lit(attribute)).select(
-        F.when(zid.rlike(r"^\s*[-+]?[0-9]+\s*$"), F.trim(zid).cast("int")).alias("zone_id"),
+        F.when(zid.rlike(r"^\s*[-+]?[0-9]+\s*$"), F.trim(zid).try_cast("int")).alias("zone_id"),
         F.col("value").alias(value_name),
     ).distinct()
     return a.join(metrics.select("zone_id", metric), "zone_id", "left").na.drop("any")
@@ -130,7 +130,7 @@ def bivariate_data(zones: DataFrame, metrics: DataFrame, metric: str, attributes
     attribute (the two-variable map data set)."""
     zid = F.col("zone_id").cast("string")
     a = attributes.where(F.col("attribute") == F.lit(attribute)).select(
-        F.when(zid.rlike(r"^\s*[-+]?[0-9]+\s*$"), F.trim(zid).cast("int")).alias("zone_id"),
+        F.when(zid.rlike(r"^\s*[-+]?[0-9]+\s*$"), F.trim(zid).try_cast("int")).alias("zone_id"),
         F.col("value").alias(value_name),
     ).distinct()
     z = zones.join(checked_broadcast(metrics.select("zone_id", "name", metric)), ["zone_id", "name"], "left")

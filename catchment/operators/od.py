@@ -90,12 +90,16 @@ def nearest_destinations(
     ``spark.checkpoint.dir`` (short lineage, one computation each) before the
     next round reads them.
     """
-    from ..functions.geo import plane_scale, to_plane
+    from ..functions.geo import plane_scale, to_plane, valid_lonlat
     from .nearest import top_k_per_group
 
     spark = origins.sparkSession
-    o = origins.select("block_id", "lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
-    d = dests.select("dest_id", "lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    valid = valid_lonlat(F.col("lon"), F.col("lat"))
+    o = origins.select("block_id", "lon", "lat").where(valid)
+    d = dests.select("dest_id", "lon", "lat").where(valid)
+    # Of destinations at one spot at most k can be among the k nearest (ties
+    # go by dest_id), so a crowded address cannot outgrow a cell.
+    d = top_k_per_group(d, ["lon", "lat"], ["dest_id"], k)
     st = d.agg(F.count("*").alias("n"), F.min("lon").alias("x0"), F.max("lon").alias("x1"),
                F.min("lat").alias("y0"), F.max("lat").alias("y1")).first()
     if not st["n"]:
@@ -185,3 +189,26 @@ def od_straight_line(
     dist_km = F.col("dist_m") / F.lit(1000.0) * F.col("_f")
     return x.select("block_id", "dest_id", "mode", dist_km.alias("distance"),
                     (dist_km / F.col("_v") * F.lit(3600.0)).alias("time"))
+
+
+def od_straight_line_by_population(
+    origins: DataFrame,
+    dests: DataFrame,
+    k: int = 5,
+    populations: Mapping[str, Sequence[str]] | None = None,
+    modes: dict[str, tuple[float, float]] | None = None,
+    **kw,
+) -> DataFrame:
+    """:func:`od_straight_line` for every population on its own, with a
+    ``population`` column: each keeps the ``k`` nearest destinations that serve
+    it. (The ``k`` nearest of all destinations need not hold any that serves a
+    sub-population, so one truncated table cannot stand for both.)
+    ``dests``: dest_id, lon, lat and the flags."""
+    parts = [
+        od_straight_line(origins, destination_subset(dests, flags), k=k, modes=modes, **kw).withColumn("population", F.lit(name))
+        for name, flags in dict(populations or DEFAULT_POPULATIONS).items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

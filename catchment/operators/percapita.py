@@ -27,10 +27,10 @@ def attribute_wide(
     NULL)."""
     names = list(names)
     zid = F.col(zone_col).cast("string")
-    zone_int = F.when(zid.rlike(r"^\s*[-+]?[0-9]+\s*$"), F.trim(zid).cast("int"))
+    zone_int = F.when(zid.rlike(r"^\s*[-+]?[0-9]+\s*$"), F.trim(zid).try_cast("int"))
     return (
         attributes.where(F.col(attribute_col).isin(names))
-        .select(zone_int.alias("zone_id"), F.col(attribute_col).alias("_attr"), F.col(value_col).cast("double").alias("_v"))
+        .select(zone_int.alias("zone_id"), F.col(attribute_col).alias("_attr"), F.col(value_col).try_cast("double").alias("_v"))
         .groupBy("zone_id").pivot("_attr", names).agg(F.max("_v"))
     )
 

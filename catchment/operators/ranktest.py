@@ -42,6 +42,9 @@ def _psignrank(q: Column, n_col: str = "_n_exact") -> Column:
     return upto / F.pow(F.lit(2.0), F.col(n_col))
 
 
+EXACT_LIMIT = 500
+
+
 def signed_rank_test(
     df: DataFrame,
     x: str | Column,
@@ -68,13 +71,15 @@ def signed_rank_test(
     stats = ranked.groupBy(*by).agg(
         F.sum("_t").alias("n"),
         F.sum(F.col("_pos") * avg_rank).alias("statistic"),
-        F.sum(F.col("_t") * F.col("_t") * F.col("_t") - F.col("_t")).alias("_tie"),
+        F.sum(F.pow(F.col("_t").cast("double"), F.lit(3.0)) - F.col("_t")).alias("_tie"),
         F.max("_t").alias("_max_t"),
     )
     stats = join_on_keys(zeros, stats, by, "left")
     n = F.coalesce(F.col("n"), F.lit(0))
     v = F.col("statistic")
-    use_exact = (n < 50) if exact is None else F.lit(bool(exact))
+    # the exact distribution takes arrays of n^2 counts; beyond EXACT_LIMIT the normal one is used
+    use_exact = (n < 50) if exact is None else (F.lit(bool(exact)) & (n <= EXACT_LIMIT))
+    nd = n.cast("double")  # products of counts overflow a long
     use_exact = use_exact & (n > 0) & (F.coalesce(F.col("_max_t"), F.lit(1)) <= 1) & (F.col("_zeros") == 0)
     stats = stats.withColumn("_n_exact", F.when(use_exact, n).otherwise(F.lit(0)).cast("int"))
 
@@ -84,13 +89,13 @@ def signed_rank_test(
     elif alternative == "greater":
         p_exact = F.lit(1.0) - _psignrank(v - 1)
     else:
-        half = n * (n + 1) / F.lit(4.0)
+        half = nd * (nd + 1) / F.lit(4.0)
         p_one = F.when(v > half, F.lit(1.0) - _psignrank(v - 1)).otherwise(_psignrank(v))
         p_exact = F.least(F.lit(2.0) * p_one, F.lit(1.0))
 
     # normal approximation
-    z0 = v - n * (n + 1) / F.lit(4.0)
-    sigma = F.sqrt(n * (n + 1) * (F.lit(2) * n + 1) / F.lit(24.0) - F.coalesce(F.col("_tie"), F.lit(0)) / F.lit(48.0))
+    z0 = v - nd * (nd + 1) / F.lit(4.0)
+    sigma = F.sqrt(nd * (nd + 1) * (F.lit(2) * nd + 1) / F.lit(24.0) - F.coalesce(F.col("_tie"), F.lit(0.0)) / F.lit(48.0))
     if not correct:
         corr = F.lit(0.0)
     elif alternative == "less":

@@ -28,7 +28,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import close_rings, near_any, parity, ring_edges, rings_bbox, rings_to_plane, to_plane
+from ..functions.geo import valid_lonlat, close_rings, near_any, parity, ring_edges, rings_bbox, rings_to_plane, to_plane
 from ..session import checked_broadcast
 
 
@@ -109,7 +109,8 @@ def points_in_zones(
 ) -> DataFrame:
     """Every (point, zone) pair where the point lies inside the zone or within
     ``tolerance_m`` metres of its boundary. Output: the point's columns plus
-    ``zone_id``. Points without coordinates match nothing."""
+    ``zone_id``. Points without valid coordinates (missing, not finite, out of
+    range) match nothing."""
     if origin is None:
         origin = zone_origin(zones)
     zm = zones_on_plane(zones, origin)
@@ -120,7 +121,7 @@ def points_in_zones(
     cells = zone_cell_edges(zm, cell_m, tolerance_m)
     px, py = to_plane(F.col(lon), F.col(lat), origin)
     cs = F.lit(float(cell_m))
-    pts = points.select(
+    pts = points.where(valid_lonlat(F.col(lon), F.col(lat))).select(
         *points.columns, px.alias("_px"), py.alias("_py"),
     ).withColumns({"cx": F.floor(F.col("_px") / cs), "cy": F.floor(F.col("_py") / cs)})
     cand = pts.join(checked_broadcast(cells), ["cx", "cy"])

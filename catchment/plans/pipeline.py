@@ -1,21 +1,25 @@
 """The whole analysis from its own inputs, as one function returning the
-output tables. The zone-level gap table is computed once, when ``run`` is
-called (it is written to the shared checkpoint folder); every other output is
-lazy and reads from it.
+output tables. The zone-level gap table is computed when ``run`` is called, and
+so are the zone-sized intermediates of the outputs that read one several times
+(all are written to the shared checkpoint folder; ``session.drop_stored``
+removes them); what follows is lazy.
 
 Inputs are DataFrames (see ``catchment.schemas`` and ``catchment.sources``):
 
 - ``od``: block_id, dest_id, mode, distance (km), time (s) -- the full OD
-  table, one row per origin x in-scope destination and mode (``read_od``), or
-  the straight-line proxy (``od_straight_line``);
+  table, one row per origin x in-scope destination and mode (``read_od``); or
+  a table with a ``population`` column whose rows are taken as they are, such
+  as the straight-line proxy (``od_straight_line_by_population``). A table
+  cut to the nearest destinations without that column would lose the
+  sub-population, so it is no valid input;
 - ``dests``: dest_id, in_scope, sub (+ lat, lon for the per-capita counts);
 - ``pops``: block_id, pop, area_id; ``area_attributes``: area_id,
   attribute_id, value (percent); ``lookup``: block_id, zone_id;
 - ``zones``: zone_id, name, name_alt, rings; ``zone_classes``: zone_id, name,
   zone_class; ``zone_attributes``: zone_id, attribute, value.
 
-Parameters default to the values the analysis used (k = 5, 50 m tolerance,
-the excluded and fall-back zones, attribute codes).
+Parameters default to the analysis's method (k = 5, 50 m tolerance, attribute
+codes) and exclude no zone; ``PUBLISHED`` has the zones it left out.
 """
 
 from __future__ import annotations
@@ -45,14 +49,14 @@ class Params:
     k: int = 5
     modes: tuple[str, ...] = ("auto", "pedestrian")
     share_attribute: str = "7002"
-    fallback_ids: tuple | None = (51, 65)
-    clean_exclude: tuple = (17,)
-    class_exclude: tuple = (5, 17, 71)
+    fallback_ids: tuple | None = ()
+    clean_exclude: tuple = ()
+    class_exclude: tuple = ()
     benchmark: str = "all"
     empty_as_zero: bool = False
     tolerance_m: float = 50.0
     total_id: int = 0
-    total_name: str = "Ottawa"
+    total_name: str = "Total"
     pop_attr: str = "pop2016"
     sub_only_attr: str = "CDP269b"
     sub_extra_attr: str = "CDP269c"
@@ -65,6 +69,11 @@ class Params:
                     ("pedestrian", "dist_all", "dist_sub", "Walking", "Distance"))
 
 
+# The zones that the published tables leave out, and those that
+# use the weights of all residents.
+PUBLISHED = Params(fallback_ids=(51, 65), clean_exclude=(17,), class_exclude=(5, 17, 71), total_name="Ottawa")
+
+
 def run(
     od: DataFrame,
     dests: DataFrame,
@@ -81,7 +90,8 @@ def run(
     by_mode = {"mode": list(p.modes)}
 
     # nearest-k means per block, both populations, every mode, one OD pass
-    means = nearest_k_mean(od_by_population(od, dests), keys=["block_id", "mode", "population"], k=p.k)
+    tagged = od if "population" in od.columns else od_by_population(od, dests)
+    means = nearest_k_mean(tagged, keys=["block_id", "mode", "population"], k=p.k)
     weights = block_weights(pops, lookup, area_shares(area_attributes, p.share_attribute))
     is_all = F.col("population") == F.lit("all")
     zone_long = zone_access(

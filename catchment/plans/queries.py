@@ -18,7 +18,7 @@ from ..operators.figures import (FIGURE_SPEC_ROWS, attribute_vs_metric, bivariat
                                  figure_limits, outlines_for)
 from ..operators.gap import access_gap_long, clean_gap
 from ..operators.nearest import nearest_k_mean
-from ..operators.od import od_by_population, od_for_destinations, od_straight_line
+from ..operators.od import od_by_population, od_for_destinations, od_straight_line, od_straight_line_by_population
 from ..operators.percapita import per_capita_long, zone_populations
 from ..operators.ranktest import signed_rank_test, test_report
 from ..operators.spatial import points_in_zones, zone_counts
@@ -65,11 +65,12 @@ def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_weights(roles.block_pops(spark, sf_dir), roles.block_zone(spark, sf_dir), shares)
 
 
-def zone_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zone_table(spark: SparkSession, sf_dir: str, means: DataFrame | None = None) -> DataFrame:
     """zone_id, mode, population, dist, time: both populations and both modes
-    rolled up in one pass. The sub-population weight falls back to the whole
-    population in zones where it is zero."""
-    means = block_means(spark, sf_dir)
+    rolled up in one pass (from ``means``, else the nearest-5 means of the OD
+    table). The sub-population weight falls back to the whole population in
+    zones where it is zero."""
+    means = block_means(spark, sf_dir) if means is None else means
     w = weights(spark, sf_dir)
     is_all = F.col("population") == F.lit("all")
     return zone_access(
@@ -349,6 +350,24 @@ def q_straight_line_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(nearest_k_mean(straight_line_od(spark, sf_dir), keys=["block_id", "mode"], k=K))
 
 
+def q_straight_line_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone access gap over a straight-line proxy OD of each population."""
+    dests = roles.dest_points(spark, sf_dir).join(roles.destinations(spark, sf_dir), "dest_id")
+    od = od_straight_line_by_population(roles.block_points(spark, sf_dir), dests, k=K, plane_origin=ORIGIN)
+    means = nearest_k_mean(od, keys=["block_id", "mode", "population"], k=K)
+    return rounded(access_gap_long(zone_table(spark, sf_dir, means), roles.zone_names(spark, sf_dir), by=["mode"]))
+
+
+def q_signed_rank_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signed-rank test of all residents against the sub-population over the
+    blocks of each mode: more than 50 pairs, with ties and zero differences, so
+    the normal approximation."""
+    means = block_means(spark, sf_dir)
+    both = means.groupBy("block_id", "mode").pivot("population", ["all", "sub"]).agg(F.max("avg_time"))
+    pairs = both.select("mode", F.rint("all").alias("x"), F.rint("sub").alias("y"))
+    return rounded(signed_rank_test(pairs, "x", "y", by=["mode"], alternative="less"))
+
+
 def pipeline_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The end-to-end ``pipeline.run`` on the driver tables, its parameters
     mapped to the driver roles (no hard-coded zones apply to nations)."""
@@ -402,6 +421,8 @@ QUERIES = {
     "od_round_trip": q_od_round_trip,
     "geojson_zones": q_geojson_zones,
     "od_straight_line": q_od_straight_line,
+    "straight_line_gap": q_straight_line_gap,
+    "signed_rank_blocks": q_signed_rank_blocks,
     "straight_line_access": q_straight_line_access,
     "pipeline_class_table": q_pipeline_class_table,
 }

@@ -20,6 +20,7 @@ same values.
 from __future__ import annotations
 
 import math
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -63,16 +64,16 @@ KX = EARTH_RADIUS_M * math.cos(PLANE_LAT0 * DEG) * DEG   # metres per degree of
 KY = EARTH_RADIUS_M * DEG                                # metres per degree of latitude
 
 
-_TABLES: dict[tuple[int, str, str], DataFrame] = {}
+_TABLES: WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]] = WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver table ``name`` (one scan definition per session, so the
     file listing and footer read happen once)."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), name)
-    df = _TABLES.get(key)
+    known, key = _TABLES.setdefault(spark, {}), (sf_dir.rstrip("/"), name)
+    df = known.get(key)
     if df is None:
-        df = _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        df = known[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df
 
 

@@ -13,10 +13,8 @@ def struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 # File layouts (names as in the files).
 BLOCK_POPS_CSV = struct(("DBUID", S), ("pop", D))
-AREA_ATTRIBUTES_CSV = struct(
-    ("area_id", S), ("attribute_id", S), ("text_a", S), ("text_b", S),
-    ("value", D), ("value_b", D), ("value_c", D),
-)
+AREA_ATTRIBUTES_CSV = struct(("area_id", S), ("attribute_id", S), ("value", D))
+AREA_ATTRIBUTES_ALIASES = {"area_id": "DAUID", "attribute_id": "TEXT_ID", "value": "T_DATA_DONNEE"}
 DESTINATIONS_CSV = struct(("cpso", S), ("lat", D), ("lng", D), ("family_physician", B), ("french", B))
 DESTINATIONS_RENAME = {"cpso": "dest_id", "lng": "lon", "family_physician": "in_scope", "french": "sub"}
 BLOCK_POINTS_CSV = struct(("DBUID", S), ("lon", D), ("lat", D))

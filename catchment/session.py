@@ -26,7 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("CATCHMENT_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("CATCHMENT_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -99,3 +99,10 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/catchment-tables/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete every table that :func:`materialize` has written below the shared
+    folder. Only when no DataFrame that reads one is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/catchment-tables")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

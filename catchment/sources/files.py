@@ -32,11 +32,11 @@ def _convert(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         return lenient_bool(col)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return lenient_number(col).cast(dtype)
+        return lenient_number(col).try_cast(dtype)
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType)):
         num = lenient_number(col)
-        return F.when(num == F.floor(num), num.cast(dtype))
-    return col.cast(dtype)
+        return F.when(num == F.floor(num), num.try_cast(dtype))
+    return col.try_cast(dtype)
 
 
 def read_csv(
@@ -46,20 +46,31 @@ def read_csv(
     rename: Mapping[str, str] | None = None,
     header: bool = True,
     null_value: str = "NA",
+    aliases: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Typed CSV scan. ``schema`` names the columns as they appear in the
-    file; ``rename`` maps file names to ours. Conversion never raises: a value
-    that does not parse becomes NULL."""
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = (
-        spark.read.schema(text_schema).option("header", header).option("nullValue", null_value)
-        .option("emptyValue", None).option("mode", "PERMISSIVE").csv(path)
-    )
+    header, in any order and among others; a missing column is an error.
+    ``aliases`` maps a schema name to another header name that is taken when
+    the first is absent; ``rename`` maps schema names to ours. Without a header
+    the columns are taken by position. Conversion never raises: a value that
+    does not parse becomes NULL."""
+    reader = spark.read.option("nullValue", null_value).option("emptyValue", None).option("mode", "PERMISSIVE")
+    names = {f.name: f.name for f in schema.fields}
+    if header:
+        raw = reader.option("header", True).csv(path)  # reads the header line; every column is text
+        found = {c.strip().lstrip("\ufeff"): c for c in raw.columns}
+        for name in names:
+            at = name if name in found else (aliases or {}).get(name)
+            if at not in found:
+                raise ValueError(f"column {name!r} is not in the header of {path}: {list(found)}")
+            names[name] = found[at]
+    else:
+        raw = reader.schema(T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])).csv(path)
     rename = dict(rename or {})
     cols = []
     for f in schema.fields:
-        c = F.when(F.trim(F.col(f.name)) != F.lit(""), F.col(f.name))
-        cols.append(_convert(c, f.dataType).alias(rename.get(f.name, f.name)))
+        text = F.col("`" + names[f.name].replace("`", "``") + "`")
+        cols.append(_convert(F.when(F.trim(text) != F.lit(""), text), f.dataType).alias(rename.get(f.name, f.name)))
     return raw.select(*cols)
 
 
@@ -71,8 +82,9 @@ def read_block_pops(spark: SparkSession, path: str, area_width: int = 8) -> Data
 
 
 def read_area_attributes(spark: SparkSession, path: str) -> DataFrame:
-    """Long area table with 7 columns (4 text, 3 numbers)."""
-    return read_csv(spark, path, schemas.AREA_ATTRIBUTES_CSV)
+    """area_id, attribute_id, value of the long area table; further columns of
+    the file are left out."""
+    return read_csv(spark, path, schemas.AREA_ATTRIBUTES_CSV, aliases=schemas.AREA_ATTRIBUTES_ALIASES)
 
 
 def read_destinations(spark: SparkSession, path: str) -> DataFrame:
@@ -144,7 +156,7 @@ def read_zones_geojson(
         F.element_at(p, 1).alias("x"), F.element_at(p, 2).alias("y"))))
     zid = F.col(f"properties.{id_prop}")
     return feats.select(
-        F.when(zid.rlike(r"^\s*[-+]?[0-9]+\s*$"), F.trim(zid).cast("int")).alias("zone_id"),
+        F.when(zid.rlike(r"^\s*[-+]?[0-9]+\s*$"), F.trim(zid).try_cast("int")).alias("zone_id"),
         F.col(f"properties.{name_prop}").alias("name"),
         F.col(f"properties.{alt_prop}").alias("name_alt"),
         to_struct.alias("rings"),

@@ -32,7 +32,8 @@ def write_table_file(df: DataFrame, path: str, mode: str = "overwrite") -> DataF
     """A published table (a few rows) as a single CSV file. Only for tables
     whose size is bounded by the number of groups; never for block-level
     data."""
-    df.coalesce(1).write.mode(mode).option("header", True).option("nullValue", "NA").csv(path)
+    # a shuffle before the one writing task, so that the stages above keep theirs
+    df.repartition(1).write.mode(mode).option("header", True).option("nullValue", "NA").csv(path)
     return df
 
 
@@ -55,12 +56,14 @@ def write_published(
 
     w_opts = {"header": True, "nullValue": "NA"}
     if by is None:
-        (ordered(df, order) if order else df).coalesce(1).write.mode(mode).options(**w_opts).csv(path)
+        sort = [F.desc_nulls_last(c) if desc else F.asc_nulls_last(c) for c, desc in (order or [])]
+        one = df.repartition(1)
+        (one.sortWithinPartitions(*sort) if sort else one).write.mode(mode).options(**w_opts).csv(path)
         return df
     if by not in df.columns:
         raise ValueError(f"column {by!r} is required: it names the output partitions")
-    # One task sorts by the partition column first, then the publication
-    # order: the partitioned writer finds the order it needs and keeps it.
+    # Each value's rows meet in one task, sorted by the partition column first,
+    # then the publication order: the writer finds the order it needs.
     keys = [F.asc(by)] + [F.desc_nulls_last(c) if desc else F.asc_nulls_last(c) for c, desc in (order or [])]
-    df.coalesce(1).sortWithinPartitions(*keys).write.mode(mode).partitionBy(by).options(**w_opts).csv(path)
+    df.repartition(F.col(by)).sortWithinPartitions(*keys).write.mode(mode).partitionBy(by).options(**w_opts).csv(path)
     return df

@@ -86,3 +86,29 @@ def test_published_order_kept_per_partition(spark, tmp_path):
         nn = [v for v in vals if v is not None]
         assert nn == sorted(nn, reverse=True)
         assert vals[-1] is None if m == "auto" else None not in vals
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    p = tmp_path / "d.csv"
+    p.write_text("french,extra,cpso,lng,lat,family_physician\nTRUE,9,1,-75.2,45.1,FALSE\nFALSE,9,2,-75.3,45.2,TRUE\n")
+    assert rows(files.read_destinations(spark, str(p))) == [("1", 45.1, -75.2, False, True), ("2", 45.2, -75.3, True, False)]
+    q = tmp_path / "bad.csv"
+    q.write_text("cpso,lat,lng,french\n1,45.1,-75.2,TRUE\n")
+    with pytest.raises(ValueError, match="family_physician"):
+        files.read_destinations(spark, str(q))
+    z = tmp_path / "lookup.csv"
+    z.write_text("zone_id,block_id\n99999999999,a\n7,b\nx,c\n1e999,d\n")
+    assert rows(files.read_table(spark, str(z), schemas.LOOKUP)) == [("a", None), ("b", 7), ("c", None), ("d", None)]
+    a = tmp_path / "area.csv"
+    a.write_text("T_DATA_DONNEE,DAUID,TEXT_ID\n12.5,35061234,7002\n")
+    assert rows(files.read_area_attributes(spark, str(a))) == [("35061234", "7002", 12.5)]
+
+
+def test_stored_tables_go_in_one_call(spark):
+    from catchment.session import drop_stored, materialize, shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:") + "/catchment-tables"
+    assert materialize(spark.range(3)).count() == 3 and os.listdir(folder)
+    drop_stored(spark)
+    assert not os.path.exists(folder)
+    assert materialize(spark.range(4)).count() == 4

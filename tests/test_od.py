@@ -53,3 +53,25 @@ def test_od_population_tags_and_semi_join(spark):
     tagged = sorted((r["dest_id"], r["population"]) for r in od_by_population(od, dests).collect())
     assert tagged == [(1, "all"), (1, "sub"), (2, "all")]
     assert sorted(r["dest_id"] for r in od_for_destinations(od, dests, ["in_scope", "sub"]).collect()) == [1]
+
+
+def test_proxy_keeps_every_population(spark):
+    """One origin, twelve destinations; those that serve the sub-population are
+    not among its five nearest."""
+    from catchment.operators.od import od_straight_line_by_population
+
+    o = spark.createDataFrame([("b", ORIGIN[0], ORIGIN[1])], "block_id string, lon double, lat double")
+    rows = [(f"d{i:02d}", ORIGIN[0] + (i + 1) * 0.001, ORIGIN[1], True, i >= 5) for i in range(12)]
+    d = spark.createDataFrame(rows + [("nan", float("nan"), 45.0, True, True), ("far", 500.0, 45.0, True, True)],
+                              "dest_id string, lon double, lat double, in_scope boolean, sub boolean")
+    got = od_straight_line_by_population(o, d, k=5, modes={"auto": (1.0, 60.0)}).collect()
+    ids = {p: sorted(r.dest_id for r in got if r.population == p) for p in ("all", "sub")}
+    assert ids == {"all": [f"d{i:02d}" for i in range(5)], "sub": [f"d{i:02d}" for i in range(5, 10)]}
+
+
+def test_crowded_address(spark):
+    """Thousands of destinations at one spot: the first five by id, no more."""
+    o = spark.createDataFrame([(i, ORIGIN[0] + i * 0.01, ORIGIN[1]) for i in range(3)], "block_id int, lon double, lat double")
+    d = spark.range(5000).selectExpr("id as dest_id", f"double({ORIGIN[0]}) as lon", f"double({ORIGIN[1]}) as lat")
+    got = nearest_destinations(o, d, k=5).collect()
+    assert sorted((r.block_id, r.dest_id) for r in got) == [(b, i) for b in range(3) for i in range(5)]

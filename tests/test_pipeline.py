@@ -46,7 +46,7 @@ def inputs(spark):
 
 
 def test_pipeline_end_to_end(spark, inputs):
-    out = run(**inputs, params=Params(class_exclude=(), clean_exclude=()))
+    out = run(**inputs, params=Params(fallback_ids=(51,)))
     gap = {(r["mode"], r["zone_id"]): r for r in out["gap"].collect()}
     # zone 1: all = weights 100, 300 over block means (d1, d2 in scope): a1 -> (1+2)/2, a2 -> (2+3)/2
     assert gap[("auto", 1)]["dist_all"] == pytest.approx((100 * 1.5 + 300 * 2.5) / 400)

@@ -71,3 +71,16 @@ def test_report_stacks_classes_and_overall(spark):
     single = signed_rank_test(df.where("mode = 'auto'"), "time_all", "time_sub", alternative="less").collect()[0]
     overall = [r for r in got.collect() if r["mode"] == "Driving" and r["zone_class"] == "All"][0]
     assert overall["p_value"] == pytest.approx(single["p_value"], rel=1e-12)
+
+
+def test_millions_of_pairs_with_ties(spark):
+    """Counts whose products overflow a long; p from the standard library's erfc."""
+    import math
+
+    n = 3_000_000
+    df = spark.range(n).selectExpr("0.0 as x", "case when id % 1000 < 499 then 1.0 else -1.0 end as y")
+    r = signed_rank_test(df, "x", "y", alternative="less").first()
+    mean, var = n * (n + 1) / 4, n * (n + 1) * (2 * n + 1) / 24 - (n**3 - n) / 48
+    v = n * 501 // 1000 * (n + 1) / 2
+    assert r["n"] == n and r["method"] == "normal" and r["statistic"] == v
+    assert r["p_value"] == pytest.approx(0.5 * math.erfc(-(v - mean + 0.5) / math.sqrt(2 * var)), abs=1e-6)
