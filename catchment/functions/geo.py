@@ -89,47 +89,6 @@ def rings_bbox(rings: Column) -> Column:
     )
 
 
-def _edge_step(r: Column, px: Column, py: Column):
-    def step(acc: Column, i: Column) -> Column:
-        p1 = F.element_at(r, i + 1)
-        p2 = F.element_at(r, i + 2)
-        x1, y1, x2, y2 = p1["x"], p1["y"], p2["x"], p2["y"]
-        straddles = (y1 > py) != (y2 > py)
-        crosses = F.when(straddles, px < (x2 - x1) * (py - y1) / (y2 - y1) + x1).otherwise(F.lit(False))
-        dx, dy = x2 - x1, y2 - y1
-        len2 = dx * dx + dy * dy
-        t = F.when(
-            len2 > F.lit(0.0),
-            F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - x1) * dx + (py - y1) * dy) / len2)),
-        ).otherwise(F.lit(0.0))
-        ex = x1 + t * dx - px
-        ey = y1 + t * dy - py
-        return F.struct(
-            (acc["c"] + F.when(crosses, F.lit(1)).otherwise(F.lit(0))).alias("c"),
-            F.least(acc["d2"], ex * ex + ey * ey).alias("d2"),
-        )
-
-    return step
-
-
-def crossings_and_distance(rings_m: Column, px: Column, py: Column) -> Column:
-    """struct(c: crossings of the ray from (px, py) towards +x with all edges,
-    d2: squared distance to the nearest edge); rings closed, in metres."""
-    init = F.struct(F.lit(0).alias("c"), F.lit(float("inf")).alias("d2"))
-    return F.aggregate(
-        rings_m,
-        init,
-        lambda acc, r: F.aggregate(F.sequence(F.lit(0), F.size(r) - 2), acc, _edge_step(r, px, py)),
-    )
-
-
-def within_tolerance(rings_m: Column, px: Column, py: Column, tolerance_m: float) -> Column:
-    """Point inside the zone (even-odd) or within ``tolerance_m`` of its
-    boundary: the tolerance buffer of the zone, as a predicate."""
-    cd = crossings_and_distance(rings_m, px, py)
-    return ((cd["c"] % 2) == 1) | (cd["d2"] <= F.lit(float(tolerance_m) ** 2))
-
-
 def ring_edges(rings_m: Column) -> Column:
     """array<struct<x1,y1,x2,y2>> of every edge of every (closed) ring."""
     per_ring = F.transform(
@@ -145,14 +104,6 @@ def ring_edges(rings_m: Column) -> Column:
     return F.flatten(per_ring)
 
 
-def crosses(e: Column, px: Column, py: Column) -> Column:
-    """The ray from (px, py) towards +x crosses edge ``e`` (half-open rule)."""
-    straddles = (e["y1"] > py) != (e["y2"] > py)
-    return F.when(
-        straddles, px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
-    ).otherwise(F.lit(False))
-
-
 def dist2_to_edge(e: Column, px: Column, py: Column) -> Column:
     """Squared distance from (px, py) to edge ``e``."""
     dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
@@ -166,10 +117,28 @@ def dist2_to_edge(e: Column, px: Column, py: Column) -> Column:
     return ex * ex + ey * ey
 
 
-def parity(edges: Column, px: Column, py: Column) -> Column:
-    """Number of ``edges`` crossed by the ray from (px, py), modulo 2 == 1."""
-    n = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(crosses(e, px, py), F.lit(1)).otherwise(F.lit(0)))
-    return (n % 2) == 1
+def path_parity(edges: Column, px: Column, py: Column, rx: Column, ry: Column) -> Column:
+    """The path (px, py) -> (rx, py) -> (rx, ry) crosses an odd number of
+    ``edges`` (half-open rules on both legs)."""
+
+    def crossed(e: Column) -> Column:
+        at_x = px_at(e, py)
+        at_y = py_at(e, rx)
+        level = F.when((e["y1"] > py) != (e["y2"] > py), (px < at_x) != (rx < at_x)).otherwise(F.lit(False))
+        upright = F.when((e["x1"] > rx) != (e["x2"] > rx), (py < at_y) != (ry < at_y)).otherwise(F.lit(False))
+        return level != upright
+
+    return F.aggregate(edges, F.lit(False), lambda odd, e: odd != crossed(e))
+
+
+def px_at(e: Column, y: Column) -> Column:
+    """Where edge ``e`` (not horizontal) meets the level line ``y``."""
+    return (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+
+
+def py_at(e: Column, x: Column) -> Column:
+    """Where edge ``e`` (not upright) meets the upright line ``x``."""
+    return (e["y2"] - e["y1"]) * (x - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
 
 
 def near_any(edges: Column, px: Column, py: Column, tolerance_m: float) -> Column:

@@ -1,23 +1,21 @@
 """Points in zones with a tolerance buffer, and zone point counts.
 
-Join strategy: every zone is cut into grid cells covering its bounding box
-plus the tolerance (a few cells per zone, cell size ~ the median zone
+Join strategy: a grid cuts the plane into cells (cell size ~ the median zone
 extent); every point falls in exactly one cell. Each (zone, cell) keeps only
-the edges that can matter to a point of that cell: edges reaching into the
-cell's horizontal band to its right (they are the only ones a ray from the
-point towards +x can cross) and edges within the tolerance of the cell (the
-only ones that can be that close). A cell no edge comes near has one status
-for all its points -- inside (kept without a test) or outside (dropped) --
-decided once at its centre. Candidate (point, zone) pairs come from an
-equi-join on the cell (the zone-cell table is zone-sized and broadcast behind
-a size check), and only points in boundary cells are tested, against their
-cell's few edges. A point may match several zones when their buffers
-overlap; a (point, zone) pair is found once, because a point has a single
-cell.
-
-With the cell table broadcast, a dense cell (a third of all points in one
-downtown cell) costs no shuffle; without the broadcast, AQE's skew handling
-splits the hot cell's partition.
+the edges that touch the cell or come within the tolerance of it, and one bit:
+whether the cell's reference point lies inside the zone. A point is inside when
+the path from it to the reference point, which stays in the cell, crosses the
+cell's edges an even number of times (reference inside) or an odd one (outside).
+So an edge is kept only where it passes, however wide the zone is. A cell no edge
+comes near has one status for all its points: inside (kept without a test) or
+outside (not listed). Candidate (point, zone) pairs come from an equi-join on the
+cell; only points in cells with edges are tested, against those few edges. A
+point may match several zones when their buffers overlap; a (point, zone) pair
+is found once, because a point has a single cell.
+
+The zone-cell table is broadcast only when its counted cells and edges are small;
+then a dense cell (a third of all points in one downtown cell) costs no shuffle.
+Otherwise the join is shuffled, and AQE's skew handling splits the hot cell.
 """
 
 from __future__ import annotations
@@ -25,11 +23,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import valid_lonlat, close_rings, near_any, parity, ring_edges, rings_bbox, rings_to_plane, to_plane
-from ..session import checked_broadcast
+from ..functions.geo import close_rings, near_any, path_parity, ring_edges, rings_bbox, rings_to_plane, to_plane, valid_lonlat
+from ..session import DEFAULT_BROADCAST_BYTES
 
 
 def zone_origin(zones: DataFrame) -> tuple[float, float]:
@@ -54,50 +52,65 @@ def median_extent(zones_m: DataFrame) -> float:
     return float(v) if v else 1000.0
 
 
+# Where a cell's reference point lies in it, as a share of the cell's side: no
+# simple fraction, so that outlines on round coordinates do not pass through it.
+REFERENCE = 0.6180339887
+# Bytes of a listed cell and of an edge in it, for the broadcast check.
+CELL_BYTES, EDGE_BYTES = 96, 48
+
+
 def zone_cell_edges(zones_m: DataFrame, cell_m: float, tolerance_m: float) -> DataFrame:
-    """cx, cy, zone_id, all_in, band_edges, near_edges: the cells of each zone
-    that hold a point of its tolerance buffer, with the edges a point of the
-    cell needs (none for cells wholly inside, which have ``all_in``).
-
-    Every edge names its own cells -- no cells x edges product: for the ray
-    test, the cell rows its y-range spans, from the zone's first column to
-    the column of its right end; for the distance test, the cells of its
-    bounding box grown by the tolerance.
+    """cx, cy, zone_id, ref_in, edges: the cells of each zone that hold a point
+    of its tolerance buffer, whether the cell's reference point is inside, and
+    the edges that touch the cell or come within the tolerance of it (none for
+    cells wholly inside).
+
+    An edge is clipped to every row of cells it comes near and names the cells
+    along that piece. Reference points: the edges that cross a row's reference
+    line name the last column whose reference point is left of the crossing;
+    between every odd crossing and the next one, reference points are inside.
     """
-    cs, tol = F.lit(float(cell_m)), F.lit(float(tolerance_m))
-    edges = zones_m.select(
-        "zone_id", F.floor((F.col("bbox.min_x") - tol) / cs).alias("_cx0"),
-        F.explode(ring_edges(F.col("rings_m"))).alias("e"),
-    )
-    lo_x, hi_x = F.least("e.x1", "e.x2"), F.greatest("e.x1", "e.x2")
+    cs, tol = F.lit(float(cell_m)), F.lit(float(tolerance_m) + 1e-6)  # slack for rounding at cell borders
+    edges = zones_m.select("zone_id", F.explode(ring_edges(F.col("rings_m"))).alias("e"))
     lo_y, hi_y = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
-    band = (
-        edges.where(lo_y < hi_y)  # a horizontal edge is never crossed
-        .select("zone_id", "e", "_cx0", F.explode(F.sequence(F.floor(lo_y / cs), F.floor(hi_y / cs))).alias("cy"))
-        .select("zone_id", "e", "cy", F.explode(F.sequence(F.col("_cx0"), F.floor(hi_x / cs))).alias("cx"))
-        .select("zone_id", "cx", "cy", "e", F.lit(True).alias("band"), F.lit(False).alias("near"))
-    )
-    near = (
-        edges.select("zone_id", "e", F.explode(F.sequence(F.floor((lo_x - tol) / cs), F.floor((hi_x + tol) / cs))).alias("cx"))
-        .select("zone_id", "e", "cx", F.explode(F.sequence(F.floor((lo_y - tol) / cs), F.floor((hi_y + tol) / cs))).alias("cy"))
-        .select("zone_id", "cx", "cy", "e", F.lit(False).alias("band"), F.lit(True).alias("near"))
+    slope = F.try_divide(F.col("e.x2") - F.col("e.x1"), F.col("e.y2") - F.col("e.y1"))  # NULL: horizontal
+
+    def x_at(y):
+        return F.col("e.x1") + slope * (y - F.col("e.y1"))
+
+    rows = edges.select("zone_id", "e", F.explode(F.sequence(F.floor((lo_y - tol) / cs), F.floor((hi_y + tol) / cs))).alias("cy"))
+    y_from = F.least(F.greatest(lo_y, F.col("cy") * cs - tol), hi_y)
+    y_to = F.greatest(F.least(hi_y, (F.col("cy") + 1) * cs + tol), lo_y)
+    xa = F.coalesce(x_at(y_from), F.col("e.x1"))
+    xb = F.coalesce(x_at(y_to), F.col("e.x2"))
+    touched = rows.select("zone_id", "e", "cy", F.explode(F.sequence(
+        F.floor((F.least(xa, xb) - tol) / cs), F.floor((F.greatest(xa, xb) + tol) / cs))).alias("cx"))
+
+    ref_y = (F.col("cy") + REFERENCE) * cs
+    crossings = rows.where((F.col("e.y1") > ref_y) != (F.col("e.y2") > ref_y)).select(
+        "zone_id", "cy", (F.ceil(x_at(ref_y) / cs - REFERENCE) - 1).alias("last"))
+    along = Window.partitionBy("zone_id", "cy").orderBy("last")
+    inside = (
+        crossings.withColumns({"_k": F.row_number().over(along), "_next": F.lead("last").over(along)})
+        .where((F.col("_k") % 2 == 1) & (F.col("_next") > F.col("last")))
+        .select("zone_id", "cy", F.explode(F.sequence(F.col("last") + 1, F.col("_next"))).alias("cx"))
     )
-    per_cell = band.unionByName(near).groupBy("zone_id", "cx", "cy").agg(
-        F.collect_list(F.when(F.col("band"), F.col("e"))).alias("band_edges"),
-        F.collect_list(F.when(F.col("near"), F.col("e"))).alias("near_edges"),
-    )
-    # A cell without a near edge has one status for all its points: its
-    # centre's. Cells with no edge at all hold no point of the buffer.
-    ccx, ccy = (F.col("cx") + 0.5) * cs, (F.col("cy") + 0.5) * cs
-    uniform = F.size("near_edges") == 0
-    centre_in = parity(F.col("band_edges"), ccx, ccy)
-    return per_cell.where(~uniform | centre_in).select(
-        "zone_id", "cx", "cy", uniform.alias("all_in"),
-        F.when(uniform, F.array()).otherwise(F.col("band_edges")).alias("band_edges"),
-        F.when(uniform, F.array()).otherwise(F.col("near_edges")).alias("near_edges"),
+    return (
+        touched.select("zone_id", "cx", "cy", "e", F.lit(False).alias("_in"))
+        .unionByName(inside.withColumn("_in", F.lit(True)), allowMissingColumns=True)
+        .groupBy("zone_id", "cx", "cy").agg(F.collect_list("e").alias("edges"), F.max("_in").alias("ref_in"))
     )
 
 
+def cell_join_side(cells: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``cells`` with a join hint after their counted size (one zone-sized
+    aggregate): the optimizer's estimate does not see how many cells and edges
+    the outlines make."""
+    size = cells.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("e")).first()
+    small = size["n"] * CELL_BYTES + size["e"] * EDGE_BYTES <= max_bytes
+    return F.broadcast(cells) if small else cells.hint("merge")
+
+
 def points_in_zones(
     points: DataFrame,
     zones: DataFrame,
@@ -124,12 +137,10 @@ def points_in_zones(
     pts = points.where(valid_lonlat(F.col(lon), F.col(lat))).select(
         *points.columns, px.alias("_px"), py.alias("_py"),
     ).withColumns({"cx": F.floor(F.col("_px") / cs), "cy": F.floor(F.col("_py") / cs)})
-    cand = pts.join(checked_broadcast(cells), ["cx", "cy"])
+    cand = pts.join(cell_join_side(cells), ["cx", "cy"])
     ppx, ppy = F.col("_px"), F.col("_py")
-    hit = cand.where(
-        F.col("all_in") | parity(F.col("band_edges"), ppx, ppy)
-        | near_any(F.col("near_edges"), ppx, ppy, tolerance_m)
-    )
+    odd = path_parity(F.col("edges"), ppx, ppy, (F.col("cx") + REFERENCE) * cs, (F.col("cy") + REFERENCE) * cs)
+    hit = cand.where((F.col("ref_in") != odd) | near_any(F.col("edges"), ppx, ppy, tolerance_m))
     return hit.select(*points.columns, "zone_id")
 
 

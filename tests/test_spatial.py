@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catchment.functions.geo import plane_scale
-from catchment.operators.spatial import points_in_zones, zone_counts
+from catchment.operators.spatial import cell_join_side, points_in_zones, zone_cell_edges, zone_counts, zones_on_plane
 from catchment.schemas import ZONES
 from conftest import rows
 
@@ -137,3 +137,41 @@ def test_zone_counts_by_population_with_an_empty_population(spark, zones):
            zone_counts(pairs, zones, p, total_id=0, by={"population": ["all", "sub"]}).collect()}
     assert got[(0, "all")] == 2 and got[(0, "sub")] == 0
     assert got[(1, "all")] == 2 and got[(1, "sub")] == 0 and got[(3, "sub")] == 0
+
+
+def test_wide_zone_among_small_ones_lists_edges_only_where_they_pass(spark):
+    # a ring of 4,000 vertices, 60 km wide, among six small squares; 800 m cells
+    n, out = 4000, []
+    for i in range(n):
+        a = 2 * math.pi * i / n
+        r = 30000 + 300 * math.sin(40 * a)
+        out.append((r * math.cos(a), r * math.sin(a)))
+    small = [(i, "s", "", [ring((i * 900, 0), (i * 900 + 700, 0), (i * 900 + 700, 700), (i * 900, 700))]) for i in range(6)]
+    zones = spark.createDataFrame([(9, "wide", "w", [ring(*out)])] + small, ZONES)
+    cells = zone_cell_edges(zones_on_plane(zones, ORIGIN), 800.0, 50.0).where("zone_id = 9")
+    got = cells.agg(F.sum(F.size("edges")).alias("e"), F.count(F.when(F.size("edges") > 0, 1)).alias("touched")).first()
+    length = sum(math.dist(p, q) for p, q in zip(out, out[1:] + out[:1]))
+    assert got["e"] < 2.5 * n                       # short edges: the cell they lie in, sometimes a second
+    assert got["touched"] < 4 * length / 800
+    rnd = random.Random(5)
+    xy = [(rnd.uniform(-31000, 31000), rnd.uniform(-31000, 31000)) for _ in range(600)]
+    found = hits(spark, zones.where("zone_id = 9"), xy, cell=800.0)
+    assert found == hits(spark, zones.where("zone_id = 9"), xy, cell=100000.0)   # one cell holds every edge
+    inner = {i for i, (x, y) in enumerate(xy) if math.hypot(x, y) < 29600}
+    outer = {i for i, (x, y) in enumerate(xy) if math.hypot(x, y) > 30400}
+    assert inner <= {i for i, _ in found} and not outer & {i for i, _ in found}
+
+
+def test_cells_beyond_the_broadcast_bound_are_shuffled(spark, zones):
+    cells = zone_cell_edges(zones_on_plane(zones, ORIGIN), 300.0, 50.0)
+    p = pts(spark, [(500, 500)]).select("point_id", F.col("point_id").alias("cx"), F.col("point_id").alias("cy"))
+    for bound, join in ((0, "SortMergeJoin"), (1 << 26, "BroadcastHashJoin")):
+        plan = p.join(cell_join_side(cells, bound), ["cx", "cy"])._jdf.queryExecution().executedPlan().toString()
+        assert join in plan
+
+
+def test_zero_tolerance_and_missing_coordinates(spark, zones):
+    p = spark.createDataFrame(
+        [(0, *m2deg(500, 500)), (1, float("nan"), 45.4), (2, None, 45.4), (3, *m2deg(-10, 500)), (4, float("inf"), 45.4)],
+        "point_id long, lon double, lat double")
+    assert rows(points_in_zones(p, zones, tolerance_m=0.0, cell_m=333.0, origin=ORIGIN).select("point_id", "zone_id")) == [(0, 1)]
