@@ -1,15 +1,14 @@
 """Exact ranks and order statistics without gathering a group in one task.
 
-Each group's values are cut into ``buckets`` ranges by approximate quantile
-boundaries (``percentile_approx``: a bounded sketch per group). Exactness does
-not depend on the boundaries: they only decide which bucket a value falls in,
-and equal values always fall in the same one. Per bucket, the number of rows
-gives the bucket's offset (a running sum over at most ``buckets`` rows per
-group); within a bucket, a running sum over the *distinct* values gives each
-value's position. A value repeated by a third of all rows is one row after
-the first aggregate. While no group has more than ``MAX_VALUES_PER_TASK``
-distinct values, one bucket per group is enough (a bounded window, fewer
-stages); the bucket count grows with the largest group beyond that.
+One path for every size. Each group's distinct values are cut into buckets by
+their size alone: ``STEPS`` equal steps of the binary logarithm to every
+doubling, mirrored for negative values. The bucket is a rising function of the
+value that needs no look at the data, and a value repeated by a third of all
+rows is one row after the first aggregate. Within a bucket a running sum over the
+distinct values gives each value's position; per bucket, the number of rows gives
+the bucket's offset (a running sum over at most a few ``STEPS`` rows for each
+doubling that the group spans). Where values crowd within one step, their
+window spills, and ``steps`` can be raised.
 """
 
 from __future__ import annotations
@@ -19,12 +18,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast, materialize
+from ..session import materialize
 
-# Largest number of distinct values one window task may hold; above it the
-# group is split into buckets of about BUCKET_TARGET values.
-MAX_VALUES_PER_TASK = 50_000
-BUCKET_TARGET = 20_000
+# Buckets to every doubling of the value: 16384 cut a thousand million values
+# between x and 2x into buckets of about 60,000.
+STEPS = 16384
+# Beyond every logarithm of a double, so that the signs keep apart.
+_SIGN = 1 << 40
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -44,50 +44,44 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def value_bucket(v: Column, steps: int = STEPS) -> Column:
+    """Rising function of a number: its sign and the step of its logarithm (NaN
+    above everything, as Spark sorts it)."""
+    v = v.cast("double")
+    step = F.floor(F.least(F.log2(F.abs(v)), F.lit(2048.0)) * F.lit(float(steps)))
+    return (
+        F.when(F.isnan(v), F.lit(2 * _SIGN))
+        .when(v > 0, F.lit(_SIGN) + step)
+        .when(v < 0, F.lit(-_SIGN) - step)
+        .otherwise(F.lit(0).cast("long"))
+    )
+
+
 def distinct_ranks(
     df: DataFrame,
     keys: Sequence[str],
     value: str | Column,
     extra: dict[str, Column] | None = None,
-    buckets: int | None = None,
+    steps: int = STEPS,
 ) -> DataFrame:
-    """One row per group and distinct non-NULL value: *keys, ``_v`` (the
-    value), ``_t`` (rows with it), ``_less`` (rows of the group with a smaller
-    value), ``_bucket``, and the ``extra`` aggregates (e.g. a count of
-    positives) over the rows with that value.
-
-    ``buckets=None`` sizes the buckets from the data (one small aggregate):
-    a single bucket while the largest group has at most
-    ``MAX_VALUES_PER_TASK`` distinct values, else buckets of about
-    ``BUCKET_TARGET`` values."""
+    """One row per group and distinct non-NULL value (numeric): *keys, ``_v``
+    (the value), ``_t`` (rows with it), ``_less`` (rows of the group with a
+    smaller value), ``_bucket``, and the ``extra`` aggregates (e.g. a count of
+    positives) over the rows with that value."""
     keys = list(keys)
     v = F.col(value) if isinstance(value, str) else value
     if not keys:  # one group: give it a key, so that every join below has one
-        out = distinct_ranks(df.select("*", v.alias("_v0"), F.lit(0).alias("_g")), ["_g"], "_v0", extra, buckets)
+        out = distinct_ranks(df.select("*", v.alias("_v0"), F.lit(0).alias("_g")), ["_g"], "_v0", extra, steps)
         return out.drop("_g")
     rows = df.select("*", v.alias("_v")).where(F.col("_v").isNotNull())
     aggs = [F.count("*").alias("_t")] + [c.alias(n) for n, c in (extra or {}).items()]
-    distinct = rows.groupBy(*keys, "_v").agg(*aggs)
-    if buckets is None:
-        largest = distinct.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        buckets = 1 if largest <= MAX_VALUES_PER_TASK else -(-largest // BUCKET_TARGET)
-    if buckets <= 1:
-        within = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-        return distinct.withColumns({"_bucket": F.lit(0), "_less": F.coalesce(F.sum("_t").over(within), F.lit(0))})
-    # bounds over the distinct values: buckets hold similar numbers of them,
-    # which is what the window within a bucket has to hold
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = distinct.groupBy(*keys).agg(F.percentile_approx("_v", probs, 10000).alias("_b"))
-    with_b = join_on_keys(distinct, checked_broadcast(bounds), keys)
-    with_b = with_b.withColumn(
-        "_bucket", F.coalesce(F.size(F.filter(F.col("_b"), lambda b: b < F.col("_v"))), F.lit(0))
-    ).drop("_b")
+    distinct = rows.groupBy(*keys, "_v").agg(*aggs).withColumn("_bucket", value_bucket(F.col("_v"), steps))
     within = Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    with_b = with_b.withColumn("_within", F.coalesce(F.sum("_t").over(within), F.lit(0)))
-    totals = with_b.groupBy(*keys, "_bucket").agg(F.sum("_t").alias("_bt"))
+    placed = distinct.withColumn("_within", F.coalesce(F.sum("_t").over(within), F.lit(0)))
+    totals = distinct.groupBy(*keys, "_bucket").agg(F.sum("_t").alias("_bt"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_off", F.coalesce(F.sum("_bt").over(before), F.lit(0))).drop("_bt")
-    out = join_on_keys(with_b, checked_broadcast(offsets), [*keys, "_bucket"])
+    offsets = totals.select(*keys, "_bucket", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_off"))
+    out = join_on_keys(placed, offsets, [*keys, "_bucket"])
     return out.withColumn("_less", F.col("_off") + F.col("_within")).drop("_off", "_within")
 
 
@@ -96,7 +90,7 @@ def order_statistics(
     keys: Sequence[str],
     value: str | Column,
     probs: Sequence[float],
-    buckets: int | None = None,
+    steps: int = STEPS,
 ) -> DataFrame:
     """Quantiles by linear interpolation between order statistics (the
     "type 7" rule: position (n - 1) p), exact, one row per group with the
@@ -104,9 +98,9 @@ def order_statistics(
     keys = list(keys)
     if not keys:  # one group: give it a key, so that every join below has one
         v = F.col(value) if isinstance(value, str) else value
-        out = order_statistics(df.select(v.alias("_v0"), F.lit(0).alias("_g")), ["_g"], "_v0", probs, buckets)
+        out = order_statistics(df.select(v.alias("_v0"), F.lit(0).alias("_g")), ["_g"], "_v0", probs, steps)
         return out.drop("_g")
-    ranks = materialize(distinct_ranks(df, keys, value, buckets=buckets))
+    ranks = materialize(distinct_ranks(df, keys, value, steps=steps))
     n = ranks.groupBy(*keys).agg(F.sum("_t").alias("_n"))
     targets = n.select(
         *keys, "_n",
@@ -116,7 +110,7 @@ def order_statistics(
     # the value at 0-based order position j is the one with _less <= j < _less + _t
     need = targets.select(*keys, "_pi", F.explode(F.array(F.col("_lo"), F.col("_hi"))).alias("_j")).distinct()
     spans = ranks.groupBy(*keys, "_bucket").agg(F.min("_less").alias("_s"), F.sum("_t").alias("_bt"))
-    located = join_on_keys(need, checked_broadcast(spans), keys).where(
+    located = join_on_keys(need, spans, keys).where(
         (F.col("_j") >= F.col("_s")) & (F.col("_j") < F.col("_s") + F.col("_bt"))
     ).drop("_s", "_bt")
     picked = join_on_keys(located, ranks.select(*keys, "_bucket", "_v", "_t", "_less"), [*keys, "_bucket"]).where(

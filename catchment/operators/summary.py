@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import range_text
-from ..session import materialize
+from ..session import checked_broadcast, materialize
 from .ranking import join_on_keys, order_statistics
 
 PROBS = [0.0, 0.25, 0.5, 0.75, 1.0]
@@ -47,7 +47,7 @@ def summary_table(
         [*keys, by], list(variables), "variable", "value"
     )
     if pairs is not None:
-        long = long.join(F.broadcast(pairs.select(*keys, "variable")), [*keys, "variable"], "left_semi")
+        long = long.join(checked_broadcast(pairs.select(*keys, "variable")), [*keys, "variable"], "left_semi")
     long = long.select(*keys, "variable", "value", F.inline(F.array(
         F.struct(F.col(by).alias("_cls"), F.lit(False).alias("_overall")),
         F.struct(F.lit(None).cast(long.schema[by].dataType).alias("_cls"), F.lit(True).alias("_overall")),

@@ -25,6 +25,8 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import checked_broadcast
+
 # Fixed values of the role mapping.
 MODES = ("auto", "pedestrian")
 SUB_ATTRIBUTE = "BUILDING"          # area attribute that is the sub-population share
@@ -218,7 +220,7 @@ def zone_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """zone_id, name, zone_class."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"], "left").select(
+    return n.join(checked_broadcast(r), n["n_regionkey"] == r["r_regionkey"], "left").select(
         F.col("n_nationkey").alias("zone_id"), F.col("n_name").alias("name"), F.col("r_name").alias("zone_class")
     )
 

@@ -2,8 +2,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from catchment.operators.ranking import distinct_ranks, order_statistics
+from catchment.operators.ranking import distinct_ranks, order_statistics, value_bucket
 
 
 @pytest.fixture()
@@ -18,10 +19,10 @@ def data(spark):
     return rows, spark.createDataFrame(rows, "g string, v double")
 
 
-@pytest.mark.parametrize("buckets", [None, 1, 2, 7, 64])
-def test_distinct_ranks_exact(spark, data, buckets):
+@pytest.mark.parametrize("steps", [16384, 1, 2, 7, 64])
+def test_distinct_ranks_exact(spark, data, steps):
     rows, df = data
-    got = {(r["g"], r["_v"]): (r["_t"], r["_less"]) for r in distinct_ranks(df, ["g"], "v", buckets=buckets).collect()}
+    got = {(r["g"], r["_v"]): (r["_t"], r["_less"]) for r in distinct_ranks(df, ["g"], "v", steps=steps).collect()}
     for (g, v), (t, less) in got.items():
         vals = [x for gg, x in rows if gg == g and x is not None]
         assert t == sum(1 for x in vals if x == v)
@@ -31,7 +32,7 @@ def test_distinct_ranks_exact(spark, data, buckets):
 def test_order_statistics_type7(spark, data):
     rows, df = data
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {r["g"]: r["q"] for r in order_statistics(df, ["g"], "v", probs, buckets=5).collect()}
+    got = {r["g"]: r["q"] for r in order_statistics(df, ["g"], "v", probs, steps=5).collect()}
     for g in ["a", "b", None]:
         vals = np.array([x for gg, x in rows if gg == g and x is not None])
         assert got[g] == pytest.approx(list(np.quantile(vals, probs)), abs=1e-12)
@@ -42,5 +43,21 @@ def test_without_group_keys(spark, data):
     vals = np.array([x for _, x in rows if x is not None])
     got = order_statistics(df, [], "v", [0.0, 0.5, 1.0]).collect()[0]["q"]
     assert got == pytest.approx(list(np.quantile(vals, [0.0, 0.5, 1.0])), abs=1e-12)
-    r = {row["_v"]: row["_less"] for row in distinct_ranks(df, [], "v", buckets=3).collect()}
+    r = {row["_v"]: row["_less"] for row in distinct_ranks(df, [], "v", steps=3).collect()}
     assert r[7.0] == sum(1 for x in vals if x < 7.0)
+
+
+def test_bucket_rises_with_the_value(spark):
+    inf = float("inf")
+    vals = [-inf, -1e300, -5.0, -1.0000001, -1.0, -1e-300, 0.0, 5e-324, 1e-300, 0.5, 1.0, 1.0000001, 2.0, 1e300, inf, float("nan")]
+    got = [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
+           .orderBy("i").select(value_bucket(F.col("v"))).collect()]
+    assert got == sorted(got)
+    assert got[5] < got[6] < got[7]
+
+
+def test_ranks_of_counts_and_many_values(spark):
+    df = spark.range(200000).select((F.col("id") * 7919 % 100003 - 50000).alias("v"))   # whole numbers, some twice
+    out = distinct_ranks(df, [], "v").select("_v", "_t", "_less").toPandas().sort_values("_v")
+    assert (out["_less"].to_numpy() == np.concatenate([[0], out["_t"].cumsum().to_numpy()[:-1]])).all()
+    assert out["_t"].sum() == 200000
