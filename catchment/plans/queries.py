@@ -8,7 +8,7 @@ on the order of addition; row-level values are returned as computed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,13 +20,14 @@ from ..operators.gap import access_gap_long, clean_gap
 from ..operators.nearest import nearest_k_mean
 from ..operators.od import od_by_population, od_for_destinations, od_straight_line, od_straight_line_by_population
 from ..operators.percapita import per_capita_long, zone_populations
+from ..operators.ranking import order_statistics
 from ..operators.ranktest import signed_rank_test, test_report
 from ..operators.spatial import points_in_zones, zone_counts
 from ..operators.summary import summary_table
 from ..operators.weighting import area_shares, block_weights, zone_access, zone_population
 from ..session import materialize, shared_dir
 from ..sources import files, sinks
-from . import roles
+from . import gaps, roles
 
 DIGITS = 6
 K = 5
@@ -368,6 +369,121 @@ def q_signed_rank_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(signed_rank_test(pairs, "x", "y", by=["mode"], alternative="less"))
 
 
+# ------------------------------------------------------ inputs with gaps
+def gaps_zone_table(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """:func:`zone_table` from the inputs of :mod:`.gaps`; ``options`` go to
+    ``zone_access``."""
+    tagged = od_by_population(gaps.od_table(spark, sf_dir), roles.destinations(spark, sf_dir))
+    means = nearest_k_mean(tagged, keys=["block_id", "mode", "population"], k=K)
+    shares = area_shares(gaps.area_attributes(spark, sf_dir), roles.SUB_ATTRIBUTE)
+    w = block_weights(gaps.block_pops(spark, sf_dir), gaps.block_zone(spark, sf_dir), shares)
+    weight = F.when(F.col("population") == F.lit("all"), F.col("w_all")).otherwise(F.col("w_sub"))
+    return zone_access(means, w, outputs=["dist", "time"], weight=weight,
+                       by={**BY_MODE, "population": ["all", "sub"]}, **options)
+
+
+def gaps_gap_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    z = gaps_zone_table(spark, sf_dir, fallback_weight="w_all")
+    return access_gap_long(z, roles.zone_names(spark, sf_dir), by=["mode"])
+
+
+def q_gaps_access_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gap table with missing values, fall-back weights and NULL zones."""
+    return rounded(gaps_gap_table(spark, sf_dir))
+
+
+def q_gaps_clean_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(clean_gap(gaps_gap_table(spark, sf_dir), exclude=gaps.CLEAN_EXCLUDE))
+
+
+def q_gaps_class_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class benchmark with an unclassified zone and zones left out."""
+    zp = zone_population(gaps.block_zone(spark, sf_dir), gaps.block_pops(spark, sf_dir))
+    clean = clean_gap(gaps_gap_table(spark, sf_dir), exclude=gaps.CLEAN_EXCLUDE)
+    return rounded(class_benchmark(clean, gaps.zone_classes(spark, sf_dir), zp, exclude=gaps.CLASS_EXCLUDE, by=["mode"]))
+
+
+def q_gaps_empty_as_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll-up in which a populated zone that reaches nothing scores 0."""
+    return rounded(gaps_zone_table(spark, sf_dir, empty_as_zero=True))
+
+
+def q_gaps_reachable_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll-up in which only blocks with a value weigh in, with the fall-back
+    weights in one listed zone."""
+    return rounded(gaps_zone_table(spark, sf_dir, reachable_only=True, fallback_weight="w_all",
+                                   fallback_ids=[gaps.ZERO_SHARE_ZONE]))
+
+
+def q_gaps_points_in_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A very large zone among small ones, small cells, points without valid coordinates."""
+    return points_in_zones(gaps.points(spark, sf_dir), gaps.zones(spark, sf_dir), tolerance_m=roles.TOLERANCE_M,
+                           cell_m=1500.0, origin=ORIGIN).select("point_id", "zone_id")
+
+
+def q_gaps_straight_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Straight-line proxy OD to destinations that share three addresses."""
+    return rounded(od_straight_line(roles.block_points(spark, sf_dir), gaps.dest_points(spark, sf_dir), k=K, plane_origin=ORIGIN))
+
+
+def q_quantiles_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of the block means, per mode and population."""
+    q = order_statistics(block_means(spark, sf_dir), ["mode", "population"], "avg_time", [0.0, 0.25, 0.5, 0.75, 1.0])
+    names = ["p0", "p25", "p50", "p75", "p100"]
+    return rounded(q.select("mode", "population", *[F.col("q")[i].alias(n) for i, n in enumerate(names)]))
+
+
+# ------------------------------------------- files, read back in full
+def q_area_table_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area attributes under their source names, in another order and with a
+    column more; all columns read back."""
+    path = f"{_scratch(spark, 'area')}/area.csv"
+    a = roles.area_attributes(spark, sf_dir)
+    sinks.write_csv(a.select(F.col("value").alias("T_DATA_DONNEE"), F.lit("x").alias("note"),
+                             F.col("attribute_id").alias("TEXT_ID"), F.col("area_id").alias("DAUID")), path)
+    return rounded(files.read_area_attributes(spark, path))
+
+
+def q_block_points_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_scratch(spark, 'points')}/points.csv"
+    p = roles.block_points(spark, sf_dir)
+    sinks.write_csv(p.select("lat", F.lit(1).alias("other"), F.col("block_id").alias("DBUID"), "lon"), path)
+    return rounded(files.read_block_points(spark, path))
+
+
+def q_destinations_table_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Destinations with reordered columns; every column read back."""
+    path = f"{_scratch(spark, 'dest')}/dest.csv"
+    d = roles.destinations(spark, sf_dir).join(roles.dest_points(spark, sf_dir), "dest_id", "left")
+    sinks.write_csv(d.select(F.col("sub").alias("french"), F.col("lon").alias("lng"), "lat",
+                             F.col("in_scope").alias("family_physician"), F.col("dest_id").alias("cpso")), path)
+    return rounded(files.read_destinations(spark, path))
+
+
+def q_zone_tables_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone classes and long zone attributes written as CSV, read back and joined."""
+    base = _scratch(spark, "zones")
+    sinks.write_csv(roles.zone_classes(spark, sf_dir), f"{base}/classes.csv")
+    sinks.write_csv(roles.zone_attributes(spark, sf_dir), f"{base}/attributes.csv")
+    classes = files.read_table(spark, f"{base}/classes.csv", schemas.ZONE_CLASS)
+    values = files.read_table(spark, f"{base}/attributes.csv", schemas.ZONE_ATTRIBUTES)
+    both = values.withColumn("zone_id", F.col("zone_id").try_cast("int")).join(classes, "zone_id", "left")
+    return rounded(both.select("zone_id", "name", "zone_class", "attribute", "value"))
+
+
+def q_published_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gap table published per mode, longest time first and missing ones
+    last, and read back with every row's place in its file."""
+    path = f"{_scratch(spark, 'published')}/gap"
+    sinks.write_published(rounded(gaps_gap_table(spark, sf_dir)), path, order=[("time_sub", True), ("zone_id", False)], by="mode")
+    back = spark.read.option("header", True).option("nullValue", "NA").schema(
+        "zone_id int, name string, dist_all double, time_all double, dist_sub double, time_sub double, "
+        "diff_d double, diff_t double, mode string").csv(path)
+    place = Window.partitionBy("mode").orderBy("_line")
+    return back.withColumn("_line", F.monotonically_increasing_id()).select(
+        "mode", "zone_id", "name", "time_sub", F.row_number().over(place).cast("long").alias("place"))
+
+
 def pipeline_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The end-to-end ``pipeline.run`` on the driver tables, its parameters
     mapped to the driver roles (no hard-coded zones apply to nations)."""
@@ -425,4 +541,17 @@ QUERIES = {
     "signed_rank_blocks": q_signed_rank_blocks,
     "straight_line_access": q_straight_line_access,
     "pipeline_class_table": q_pipeline_class_table,
+    "gaps_access_gap": q_gaps_access_gap,
+    "gaps_clean_gap": q_gaps_clean_gap,
+    "gaps_class_benchmark": q_gaps_class_benchmark,
+    "gaps_empty_as_zero": q_gaps_empty_as_zero,
+    "gaps_reachable_only": q_gaps_reachable_only,
+    "gaps_points_in_zones": q_gaps_points_in_zones,
+    "gaps_straight_line": q_gaps_straight_line,
+    "quantiles_blocks": q_quantiles_blocks,
+    "area_table_csv": q_area_table_csv,
+    "block_points_csv": q_block_points_csv,
+    "destinations_table_csv": q_destinations_table_csv,
+    "zone_tables_csv": q_zone_tables_csv,
+    "published_gap": q_published_gap,
 }
