@@ -10,10 +10,10 @@ full shingle sets.
 
 Stars alone can miss a link between two members of which neither is a centre.
 So buckets whose other members still lie in several components are settled
-exactly: their members are dealt into blocks, every two blocks of a bucket form
-a tile, and a task computes all similarities of a tile as a matrix product on
-the full sets. A tile hands on only a spanning forest of its links, so no group
-writes out its pairs.
+exactly: their members are dealt into blocks of like set size, every two blocks
+of a bucket whose sizes allow a link form a tile, and a task computes all
+similarities of a tile as a matrix product on the full sets. A tile hands on only
+a spanning forest of its links, so no group writes out its pairs.
 
 Defined results. Null or blank text: empty set, linked with nothing. Fewer than
 k words: the whole word sequence is the one shingle. Rows with a null id keep a
@@ -24,6 +24,7 @@ table gives an empty result. Further columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +40,10 @@ from .text import chunks, mix, word_hashes
 # probability (1 - 0.8 ** 4) ** 24, about 3e-6.
 BANDS = 24
 ROWS = 4
-# Documents of a block, and shingles of a matrix slice, when buckets are settled.
+# Documents and shingles of a block (about), and shingles of a matrix slice, when
+# buckets are settled.
 BLOCK_DOCS = 256
+BLOCK_SHINGLES = 1 << 19
 SLICE = 8192
 
 _U = np.uint64
@@ -252,20 +255,28 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _settle(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a spanning forest per tile) between components that meet in a
-    bucket. ``open_members``: stored ``band, key, id, comp, size`` (of the bucket)."""
+    bucket. ``open_members``: stored ``band, key, id, comp, n`` (set size).
+    Set sizes fall into classes, each a factor of 100 / ``percent`` wide (and a
+    hair, for rounding), so that only equal and adjacent classes can hold links."""
+    width = math.log(100.0 / percent * (1 + 1e-7))
+    classed = open_members.withColumn("cls", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)))
+    dealt = materialize(classed.groupBy("band", "key", "cls").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_DOCS)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).alias("blocks")))
     blocks = materialize(
-        open_members.withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / F.lit(BLOCK_DOCS))))
-        .join(sets, "id").groupBy("band", "key", "block")
+        classed.join(dealt, ["band", "key", "cls"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        .join(sets, "id").groupBy("band", "key", "cls", "block")
         .agg(F.collect_list("id").alias("ids"), F.collect_list("comp").alias("comps"), F.collect_list("shingles").alias("sets"),
              F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     )
 
     def side(name: str) -> DataFrame:
-        return blocks.select("band", "key", *[F.col(c).alias(f"{c}_{name}") for c in ("block", "ids", "comps", "sets", "lo", "hi")])
+        return blocks.select("band", "key", *[F.col(c).alias(f"{c}_{name}") for c in ("cls", "block", "ids", "comps", "sets", "lo", "hi")])
 
-    several = (F.least("lo_a", "lo_b") < F.greatest("hi_a", "hi_b")) & (F.col("block_a") <= F.col("block_b"))
-    tiles = side("a").join(side("b"), ["band", "key"]).where(several).select(
-        (F.col("block_a") == F.col("block_b")).alias("same"), "ids_a", "comps_a", "sets_a", "ids_b", "comps_b", "sets_b")
+    same_class = F.col("cls_a") == F.col("cls")
+    several = (F.least("lo_a", "lo_b") < F.greatest("hi_a", "hi_b")) & (~same_class | (F.col("block_a") <= F.col("block_b")))
+    left = side("a").withColumn("cls", F.explode(F.array(F.col("cls_a"), F.col("cls_a") + 1)))
+    tiles = left.join(side("b").withColumnRenamed("cls_b", "cls"), ["band", "key", "cls"]).where(several).select(
+        (same_class & (F.col("block_a") == F.col("block_b"))).alias("same"), "ids_a", "comps_a", "sets_a", "ids_b", "comps_b", "sets_b")
     return materialize(tiles.mapInArrow(_tile_batches(percent), "a long, b long"))
 
 
@@ -302,11 +313,11 @@ def near_duplicates(
     found = materialize(components(links))
     others = materialize(
         members.where("id <> centre").alias("m").join(found.alias("f"), "id", "left")
-        .select("m.band", "m.key", "m.id", F.coalesce("f.component", "m.id").alias("comp"))
+        .select("m.band", "m.key", "m.id", "m.n", F.coalesce("f.component", "m.id").alias("comp"))
     )
     mixed = materialize(
-        others.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
-        .where("lo < hi").select("band", "key", "size")
+        others.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        .where("lo < hi").select("band", "key")
     )
     open_members = materialize(others.join(mixed, ["band", "key"]))
     more = _settle(open_members, sets, percent)

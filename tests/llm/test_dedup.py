@@ -71,6 +71,20 @@ def test_near_duplicates_in_chains(spark, few_bands):
     check_near(neardup.near_duplicates(df, k=2, **options).collect(), texts, 2)
 
 
+def test_near_duplicates_of_growing_texts_in_small_blocks(spark, monkeypatch):
+    """Sets that contain each other: similarity is the ratio of their sizes, 0.8
+    and just below, across size classes and blocks."""
+    monkeypatch.setattr(neardup, "BLOCK_DOCS", 3)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 400)
+    words = [f"w{i}" for i in range(700)]
+    texts = {}
+    for i, n in enumerate([20, 24, 25, 26, 31, 32, 40, 49, 50, 51, 64, 65, 80, 100, 125, 126, 157, 196, 197, 250, 400, 500, 501, 626]):
+        texts[i] = " ".join(words[: n + 1])               # n shingles of two words
+        texts[100 + i] = " ".join(words[: n + 1]) + " tail"
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    check_near(neardup.near_duplicates(df, k=2, bands=24, rows=1).collect(), texts, 2)
+
+
 def test_near_duplicates_awkward(awkward, no_docs):
     rows = neardup.near_duplicates(awkward, k=2).collect()
     assert len(rows) == awkward.count()
