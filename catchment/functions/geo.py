@@ -34,26 +34,12 @@ def valid_lonlat(lon: Column, lat: Column) -> Column:
     return F.coalesce(lon.between(-180.0, 180.0) & lat.between(-90.0, 90.0), F.lit(False))
 
 
-def point(lon: Column | str, lat: Column | str) -> Column:
-    """Point struct from lon/lat columns; NULL when a coordinate is missing or
-    out of range."""
-    lo = F.col(lon) if isinstance(lon, str) else lon
-    la = F.col(lat) if isinstance(lat, str) else lat
-    return F.when(valid_lonlat(lo, la), F.struct(lo.alias("lon"), la.alias("lat")))
-
-
 def to_plane(lon: Column, lat: Column, origin: tuple[float, float]) -> tuple[Column, Column]:
     """(x, y) metres of lon/lat columns on the plane around ``origin``."""
     kx, ky = plane_scale(origin[1])
     return (lon - F.lit(origin[0])) * F.lit(kx), (lat - F.lit(origin[1])) * F.lit(ky)
 
 
-def from_plane(x: Column, y: Column, origin: tuple[float, float]) -> tuple[Column, Column]:
-    """Inverse of :func:`to_plane`."""
-    kx, ky = plane_scale(origin[1])
-    return x / F.lit(kx) + F.lit(origin[0]), y / F.lit(ky) + F.lit(origin[1])
-
-
 def close_rings(rings: Column) -> Column:
     """Append the first vertex to every ring that does not end with it."""
     return F.transform(
