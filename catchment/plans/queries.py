@@ -20,7 +20,7 @@ from ..operators.gap import access_gap_long, clean_gap
 from ..operators.nearest import nearest_k_mean
 from ..operators.od import od_by_population, od_for_destinations, od_straight_line, od_straight_line_by_population
 from ..operators.percapita import per_capita_long, zone_populations
-from ..operators.ranking import order_statistics
+from ..operators.ranking import join_on_keys, order_statistics
 from ..operators.ranktest import signed_rank_test, test_report
 from ..operators.spatial import points_in_zones, zone_counts
 from ..operators.summary import summary_table
@@ -387,6 +387,14 @@ def gaps_gap_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return access_gap_long(z, roles.zone_names(spark, sf_dir), by=["mode"])
 
 
+def q_signed_rank_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-sided signed-rank test of the blocks' populations against their
+    mean: ties, and a p-value away from 0 and 1."""
+    pops = roles.block_pops(spark, sf_dir).select(F.col("pop").alias("x"))
+    mean = pops.agg(F.rint(F.avg("x")).alias("y"))
+    return rounded(signed_rank_test(join_on_keys(pops, mean, []), "x", "y", alternative="two.sided"))
+
+
 def q_gaps_access_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gap table with missing values, fall-back weights and NULL zones."""
     return rounded(gaps_gap_table(spark, sf_dir))
@@ -539,6 +547,7 @@ QUERIES = {
     "od_straight_line": q_od_straight_line,
     "straight_line_gap": q_straight_line_gap,
     "signed_rank_blocks": q_signed_rank_blocks,
+    "signed_rank_level": q_signed_rank_level,
     "straight_line_access": q_straight_line_access,
     "pipeline_class_table": q_pipeline_class_table,
     "gaps_access_gap": q_gaps_access_gap,
