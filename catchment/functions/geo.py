@@ -8,9 +8,9 @@ projection): ``x = R cos(lat0) dlon``, ``y = R dlat``. Over a city this is
 accurate to well under 1 %, enough for tolerances of tens of metres; it is not
 a general coordinate-system library.
 
-Point-in-zone tests are array higher-order functions over the rings: even-odd
-ray casting over every ring (so holes are outside), and the squared distance
-to the nearest edge (for a tolerance buffer).
+Point-in-zone tests are array higher-order functions over edges of all rings:
+the parity of the edges crossed on the way to a point of known status (so holes
+are outside), and the squared distance to the nearest edge (for a tolerance buffer).
 """
 
 from __future__ import annotations
