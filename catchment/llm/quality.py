@@ -9,11 +9,14 @@ held-out labels, names the unlabelled documents it is surest of, at least
 views' calibrated log odds are combined by weights fitted on the held-out
 labels, and every document is scored from its whole text.
 
-Fitting uses at most ``FIT_LABELLED`` labelled and ``FIT_POOL`` unlabelled
-documents, taken by hash of the id; scoring covers every row in one pass
-without a shuffle, and the model's size is fixed.
-
-Defined results. Labels whose quality is null are ignored, and ids with
+Fitting uses at most ``FIT_LABELLED`` labelled documents, taken by hash of the
+id, and the pseudo-labelled ones, at most ``PER_ROUND`` per view and round. In
+each round every unlabelled row is scored by both views in one pass, and the
+surest are a distributed top-k over all of them, ties by hash. Scoring covers
+every row in one pass without a shuffle, and the model's size is fixed.
+
+Defined results. Rows without a given label, also those with a null id, are
+unlabelled; unlabelled rows alike in id, text and metadata are named once. Labels whose quality is null are ignored, and ids with
 contradicting labels count as bad. Without labels of both kinds, every document
 scores 1 and stays. A null text is empty. Null metadata is a value of its own;
 a missing metadata column counts as null. Repeated rows score alike; an empty
@@ -23,18 +26,18 @@ name are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .text import _SPACE, chunks, hash_spans, mix, words
 
-# Documents that the fit uses at most, and the share of labels held out.
+# Labelled documents that the fit uses at most, and the share of labels held out.
 FIT_LABELLED = 6_000
-FIT_POOL = 4_000
 HELD_OUT = 5
 ROUNDS = 3
 PER_ROUND = 400
@@ -133,35 +136,62 @@ def _logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x @ w[:-1] + w[-1]
 
 
+def _chance(x: np.ndarray, w: np.ndarray, calibration: np.ndarray) -> np.ndarray:
+    """A view's calibrated probabilities of being good."""
+    return 1 / (1 + np.exp(-np.clip(_logit(_logit(x, w)[:, None], calibration), -30, 30)))
+
+
+# Given both views' weights and calibrations: for each view, the features (in
+# that view) and labels of the documents that the other view newly names.
+Naming = Callable[[list, list], list[tuple[np.ndarray, np.ndarray]]]
+
+
+def name_rows(views: list[np.ndarray], per_round: int, sure: float) -> Naming:
+    """Names the surest of unlabelled documents that are at hand as arrays."""
+    given = [np.zeros(len(x), bool) for x in views]
+
+    def name(fitted: list, calibrated: list) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = []
+        for i in (0, 1):
+            p = _chance(views[1 - i], fitted[1 - i], calibrated[1 - i])
+            free, at, labels = ~given[i], [], []
+            for label, chance in ((1.0, p), (0.0, 1 - p)):
+                able = np.flatnonzero(free & (chance >= sure))
+                at.append(able[np.argsort(-chance[able], kind="stable")[: per_round // 2]])
+                labels.append(np.full(len(at[-1]), label))
+            at = np.concatenate(at)
+            given[i][at] = True
+            out.append((views[i][at], np.concatenate(labels)))
+        return out
+
+    return name
+
+
 def co_train(content: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray, rounds: int = ROUNDS,
-             per_round: int = PER_ROUND, sure: float = SURE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+             per_round: int = PER_ROUND, sure: float = SURE, name: Naming | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Content weights, metadata weights and the weights that combine their
-    logits. ``y`` is 1, 0 or NaN (unlabelled); ``held`` marks held-out labels."""
-    views = [content, meta]
-    given = [np.where(held, np.nan, y) for _ in views]
+    logits. ``y`` is 1, 0 or NaN (unlabelled); ``held`` marks held-out labels.
+    ``name`` names unlabelled documents that are elsewhere; without it they are
+    the rows whose ``y`` is NaN."""
     pool = np.isnan(y)
-    known = held & ~np.isnan(y)
+    name = name or name_rows([content[pool], meta[pool]], per_round, sure)
+    own, known = ~pool & ~held, ~pool & held
+    given = [[(x[own], y[own])] for x in (content, meta)]
     for r in range(rounds + 1):
         fitted, calibrated = [], []
-        for x, own in zip(views, given):
-            at = ~np.isnan(own)
-            share = own[at].mean()
-            weight = np.where(own[at] == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
-            fitted.append(fit_logistic(x[at], own[at], weight))
-            z = _logit(x, fitted[-1])
-            calibrated.append(fit_logistic(z[known, None], y[known], np.ones(known.sum()), l2=1e-4))
+        for x, rows in zip((content, meta), given):
+            at, labels = (np.concatenate(part) for part in zip(*rows))
+            share = labels.mean()
+            weight = np.where(labels == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
+            fitted.append(fit_logistic(at, labels, weight))
+            z = _logit(x[known], fitted[-1])
+            calibrated.append(fit_logistic(z[:, None], y[known], np.ones(known.sum()), l2=1e-4))
         if r == rounds:
             break
-        for i in (0, 1):
-            z = _logit(views[i], fitted[i])
-            p = 1 / (1 + np.exp(-np.clip(_logit(z[:, None], calibrated[i]), -30, 30)))
-            other = given[1 - i]
-            free = pool & np.isnan(other)
-            for label, chance in ((1.0, p), (0.0, 1 - p)):
-                able = np.flatnonzero(free & (chance >= sure))
-                other[able[np.argsort(-chance[able], kind="stable")[: per_round // 2]]] = label
-    logits = np.stack([_logit(x, w) for x, w in zip(views, fitted)], axis=1)
-    combine = fit_logistic(logits[known], y[known], np.ones(known.sum()), l2=1e-4)
+        for rows, named in zip(given, name(fitted, calibrated)):
+            rows.append(named)
+    logits = np.stack([_logit(x[known], w) for x, w in zip((content, meta), fitted)], axis=1)
+    combine = fit_logistic(logits, y[known], np.ones(known.sum()), l2=1e-4)
     return fitted[0], fitted[1], combine
 
 
@@ -173,29 +203,75 @@ def _columns(docs: DataFrame, id_col: str, text_col: str) -> list:
             meta("source", "string").alias("_source"), meta("n_chars", "double").alias("_chars")]
 
 
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both views' features of rows of ``_columns``, and the columns after them."""
+    for batch in batches:
+        for lo, hi, data, offsets in chunks(batch.column(1)):
+            part = batch.slice(lo, hi - lo)
+            x = content_features(data, offsets)
+            m = meta_features(*(part.column(i).to_pylist() for i in (2, 3, 4)))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), *part.columns[5:], pa.array([r.tobytes() for r in x], pa.binary()),
+                 pa.array([r.tobytes() for r in m], pa.binary())], ["id", *batch.schema.names[5:], "content", "meta"])
+
+
+def _name_documents(rows: DataFrame, truth: DataFrame, per_round: int, sure: float, seed: int) -> Naming:
+    """Names the surest of all ``rows`` (``_columns``) whose id ``truth`` lacks."""
+    rows = rows.withColumn("_mark", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ("_text", "_lang", "_source", "_chars")]))
+    named: list[DataFrame] = []  # what each round named, at most 2 * per_round rows
+
+    def name(fitted: list, calibrated: list) -> list[tuple[np.ndarray, np.ndarray]]:
+        w, c = [v.astype(np.float64) for v in fitted], [v.astype(np.float64) for v in calibrated]
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lo, hi, data, offsets in chunks(batch.column(1)):
+                    part = batch.slice(lo, hi - lo)
+                    x = content_features(data, offsets).astype(np.float64)
+                    m = meta_features(*(part.column(i).to_pylist() for i in (2, 3, 4))).astype(np.float64)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), part.column(5), pa.array(_chance(x, w[0], c[0])), pa.array(_chance(m, w[1], c[1]))],
+                        ["_id", "_mark", "p0", "p1"])
+
+        scored = rows.mapInArrow(score, "_id long, _mark long, p0 double, p1 double")
+        able = scored.where(" or ".join(f"p{i} >= {sure!r} or 1 - p{i} >= {sure!r}" for i in (0, 1)))
+        able = materialize(able.join(truth, "_id", "left_anti").groupBy("_id", "_mark").agg(F.min("p0").alias("p0"), F.min("p1").alias("p1")))
+        turn, picks = F.xxhash64("_id", "_mark", F.lit(seed)), []
+        for i in (0, 1):
+            free = able
+            for before in named:
+                b = before.where(F.col("to") == i).select(F.col("_id").alias("i"), F.col("_mark").alias("k"))
+                free = free.join(F.broadcast(b), F.col("_id").eqNullSafe(F.col("i")) & (F.col("_mark") == F.col("k")), "left_anti")
+            for label, chance in ((1.0, F.col(f"p{1 - i}")), (0.0, 1 - F.col(f"p{1 - i}"))):
+                picks.append(free.where(chance >= sure).orderBy(chance.desc(), turn, "_id", "_mark").limit(per_round // 2).select(
+                    "_id", "_mark", F.lit(i).alias("to"), F.lit(label).alias("y")))
+        named.append(materialize(picks[0].union(picks[1]).union(picks[2]).union(picks[3])))
+        p = named[-1].select(F.col("_id").alias("i"), F.col("_mark").alias("k"), "to", "y")
+        found = rows.join(F.broadcast(p), F.col("_id").eqNullSafe(F.col("i")) & (F.col("_mark") == F.col("k"))).drop("i", "k")
+        got = found.mapInArrow(_features, "id long, _mark long, to int, y double, content binary, meta binary").collect()
+        got = sorted({(r.to, r.id is None, r.id or 0, r._mark): r for r in got}.items())
+        out = []
+        for i, (view, size) in enumerate((("content", CONTENT), ("meta", META))):
+            mine = [r for key, r in got if key[0] == i]
+            x = np.frombuffer(b"".join(r[view] for r in mine), np.float32).reshape(len(mine), size)
+            out.append((x, np.array([r.y for r in mine], np.float64)))
+        return out
+
+    return name
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           seed: int = 42) -> dict | None:
     """The model, or None without labels of both kinds."""
     turn = F.xxhash64("_id", F.lit(seed))
     truth = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).alias("y")).where(
         "_id is not null and y is not null").groupBy("_id").agg((F.min(F.col("y").cast("double")) > 0).cast("double").alias("y"))
+    truth = materialize(truth)
     ids = docs.select(F.col(id_col).cast("long").alias("_id")).where("_id is not null")
     chosen = truth.join(ids, "_id", "left_semi").orderBy(turn, "_id").limit(FIT_LABELLED)
-    pool = ids.join(truth, "_id", "left_anti").distinct().orderBy(turn, "_id").limit(FIT_POOL)
-    picked = chosen.union(pool.select("_id", F.lit(None).cast("double").alias("y")))  # at most FIT_LABELLED + FIT_POOL rows
-    rows = docs.select(*_columns(docs, id_col, text_col)).join(F.broadcast(picked), "_id")
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, data, offsets in chunks(batch.column(1)):
-                part = batch.slice(lo, hi - lo)
-                x = content_features(data, offsets)
-                m = meta_features(*(part.column(i).to_pylist() for i in (2, 3, 4)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(5), pa.array([r.tobytes() for r in x], pa.binary()),
-                     pa.array([r.tobytes() for r in m], pa.binary())], ["id", "y", "content", "meta"])
-
-    got = rows.mapInArrow(features, "id long, y double, content binary, meta binary").toPandas()
+    rows = docs.select(*_columns(docs, id_col, text_col))
+    got = rows.join(F.broadcast(chosen), "_id").mapInArrow(
+        _features, "id long, y double, content binary, meta binary").toPandas()
     got = got.sort_values(["id", "content"]).drop_duplicates("id")
     y = got["y"].to_numpy(np.float64, na_value=np.nan)
     if not (np.nansum(y == 1) >= 2 and np.nansum(y == 0) >= 2):
@@ -207,7 +283,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         at = np.flatnonzero(y == label)
         at = at[np.argsort(mix(got["id"].to_numpy(np.int64)[at].view(np.uint64)))]
         held[at[::HELD_OUT]] = True
-    c, m, combine = co_train(content, meta, y, held)
+    c, m, combine = co_train(content, meta, y, held, name=_name_documents(rows, truth, PER_ROUND, SURE, seed))
     return {"content": c, "meta": m, "combine": combine}
 
 

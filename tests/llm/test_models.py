@@ -116,6 +116,24 @@ def test_views_teach_each_other():
     assert m[0] > 0.5 and m[1] < -0.5
 
 
+def test_every_unlabelled_row_can_be_named(spark):
+    """Among 6,000 documents of one source are 3 of another that are the surest:
+    they are named, once each, also with a null id."""
+    rows = [(i, "plain text", "en", "plain", 10) for i in range(6000)]
+    rows += [(i, "RARE!", "en", "rare", 10) for i in (7000, 7000, 7001, None, 8000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    truth = spark.createDataFrame([(8000, 1.0)], "_id long, y double")
+    name = quality._name_documents(df.select(*quality._columns(df, "doc_id", "text")), truth, 8, 0.6, 1)
+    plain, rare = (quality.meta_features(["en"], [s], [10])[0] for s in ("plain", "rare"))
+    weights = [np.zeros(quality.CONTENT + 1), np.append((rare > plain) * 2.0 + plain * 0.2, 0.0)]
+    content = [quality.content_features(data, offsets)[0] for t in ("RARE!", "plain text")
+               for _, _, data, offsets in chunks(pa.array([t]))]
+    for n_rare in (3, 0):
+        (x, y), (m, none) = name(weights, [np.array([1.0, 0.0])] * 2)
+        assert y.tolist() == [1.0] * 4 and len(m) == len(none) == 0
+        assert sum((r == content[0]).all() for r in x) == n_rare and sum((r == content[1]).all() for r in x) == 4 - n_rare
+
+
 # ------------------------------------------------------------ token files
 def test_bit_packing_round_trip():
     rng = np.random.default_rng(0)
