@@ -11,8 +11,9 @@ compared byte by byte; the SHA-256 is an output column and decides nothing.
 Defined results. A null text counts as empty. Rows that repeat an id with an
 equal text are copies as any others (all of them carry the id that stays). A
 null id is below every other; if all of a group are null, the id that stays is
-null and one of them counts as kept nowhere. An empty table gives an empty
-result. Further columns are ignored.
+null and none of them is marked as kept (``keep_one`` lets one of them stay, and
+every row that is alone). An empty table gives an empty result. Further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -69,9 +70,21 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (same columns) without exact copies: of each group
-    of equal texts the document with the largest id stays. Rows that are alike
-    in id and text stay or go together."""
-    gone = exact_duplicates(docs, id_col, text_col).where("not kept").select(
-        F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_sha")).distinct()
+    of equal texts the document with the largest id stays, and of a group whose
+    ids are all null one row, by hash. Other rows that are alike in id and text
+    stay or go together."""
+    found = exact_duplicates(docs, id_col, text_col)
+    keys = materialize(
+        found.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.first(~F.col("kept") & F.col("keep_id").isNotNull()).alias("_gone"))
+        .where("_gone or (_id is null and _n > 1)")
+    )
     sha = F.sha2(F.encode(normalised(docs[text_col]), "UTF-8"), 256)
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone")) & (sha == F.col("_sha")), "left_anti")
+    on = docs[id_col].eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
+    alone = docs.join(keys, on, "left_anti")
+    again = keys.where("not _gone")
+    if again.isEmpty():
+        return alone
+    row = F.struct(*[docs[c] for c in docs.columns])
+    one = docs.join(again, on).groupBy("_id", "_sha").agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("_row"))
+    return alone.union(one.select("_row.*"))

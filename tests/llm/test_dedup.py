@@ -146,3 +146,19 @@ def test_exact_duplicates_of_a_hot_text_and_late_differences(spark):
     assert got == brute_exact(df.collect())
     kept = exact.keep_one(df).collect()
     assert len(kept) == 1 + 7 + 3 and {r.doc_id for r in kept} == {t[0] for t in got if t[3]}
+
+
+def test_keep_one_of_rows_without_ids(spark, awkward, no_docs):
+    kept = exact.keep_one(awkward)
+    assert kept.columns == awkward.columns
+    got = sorted(kept.collect(), key=str)
+    assert {lower_ascii(r.text) for r in got} == {lower_ascii(r.text) for r in awkward.collect()}
+    assert {r.doc_id for r in got} == {None, 2, 3, 5, 6, 7, 8, 10, 11}
+    assert [r.text for r in got if r.doc_id is None] == ["no id here"]
+    rows = [(None, "Same", "a"), (None, "same", "b"), (None, "SAME", "a"), (None, "with id", "a"), (4, "With id", "a"), (None, "alone", None)]
+    df = spark.createDataFrame(rows * 2 + [(5, "end", "x")], "doc_id long, text string, source string").repartition(3)
+    left = exact.keep_one(df.where("text <> 'alone' and doc_id is null or doc_id = 5")).collect()
+    assert sorted(lower_ascii(r.text) for r in left) == ["end", "same", "with id"]
+    texts = [lower_ascii(r.text) for r in exact.keep_one(df).collect() if r.doc_id is None]
+    assert sorted(texts) == ["alone", "same"]
+    assert exact.keep_one(no_docs).collect() == []
