@@ -5,7 +5,8 @@ each distinct piece is encoded once and kept. Neither a
 byte-level BPE with its usual pre-tokeniser nor a BPE that drops white space
 forms a token across such a cut, so the ids are those of the whole text (the
 tests compare). Texts with other white space or control separators are encoded
-whole."""
+whole, and so are texts that hold the string of an added token in any case of
+its ASCII letters: the tokenizer's defaults decide what such a string becomes."""
 
 from __future__ import annotations
 
@@ -37,7 +38,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = sorted(t.content.encode().lower() for t in self.tok.get_added_tokens_decoder().values() if t.content)
+        self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
         self.keys, self.start, self.length = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.uint32)
 
@@ -48,6 +50,8 @@ class Encoder:
         """All ids of the rows as one array, and the offsets of the rows in it."""
         raw = data.tobytes()
         hits = [m.start() for m in _ODD.finditer(raw)] if _LEAD[data].any() else []
+        if self.added:
+            hits += [i for m in self.added.finditer(raw.lower()) for i in range(*m.span())]  # a match may reach over rows
         odd = np.unique(np.searchsorted(offsets, hits, "right") - 1)
         start, end, before = segments(data, offsets)
         plain = ~np.isin(np.searchsorted(offsets, start, "right") - 1, odd) if len(odd) else slice(None)

@@ -168,6 +168,33 @@ def test_encoder_equals_whole_texts(name, room, corpus, monkeypatch):
     assert got == [enc.tok.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+ADDED = ["x <|endoftext|> y", "a<|startoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|>", "it's <|ENDOFTEXT|> <|endoftext|>\n\n z",
+         "é\u00a0<|endoftext|>é", "<|endoftext", "|endoftext|>", "< |endoftext|>", "plain <text|> here", "word " * 300 + "<|endoftext|>", None, "y"]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_added_tokens_as_the_tokenizer_has_them(name, spark):
+    """Ids, lengths and starts of the queries' results against an unmodified tokenizer."""
+    from tokenizers import Tokenizer
+
+    from catchment.llm import packing
+
+    path = tokenizer_path(name)
+    tok = Tokenizer.from_file(path)
+    want = [tok.encode(t or "", add_special_tokens=False).ids for t in ADDED]
+    assert tok.token_to_id("<|endoftext|>") in want[0]
+    enc, got = Encoder(path), []
+    for lo, hi, data, offsets in chunks(pa.array(ADDED * 2), 100):
+        ids, row = enc.encode(data, offsets)
+        got += [ids[row[i]: row[i + 1]].tolist() for i in range(hi - lo)]
+    assert got == want * 2
+    df = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string").repartition(2)
+    check_files(tokenfiles.read_token_files(tokenfiles.write_token_files(df, path)).collect(), df.collect(), tok)
+    packed = packing.pack_documents(df, path).collect()
+    assert {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in packed} == {
+        i: (len(w) + 1, zlib.crc32(np.array(w + [1], "<u4"))) for i, w in enumerate(want)}
+
+
 def check_files(rows, source, tok):
     def ids(text):
         return np.array(tok.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
