@@ -70,14 +70,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (same columns) without exact copies: of each group
-    of equal texts the document with the largest id stays, and of a group whose
-    ids are all null one row, by hash. Other rows that are alike in id and text
-    stay or go together."""
+    of equal texts the document with the largest id stays, and of rows alike in
+    id (or without one) and text one, by hash."""
     found = exact_duplicates(docs, id_col, text_col)
     keys = materialize(
         found.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
         .agg(F.count(F.lit(1)).alias("_n"), F.first(~F.col("kept") & F.col("keep_id").isNotNull()).alias("_gone"))
-        .where("_gone or (_id is null and _n > 1)")
+        .where("_gone or _n > 1")
     )
     sha = F.sha2(F.encode(normalised(docs[text_col]), "UTF-8"), 256)
     on = docs[id_col].eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))

@@ -162,3 +162,12 @@ def test_keep_one_of_rows_without_ids(spark, awkward, no_docs):
     texts = [lower_ascii(r.text) for r in exact.keep_one(df).collect() if r.doc_id is None]
     assert sorted(texts) == ["alone", "same"]
     assert exact.keep_one(no_docs).collect() == []
+
+
+def test_keep_one_of_rows_alike_in_id_and_text(spark):
+    rows = [(1, "Twice in full", "a")] * 2 + [(2, "one text, two sources", "a"), (2, "ONE text, two sources", "b"), (1, "other", "a")]
+    rows += [(9, "hot " * 20, "a")] * 400 + [(8, "hot " * 20, "a")] * 3 + [(3, "once", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = sorted((r.doc_id, lower_ascii(r.text)) for r in exact.keep_one(df).collect())
+    assert got == [(1, "other"), (1, "twice in full"), (2, "one text, two sources"), (3, "once"), (9, "hot " * 20)]
+    assert sorted(map(tuple, exact.exact_duplicates(df).collect()), key=str) == brute_exact(df.collect())
