@@ -1,7 +1,7 @@
 """Exact duplicates by distributed MSD radix partitioning.
 
 Documents are split by their normalised byte length and then by successive
-runs of bytes. A group is named by its largest id; each round splits every open
+runs of bytes. A group is named by a number of its own; each round splits every open
 group by the next run, which a map-side summed count does without moving equal
 rows. Rows that are alone after a round are settled, and so are groups whose
 texts have ended; only the others go on, with the rest of their text. Runs
@@ -49,15 +49,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     settled = []
     while True:
         cut = rows.withColumn("run", F.substring("rest", 1, run)).withColumn("rest", F.expr(f"substring(rest, {run + 1})"))
-        found = attach_groups(cut, keys, {"keep": F.max("id")})
+        found = attach_groups(cut, keys, {"keep": F.max("id")}, number="name")
         alone, ended = F.col("_n") == 1, F.col("left") <= run
         done = materialize(found.select(
             "id", "sha", F.when(alone, F.col("id")).otherwise(F.col("keep")).alias("keep"), F.col("_n").alias("size"),
             (F.col("left") - run).alias("left"), F.when(~alone & ~ended, F.col("rest")).alias("rest"),
-            (alone | ended).alias("done"),
+            "name", (alone | ended).alias("done"),
         ))
         settled.append(done.where("done").select("id", "sha", "keep", "size"))
-        rows = done.where(~F.col("done")).select("id", "sha", F.col("keep").alias("grp"), "left", "rest")
+        rows = done.where(~F.col("done")).select("id", "sha", F.col("name").alias("grp"), "left", "rest")
         if rows.isEmpty():
             break
         keys, run = ["grp", "left", "run"], min(run * GROWTH, LONGEST_RUN)

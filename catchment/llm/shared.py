@@ -48,19 +48,19 @@ def map_file(url: str) -> np.ndarray:
         return np.frombuffer(f.read(), np.uint8)
 
 
-def attach_groups(rows: DataFrame, keys: list[str], aggregates: dict) -> DataFrame:
+def attach_groups(rows: DataFrame, keys: list[str], aggregates: dict, number: str | None = None) -> DataFrame:
     """``rows`` with aggregates of the rows that share their keys, where at
-    least two do (else null), and ``_n``, their number (else 1).
+    least two do (else null), and ``_n``, their number (else 1). ``number``
+    names a further column, a number that no other group has.
 
     The aggregate is summed up before its shuffle and stored; the rows then
     meet it in a merge join of two plain shuffles, which Spark splits at hot
     keys (adaptive skew join)."""
-    groups = materialize(
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in aggregates.items()])
-        .where(F.col("_n") > 1)
-    )
+    groups = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in aggregates.items()]).where(F.col("_n") > 1)
+    groups = materialize(groups.withColumn(number, F.monotonically_increasing_id()) if number else groups)
     joined = rows.alias("r").join(groups.hint("merge").alias("g"), [F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys], "left")
-    return joined.select("r.*", F.coalesce("g._n", F.lit(1).cast("long")).alias("_n"), *[f"g.{n}" for n in aggregates])
+    return joined.select("r.*", F.coalesce("g._n", F.lit(1).cast("long")).alias("_n"), *[f"g.{n}" for n in [*aggregates, *([number] if number else [])]])
 
 
 def numbered(rows: DataFrame, groups: list[str], order: list, name: str, per_bucket: int = 4_000) -> DataFrame:

@@ -171,3 +171,14 @@ def test_keep_one_of_rows_alike_in_id_and_text(spark):
     got = sorted((r.doc_id, lower_ascii(r.text)) for r in exact.keep_one(df).collect())
     assert got == [(1, "other"), (1, "twice in full"), (2, "one text, two sources"), (3, "once"), (9, "hot " * 20)]
     assert sorted(map(tuple, exact.exact_duplicates(df).collect()), key=str) == brute_exact(df.collect())
+
+
+def test_exact_duplicates_of_groups_with_one_largest_id(spark):
+    """Texts of one length that differ in the first run only, with the same
+    largest id or without ids."""
+    texts = [head * 31 + "-" + "same tail " * 10 for head in "abcd"]
+    rows = [(i, t) for t in texts[:2] for i in (1, 5)] + [(None, t) for t in texts[2:] for _ in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = exact.exact_duplicates(df).collect()
+    assert {r.group_size for r in got} == {2}
+    assert sorted(map(tuple, got), key=str) == brute_exact(df.collect())
