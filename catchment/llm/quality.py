@@ -10,7 +10,8 @@ views' calibrated log odds are combined by weights fitted on the held-out
 labels, and every document is scored from its whole text.
 
 Fitting uses at most ``FIT_LABELLED`` labelled documents, taken by hash of the
-id, and the pseudo-labelled ones, at most ``PER_ROUND`` per view and round. In
+id, half of them of each class where there are as many (the rest from the other
+class; calibration weighs them back to the shares of all labels), and the pseudo-labelled ones, at most ``PER_ROUND`` per view and round. In
 each round every unlabelled row is scored by both views in one pass, and the
 surest are a distributed top-k over all of them, ties by hash. Scoring covers
 every row in one pass without a shuffle, and the model's size is fixed.
@@ -168,14 +169,16 @@ def name_rows(views: list[np.ndarray], per_round: int, sure: float) -> Naming:
 
 
 def co_train(content: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray, rounds: int = ROUNDS,
-             per_round: int = PER_ROUND, sure: float = SURE, name: Naming | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+             per_round: int = PER_ROUND, sure: float = SURE, name: Naming | None = None,
+             stands: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Content weights, metadata weights and the weights that combine their
     logits. ``y`` is 1, 0 or NaN (unlabelled); ``held`` marks held-out labels.
     ``name`` names unlabelled documents that are elsewhere; without it they are
-    the rows whose ``y`` is NaN."""
+    the rows whose ``y`` is NaN. ``stands``: of how many labels each is a sample."""
     pool = np.isnan(y)
     name = name or name_rows([content[pool], meta[pool]], per_round, sure)
     own, known = ~pool & ~held, ~pool & held
+    stands = (np.ones(len(y)) if stands is None else stands)[known]
     given = [[(x[own], y[own])] for x in (content, meta)]
     for r in range(rounds + 1):
         fitted, calibrated = [], []
@@ -185,13 +188,13 @@ def co_train(content: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndar
             weight = np.where(labels == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
             fitted.append(fit_logistic(at, labels, weight))
             z = _logit(x[known], fitted[-1])
-            calibrated.append(fit_logistic(z[:, None], y[known], np.ones(known.sum()), l2=1e-4))
+            calibrated.append(fit_logistic(z[:, None], y[known], stands, l2=1e-4))
         if r == rounds:
             break
         for rows, named in zip(given, name(fitted, calibrated)):
             rows.append(named)
     logits = np.stack([_logit(x[known], w) for x, w in zip((content, meta), fitted)], axis=1)
-    combine = fit_logistic(logits, y[known], np.ones(known.sum()), l2=1e-4)
+    combine = fit_logistic(logits, y[known], stands, l2=1e-4)
     return fitted[0], fitted[1], combine
 
 
@@ -268,14 +271,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         "_id is not null and y is not null").groupBy("_id").agg((F.min(F.col("y").cast("double")) > 0).cast("double").alias("y"))
     truth = materialize(truth)
     ids = docs.select(F.col(id_col).cast("long").alias("_id")).where("_id is not null")
-    chosen = truth.join(ids, "_id", "left_semi").orderBy(turn, "_id").limit(FIT_LABELLED)
+    present = materialize(truth.join(ids, "_id", "left_semi"))
+    count = {label: n for label, n in present.groupBy("y").count().collect()}  # two rows at most
+    bad, good = count.get(0.0, 0), count.get(1.0, 0)
+    if min(bad, good) < 2:
+        return None
+    half = FIT_LABELLED // 2
+    take = {0.0: min(bad, max(half, FIT_LABELLED - good)), 1.0: min(good, max(half, FIT_LABELLED - bad))}
+    of_bad, of_good = (present.where(F.col("y") == label).orderBy(turn, "_id").limit(n) for label, n in take.items())
+    chosen = of_bad.union(of_good)
     rows = docs.select(*_columns(docs, id_col, text_col))
     got = rows.join(F.broadcast(chosen), "_id").mapInArrow(
         _features, "id long, y double, content binary, meta binary").toPandas()
     got = got.sort_values(["id", "content"]).drop_duplicates("id")
     y = got["y"].to_numpy(np.float64, na_value=np.nan)
-    if not (np.nansum(y == 1) >= 2 and np.nansum(y == 0) >= 2):
-        return None
     content = np.stack([np.frombuffer(b, np.float32) for b in got["content"]])
     meta = np.stack([np.frombuffer(b, np.float32) for b in got["meta"]])
     held = np.zeros(len(y), bool)
@@ -283,7 +292,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         at = np.flatnonzero(y == label)
         at = at[np.argsort(mix(got["id"].to_numpy(np.int64)[at].view(np.uint64)))]
         held[at[::HELD_OUT]] = True
-    c, m, combine = co_train(content, meta, y, held, name=_name_documents(rows, truth, PER_ROUND, SURE, seed))
+    c, m, combine = co_train(content, meta, y, held, name=_name_documents(rows, truth, PER_ROUND, SURE, seed),
+                            stands=np.where(y == 1, good / take[1.0], bad / take[0.0]))
     return {"content": c, "meta": m, "combine": combine}
 
 

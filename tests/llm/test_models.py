@@ -134,6 +134,16 @@ def test_every_unlabelled_row_can_be_named(spark):
         assert sum((r == content[0]).all() for r in x) == n_rare and sum((r == content[1]).all() for r in x) == 4 - n_rare
 
 
+def test_few_bad_labels_among_many(spark, monkeypatch):
+    """8 bad labels of 800: a sample of 40 over both classes would hold none or one."""
+    monkeypatch.setattr(quality, "FIT_LABELLED", 40)
+    rows = [(i, f"$$$ 111 ### {i} !!!" if i % 100 == 7 else f"some plain words of number {i} in a row", "en", "s", 30) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 100 != 7)) for i in range(800)], "doc_id long, quality int")
+    got = quality.score_documents(df, quality.train(df, labels)).collect()
+    assert {r.doc_id for r in got if not r.kept} == {i for i in range(900) if i % 100 == 7}
+
+
 # ------------------------------------------------------------ token files
 def test_bit_packing_round_trip():
     rng = np.random.default_rng(0)
