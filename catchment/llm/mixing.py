@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .shared import numbered
 
 FAN_IN = 64
 WORD = r"[^\x20\x09-\x0D]+"
@@ -171,14 +172,27 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                     seed: int = 42, **targets) -> DataFrame:
     """The rows of ``docs`` (same columns), each as many times as the mix takes
-    it. Rows alike in id, source and size all take the extra copy if at least
-    half of them should; documents without words are taken ``base`` times."""
+    it: of the ``m`` rows alike in id, source and size, the first ``extra`` by
+    hash of all their columns are taken once more than the others."""
     units = mixed_units(docs, id_col, source_col, text_col, seed, **targets)
-    copies = units.select(
-        F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        (F.col("base") + F.when(2 * F.col("extra") >= F.greatest("m", F.lit(1)), F.lit(1)).otherwise(F.lit(0))).cast("int").alias("_copies"),
-    )
+    alike = ["_id", "_source", "_size"]
+    copies = units.select(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
+                          F.col("m").alias("_m"), F.col("base").alias("_base"), F.col("extra").alias("_extra"))
     on = (docs[id_col].eqNullSafe(F.col("_id")) & docs[source_col].eqNullSafe(F.col("_source"))
           & (word_count(docs[text_col]) == F.col("_size")))
-    taken = docs.join(copies, on).select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_"))
-    return taken.drop("_")
+    own = [docs[c] for c in docs.columns]
+
+    def taken(rows: DataFrame, turn: Column) -> DataFrame:
+        times = (F.col("_base") + F.when(turn < F.col("_extra"), F.lit(1)).otherwise(F.lit(0))).cast("int")
+        return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(0), times)).alias("_")).drop("_")
+
+    single = taken(docs.join(copies.where("_m = 1"), on).select(*own, "_base", "_extra"), F.lit(0))
+    more = copies.where("_m > 1")
+    if more.isEmpty():
+        return single
+    # equal rows are numbered apart, so that no hash of a row is common
+    rows = materialize(docs.join(more, on).select(
+        *own, *alike, "_base", "_extra", F.xxhash64(F.to_json(F.struct(*own))).alias("_mark"),
+        F.monotonically_increasing_id().alias("_row")))
+    rows = materialize(numbered(rows, [*alike, "_mark"], ["_row"], "_same").drop("_row"))
+    return single.union(taken(numbered(rows, alike, ["_mark", "_same"], "_turn"), F.col("_turn")))

@@ -113,6 +113,29 @@ def test_mix(docs, corpus, awkward, no_docs):
     assert mixing.mix_sources(no_docs).collect() == []
 
 
+def test_mixed_documents_of_repeated_ids_meet_the_targets(spark, awkward, no_docs):
+    rows = [(7, f"a b {'cd'[i % 2]}", "hot") for i in range(101)] + [(8, "x y", "b")] * 50 + [(i, "w " * (i % 5), "b") for i in range(20)]
+    rows += [(None, "n o", "hot")] * 30 + [(9, "once here", "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    sizes, taken = Counter(), Counter()
+    for r in df.collect():
+        sizes[r.source] += count_words(r.text)
+    got = mixing.mixed_documents(df)
+    assert got.columns == df.columns
+    got = got.collect()
+    for r in got:
+        taken[r.source] += count_words(r.text)
+    for s, t in brute_targets(dict(sizes)).items():
+        assert abs(taken[s] - t) <= 4 + 1e-6
+    words = Counter()
+    for r in mixing.mix_sources(df).collect():
+        words[r.doc_id] += r.taken
+    assert words == Counter(r.doc_id for r in got for _ in range(count_words(r.text)))
+    again = mixing.mixed_documents(df.repartition(5)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    assert mixing.mixed_documents(awkward).columns == awkward.columns and mixing.mixed_documents(no_docs).collect() == []
+
+
 def test_mix_of_many_levels_and_repeated_rows(spark, monkeypatch):
     monkeypatch.setattr(mixing, "FAN_IN", 4)
     rows = [(i, "w " * (i % 17), "hot" if i % 3 else f"s{i % 5}") for i in range(500)] + [(7, "a b c", "hot")] * 101
