@@ -2,7 +2,7 @@ import pytest
 
 from catchment.operators.classes import class_benchmark
 from catchment.operators.gap import access_gap, access_gap_long, clean_gap, mode_required
-from conftest import rows
+from helpers import rows
 
 
 def test_access_gap_two_tables_and_long_form_agree(spark):

@@ -16,7 +16,7 @@ from catchment.operators.ranktest import signed_rank_test
 from catchment.operators.summary import summary_table
 from catchment.schemas import struct, S, D, I
 from catchment.sources.files import read_csv
-from conftest import REF
+from helpers import REF
 
 GAP = struct(("ONS_ID", I), ("Name", S), ("dist_all", D), ("time_all", D), ("dist_fr", D), ("time_fr", D),
              ("diff_d", D), ("diff_t", D))

@@ -6,7 +6,7 @@ import pytest
 
 from catchment import schemas
 from catchment.sources import files, sinks
-from conftest import rows
+from helpers import rows
 
 
 def test_typed_csv_with_grouping_marks_and_na(spark, tmp_path):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from catchment.operators.nearest import nearest_k_mean
 from catchment.operators.weighting import area_shares, block_weights, zone_access, zone_population
-from conftest import rows
+from helpers import rows
 
 OD = "block_id string, dest_id string, distance double, time double"
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catchment.functions.geo import plane_scale
 from catchment.operators.spatial import cell_join_side, points_in_zones, zone_cell_edges, zone_counts, zones_on_plane
 from catchment.schemas import ZONES
-from conftest import rows
+from helpers import rows
 
 ORIGIN = (-75.7, 45.4)
 KX, KY = plane_scale(ORIGIN[1])
