@@ -1,7 +1,9 @@
 """Token ids of whole texts by a tokenizer file, fast enough for a large
 corpus: a text is cut before every run of ASCII white space that follows
 something else and between an ASCII letter and ASCII punctuation after it, and
-each distinct piece is encoded once and kept. Neither a
+each distinct piece is encoded once and kept with its bytes. A piece is found by
+its hash and then compared byte by byte; a text with a piece that differs is
+encoded whole. Neither a
 byte-level BPE with its usual pre-tokeniser nor a BPE that drops white space
 forms a token across such a cut, so the ids are those of the whole text (the
 tests compare). Texts with other white space or control separators are encoded
@@ -42,6 +44,7 @@ class Encoder:
         self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
         self.keys, self.start, self.length = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.uint32)
+        self.spelt, self.spelt_at, self.spelt_len = np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -62,6 +65,9 @@ class Encoder:
             new = first[at < 0]
             self._learn(uniq[at < 0], raw, start[plain][new], end[plain][new], uniq)
             at = self._find(uniq)
+        other = self._differing(data, start[plain], end[plain], at[inverse])
+        if len(other):
+            odd = np.union1d(odd, np.searchsorted(offsets, start[plain][other], "right") - 1)
         n = np.zeros(len(start), np.int64)
         begin = np.zeros(len(start), np.int64)
         n[plain], begin[plain] = self.length[at][inverse], self.start[at][inverse]
@@ -86,6 +92,18 @@ class Encoder:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, at, -1)
 
+    def _differing(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The pieces whose bytes are not those kept under their hash."""
+        length = end - start
+        alike = length == self.spelt_len[at]
+        n = np.where(alike, length, 0)
+        first = np.cumsum(n) - n
+        within = np.arange(int(n.sum())) - np.repeat(first, n)
+        differs = data[np.repeat(start, n) + within] != self.spelt[np.repeat(self.spelt_at[at], n) + within]
+        where = np.flatnonzero(differs)
+        alike[np.searchsorted(first + n, where, "right")] = False
+        return np.flatnonzero(~alike)
+
     def _learn(self, keys: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray, needed: np.ndarray) -> None:
         pieces = [raw[a:b].decode() for a, b in zip(start.tolist(), end.tolist())]
         groups = [pieces[i: i + GROUP] for i in range(0, len(pieces), GROUP)]
@@ -98,12 +116,20 @@ class Encoder:
             self.keys, self.length = self.keys[keep], self.length[keep]
             self.pool = np.concatenate(old) if old else np.empty(0, np.uint32)
             self.start = np.cumsum(self.length) - self.length
+            old = [self.spelt[s: s + n] for s, n in zip(self.spelt_at[keep].tolist(), self.spelt_len[keep].tolist())]
+            self.spelt_len = self.spelt_len[keep]
+            self.spelt = np.concatenate(old) if old else np.empty(0, np.uint8)
+            self.spelt_at = np.cumsum(self.spelt_len) - self.spelt_len
         all_keys = np.concatenate([self.keys, keys])
         all_start = np.concatenate([self.start, len(self.pool) + np.cumsum(length) - length])
         order = np.argsort(all_keys, kind="stable")
         self.keys, self.start = all_keys[order], all_start[order]
         self.length = np.concatenate([self.length, length])[order]
         self.pool = np.concatenate([self.pool, *ids])
+        spelt_len = end - start
+        self.spelt_at = np.concatenate([self.spelt_at, len(self.spelt) + np.cumsum(spelt_len) - spelt_len])[order]
+        self.spelt_len = np.concatenate([self.spelt_len, spelt_len])[order]
+        self.spelt = np.concatenate([self.spelt, np.frombuffer(b"".join(p.encode() for p in pieces), np.uint8)])
 
 
 _encoders: dict[str, Encoder] = {}

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .shared import attach_groups
+from .shared import attach_groups, by_position
 
 # Bytes compared in the first round, growth of the run per round, longest run.
 FIRST_RUN = 32
@@ -71,7 +71,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (same columns) without exact copies: of each group
     of equal texts the document with the largest id stays, and of rows alike in
-    id (or without one) and text one, by hash."""
+    id (or without one) and text one, by hash. Further columns may have any
+    name."""
+    own, names = by_position(docs)
+    at = dict(zip(docs.columns, names))
+    return _one_of_each(own, at[id_col], at[text_col]).toDF(*docs.columns)
+
+
+def _one_of_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     found = exact_duplicates(docs, id_col, text_col)
     keys = materialize(
         found.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .shared import numbered
+from .shared import by_position, numbered
 
 FAN_IN = 64
 WORD = r"[^\x20\x09-\x0D]+"
@@ -173,8 +173,15 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
                     seed: int = 42, **targets) -> DataFrame:
     """The rows of ``docs`` (same columns), each as many times as the mix takes
     it: of the ``m`` rows alike in id, source and size, the first ``extra`` by
-    hash of all their columns are taken once more than the others."""
+    hash of all their columns are taken once more than the others. Further
+    columns may have any name."""
     units = mixed_units(docs, id_col, source_col, text_col, seed, **targets)
+    own, names = by_position(docs)
+    at = dict(zip(docs.columns, names))
+    return _taken_documents(own, units, at[id_col], at[source_col], at[text_col]).toDF(*docs.columns)
+
+
+def _taken_documents(docs: DataFrame, units: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
     alike = ["_id", "_source", "_size"]
     copies = units.select(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
                           F.col("m").alias("_m"), F.col("base").alias("_base"), F.col("extra").alias("_extra"))
@@ -184,7 +191,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
 
     def taken(rows: DataFrame, turn: Column) -> DataFrame:
         times = (F.col("_base") + F.when(turn < F.col("_extra"), F.lit(1)).otherwise(F.lit(0))).cast("int")
-        return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(0), times)).alias("_")).drop("_")
+        return rows.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), times)).alias("_copy")).drop("_copy")
 
     single = taken(docs.join(copies.where("_m = 1"), on).select(*own, "_base", "_extra"), F.lit(0))
     more = copies.where("_m > 1")

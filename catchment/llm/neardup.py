@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .shared import attach_groups
+from .shared import attach_groups, by_position
 from .text import chunks, mix, word_hashes
 
 # Signature: BANDS x ROWS bins. At similarity 0.8 a pair shares no band with
@@ -332,7 +332,10 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` (same columns) without near duplicates: of each
-    component the document with the smallest id stays."""
+    component the document with the smallest id stays. Further columns may have
+    any name."""
     found = near_duplicates(docs, id_col, text_col, **options)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    own, names = by_position(docs)
+    id_at = names[docs.columns.index(id_col)]
+    return own.join(gone, F.col(id_at) == F.col("_gone"), "left_anti").toDF(*docs.columns)

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .shared import by_position
 from .text import _SPACE, chunks, hash_spans, mix, words
 
 # Labelled documents that the fit uses at most, and the share of labels held out.
@@ -198,11 +199,15 @@ def co_train(content: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndar
     return fitted[0], fitted[1], combine
 
 
-def _columns(docs: DataFrame, id_col: str, text_col: str) -> list:
+def _columns(docs: DataFrame, id_col: str, text_col: str, at: dict[str, str] | None = None) -> list:
+    """What the views read; ``at`` names the columns of ``docs`` that hold the
+    given ones (by themselves unless told otherwise)."""
+    at = at or {c: f"`{c}`" for c in docs.columns}
+
     def meta(name: str, kind: str):
-        return (F.col(name).cast(kind) if name in docs.columns else F.lit(None).cast(kind)).alias(name)
+        return F.col(at[name]).cast(kind) if name in at else F.lit(None).cast(kind)
 
-    return [F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), meta("lang", "string").alias("_lang"),
+    return [F.col(at[id_col]).cast("long").alias("_id"), F.col(at[text_col]).alias("_text"), meta("lang", "string").alias("_lang"),
             meta("source", "string").alias("_source"), meta("n_chars", "double").alias("_chars")]
 
 
@@ -303,12 +308,18 @@ _RESULT = {"content_score": "double", "meta_score": "double", "quality_score": "
 def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``content_score``, ``meta_score`` (log odds of the views),
-    ``quality_score`` (combined probability) and ``kept``."""
+    ``quality_score`` (combined probability) and ``kept``, which replace columns
+    of these names."""
     base = docs.drop(*_RESULT)
+    return _scored(base, model, id_col, text_col, threshold).toDF(*base.columns, *_RESULT)
+
+
+def _scored(base: DataFrame, model: dict | None, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """The columns of ``base`` by position, and those of ``_RESULT``."""
+    own, names = by_position(base)
     if model is None:
-        return base.withColumns({
+        return own.withColumns({
             "content_score": F.lit(0.0), "meta_score": F.lit(0.0), "quality_score": F.lit(1.0), "kept": F.lit(True)})
-    names = base.columns
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -322,15 +333,14 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
                     [*part.columns[:k], pa.array(a), pa.array(b), pa.array(p), pa.array(p >= threshold)],
                     [*names, *_RESULT])
 
-    fed = base.select(*[F.col(f"`{c}`") for c in names], *_columns(base, id_col, text_col))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
+    at = dict(zip(base.columns, names))
+    fed = own.select(*names, *_columns(own, id_col, text_col, at))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema.fields)
     return fed.mapInArrow(score, schema + "".join(f", {n} {t}" for n, t in _RESULT.items()))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` (same columns) that the co-trained model keeps."""
+    """The rows of ``docs`` (same columns) that the co-trained model keeps.
+    Further columns may have any name."""
     model = train(docs, labels, id_col, text_col)
-    clash = [c for c in docs.columns if c in _RESULT]
-    safe = docs.withColumnsRenamed({c: f"_own_{c}" for c in clash})
-    kept = score_documents(safe, model, id_col, text_col).where("kept").drop(*_RESULT)
-    return kept.withColumnsRenamed({f"_own_{c}": c for c in clash}).select(*docs.columns)
+    return _scored(docs, model, id_col, text_col, THRESHOLD).where("kept").drop(*_RESULT).toDF(*docs.columns)

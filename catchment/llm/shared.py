@@ -48,6 +48,14 @@ def map_file(url: str) -> np.ndarray:
         return np.frombuffer(f.read(), np.uint8)
 
 
+def by_position(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with its columns named ``c0, c1, ...``, whatever names they had
+    (also names that an operator uses itself, or the same name twice), and
+    these names. ``toDF(*docs.columns)`` gives the old names back."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), names
+
+
 def attach_groups(rows: DataFrame, keys: list[str], aggregates: dict, number: str | None = None) -> DataFrame:
     """``rows`` with aggregates of the rows that share their keys, where at
     least two do (else null), and ``_n``, their number (else 1). ``number``

@@ -2,9 +2,13 @@
 byte buffer and cut, hashed and grouped with numpy, so that no Python loop
 runs per word. Words are runs of bytes outside ``[\\x20\\x09-\\x0D]``.
 
-A word is identified by a 64-bit hash of its bytes (a polynomial over a table
-of mixed byte values, then a finaliser). Two different words of one corpus
-share a hash with probability about ``distinct_words ** 2 / 2 ** 65``.
+A word is identified by a 64-bit hash of its bytes: every byte value at every
+place of a word has a random number of its own (tabulation), and a word's hash
+is the finalised sum of its bytes' numbers. No structure of a word meets
+structure of the numbers, as it could with powers of a base; two different
+words of one corpus share a hash with probability about
+``distinct_words ** 2 / 2 ** 65``. Where one hit decides a result for good, the
+bytes are compared (``encode``).
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
+_SEED = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LETTER = np.zeros(256, bool)
@@ -38,21 +42,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_TABLE = mix(np.arange(1, 257, dtype=_U) * _U(_BASE))
-_powers = {"up": np.ones(1, _U), "down": np.ones(1, _U)}
+# One random number for every byte value at every one of the first places of a word.
+_PLACES = 64
+# Bytes that are hashed at once, so that they stay in a core's cache.
+_RUN_BYTES = 1 << 16
 
 
-def _power(kind: str, n: int) -> np.ndarray:
-    """The first ``n`` powers of the base (or of its inverse) modulo 2**64."""
-    have = _powers[kind]
-    if len(have) < n:
-        step = _U(_BASE if kind == "up" else pow(_BASE, -1, 1 << 64))
-        have = np.full(max(n, 2 * len(have), 1 << 16), step, _U)
-        have[0] = 1
-        have = np.cumprod(have, dtype=_U)
-        if n <= 4 * CHUNK_BYTES:
-            _powers[kind] = have
-    return have[:n]
+def _number(cell: np.ndarray) -> np.ndarray:
+    """The number of a byte value (low 8 bits) at a place (the other bits)."""
+    return mix(mix(cell + _U(_SEED)) ^ _U(_SEED))
+
+
+_TABLE = _number(np.arange(_PLACES << 8, dtype=_U))
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -117,11 +118,19 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     out = np.empty(len(start), _U)
     i = 0
     while i < len(start):
-        j = max(i + 1, int(np.searchsorted(end, start[i] + CHUNK_BYTES, "right")))
+        j = max(i + 1, int(np.searchsorted(end, start[i] + _RUN_BYTES, "right")))
         a, b = int(start[i]), int(end[j - 1])
+        place = np.arange(b - a, dtype=np.int32 if b - a < 1 << 22 else np.int64)
+        place -= np.repeat((start[i:j] - a).astype(place.dtype), np.diff(np.append(start[i:j], b)))
+        cell = (place << 8) | data[a:b]
+        far = np.flatnonzero(place >= _PLACES)
+        beyond = cell[far]
+        cell[far] = 0
         run = np.zeros(b - a + 1, _U)
-        np.cumsum(_TABLE[data[a:b]] * _power("up", b - a), out=run[1:])
-        out[i:j] = (run[end[i:j] - a] - run[start[i:j] - a]) * _power("down", b - a + 1)[start[i:j] - a]
+        np.take(_TABLE, cell, out=run[1:])
+        run[1:][far] = _number(beyond.astype(_U))
+        np.cumsum(run, out=run)
+        out[i:j] = run[end[i:j] - a] - run[start[i:j] - a]
         i = j
     return mix(out + (end - start).astype(_U))
 

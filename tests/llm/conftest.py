@@ -5,7 +5,10 @@ import os
 import pytest
 
 SF = "/root/testdata/sf0.001"
-DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, kept string, shard string, size string"
+# further columns, under names that operators use themselves
+EXTRA = ("score", "kept", "shard", "size", "_id", "_sha", "_n", "_gone", "_row", "_base", "_extra", "_m", "_", "_copy", "_mark",
+         "_text", "_lang", "_source", "_size", "_own_kept", "id", "c0", "c1", "p", "tie", "label", "term", "n.dot")
+DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in EXTRA)
 
 need_data = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
@@ -28,7 +31,7 @@ def awkward_rows():
         (None, "no id here", "en", "c", 10),
         (None, None, "en", "c", None),
     ]
-    return [(*r, "s", "k", "h", "z") for r in rows]
+    return [(*r, *[c[:1] for c in EXTRA]) for r in rows]
 
 
 @pytest.fixture(scope="session")

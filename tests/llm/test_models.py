@@ -222,7 +222,6 @@ def test_token_files(docs, corpus, awkward, no_docs, monkeypatch):
 
     path = tokenizer_path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     check_files(tokenfiles.read_token_files(tokenfiles.write_token_files(docs, path)).collect(), corpus, tok)
     check_files(tokenfiles.read_token_files(tokenfiles.write_token_files(awkward, path)).collect(), awkward.collect(), tok)
     assert tokenfiles.read_token_files(tokenfiles.write_token_files(no_docs, path)).collect() == []

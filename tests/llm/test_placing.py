@@ -199,7 +199,6 @@ def test_packing(docs, corpus, awkward, no_docs):
 
     path = tokenizer_path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     rows = packing.pack_documents(docs, path).collect()
     assert check_packing(rows, corpus, tok) > 0.95
     texts = {r.doc_id: r.text for r in corpus}
