@@ -28,6 +28,7 @@ name are replaced.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,7 @@ _KIND[0x61:0x7B] = 1
 _KIND[0x41:0x5B] = 2
 _KIND[0x30:0x3A] = 3
 _KIND[0x80:] = 5
+_PAIR_CELL = (mix(np.arange(1 << 16, dtype=np.uint64)) % np.uint64(PAIRS)).astype(np.int64)
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[ord(c) for c in ".,;:'\"-()"]] = True
 
@@ -71,14 +73,15 @@ def content_features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return out
     row = np.repeat(np.arange(n), np.diff(offsets))
     size = np.maximum(np.diff(offsets), 1)
-    pair = data[:-1].astype(np.uint64) * np.uint64(256) + data[1:]
-    same = row[:-1] == row[1:]
-    cell = row[:-1][same] * PAIRS + (mix(pair[same]) % np.uint64(PAIRS)).astype(np.int64)
-    counts = np.bincount(cell, minlength=n * PAIRS).reshape(n, PAIRS)
+    cell = row[:-1] * PAIRS + _PAIR_CELL[data[:-1].astype(np.uint16) << 8 | data[1:]]
+    counts = np.bincount(cell, minlength=n * PAIRS)
+    np.subtract.at(counts, cell[np.flatnonzero(row[:-1] != row[1:])], 1)  # pairs over the edge of two texts
+    counts = counts.reshape(n, PAIRS)
     out[:, :PAIRS] = np.sqrt(counts / size[:, None]) * 4  # Hellinger scaling
-    kinds = np.bincount(row * 6 + _KIND[data], minlength=n * 6).reshape(n, 6) / size[:, None]
-    plain = np.bincount(row, weights=_PUNCTUATION[data], minlength=n) / size
-    lines = np.bincount(row, weights=data == 10, minlength=n) / size
+    byte = np.bincount(row * 256 + data, minlength=n * 256).reshape(n, 256)
+    kinds = byte @ (_KIND[:, None] == np.arange(6)) / size[:, None]
+    plain = byte @ _PUNCTUATION / size
+    lines = byte[:, 10] / size
     start, end, before = words(data, offsets)
     count = np.diff(before)
     safe = np.maximum(count, 1)
@@ -90,10 +93,8 @@ def content_features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     repeat = np.zeros(len(h))
     if len(h) > 1:
         repeat[1:] = (h[1:] == h[:-1]) & (owner[1:] == owner[:-1])
-    order = np.lexsort((h, owner))
-    new = np.ones(len(h), bool)
-    new[1:] = (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1])
-    distinct = np.bincount(owner[order][new], minlength=n) / safe
+    _, first = np.unique(h + mix(owner.astype(np.uint64)), return_index=True)
+    distinct = np.bincount(owner[first], minlength=n) / safe
     symbol_words = np.bincount(owner, weights=_KIND[data[start]] == 4, minlength=n) / safe if len(start) else np.zeros(n)
     style = [*kinds.T, plain, lines * 10, mean / 10, spread / 10, np.bincount(owner, weights=repeat, minlength=n) / safe,
              distinct, symbol_words, np.log1p(count) / 10]
@@ -113,6 +114,7 @@ def meta_features(lang: list, source: list, n_chars: list) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=1 << 16)
 def _bucket(kind: str, value, size: int) -> int:
     raw = np.frombuffer(f"{kind}:{value!r}".encode(), np.uint8)
     return int(hash_spans(raw, np.array([0]), np.array([len(raw)]))[0] % np.uint64(size))
