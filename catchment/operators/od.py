@@ -103,9 +103,9 @@ def nearest_destinations(
     st = d.agg(F.count("*").alias("n"), F.min("lon").alias("x0"), F.max("lon").alias("x1"),
                F.min("lat").alias("y0"), F.max("lat").alias("y1")).first()
     if not st["n"]:
-        return spark.createDataFrame([], "block_id long, dest_id long, dist_m double").select(
-            F.col("block_id").cast(origins.schema["block_id"].dataType),
-            F.col("dest_id").cast(dests.schema["dest_id"].dataType), "dist_m")
+        return spark.range(0).select(
+            F.lit(None).cast(origins.schema["block_id"].dataType).alias("block_id"),
+            F.lit(None).cast(dests.schema["dest_id"].dataType).alias("dest_id"), F.lit(None).cast("double").alias("dist_m"))
     if plane_origin is None:
         plane_origin = ((st["x0"] + st["x1"]) / 2.0, (st["y0"] + st["y1"]) / 2.0)
     kx, ky = plane_scale(plane_origin[1])

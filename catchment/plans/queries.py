@@ -18,7 +18,8 @@ from ..operators.figures import (FIGURE_SPEC_ROWS, attribute_vs_metric, bivariat
                                  figure_limits, outlines_for)
 from ..operators.gap import access_gap_long, clean_gap
 from ..operators.nearest import nearest_k_mean
-from ..operators.od import od_by_population, od_for_destinations, od_straight_line, od_straight_line_by_population
+from ..operators.network import od_network
+from ..operators.od import DEFAULT_POPULATIONS, od_by_population, od_for_destinations, od_straight_line, od_straight_line_by_population
 from ..operators.percapita import per_capita_long, zone_populations
 from ..operators.ranking import join_on_keys, order_statistics
 from ..operators.ranktest import signed_rank_test, test_report
@@ -359,6 +360,29 @@ def q_straight_line_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(access_gap_long(zone_table(spark, sf_dir, means), roles.zone_names(spark, sf_dir), by=["mode"]))
 
 
+NETWORK_MIN = 5  # nodes of an island of streets that places are tied to
+
+
+def network_od(spark: SparkSession, sf_dir: str, cost: str = "time") -> DataFrame:
+    """The k cheapest destinations of every block over the streets, per mode
+    and population."""
+    dests = roles.dest_points(spark, sf_dir).join(roles.destinations(spark, sf_dir), "dest_id")
+    blocks = roles.block_points(spark, sf_dir)
+    return od_network(roles.streets(spark, sf_dir), blocks.withColumnRenamed("block_id", "node"), blocks, dests, k=K, cost=cost,
+                      min_reachability=NETWORK_MIN, modes=roles.MODES, populations=DEFAULT_POPULATIONS, plane_origin=ORIGIN)
+
+
+def q_od_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quickest ways over the street network."""
+    return network_od(spark, sf_dir)
+
+
+def q_network_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone access gap over the shortest ways of each population."""
+    means = nearest_k_mean(network_od(spark, sf_dir, cost="distance"), keys=["block_id", "mode", "population"], k=K)
+    return rounded(access_gap_long(zone_table(spark, sf_dir, means), roles.zone_names(spark, sf_dir), by=["mode"]))
+
+
 def q_signed_rank_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signed-rank test of all residents against the sub-population over the
     blocks of each mode: more than 50 pairs, with ties and zero differences, so
@@ -546,6 +570,8 @@ QUERIES = {
     "geojson_zones": q_geojson_zones,
     "od_straight_line": q_od_straight_line,
     "straight_line_gap": q_straight_line_gap,
+    "od_network": q_od_network,
+    "network_gap": q_network_gap,
     "signed_rank_blocks": q_signed_rank_blocks,
     "signed_rank_level": q_signed_rank_level,
     "straight_line_access": q_straight_line_access,

@@ -15,6 +15,7 @@ same values.
 | zone attributes (long)     | events JOIN customer, per nation and city-wide  |
 | zone outlines              | nation + fixed shape templates on a 5 x 5 grid  |
 | points (all / sub)         | customer location rule; sub = BUILDING segment  |
+| street network             | orders: customers of successive orders of a day, priority and status are neighbours |
 """
 
 from __future__ import annotations
@@ -316,6 +317,48 @@ vertices AS (
 )"""
 
 
+# ----------------------------------------------------------------- streets
+# Metres per second of a street by its order's key; walking speed.
+AUTO_SPEEDS = (8.0, 12.0, 16.0)
+WALK_SPEED = 1.4
+
+
+def streets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """mode, from_node, to_node, distance (m), time (s), whole numbers: a
+    street joins the customers of two successive orders of a day, priority and
+    status. Orders of status P make one-way streets for cars, urgent ones are
+    closed to pedestrians."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    w = Window.partitionBy("o_orderdate", "o_orderpriority", "o_orderstatus").orderBy("o_orderkey")
+    s = o.withColumn("b", F.lead("o_custkey").over(w)).where("b is not null and b <> o_custkey")
+    length = (_d(100.0) + (F.floor("o_totalprice") % 5000).cast("double"))
+    speed = F.element_at(F.array(*[_d(v) for v in AUTO_SPEEDS]), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    s = s.select(F.col("o_custkey").alias("a"), "b", "o_orderstatus", "o_orderpriority", length.alias("distance"), speed.alias("speed"))
+
+    def way(mode: str, start: str, end: str, open_, speed_) -> list:
+        return F.when(open_, F.struct(F.lit(mode).alias("mode"), F.col(start).alias("from_node"), F.col(end).alias("to_node"),
+                                      "distance", F.ceil(F.col("distance") / speed_).cast("double").alias("time")))
+
+    two_way, walk = F.col("o_orderstatus") != "P", F.col("o_orderpriority") != "1-URGENT"
+    ways = F.array(way("auto", "a", "b", F.lit(True), F.col("speed")), way("auto", "b", "a", two_way, F.col("speed")),
+                   way("pedestrian", "a", "b", walk, _d(WALK_SPEED)), way("pedestrian", "b", "a", walk, _d(WALK_SPEED)))
+    return s.select(F.inline(F.filter(ways, lambda x: x.isNotNull())))
+
+
+SQL_STREETS = f"""streets AS (
+  SELECT m.mode, CASE WHEN m.back THEN b ELSE a END AS from_node, CASE WHEN m.back THEN a ELSE b END AS to_node, distance,
+         CASE WHEN m.mode = 'auto' THEN ceil(distance / speed) ELSE ceil(distance / {WALK_SPEED}::DOUBLE) END AS time
+  FROM (
+    SELECT o_custkey AS a, lead(o_custkey) OVER (PARTITION BY o_orderdate, o_orderpriority, o_orderstatus ORDER BY o_orderkey) AS b,
+           o_orderstatus, o_orderpriority, 100.0::DOUBLE + CAST(CAST(floor(o_totalprice) AS BIGINT) % 5000 AS DOUBLE) AS distance,
+           CASE o_orderkey % 3 WHEN 0 THEN {AUTO_SPEEDS[0]}::DOUBLE WHEN 1 THEN {AUTO_SPEEDS[1]}::DOUBLE ELSE {AUTO_SPEEDS[2]}::DOUBLE END AS speed
+    FROM orders) s
+  CROSS JOIN (VALUES ('auto', false), ('auto', true), ('pedestrian', false), ('pedestrian', true)) m(mode, back)
+  WHERE b IS NOT NULL AND a <> b
+    AND CASE WHEN m.mode = 'auto' THEN NOT m.back OR o_orderstatus <> 'P' ELSE o_orderpriority <> '1-URGENT' END
+)"""
+
+
 # ------------------------------------------------------------------ points
 def points(spark: SparkSession, sf_dir: str, sub_only: bool = False) -> DataFrame:
     """point_id, lon, lat: one point per customer (placed by a fixed rule);
