@@ -319,6 +319,56 @@ def q_od_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(nearest_k_mean(od, keys=["block_id", "mode"], k=K))
 
 
+def q_od_one_mode_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each mode's OD table written in a call of its own, one of them wrongly and
+    then again: nearest-5 means of what the directory holds."""
+    path = f"{_scratch(spark, 'od-modes')}/od"
+    od = roles.od_table(spark, sf_dir)
+    auto, walk = (od.where(F.col("mode") == m) for m in roles.MODES)
+    sinks.write_partitioned(auto.withColumn("distance", F.lit(-1.0)), path)
+    sinks.write_partitioned(walk, path)
+    sinks.write_partitioned(auto, path)
+    return rounded(nearest_k_mean(files.read_od(spark, path), keys=["block_id", "mode"], k=K))
+
+
+def q_published_one_mode_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published gap table with one mode published again."""
+    path = f"{_scratch(spark, 'published-modes')}/gap"
+    gap = materialize(q_access_gap(spark, sf_dir)).select("mode", "zone_id", "name", "time_all")
+    order = [("time_all", True)]
+    sinks.write_published(gap.withColumn("time_all", F.lit(0.0)), path, order, by="mode")
+    for mode in roles.MODES:
+        sinks.write_published(gap.where(F.col("mode") == mode), path, order, by="mode")
+    back = spark.read.option("header", True).option("nullValue", "NA").schema(
+        "zone_id int, name string, time_all double, mode string").csv(path)
+    return back.select("mode", "zone_id", "name", "time_all")
+
+
+def q_csv_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block populations with values that are no numbers, read typed: the
+    failures by column and text, and the rows that kept a value."""
+    path = f"{_scratch(spark, 'failures')}/pops.csv"
+    c = roles.table(spark, sf_dir, "customer")
+    pop = F.when(F.col("c_acctbal") < 0, F.concat(F.lit("owes "), F.col("c_mktsegment"))).when(
+        F.col("c_mktsegment") == "MACHINERY", F.lit("NA")).otherwise(F.floor("c_acctbal").cast("string"))
+    sinks.write_csv(c.select(F.col("c_custkey").cast("string").alias("DBUID"), pop.alias("pop")), path)
+    typed, failed = files.read_csv_checked(spark, path, schemas.BLOCK_POPS_CSV)
+    bad = failed.groupBy("column", "text").agg(F.count("*").alias("n"))
+    good = typed.where("pop is not null").agg(F.count("*").alias("n"))
+    return bad.unionByName(good.select(F.lit(None).cast("string").alias("column"), F.lit("(number)").alias("text"), "n"))
+
+
+BUCKETS = 8
+
+
+def q_od_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The OD table stored in buckets by origin and read back: nearest-5 means
+    without an exchange of OD rows."""
+    path = f"{_scratch(spark, 'od-buckets')}/od"
+    sinks.write_od_buckets(roles.od_table(spark, sf_dir), path, BUCKETS)
+    return rounded(nearest_k_mean(files.read_od_buckets(spark, path), keys=["block_id", "mode"], k=K))
+
+
 def q_geojson_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone outlines written as GeoJSON features (one per line) and read back:
     rings and vertices per zone."""
@@ -567,6 +617,10 @@ QUERIES = {
     "csv_round_trip": q_csv_round_trip,
     "destinations_csv": q_destinations_csv,
     "od_round_trip": q_od_round_trip,
+    "od_one_mode_rewritten": q_od_one_mode_rewritten,
+    "published_one_mode_rewritten": q_published_one_mode_rewritten,
+    "od_bucketed": q_od_bucketed,
+    "csv_failures": q_csv_failures,
     "geojson_zones": q_geojson_zones,
     "od_straight_line": q_od_straight_line,
     "straight_line_gap": q_straight_line_gap,

@@ -86,6 +86,11 @@ def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -
     return df
 
 
+def stored_dir(spark: SparkSession) -> str:
+    """The folder of this application's stored tables below the shared one."""
+    return f"{shared_dir(spark)}/catchment-tables/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared checkpoint folder
     and continue from the written table: one computation (a plain
@@ -96,13 +101,14 @@ def materialize(df: DataFrame) -> DataFrame:
     import uuid
 
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/catchment-tables/{uuid.uuid4().hex}"
+    path = f"{stored_dir(spark)}/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_stored(spark: SparkSession) -> None:
-    """Delete every table that :func:`materialize` has written below the shared
-    folder. Only when no DataFrame that reads one is needed any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/catchment-tables")
+    """Delete every table that :func:`materialize` has written in this
+    application (other applications that share the folder keep theirs). Only when
+    no DataFrame that reads one is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

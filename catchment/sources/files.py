@@ -53,8 +53,56 @@ def read_csv(
     ``aliases`` maps a schema name to another header name that is taken when
     the first is absent; ``rename`` maps schema names to ours. Without a header
     the columns are taken by position. Conversion never raises: a value that
-    does not parse becomes NULL."""
-    reader = spark.read.option("nullValue", null_value).option("emptyValue", None).option("mode", "PERMISSIVE")
+    does not parse becomes NULL (:func:`read_csv_checked` lists these)."""
+    raw, names = _scan(spark, path, schema, header, null_value, aliases)
+    return _typed(raw, schema, names, rename)
+
+
+def read_csv_checked(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    rename: Mapping[str, str] | None = None,
+    header: bool = True,
+    null_value: str = "NA",
+    aliases: Mapping[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`read_csv` and what it could not convert: ``file, row, column,
+    text``, one row per value that is there but has become NULL (``column`` by
+    its name in ``schema``), and one per line that has another number of fields
+    than the header (``column`` NULL, ``text`` the line). ``row`` is the line's
+    fields by name as JSON. Both come from one definition of the scan; a line
+    with failures is in the typed table as well."""
+    raw, names = _scan(spark, path, schema, header, null_value, aliases, lines=True)
+    found = []
+    for f in schema.fields:
+        text = _filled(names[f.name])
+        bad = text.isNotNull() & _convert(text, f.dataType).isNull()
+        found.append(F.when(bad, F.struct(F.lit(f.name).alias("column"), text.alias("text"))))
+    found.append(F.when(F.col(_LINE).isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), F.col(_LINE).alias("text"))))
+    fields = [c for c in raw.columns if c != _LINE]
+    row = F.to_json(F.struct(*[F.col(_quoted(c)).alias(c.strip().lstrip("\ufeff")) for c in fields]))
+    failed = raw.select(F.col("_metadata.file_name").alias("file"), row.alias("row"), F.explode(F.array_compact(F.array(*found))).alias("f"))
+    return _typed(raw, schema, names, rename), failed.select("file", "row", "f.column", "f.text")
+
+
+_LINE = "__line_with_other_fields"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _filled(name: str) -> Column:
+    """The text of a field; blank is missing."""
+    text = F.col(_quoted(name))
+    return F.when(F.trim(text) != F.lit(""), text)
+
+
+def _scan(spark, path, schema, header, null_value, aliases, lines: bool = False) -> tuple[DataFrame, dict[str, str]]:
+    """The file's fields as text (with ``lines``, also every line whose number of
+    fields is another one), and the field of each schema name."""
+    reader = spark.read.option("nullValue", null_value).option("emptyValue", None).option("mode", "PERMISSIVE").option("escape", '"')
     names = {f.name: f.name for f in schema.fields}
     if header:
         raw = reader.option("header", True).csv(path)  # reads the header line; every column is text
@@ -66,12 +114,15 @@ def read_csv(
             names[name] = found[at]
     else:
         raw = reader.schema(T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])).csv(path)
+    if lines:
+        kept = T.StructType([*raw.schema.fields, T.StructField(_LINE, T.StringType(), True)])
+        raw = reader.option("header", header).option("enforceSchema", True).option("columnNameOfCorruptRecord", _LINE).schema(kept).csv(path)
+    return raw, names
+
+
+def _typed(raw: DataFrame, schema: T.StructType, names: dict[str, str], rename: Mapping[str, str] | None) -> DataFrame:
     rename = dict(rename or {})
-    cols = []
-    for f in schema.fields:
-        text = F.col("`" + names[f.name].replace("`", "``") + "`")
-        cols.append(_convert(F.when(F.trim(text) != F.lit(""), text), f.dataType).alias(rename.get(f.name, f.name)))
-    return raw.select(*cols)
+    return raw.select(*[_convert(_filled(names[f.name]), f.dataType).alias(rename.get(f.name, f.name)) for f in schema.fields])
 
 
 def read_block_pops(spark: SparkSession, path: str, area_width: int = 8) -> DataFrame:
@@ -118,6 +169,22 @@ def read_od(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame
     return spark.read.parquet(path).select("block_id", "dest_id", "mode", "distance", "time")
 
 
+def read_od_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """The OD table that :func:`.sinks.write_od_buckets` wrote below ``path``:
+    the scan knows the buckets."""
+    import uuid
+
+    path = path.rstrip("/")
+    layout = spark.read.schema("buckets int, block_id string, dest_id string").json(f"{path}/_layout").first()
+    name = f"od_{uuid.uuid4().hex}"
+    quoted = path.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} (block_id {layout['block_id']}, dest_id {layout['dest_id']}, distance DOUBLE, time DOUBLE, mode STRING) "
+        f"USING parquet PARTITIONED BY (mode) CLUSTERED BY (block_id) SORTED BY (block_id) INTO {layout['buckets']} BUCKETS LOCATION '{quoted}'")
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    return spark.table(name).select("block_id", "dest_id", "mode", "distance", "time")
+
+
 _POLY = "array<array<array<double>>>"
 _MULTI = "array<array<array<array<double>>>>"
 

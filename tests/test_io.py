@@ -105,10 +105,89 @@ def test_csv_columns_are_matched_by_name(spark, tmp_path):
 
 
 def test_stored_tables_go_in_one_call(spark):
-    from catchment.session import drop_stored, materialize, shared_dir
+    from catchment.session import drop_stored, materialize, shared_dir, stored_dir
 
-    folder = shared_dir(spark).removeprefix("file:") + "/catchment-tables"
+    folder = stored_dir(spark).removeprefix("file:")
+    other = shared_dir(spark).removeprefix("file:") + "/catchment-tables/another-application"
+    os.makedirs(other, exist_ok=True)
     assert materialize(spark.range(3)).count() == 3 and os.listdir(folder)
     drop_stored(spark)
-    assert not os.path.exists(folder)
+    assert not os.path.exists(folder) and os.path.exists(other)
     assert materialize(spark.range(4)).count() == 4
+
+
+def od_rows(spark, path):
+    return rows(files.read_od(spark, path).select("mode", "block_id", "distance"))
+
+
+def test_rewriting_one_mode_keeps_the_others(spark, tmp_path):
+    df = spark.createDataFrame([("a", "d", "auto", 1.0, 1.0), ("b", "d", "pedestrian", 2.0, 2.0)], schemas.OD)
+    auto, walk = df.where("mode = 'auto'"), df.where("mode = 'pedestrian'")
+    out = str(tmp_path / "od")
+    sinks.write_partitioned(auto, out)
+    sinks.write_partitioned(walk, out)
+    sinks.write_partitioned(auto.withColumn("distance", auto.distance + 9), out)
+    assert od_rows(spark, out) == [("auto", "a", 10.0), ("pedestrian", "b", 2.0)]
+    sinks.write_partitioned(auto.limit(0), out)  # holds no mode: nothing goes
+    assert len(od_rows(spark, out)) == 2
+    sinks.write_partitioned(walk, out, expect=["auto", "pedestrian"])  # both are meant, one is empty now
+    assert od_rows(spark, out) == [("pedestrian", "b", 2.0)]
+    sinks.write_partitioned(auto, out, replace="all")
+    assert od_rows(spark, out) == [("auto", "a", 1.0)]
+    with pytest.raises(ValueError, match="replace"):
+        sinks.write_partitioned(auto, out, replace="some")
+    failing = auto.withColumn("distance", auto.distance / 0)  # ends the job under ANSI rules
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        sinks.write_partitioned(failing, out)
+    assert od_rows(spark, out) == [("auto", "a", 1.0)]
+
+
+def test_publishing_one_mode_keeps_the_others(spark, tmp_path):
+    df = spark.createDataFrame([("auto", 1, 5.0), ("auto", 2, 7.0), ("pedestrian", 1, None)], "mode string, zone_id int, time_all double")
+    out = str(tmp_path / "gap")
+
+    def published():
+        return rows(spark.read.option("header", True).option("nullValue", "NA").schema("zone_id int, time_all double, mode string").csv(out))
+
+    for m in ("auto", "pedestrian"):
+        sinks.write_published(df.where(df["mode"] == m), out, [("time_all", True)], by="mode")
+    assert published() == [(1, 5.0, "auto"), (1, None, "pedestrian"), (2, 7.0, "auto")]
+    sinks.write_published(df.where("zone_id = 2"), out, by="mode")
+    assert published() == [(1, None, "pedestrian"), (2, 7.0, "auto")]
+    sinks.write_published(df.where("zone_id = 2"), out, by="mode", replace="all")
+    assert published() == [(2, 7.0, "auto")]
+
+
+def test_bucketed_od_needs_no_exchange(spark, tmp_path):
+    from catchment.operators.nearest import nearest_k_mean
+
+    od = spark.createDataFrame([(f"b{i % 40}", f"d{i % 7}", m, float(i % 13), float(i % 17)) for i in range(400) for m in ("auto", "walk")], schemas.OD)
+    out = str(tmp_path / "od")
+    sinks.write_od_buckets(od.repartition(5), out, 4)
+    back = files.read_od_buckets(spark, out)
+    assert rows(back) == rows(od.select(*back.columns))
+    means = nearest_k_mean(back, keys=["block_id", "mode"])
+    means.collect()
+    plan = means._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert rows(means) == rows(nearest_k_mean(od, keys=["block_id", "mode"]))
+    one = back.where("mode = 'auto'")
+    assert one.count() == 400 and "PartitionFilters: [isnotnull(mode" in one._jdf.queryExecution().executedPlan().toString()
+    sinks.write_od_buckets(od.where("mode = 'auto'"), out, 2)  # written anew
+    assert files.read_od_buckets(spark, out).count() == 400
+
+
+def test_failures_of_a_typed_scan(spark, tmp_path):
+    p = tmp_path / "pops.csv"
+    p.write_text('DBUID,pop,note\n1,"1,234",a\n2,unknown,b\n3,NA,c\n4,,d\n5,12\n6,7,x,y,z\n"q""7",many,e\n')
+    typed, failed = files.read_csv_checked(spark, str(p), schemas.BLOCK_POPS_CSV, rename={"DBUID": "block_id"})
+    assert typed.columns == ["block_id", "pop"]
+    assert rows(typed) == rows(files.read_csv(spark, str(p), schemas.BLOCK_POPS_CSV, rename={"DBUID": "block_id"}))
+    got = sorted((r["column"] or "", r.text, json.loads(r.row)["DBUID"]) for r in failed.collect())
+    assert got == [("", "5,12", "5"), ("", "6,7,x,y,z", "6"), ("pop", "many", 'q"7'), ("pop", "unknown", "2")]
+    assert {r.file for r in failed.collect()} == {"pops.csv"}
+    d = tmp_path / "d.csv"
+    d.write_text("1,45.1,-75.2,maybe,FALSE\n2,north,-75.3,TRUE,TRUE\n")
+    typed, failed = files.read_csv_checked(spark, str(d), schemas.DESTINATIONS_CSV, header=False)
+    assert sorted((r["column"], r.text) for r in failed.collect()) == [("family_physician", "maybe"), ("lat", "north")]
+    assert typed.count() == 2
