@@ -5,8 +5,8 @@ Points are ``lon``/``lat`` doubles (WGS84); a zone outline is
 the outline and further rings holes, each ring closed or not. Metric work
 happens on a local metre plane around an origin (an equirectangular
 projection): ``x = R cos(lat0) dlon``, ``y = R dlat``. Over a city this is
-accurate to well under 1 %, enough for tolerances of tens of metres; it is not
-a general coordinate-system library.
+accurate to well under 1 %, enough for tolerances of tens of metres; the national
+grid's projection is in :mod:`.projection`.
 
 Point-in-zone tests are array higher-order functions over edges of all rings:
 the parity of the edges crossed on the way to a point of known status (so holes
@@ -50,21 +50,6 @@ def close_rings(rings: Column) -> Column:
     )
 
 
-def rings_to_plane(rings: Column, origin: tuple[float, float]) -> Column:
-    """Rings in metres on the plane around ``origin``."""
-    kx, ky = plane_scale(origin[1])
-    return F.transform(
-        rings,
-        lambda r: F.transform(
-            r,
-            lambda p: F.struct(
-                ((p["x"] - F.lit(origin[0])) * F.lit(kx)).alias("x"),
-                ((p["y"] - F.lit(origin[1])) * F.lit(ky)).alias("y"),
-            ),
-        ),
-    )
-
-
 def rings_bbox(rings: Column) -> Column:
     """struct(min_x, min_y, max_x, max_y) over all vertices."""
     xs = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["x"])))
@@ -127,6 +112,98 @@ def py_at(e: Column, x: Column) -> Column:
     return (e["y2"] - e["y1"]) * (x - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
 
 
+def signed_area(ring_m: Column) -> Column:
+    """Area of a closed ring, positive when it runs counter-clockwise."""
+    return F.aggregate(
+        F.sequence(F.lit(1), F.size(ring_m) - 1), F.lit(0.0),
+        lambda a, i: a + (F.element_at(ring_m, i)["x"] * F.element_at(ring_m, i + 1)["y"]
+                          - F.element_at(ring_m, i + 1)["x"] * F.element_at(ring_m, i)["y"]) / F.lit(2.0))
+
+
+def _without_repeats(ring_m: Column) -> Column:
+    """A closed ring without vertices that repeat the one before."""
+    return F.filter(ring_m, lambda p, i: (i == 0) | (p != F.element_at(ring_m, F.greatest(i, F.lit(1)))))
+
+
+def buffer_rings(rings_m: Column, distance: float, arc_steps: int = 16) -> Column:
+    """Outlines of the zone widened by ``distance`` metres: one closed curve per
+    ring, to be read with :func:`winding_number` (above 0: inside). ``rings_m``
+    are closed, the first ring of a part the outline and further ones holes;
+    each is turned so that the zone lies on its left.
+
+    Every edge is moved ``distance`` to its right; where the next edge turns
+    left, an arc around the corner joins the two (a quarter circle has
+    ``arc_steps`` chords, which stay inside the true buffer by at most
+    ``distance * (1 - cos(pi / (4 * arc_steps)))``); where it turns right, the
+    curve goes by the corner itself, and the loop that this makes does not count.
+    A ring lies in as many others as say whether it is an outline or a hole."""
+    d, step = F.lit(float(distance)), F.lit(math.pi / 2.0 / arc_steps)
+
+    def edge(ring: Column, i: Column) -> Column:
+        """Edge ``i`` (from 0) of an open ring of ``n`` vertices, with its direction."""
+        n = F.size(ring)
+        p, q = F.element_at(ring, i % n + 1), F.element_at(ring, (i + 1) % n + 1)
+        return F.struct(p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2"),
+                        F.atan2(q["y"] - p["y"], q["x"] - p["x"]).alias("a"))
+
+    def at(x: Column, y: Column, angle: Column) -> Column:
+        return F.struct((x + d * F.cos(angle)).alias("x"), (y + d * F.sin(angle)).alias("y"))
+
+    def piece(ring: Column, i: Column) -> Column:
+        """The moved edge ``i`` and the join to the next one."""
+        e, nxt = edge(ring, i), edge(ring, i + 1)
+        out = e["a"] - F.lit(math.pi / 2.0)  # direction to the right of the edge
+        turn = nxt["a"] - e["a"]
+        turn = turn - F.lit(2.0 * math.pi) * F.floor((turn + F.lit(math.pi)) / F.lit(2.0 * math.pi))  # -pi up to pi
+        turn = F.when(turn <= F.lit(1e-12 - math.pi), F.lit(math.pi)).otherwise(turn)  # a spike: around its tip
+        parts = F.greatest(F.ceil(F.abs(turn) / step), F.lit(1)).cast("int")
+        arc = F.transform(F.sequence(F.lit(1), parts), lambda k: at(e["x2"], e["y2"], out + turn * k / parts))
+        corner = F.array(F.struct(e["x2"].alias("x"), e["y2"].alias("y")), at(e["x2"], e["y2"], out + turn))
+        return F.concat(F.array(at(e["x1"], e["y1"], out), at(e["x2"], e["y2"], out)),
+                        F.when(turn > 0, arc).otherwise(corner))
+
+    def curve(ring: Column) -> Column:
+        n = F.size(ring)
+        open_ring = F.slice(ring, 1, n - 1)
+        all_ = F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda i: piece(open_ring, i)))
+        return F.concat(all_, F.array(F.element_at(all_, 1)))
+
+    clean = F.filter(F.transform(rings_m, _without_repeats), lambda r: F.size(r) > 3)
+    return F.transform(F.transform(clean, lambda r: turned(clean, r)), curve)
+
+
+def turned(rings_m: Column, ring: Column) -> Column:
+    """``ring`` with the zone of ``rings_m`` on its left: counter-clockwise when
+    an even number of the other rings holds it, else clockwise."""
+    x, y = inner_point(ring)
+    holds = F.aggregate(rings_m, F.lit(0), lambda n, r: n + F.when((r != ring) & (winding_number(r, x, y) != 0), 1).otherwise(0))
+    left = signed_area(ring) > 0
+    return F.when(left == (holds % 2 == 0), ring).otherwise(F.reverse(ring))
+
+
+def inner_point(ring: Column) -> tuple[Column, Column]:
+    """The middle of a ring's first edge (rings of a zone do not cross)."""
+    a, b = F.element_at(ring, 1), F.element_at(ring, 2)
+    return (a["x"] + b["x"]) / F.lit(2.0), (a["y"] + b["y"]) / F.lit(2.0)
+
+
+def winding_number(ring_m: Column, px: Column, py: Column) -> Column:
+    """How often a closed ring runs counter-clockwise around (px, py)."""
+
+    def step(n: Column, i: Column) -> Column:
+        a, b = F.element_at(ring_m, i), F.element_at(ring_m, i + 1)
+        side = (b["x"] - a["x"]) * (py - a["y"]) - (px - a["x"]) * (b["y"] - a["y"])
+        up, down = (a["y"] <= py) & (b["y"] > py) & (side > 0), (a["y"] > py) & (b["y"] <= py) & (side < 0)
+        return n + F.when(up, 1).when(down, -1).otherwise(0)
+
+    return F.aggregate(F.sequence(F.lit(1), F.size(ring_m) - 1), F.lit(0), step)
+
+
+def in_buffer(curves: Column, px: Column, py: Column) -> Column:
+    """(px, py) lies in the widened zone whose curves :func:`buffer_rings` gave."""
+    return F.aggregate(curves, F.lit(0), lambda n, r: n + winding_number(r, px, py)) > 0
+
+
 def near_any(edges: Column, px: Column, py: Column, tolerance_m: float) -> Column:
     """Some edge of ``edges`` is within ``tolerance_m`` of (px, py)."""
     tol2 = F.lit(float(tolerance_m) ** 2)

@@ -8,10 +8,12 @@ the path from it to the reference point, which stays in the cell, crosses the
 cell's edges an even number of times (reference inside) or an odd one (outside).
 So an edge is kept only where it passes, however wide the zone is. A cell no edge
 comes near has one status for all its points: inside (kept without a test) or
-outside (not listed). Candidate (point, zone) pairs come from an equi-join on the
-cell; only points in cells with edges are tested, against those few edges. A
+outside (not listed); such cells are listed as large as they can be, doubling in
+size from level to level (a quadtree), so that the number of a zone's cells
+follows the length of its outline, not its area. Candidate (point, zone) pairs come from an equi-join on the
+cell of every level in use; only points in cells with edges are tested, against those few edges. A
 point may match several zones when their buffers overlap; a (point, zone) pair
-is found once, because a point has a single cell.
+is found once, because a zone's cells do not overlap.
 
 The zone-cell table is broadcast only when its counted cells and edges are small;
 then a dense cell (a third of all points in one downtown cell) costs no shuffle.
@@ -26,7 +28,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import close_rings, near_any, path_parity, ring_edges, rings_bbox, rings_to_plane, to_plane, valid_lonlat
+from ..functions.geo import buffer_rings, close_rings, near_any, path_parity, ring_edges, rings_bbox, valid_lonlat
+from ..functions.projection import LocalPlane, Plane, map_points
 from ..session import DEFAULT_BROADCAST_BYTES
 
 
@@ -39,9 +42,11 @@ def zone_origin(zones: DataFrame) -> tuple[float, float]:
     return ((bb["a"] + bb["c"]) / 2.0, (bb["b"] + bb["d"]) / 2.0)
 
 
-def zones_on_plane(zones: DataFrame, origin: tuple[float, float]) -> DataFrame:
-    """zone_id, rings_m (closed rings in metres), bbox in metres."""
-    z = zones.select("zone_id", rings_to_plane(close_rings(F.col("rings")), origin).alias("rings_m"))
+def zones_on_plane(zones: DataFrame, plane: Plane | tuple[float, float]) -> DataFrame:
+    """zone_id, rings_m (closed rings in metres), bbox in metres. A (lon, lat)
+    pair stands for the local plane around it."""
+    plane = LocalPlane(plane) if isinstance(plane, tuple) else plane
+    z = zones.select("zone_id", map_points(close_rings(F.col("rings")), plane.forward).alias("rings_m"))
     return z.withColumn("bbox", rings_bbox(F.col("rings_m")))
 
 
@@ -60,55 +65,71 @@ CELL_BYTES, EDGE_BYTES = 96, 48
 
 
 def zone_cell_edges(zones_m: DataFrame, cell_m: float, tolerance_m: float) -> DataFrame:
-    """cx, cy, zone_id, ref_in, edges: the cells of each zone that hold a point
-    of its tolerance buffer, whether the cell's reference point is inside, and
-    the edges that touch the cell or come within the tolerance of it (none for
-    cells wholly inside).
+    """level, cx, cy, zone_id, ref_in, edges: the cells of each zone that hold a
+    point of its tolerance buffer, whether the cell's reference point is inside,
+    and the edges that touch the cell or come within the tolerance of it (none
+    for cells wholly inside). A cell of level l has a side of ``cell_m * 2 ** l``;
+    cells with edges are of level 0.
 
     An edge is clipped to every row of cells it comes near and names the cells
-    along that piece. Reference points: the edges that cross a row's reference
-    line name the last column whose reference point is left of the crossing;
-    between every odd crossing and the next one, reference points are inside.
+    along that piece. Those cells and all above them are open; the quarters of
+    an open cell that are not open themselves have one status. The status of a
+    reference point is the parity of the edges that cross its row's reference
+    line on its left.
     """
     cs, tol = F.lit(float(cell_m)), F.lit(float(tolerance_m) + 1e-6)  # slack for rounding at cell borders
-    edges = zones_m.select("zone_id", F.explode(ring_edges(F.col("rings_m"))).alias("e"))
+    widest = F.greatest(F.col("bbox.max_x") - F.col("bbox.min_x"), F.col("bbox.max_y") - F.col("bbox.min_y")) + 2 * tol
+    top = F.greatest(F.ceil(F.log2(widest / cs)).cast("int") + 1, F.lit(0))  # no cell of this level is wholly inside
+    edges = zones_m.select("zone_id", top.alias("top"), F.explode(ring_edges(F.col("rings_m"))).alias("e"))
     lo_y, hi_y = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
     slope = F.try_divide(F.col("e.x2") - F.col("e.x1"), F.col("e.y2") - F.col("e.y1"))  # NULL: horizontal
 
     def x_at(y):
         return F.col("e.x1") + slope * (y - F.col("e.y1"))
 
-    rows = edges.select("zone_id", "e", F.explode(F.sequence(F.floor((lo_y - tol) / cs), F.floor((hi_y + tol) / cs))).alias("cy"))
+    rows = edges.select("zone_id", "top", "e", F.explode(F.sequence(F.floor((lo_y - tol) / cs), F.floor((hi_y + tol) / cs))).alias("cy"))
     y_from = F.least(F.greatest(lo_y, F.col("cy") * cs - tol), hi_y)
     y_to = F.greatest(F.least(hi_y, (F.col("cy") + 1) * cs + tol), lo_y)
     xa = F.coalesce(x_at(y_from), F.col("e.x1"))
     xb = F.coalesce(x_at(y_to), F.col("e.x2"))
-    touched = rows.select("zone_id", "e", "cy", F.explode(F.sequence(
+    touched = rows.select("zone_id", "top", "e", "cy", F.explode(F.sequence(
         F.floor((F.least(xa, xb) - tol) / cs), F.floor((F.greatest(xa, xb) + tol) / cs))).alias("cx"))
 
-    ref_y = (F.col("cy") + REFERENCE) * cs
-    crossings = rows.where((F.col("e.y1") > ref_y) != (F.col("e.y2") > ref_y)).select(
-        "zone_id", "cy", (F.ceil(x_at(ref_y) / cs - REFERENCE) - 1).alias("last"))
-    along = Window.partitionBy("zone_id", "cy").orderBy("last")
-    inside = (
-        crossings.withColumns({"_k": F.row_number().over(along), "_next": F.lead("last").over(along)})
-        .where((F.col("_k") % 2 == 1) & (F.col("_next") > F.col("last")))
-        .select("zone_id", "cy", F.explode(F.sequence(F.col("last") + 1, F.col("_next"))).alias("cx"))
-    )
-    return (
-        touched.select("zone_id", "cx", "cy", "e", F.lit(False).alias("_in"))
-        .unionByName(inside.withColumn("_in", F.lit(True)), allowMissingColumns=True)
-        .groupBy("zone_id", "cx", "cy").agg(F.collect_list("e").alias("edges"), F.max("_in").alias("ref_in"))
-    )
-
-
-def cell_join_side(cells: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    cell = ["zone_id", "level", "cx", "cy"]
+    level = F.explode(F.sequence(F.lit(0), F.col("top"))).alias("level")
+    open_ = touched.select("zone_id", "cx", "cy", "e", level).select(
+        "zone_id", "level", F.expr("shiftright(cx, level)").alias("cx"), F.expr("shiftright(cy, level)").alias("cy"),
+        F.when(F.col("level") == 0, F.col("e")).alias("e"),
+    ).groupBy(*cell).agg(F.collect_list("e").alias("edges"))
+    half = F.array(F.lit(0), F.lit(1))
+    quarters = open_.where("level > 0").select(
+        "zone_id", (F.col("level") - 1).alias("level"), "cy", F.explode(F.transform(half, lambda h: F.col("cx") * 2 + h)).alias("cx"),
+    ).select("zone_id", "level", "cx", F.explode(F.transform(half, lambda h: F.col("cy") * 2 + h)).alias("cy"))
+    listed = open_.withColumn("_open", F.lit(True)).unionByName(quarters.withColumn("_open", F.lit(False)), allowMissingColumns=True)
+    listed = listed.groupBy(*cell).agg(F.flatten(F.collect_list("edges")).alias("edges"), F.max("_open").alias("_open")).where(
+        ~F.col("_open") | (F.col("level") == 0))
+
+    side = F.pow(F.lit(2.0), F.col("level")) * cs
+    ref_y = (F.col("cy") + REFERENCE) * side
+    crossings = edges.select("zone_id", "e", level).select(
+        "zone_id", "level", "e", F.explode(F.sequence(F.floor(lo_y / side), F.floor(hi_y / side))).alias("cy"),
+    ).where((F.col("e.y1") > ref_y) != (F.col("e.y2") > ref_y)).select(
+        # the last column whose reference point is left of the crossing
+        "zone_id", "level", (F.ceil(x_at(ref_y) / side - REFERENCE) - 1).alias("cx"), "cy", F.lit(1).alias("_crossed"))
+    along = Window.partitionBy("zone_id", "level", "cy").orderBy("cx", "_crossed").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = listed.withColumn("_crossed", F.lit(0)).unionByName(crossings, allowMissingColumns=True)
+    placed = placed.withColumn("ref_in", F.sum("_crossed").over(along) % 2 == 1).where("_crossed = 0")
+    return placed.where((F.size("edges") > 0) | F.col("ref_in")).select(*cell, "edges", "ref_in")
+
+
+def cell_join_side(cells: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, list[int]]:
     """``cells`` with a join hint after their counted size (one zone-sized
-    aggregate): the optimizer's estimate does not see how many cells and edges
-    the outlines make."""
-    size = cells.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("e")).first()
+    aggregate: the optimizer's estimate does not see how many cells and edges
+    the outlines make), and the levels in use."""
+    size = cells.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("e"),
+                     F.sort_array(F.collect_set("level")).alias("levels")).first()
     small = size["n"] * CELL_BYTES + size["e"] * EDGE_BYTES <= max_bytes
-    return F.broadcast(cells) if small else cells.hint("merge")
+    return F.broadcast(cells) if small else cells.hint("merge"), list(size["levels"])
 
 
 def points_in_zones(
@@ -119,31 +140,48 @@ def points_in_zones(
     origin: tuple[float, float] | None = None,
     lon: str = "lon",
     lat: str = "lat",
+    plane: Plane | None = None,
 ) -> DataFrame:
     """Every (point, zone) pair where the point lies inside the zone or within
-    ``tolerance_m`` metres of its boundary. Output: the point's columns plus
+    ``tolerance_m`` metres of its boundary, on ``plane`` (the local plane around
+    ``origin``, by default the middle of the zones, unless another is given; an
+    outline's edges are straight there). Output: the point's columns plus
     ``zone_id``. Points without valid coordinates (missing, not finite, out of
     range) match nothing."""
-    if origin is None:
-        origin = zone_origin(zones)
-    zm = zones_on_plane(zones, origin)
+    if plane is None:
+        plane = LocalPlane(origin or zone_origin(zones))
+    zm = zones_on_plane(zones, plane)
     if cell_m is None:
         cell_m = max(median_extent(zm), 4.0 * tolerance_m)
     if not (cell_m > 0 and math.isfinite(cell_m)):
         raise ValueError("cell_m must be a positive number")
-    cells = zone_cell_edges(zm, cell_m, tolerance_m)
-    px, py = to_plane(F.col(lon), F.col(lat), origin)
+    cells, levels = cell_join_side(zone_cell_edges(zm, cell_m, tolerance_m))
+    px, py = plane.forward(F.col(lon), F.col(lat))
     cs = F.lit(float(cell_m))
+    at_level = F.array(*[F.lit(x) for x in levels]) if levels else F.array().cast("array<int>")
     pts = points.where(valid_lonlat(F.col(lon), F.col(lat))).select(
-        *points.columns, px.alias("_px"), py.alias("_py"),
-    ).withColumns({"cx": F.floor(F.col("_px") / cs), "cy": F.floor(F.col("_py") / cs)})
-    cand = pts.join(cell_join_side(cells), ["cx", "cy"])
+        *points.columns, px.alias("_px"), py.alias("_py"), F.explode(at_level).alias("level"),
+    ).withColumn("_side", F.pow(F.lit(2.0), F.col("level")) * cs).withColumns(
+        {"cx": F.floor(F.col("_px") / F.col("_side")), "cy": F.floor(F.col("_py") / F.col("_side"))})
+    cand = pts.join(cells, ["level", "cx", "cy"])
     ppx, ppy = F.col("_px"), F.col("_py")
-    odd = path_parity(F.col("edges"), ppx, ppy, (F.col("cx") + REFERENCE) * cs, (F.col("cy") + REFERENCE) * cs)
+    odd = path_parity(F.col("edges"), ppx, ppy, (F.col("cx") + REFERENCE) * F.col("_side"), (F.col("cy") + REFERENCE) * F.col("_side"))
     hit = cand.where((F.col("ref_in") != odd) | near_any(F.col("edges"), ppx, ppy, tolerance_m))
     return hit.select(*points.columns, "zone_id")
 
 
+def zone_buffers(zones: DataFrame, distance_m: float = 50.0, plane: Plane | tuple[float, float] | None = None, arc_steps: int = 16) -> DataFrame:
+    """Outlines of the zones widened by ``distance_m``: the columns of ``zones``
+    with ``rings`` replaced by the widened curves in lon/lat, and ``curves``, the
+    same on the plane. They overlap themselves at inward corners: a point is
+    inside where they wind around it (``geo.in_buffer``; the rule that drawing
+    programs call non-zero)."""
+    plane = LocalPlane(plane or zone_origin(zones)) if plane is None or isinstance(plane, tuple) else plane
+    rings_m = map_points(close_rings(F.col("rings")), plane.forward)
+    wide = zones.withColumn("curves", buffer_rings(rings_m, distance_m, arc_steps))
+    return wide.withColumn("rings", map_points(F.col("curves"), plane.inverse)).select(*zones.columns, "curves")
+
+
 def zone_counts(
     pairs: DataFrame,
     zones: DataFrame,

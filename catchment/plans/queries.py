@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.geo import in_buffer
+from ..functions.projection import MTM_ZONE_9, LocalPlane
 from ..operators.classes import class_benchmark
 from ..operators.figures import (FIGURE_SPEC_ROWS, attribute_vs_metric, bivariate_data, figure_data,
                                  figure_limits, outlines_for)
@@ -23,7 +25,7 @@ from ..operators.od import DEFAULT_POPULATIONS, od_by_population, od_for_destina
 from ..operators.percapita import per_capita_long, zone_populations
 from ..operators.ranking import join_on_keys, order_statistics
 from ..operators.ranktest import signed_rank_test, test_report
-from ..operators.spatial import points_in_zones, zone_counts
+from ..operators.spatial import points_in_zones, zone_buffers, zone_counts
 from ..operators.summary import summary_table
 from ..operators.weighting import area_shares, block_weights, zone_access, zone_population
 from ..session import materialize, shared_dir
@@ -184,6 +186,44 @@ def q_points_in_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return point_pairs(spark, sf_dir).select("point_id", "zone_id")
 
 
+def q_project_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every point on the national grid, and back from there."""
+    p = roles.points(spark, sf_dir)
+    x, y = MTM_ZONE_9.forward(F.col("lon"), F.col("lat"))
+    lon, lat = MTM_ZONE_9.inverse(F.col("x"), F.col("y"))
+    back = p.withColumns({"x": x, "y": y}).withColumns({"lon_back": lon, "lat_back": lat})
+    far = F.sqrt(F.pow((F.col("lon_back") - F.col("lon")) * roles.KX, 2) + F.pow((F.col("lat_back") - F.col("lat")) * roles.KY, 2))
+    return back.select("point_id", quantize(F.col("x"), 3).alias("x"), quantize(F.col("y"), 3).alias("y"),
+                       quantize(F.col("lon_back"), 8).alias("lon"), quantize(F.col("lat_back"), 8).alias("lat"), (far < 1e-3).alias("returned"))
+
+
+def q_points_in_zones_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points in zones on the national grid."""
+    return points_in_zones(roles.points(spark, sf_dir), roles.zones(spark, sf_dir), tolerance_m=roles.TOLERANCE_M,
+                           cell_m=CELL_M, plane=MTM_ZONE_9).select("point_id", "zone_id")
+
+
+def q_points_in_wide_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One zone over the whole box, in cells of 250 m: inner cells of all sizes."""
+    box = roles.zones(spark, sf_dir).agg(F.lit(1).alias("zone_id"), F.array(F.array(*[
+        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in roles.BOX_CORNERS])).alias("rings"))
+    return points_in_zones(roles.points(spark, sf_dir), box, tolerance_m=roles.TOLERANCE_M, cell_m=250.0, origin=ORIGIN).select(
+        "point_id", "zone_id")
+
+
+BUFFER_STEPS = 64  # chords of a quarter circle: 4 mm inside the true arc of 50 m
+
+
+def q_points_in_buffers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points inside the zones' widened outlines: those a little further from a
+    zone are tested against its curves."""
+    pts, z = roles.points(spark, sf_dir), roles.zones(spark, sf_dir)
+    near = points_in_zones(pts, z, tolerance_m=roles.TOLERANCE_M + 5.0, cell_m=CELL_M, origin=ORIGIN)
+    wide = zone_buffers(z, roles.TOLERANCE_M, ORIGIN, BUFFER_STEPS).select("zone_id", "curves")
+    x, y = LocalPlane(ORIGIN).forward(F.col("lon"), F.col("lat"))
+    return near.join(wide, "zone_id").where(in_buffer(F.col("curves"), x, y)).select("point_id", "zone_id")
+
+
 def q_zone_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts(spark, sf_dir)
 
@@ -604,6 +644,10 @@ QUERIES = {
     "signed_rank": q_signed_rank,
     "test_report": q_test_report,
     "points_in_zones": q_points_in_zones,
+    "project_points": q_project_points,
+    "points_in_zones_grid": q_points_in_zones_grid,
+    "points_in_wide_zone": q_points_in_wide_zone,
+    "points_in_buffers": q_points_in_buffers,
     "zone_counts": q_zone_counts,
     "attribute_pivot": q_attribute_pivot,
     "per_capita": q_per_capita,

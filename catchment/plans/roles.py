@@ -41,6 +41,7 @@ SUB_EXTRA_ATTRIBUTE = "pct_click"  # percent sub-population, second group
 BOX_LON0, BOX_LAT0 = -76.5, 45.0   # south-west corner of the zone grid
 CELL_W, CELL_H = 0.3, 0.1          # zone grid cell size in degrees
 GRID_COLS = 5
+BOX_CORNERS = ((-76.3, 45.05), (-75.2, 45.05), (-75.2, 45.35), (-76.0, 45.45), (-76.3, 45.05))  # a zone over most of the grid
 PLANE_LON0, PLANE_LAT0 = -75.75, 45.25  # origin of the local metre plane
 TOLERANCE_M = 50.0
 EARTH_RADIUS_M = 6371008.8

@@ -151,6 +151,7 @@ def test_wide_zone_among_small_ones_lists_edges_only_where_they_pass(spark):
     cells = zone_cell_edges(zones_on_plane(zones, ORIGIN), 800.0, 50.0).where("zone_id = 9")
     got = cells.agg(F.sum(F.size("edges")).alias("e"), F.count(F.when(F.size("edges") > 0, 1)).alias("touched")).first()
     length = sum(math.dist(p, q) for p, q in zip(out, out[1:] + out[:1]))
+    assert cells.count() < 12 * length / 800         # with the inner cells of all levels; 60 km wide holds 4,400 cells of 800 m
     assert got["e"] < 2.5 * n                       # short edges: the cell they lie in, sometimes a second
     assert got["touched"] < 4 * length / 800
     rnd = random.Random(5)
@@ -164,9 +165,11 @@ def test_wide_zone_among_small_ones_lists_edges_only_where_they_pass(spark):
 
 def test_cells_beyond_the_broadcast_bound_are_shuffled(spark, zones):
     cells = zone_cell_edges(zones_on_plane(zones, ORIGIN), 300.0, 50.0)
-    p = pts(spark, [(500, 500)]).select("point_id", F.col("point_id").alias("cx"), F.col("point_id").alias("cy"))
+    p = pts(spark, [(500, 500)]).select("point_id", *[F.col("point_id").alias(c) for c in ("level", "cx", "cy")])
     for bound, join in ((0, "SortMergeJoin"), (1 << 26, "BroadcastHashJoin")):
-        plan = p.join(cell_join_side(cells, bound), ["cx", "cy"])._jdf.queryExecution().executedPlan().toString()
+        side, levels = cell_join_side(cells, bound)
+        assert 0 in levels
+        plan = p.join(side, ["level", "cx", "cy"])._jdf.queryExecution().executedPlan().toString()
         assert join in plan
 
 
