@@ -1,14 +1,14 @@
 """Exact ranks and order statistics without gathering a group in one task.
 
-One path for every size. Each group's distinct values are cut into buckets by
-their size alone: ``STEPS`` equal steps of the binary logarithm to every
-doubling, mirrored for negative values. The bucket is a rising function of the
-value that needs no look at the data, and a value repeated by a third of all
-rows is one row after the first aggregate. Within a bucket a running sum over the
-distinct values gives each value's position; per bucket, the number of rows gives
-the bucket's offset (a running sum over at most a few ``STEPS`` rows for each
-doubling that the group spans). Where values crowd within one step, their
-window spills, and ``steps`` can be raised.
+One path for every size and every kind of value. Each group's distinct values
+(a value repeated by a third of all rows is one row after the first aggregate)
+are range-partitioned by group and value and stored with the number of their
+partition. Within a partition a running sum over the distinct values gives each
+value's position; per partition and group, the number of rows gives the offset
+of the partition (a running sum over at most as many rows as there are
+partitions). How values are spread, or how close they lie, does not matter: the
+partitions are cut by Spark's sample of the values themselves, and where they
+are cut changes no result.
 """
 
 from __future__ import annotations
@@ -20,13 +20,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# Buckets to every doubling of the value: 16384 cut a thousand million values
-# between x and 2x into buckets of about 60,000.
-STEPS = 16384
-# Beyond every logarithm of a double, so that the signs keep apart.
-_SIGN = 1 << 40
-
-
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on ``keys`` where NULL matches NULL (a NULL class is a group of
     its own). With no keys, ``right`` must be a one-row aggregate: its columns
@@ -44,44 +37,35 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def value_bucket(v: Column, steps: int = STEPS) -> Column:
-    """Rising function of a number: its sign and the step of its logarithm (NaN
-    above everything, as Spark sorts it)."""
-    v = v.cast("double")
-    step = F.floor(F.least(F.log2(F.abs(v)), F.lit(2048.0)) * F.lit(float(steps)))
-    return (
-        F.when(F.isnan(v), F.lit(2 * _SIGN))
-        .when(v > 0, F.lit(_SIGN) + step)
-        .when(v < 0, F.lit(-_SIGN) - step)
-        .otherwise(F.lit(0).cast("long"))
-    )
-
-
 def distinct_ranks(
     df: DataFrame,
     keys: Sequence[str],
     value: str | Column,
     extra: dict[str, Column] | None = None,
-    steps: int = STEPS,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """One row per group and distinct non-NULL value (numeric): *keys, ``_v``
-    (the value), ``_t`` (rows with it), ``_less`` (rows of the group with a
-    smaller value), ``_bucket``, and the ``extra`` aggregates (e.g. a count of
-    positives) over the rows with that value."""
+    """One row per group and distinct non-NULL value (numeric; NaN is above all):
+    *keys, ``_v`` (the value), ``_t`` (rows with it), ``_less`` (rows of the group
+    with a smaller value), ``_part`` (its range, rising with the value within a
+    group), and the ``extra`` aggregates (e.g. a count of positives) over the rows
+    with that value. ``partitions``: number of ranges, by default the session's
+    shuffle partitions, which adaptive execution merges while they are small."""
     keys = list(keys)
     v = F.col(value) if isinstance(value, str) else value
     if not keys:  # one group: give it a key, so that every join below has one
-        out = distinct_ranks(df.select("*", v.alias("_v0"), F.lit(0).alias("_g")), ["_g"], "_v0", extra, steps)
+        out = distinct_ranks(df.select("*", v.alias("_v0"), F.lit(0).alias("_g")), ["_g"], "_v0", extra, partitions)
         return out.drop("_g")
     rows = df.select("*", v.alias("_v")).where(F.col("_v").isNotNull())
     aggs = [F.count("*").alias("_t")] + [c.alias(n) for n, c in (extra or {}).items()]
-    distinct = rows.groupBy(*keys, "_v").agg(*aggs).withColumn("_bucket", value_bucket(F.col("_v"), steps))
-    within = Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = distinct.withColumn("_within", F.coalesce(F.sum("_t").over(within), F.lit(0)))
-    totals = distinct.groupBy(*keys, "_bucket").agg(F.sum("_t").alias("_bt"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_bucket", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_off"))
-    out = join_on_keys(placed, offsets, [*keys, "_bucket"])
+    distinct = rows.groupBy(*keys, "_v").agg(*aggs)
+    ranged = distinct.repartitionByRange(partitions, *keys, "_v") if partitions else distinct.repartitionByRange(*keys, "_v")
+    stored = materialize(ranged.withColumn("_part", F.spark_partition_id()))
+    within = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = stored.withColumn("_within", F.coalesce(F.sum("_t").over(within), F.lit(0)))
+    totals = stored.groupBy(*keys, "_part").agg(F.sum("_t").alias("_bt"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_part", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_off"))
+    out = join_on_keys(placed, offsets, [*keys, "_part"])
     return out.withColumn("_less", F.col("_off") + F.col("_within")).drop("_off", "_within")
 
 
@@ -90,7 +74,7 @@ def order_statistics(
     keys: Sequence[str],
     value: str | Column,
     probs: Sequence[float],
-    steps: int = STEPS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Quantiles by linear interpolation between order statistics (the
     "type 7" rule: position (n - 1) p), exact, one row per group with the
@@ -98,9 +82,9 @@ def order_statistics(
     keys = list(keys)
     if not keys:  # one group: give it a key, so that every join below has one
         v = F.col(value) if isinstance(value, str) else value
-        out = order_statistics(df.select(v.alias("_v0"), F.lit(0).alias("_g")), ["_g"], "_v0", probs, steps)
+        out = order_statistics(df.select(v.alias("_v0"), F.lit(0).alias("_g")), ["_g"], "_v0", probs, partitions)
         return out.drop("_g")
-    ranks = materialize(distinct_ranks(df, keys, value, steps=steps))
+    ranks = materialize(distinct_ranks(df, keys, value, partitions=partitions))
     n = ranks.groupBy(*keys).agg(F.sum("_t").alias("_n"))
     targets = n.select(
         *keys, "_n",
@@ -109,11 +93,11 @@ def order_statistics(
     targets = targets.withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h")})
     # the value at 0-based order position j is the one with _less <= j < _less + _t
     need = targets.select(*keys, "_pi", F.explode(F.array(F.col("_lo"), F.col("_hi"))).alias("_j")).distinct()
-    spans = ranks.groupBy(*keys, "_bucket").agg(F.min("_less").alias("_s"), F.sum("_t").alias("_bt"))
+    spans = ranks.groupBy(*keys, "_part").agg(F.min("_less").alias("_s"), F.sum("_t").alias("_bt"))
     located = join_on_keys(need, spans, keys).where(
         (F.col("_j") >= F.col("_s")) & (F.col("_j") < F.col("_s") + F.col("_bt"))
     ).drop("_s", "_bt")
-    picked = join_on_keys(located, ranks.select(*keys, "_bucket", "_v", "_t", "_less"), [*keys, "_bucket"]).where(
+    picked = join_on_keys(located, ranks.select(*keys, "_part", "_v", "_t", "_less"), [*keys, "_part"]).where(
         (F.col("_j") >= F.col("_less")) & (F.col("_j") < F.col("_less") + F.col("_t"))
     ).select(*keys, "_pi", "_j", "_v")
     lo = picked.select(*keys, "_pi", F.col("_j").alias("_lo"), F.col("_v").alias("_vlo"))

@@ -7,7 +7,12 @@ ranks; the statistic V is the rank sum of the positive differences.
 p-value: the exact null distribution when ``n < 50`` and there are neither
 ties nor zeros (subset-sum counts built with array higher-order functions, one
 row per group); otherwise the normal approximation with tie and continuity
-correction. The normal CDF is column arithmetic (``normal_cdf``).
+correction. The normal CDF is column arithmetic (``normal_cdf``). With
+``exact=True`` every group gets the exact distribution given its own ranks: twice
+the average ranks are whole numbers, and the chance of every sum of them is
+built rank by rank, each positive with chance one half. That takes about n ** 3
+steps on one row, so a group above ``EXACT_LIMIT`` pairs is an error then, never
+a silent approximation.
 
 Ranks are exact and distributed (``ranking.distinct_ranks``): no group is
 ever gathered in one task, so the test also runs on block-level data.
@@ -42,9 +47,35 @@ def _psignrank(q: Column, n_col: str = "_n_exact") -> Column:
     return upto / F.pow(F.lit(2.0), F.col(n_col))
 
 
+# Pairs of a group up to which exact=True is computed.
 EXACT_LIMIT = 500
 
 
+def _tied_cdf(q: Column, ranks: Column) -> Column:
+    """P(S <= q) of the sum of those of the whole numbers ``ranks`` that a fair
+    coin picks. The law is symmetric: at most half of it is built."""
+    total = F.aggregate(ranks, F.lit(0).cast("long"), lambda a, r: a + r)
+    upper = q >= total - q - 1
+    top = F.when(upper, total - q - 1).otherwise(q)
+    start = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(top, F.lit(0))), lambda s: F.when(s == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+
+    def with_rank(law: Column, r: Column) -> Column:
+        return F.transform(law, lambda p, s: p / F.lit(2.0) + F.when(s >= r, F.get(law, (s - r).cast("int")) / F.lit(2.0)).otherwise(F.lit(0.0)))
+
+    below = F.when(top < 0, F.lit(0.0)).otherwise(
+        F.aggregate(F.aggregate(ranks, start, with_rank), F.lit(0.0), lambda a, p: a + p))
+    return F.when(upper, F.lit(1.0) - below).otherwise(below)
+
+
+def _doubled_ranks(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
+    """*by, ``_ranks``: twice the average ranks of a group's pairs, for groups up
+    to ``EXACT_LIMIT`` (no more than so many numbers a row)."""
+    size = ranked.groupBy(*by).agg(F.sum("_t").alias("_size")).where(F.col("_size") <= EXACT_LIMIT)
+    small = join_on_keys(ranked, size, by) if by else join_on_keys(ranked, size, by).where(F.col("_size").isNotNull())
+    twice = F.col("_less") * 2 + F.col("_t") + 1
+    return small.groupBy(*by).agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat(twice, F.col("_t").cast("int"))))).alias("_ranks"))
+
+
 def signed_rank_test(
     df: DataFrame,
     x: str | Column,
@@ -55,7 +86,9 @@ def signed_rank_test(
     exact: bool | None = None,
 ) -> DataFrame:
     """Columns: *by, n (pairs used), statistic (V), p_value, method
-    ('exact' / 'normal'), alternative. ``alternative='less'`` tests x < y."""
+    ('exact' / 'normal'), alternative. ``alternative='less'`` tests x < y.
+    ``exact``: None decides by the number of pairs and ties, True is exact for
+    every group (an error above ``EXACT_LIMIT`` pairs), False always normal."""
     if alternative not in ALTERNATIVES:
         raise ValueError(f"alternative must be one of {ALTERNATIVES}")
     by = list(by)
@@ -77,21 +110,35 @@ def signed_rank_test(
     stats = join_on_keys(zeros, stats, by, "left")
     n = F.coalesce(F.col("n"), F.lit(0))
     v = F.col("statistic")
-    # the exact distribution takes arrays of n^2 counts; beyond EXACT_LIMIT the normal one is used
-    use_exact = (n < 50) if exact is None else (F.lit(bool(exact)) & (n <= EXACT_LIMIT))
     nd = n.cast("double")  # products of counts overflow a long
-    use_exact = use_exact & (n > 0) & (F.coalesce(F.col("_max_t"), F.lit(1)) <= 1) & (F.col("_zeros") == 0)
-    stats = stats.withColumn("_n_exact", F.when(use_exact, n).otherwise(F.lit(0)).cast("int"))
+    if exact:
+        use_exact = n > 0
+        ranks = _doubled_ranks(ranked, by)
+        # a group above the limit has no ranks here
+        stats = join_on_keys(stats, ranks, by, "left")
+        v2 = F.round(v * 2).cast("long")
+
+        def cdf(q: Column) -> Column:
+            return _tied_cdf(q, F.col("_ranks"))
+
+        v_at, v_below = v2, v2 - 1
+    else:
+        use_exact = F.lit(exact is None) & (n < 50) & (n > 0) & (F.coalesce(F.col("_max_t"), F.lit(1)) <= 1) & (F.col("_zeros") == 0)
+        stats = stats.withColumn("_n_exact", F.when(use_exact, n).otherwise(F.lit(0)).cast("int"))
+        cdf, v_at, v_below = _psignrank, v, v - 1
 
     # exact p-values
     if alternative == "less":
-        p_exact = _psignrank(v)
+        p_exact = cdf(v_at)
     elif alternative == "greater":
-        p_exact = F.lit(1.0) - _psignrank(v - 1)
+        p_exact = F.lit(1.0) - cdf(v_below)
     else:
         half = nd * (nd + 1) / F.lit(4.0)
-        p_one = F.when(v > half, F.lit(1.0) - _psignrank(v - 1)).otherwise(_psignrank(v))
+        p_one = F.when(v > half, F.lit(1.0) - cdf(v_below)).otherwise(cdf(v_at))
         p_exact = F.least(F.lit(2.0) * p_one, F.lit(1.0))
+    if exact:
+        p_exact = F.when(n <= EXACT_LIMIT, p_exact).otherwise(F.raise_error(F.concat(
+            F.lit(f"no exact p-value above {EXACT_LIMIT} pairs: a group has "), n.cast("string"))).cast("double"))
 
     # normal approximation
     z0 = v - nd * (nd + 1) / F.lit(4.0)

@@ -483,6 +483,24 @@ def q_signed_rank_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(signed_rank_test(pairs, "x", "y", by=["mode"], alternative="less"))
 
 
+def q_signed_rank_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact signed-rank test over the zones of each mode, times in whole minutes
+    and distances in whole kilometres: ties and zero differences."""
+    gap = materialize(q_access_gap(spark, sf_dir))
+    pairs = gap.select("mode", F.inline(F.array(
+        F.struct(F.lit("time").alias("metric"), F.rint("time_all").alias("x"), F.rint("time_sub").alias("y")),
+        F.struct(F.lit("distance").alias("metric"), F.rint("dist_all").alias("x"), F.rint("dist_sub").alias("y")))))
+    return rounded(signed_rank_test(pairs, "x", "y", by=["mode", "metric"], alternative="two.sided", exact=True), 9)
+
+
+def q_quantiles_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of event times in microseconds since 1970, per type: values
+    that lie close together, far from zero."""
+    ev = roles.table(spark, sf_dir, "events").select("event_type", F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("v"))
+    q = order_statistics(ev, ["event_type"], "v", [0.0, 0.25, 0.5, 0.75, 1.0])
+    return q.select("event_type", *[quantize(F.col("q")[i], 2).alias(f"p{p}") for i, p in enumerate((0, 25, 50, 75, 100))])
+
+
 # ------------------------------------------------------ inputs with gaps
 def gaps_zone_table(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """:func:`zone_table` from the inputs of :mod:`.gaps`; ``options`` go to
@@ -672,6 +690,8 @@ QUERIES = {
     "network_gap": q_network_gap,
     "signed_rank_blocks": q_signed_rank_blocks,
     "signed_rank_level": q_signed_rank_level,
+    "signed_rank_exact": q_signed_rank_exact,
+    "quantiles_epoch": q_quantiles_epoch,
     "straight_line_access": q_straight_line_access,
     "pipeline_class_table": q_pipeline_class_table,
     "gaps_access_gap": q_gaps_access_gap,

@@ -3,6 +3,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from catchment.operators.ranktest import signed_rank_test, test_report as report
 
@@ -84,3 +85,44 @@ def test_millions_of_pairs_with_ties(spark):
     v = n * 501 // 1000 * (n + 1) / 2
     assert r["n"] == n and r["method"] == "normal" and r["statistic"] == v
     assert r["p_value"] == pytest.approx(0.5 * math.erfc(-(v - mean + 0.5) / math.sqrt(2 * var)), abs=1e-6)
+
+
+def enumerated(d, alternative):
+    """p-value by the sign patterns of the average ranks of non-zero differences."""
+    from itertools import product
+
+    d = [x for x in d if x]
+    size = sorted(abs(x) for x in d)
+    rank = {a: (2 * size.index(a) + size.count(a) + 1) / 2 for a in size}
+    r = [rank[abs(x)] for x in d]
+    v = sum(a for a, x in zip(r, d) if x > 0)
+    sums = [sum(a for a, s in zip(r, signs) if s) for signs in product((0, 1), repeat=len(r))]
+    low, high = sum(s <= v for s in sums) / len(sums), sum(s >= v for s in sums) / len(sums)
+    return {"less": low, "greater": high, "two.sided": min(1.0, 2 * (high if v > sum(r) / 2 else low))}[alternative]
+
+
+@pytest.mark.parametrize("alternative", ["less", "greater", "two.sided"])
+def test_exact_given_ties_and_zeros(spark, alternative):
+    groups = {"ties": [1, 1, -1, 2, -2, 2, 3, 0, 0, 3, -4], "one": [5], "same": [2] * 9, "down": [-1, -2, -2, -3, -3, -3], None: [1, -1],
+              "plain": [1, -2, 3, 4, -5, 6], "zeros": [0, 0]}
+    df = spark.createDataFrame([(g, float(x)) for g, d in groups.items() for x in d], "g string, d double")
+    got = {r.g: r for r in signed_rank_test(df, "d", F.lit(0.0), by=["g"], alternative=alternative, exact=True).collect()}
+    for g, d in groups.items():
+        if any(d):
+            assert got[g].p_value == pytest.approx(enumerated(d, alternative), abs=1e-12) and got[g].method == "exact"
+    assert got["zeros"].p_value is None and got["zeros"].n == 0
+    alone = signed_rank_test(df.where("g = 'ties'"), "d", F.lit(0.0), alternative=alternative, exact=True).collect()
+    assert alone[0].p_value == pytest.approx(enumerated(groups["ties"], alternative), abs=1e-12)
+
+
+def test_exact_agrees_with_the_untied_law_and_stops_at_its_limit(spark, monkeypatch):
+    from catchment.operators import ranktest
+
+    df = spark.range(45).select((F.col("id") * 37 % 45 + 1).alias("a")).select(F.when(F.col("a") % 3 == 0, -F.col("a")).otherwise(F.col("a")).cast("double").alias("d"))
+    plain = signed_rank_test(df, "d", F.lit(0.0)).first()
+    given = signed_rank_test(df, "d", F.lit(0.0), exact=True).first()
+    assert plain.method == given.method == "exact" and given.p_value == pytest.approx(plain.p_value, abs=1e-13)
+    monkeypatch.setattr(ranktest, "EXACT_LIMIT", 40)
+    with pytest.raises(Exception, match="no exact p-value above 40 pairs"):
+        signed_rank_test(df, "d", F.lit(0.0), exact=True).collect()
+    assert signed_rank_test(df, "d", F.lit(0.0), exact=False).first().method == "normal"
