@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checked_broadcast, materialize
@@ -65,32 +65,86 @@ def od_by_population(
 STRAIGHT_LINE_MODES: dict[str, tuple[float, float]] = {"auto": (1.3, 40.0), "pedestrian": (1.2, 5.0)}
 
 
+# Destinations of a node of the density pyramid that is not divided further, for
+# every one that is asked for; children of a node on each side.
+LEAF = 4
+SPLIT = 4
+
+
+def density_pyramid(dests: DataFrame, k: int, cell_m: float = 1.0) -> tuple[DataFrame, DataFrame, list, int]:
+    """Square nodes over ``dests`` (``dest_id, dx, dy`` on a plane), each ``SPLIT``
+    times as wide as the next smaller ones, as far down as they hold more than
+    ``LEAF * k`` destinations (or to ``cell_m``): a dense town gets small nodes,
+    empty land large ones.
+
+    Returns the steps down (``level, cx, cy`` of a node and ``n``, the bounding
+    box and ``to_level, to_cx, to_cy`` of each node below it; a leaf leads to
+    itself), the destinations with their leaf, the top nodes (four at most) and
+    the number of steps from the top to the deepest leaf."""
+    ext = dests.agg(F.min("dx").alias("a"), F.max("dx").alias("b"), F.min("dy").alias("c"), F.max("dy").alias("d")).first()
+    widest = max(ext["b"] - ext["a"], ext["d"] - ext["c"], cell_m)
+    top = max(1, math.ceil(math.log(widest / cell_m, SPLIT) + 1e-9))
+
+    def at(level: Column) -> list[Column]:
+        side = F.pow(F.lit(float(SPLIT)), level) * F.lit(float(cell_m))
+        return [F.floor(F.col("dx") / side).alias("cx"), F.floor(F.col("dy") / side).alias("cy")]
+
+    level = F.col("level")
+    placed = dests.select("*", F.explode(F.sequence(F.lit(0), F.lit(top))).alias("level")).select("dest_id", "dx", "dy", "level", *at(level))
+    key = ["level", "cx", "cy"]
+    nodes = materialize(placed.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n"), F.min("dx").alias("x0"), F.max("dx").alias("x1"), F.min("dy").alias("y0"), F.max("dy").alias("y1")))
+    inner = (F.col("n") > LEAF * k) & (F.col("level") > 0)
+    up = [(F.col("level") + 1).alias("level"), F.floor(F.col("cx") / SPLIT).alias("cx"), F.floor(F.col("cy") / SPLIT).alias("cy")]
+    divided = nodes.where(inner).select(*key)
+    below = nodes.select(*up, "n", "x0", "x1", "y0", "y1", *[F.col(c).alias(f"to_{c}") for c in key]).join(divided, key, "left_semi")
+    roots = nodes.where(level == top)
+    leaves = below.where(~((F.col("n") > LEAF * k) & (F.col("to_level") > 0))).select(
+        *[F.col(f"to_{c}").alias(c) for c in key], "n", "x0", "x1", "y0", "y1").unionByName(roots.where(~inner).select(*key, "n", "x0", "x1", "y0", "y1"))
+    steps = materialize(below.unionByName(leaves.withColumns({f"to_{c}": F.col(c) for c in key})))
+    own_leaf = materialize(placed.join(steps.where("to_level = level").select(*key), key, "left_semi"))
+    deepest = steps.agg(F.min("to_level")).first()[0]
+    return steps, own_leaf, roots.collect(), top - deepest
+
+
 def nearest_destinations(
     origins: DataFrame,
     dests: DataFrame,
     k: int = 5,
     cell_m: float | None = None,
     plane_origin: tuple[float, float] | None = None,
-    checkpoint: bool = True,
 ) -> DataFrame:
     """The ``k`` nearest destinations of every origin by straight-line
     distance: block_id, dest_id, dist_m. Ties are broken by ``dest_id``.
 
-    Exact, without a cross join, on a grid whose cells double in size from
-    round to round: in round r (cell side s = cell_m * 2^r) every still-open
-    origin is joined, on the cell key, with the destinations of the 3 x 3
-    cells around its own. That square holds every destination closer than s,
-    so an origin is settled once its k-th candidate is at most s away -- or
-    once the square holds every destination. The starting cell follows the
-    mean density and is halved until no cell holds more than 32 k
-    destinations, so a dense downtown does not hand every nearby origin
-    thousands of candidates. Each round costs 9 lookups per
-    open origin; the number of rounds grows with log2(extent / cell_m). Each
-    round's top-k and the open origins are written to the shared
-    ``spark.checkpoint.dir`` (short lineage, one computation each) before the
-    next round reads them.
-    """
-    from ..functions.geo import plane_scale, to_plane, valid_lonlat
+    Exact, without a cross join, by a walk down a density pyramid
+    (:func:`density_pyramid`). An origin holds the nodes that may contain one of
+    its ``k`` nearest: the distance within which whole nodes hold ``k``
+    destinations bounds the answer, and nodes that begin beyond it are out. Each
+    step replaces the nodes by those below them; at the end only the
+    destinations of a few small leaves are measured. How many that are depends on
+    ``k``, not on the densities around: an origin on empty land beside a town
+    meets the town's small nodes and drops all but the nearest. The nodes meet
+    the origins in an equi-join (broadcast while their stored size is small), so
+    the origins are shuffled once; all steps are one plan. ``cell_m`` is the
+    side of the smallest nodes (1 m)."""
+    from .nearest import top_k_per_group
+
+    pairs = nearest_candidates(origins, dests, k, cell_m, plane_origin)
+    return top_k_per_group(pairs, ["block_id"], ["dist_m", "dest_id"], k)
+
+
+def nearest_candidates(
+    origins: DataFrame,
+    dests: DataFrame,
+    k: int = 5,
+    cell_m: float | None = None,
+    plane_origin: tuple[float, float] | None = None,
+) -> DataFrame:
+    """block_id, dest_id, dist_m: the destinations that
+    :func:`nearest_destinations` measures for each origin, the ``k`` nearest
+    among them."""
+    from ..functions.geo import to_plane, valid_lonlat
     from .nearest import top_k_per_group
 
     spark = origins.sparkSession
@@ -98,75 +152,45 @@ def nearest_destinations(
     o = origins.select("block_id", "lon", "lat").where(valid)
     d = dests.select("dest_id", "lon", "lat").where(valid)
     # Of destinations at one spot at most k can be among the k nearest (ties
-    # go by dest_id), so a crowded address cannot outgrow a cell.
+    # go by dest_id), so a crowded address cannot outgrow a node.
     d = top_k_per_group(d, ["lon", "lat"], ["dest_id"], k)
-    st = d.agg(F.count("*").alias("n"), F.min("lon").alias("x0"), F.max("lon").alias("x1"),
-               F.min("lat").alias("y0"), F.max("lat").alias("y1")).first()
-    if not st["n"]:
+    if plane_origin is None:
+        st = d.agg(F.min("lon").alias("x0"), F.max("lon").alias("x1"), F.min("lat").alias("y0"), F.max("lat").alias("y1")).first()
+        plane_origin = (0.0, 0.0) if st["x0"] is None else ((st["x0"] + st["x1"]) / 2.0, (st["y0"] + st["y1"]) / 2.0)
+    dx, dy = to_plane(F.col("lon"), F.col("lat"), plane_origin)
+    dm = materialize(d.select("dest_id", dx.alias("dx"), dy.alias("dy")))
+    if dm.isEmpty():
         return spark.range(0).select(
             F.lit(None).cast(origins.schema["block_id"].dataType).alias("block_id"),
             F.lit(None).cast(dests.schema["dest_id"].dataType).alias("dest_id"), F.lit(None).cast("double").alias("dist_m"))
-    if plane_origin is None:
-        plane_origin = ((st["x0"] + st["x1"]) / 2.0, (st["y0"] + st["y1"]) / 2.0)
-    kx, ky = plane_scale(plane_origin[1])
-    auto_cell = cell_m is None
-    if auto_cell:
-        w_m, h_m = (st["x1"] - st["x0"]) * kx, (st["y1"] - st["y0"]) * ky
-        cell_m = max(math.sqrt(max(w_m * h_m, 1.0) * k / st["n"]), 1.0)
-    dx_, dy_ = to_plane(F.col("lon"), F.col("lat"), plane_origin)
-    dm = d.select("dest_id", dx_.alias("dx"), dy_.alias("dy"))
-    if auto_cell:
-        # Dense spots: halve the starting cell until no cell holds more than
-        # 32 k destinations, so an origin never meets a crowd of candidates.
-        for _ in range(12):
-            cs0 = F.lit(float(cell_m))
-            densest = dm.groupBy(F.floor(F.col("dx") / cs0), F.floor(F.col("dy") / cs0)).count().agg(
-                F.max("count")).first()[0]
-            if densest <= 32 * k or cell_m <= 1.0:
-                break
-            cell_m = max(cell_m / 2.0, 1.0)
-    ox_, oy_ = to_plane(F.col("lon"), F.col("lat"), plane_origin)
-    pending = o.select("block_id", ox_.alias("ox"), oy_.alias("oy"))
-    ext = dm.agg(F.min("dx").alias("a"), F.max("dx").alias("b"), F.min("dy").alias("c"), F.max("dy").alias("e")).first()
-    off = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    settled: list[DataFrame] = []
-    side = float(cell_m)
-    while True:
-        sd = F.lit(side)
-        dcell = checked_broadcast(dm.withColumns({"cx": F.floor(F.col("dx") / sd), "cy": F.floor(F.col("dy") / sd)}))
-        cur = pending.withColumns({"ocx": F.floor(F.col("ox") / sd), "ocy": F.floor(F.col("oy") / sd)})
-        near = cur.select("*", F.explode(off).alias("_i")).select("*", F.explode(off).alias("_j")).select(
-            "block_id", "ox", "oy", "ocx", "ocy",
-            (F.col("ocx") + F.col("_i")).alias("cx"), (F.col("ocy") + F.col("_j")).alias("cy"))
-        pairs = near.join(dcell, ["cx", "cy"]).select(
-            "block_id", "dest_id", "ocx", "ocy",
-            F.sqrt((F.col("dx") - F.col("ox")) * (F.col("dx") - F.col("ox"))
-                   + (F.col("dy") - F.col("oy")) * (F.col("dy") - F.col("oy"))).alias("dist_m"))
-        top = top_k_per_group(pairs, ["block_id"], ["dist_m", "dest_id"], k)
-        w = Window.partitionBy("block_id")
-        top = top.withColumns({"_n": F.count("*").over(w), "_kth": F.max("dist_m").over(w)})
-        if checkpoint:
-            top = materialize(top)
-        lo_x, hi_x = F.floor(F.lit(ext["a"]) / sd), F.floor(F.lit(ext["b"]) / sd)
-        lo_y, hi_y = F.floor(F.lit(ext["c"]) / sd), F.floor(F.lit(ext["e"]) / sd)
-        covers_all = ((F.col("ocx") - 1 <= lo_x) & (F.col("ocx") + 1 >= hi_x)
-                      & (F.col("ocy") - 1 <= lo_y) & (F.col("ocy") + 1 >= hi_y))
-        done = ((F.col("_n") >= k) & (F.col("_kth") <= sd)) | covers_all
-        settled.append(top.where(done).select("block_id", "dest_id", "dist_m"))
-        open_ids = top.where(~done).select("block_id").distinct()
-        # still open: origins with too few or too far candidates, and origins
-        # with no candidate at all in their square
-        pending = pending.join(top.select("block_id").distinct(), "block_id", "left_anti").unionByName(
-            pending.join(open_ids, "block_id", "left_semi"))
-        if checkpoint:
-            pending = materialize(pending)
-        if pending.isEmpty():
-            break
-        side *= 2.0
-    out = settled[0]
-    for part in settled[1:]:
-        out = out.unionByName(part)
-    return out
+    steps, own_leaf, roots, depth = density_pyramid(dm, k, float(cell_m or 1.0))
+    key = ["level", "cx", "cy"]
+    first = F.array(*[F.struct(*[F.lit(r[c]).cast("int" if c == "level" else "long").alias(c) for c in key]) for r in roots])
+    held = o.select("block_id", dx.alias("ox"), dy.alias("oy"), F.inline(first)).repartition("block_id")
+    side = checked_broadcast(steps)
+    ox, oy = F.col("ox"), F.col("oy")
+
+    def gap(lo: str, hi: str, at: Column) -> Column:
+        return F.greatest(F.col(lo) - at, at - F.col(hi), F.lit(0.0))
+
+    def reach(lo: str, hi: str, at: Column) -> Column:
+        return F.greatest(F.abs(F.col(lo) - at), F.abs(F.col(hi) - at))
+
+    def length(x: Column, y: Column) -> Column:
+        return F.sqrt(x * x + y * y)
+
+    whole = Window.partitionBy("block_id")
+    rising = whole.orderBy("_hi").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for _ in range(max(depth, 1)):
+        met = held.join(side, key).select(
+            "block_id", "ox", "oy", "n", *[F.col(f"to_{c}").alias(c) for c in key],
+            length(gap("x0", "x1", ox), gap("y0", "y1", oy)).alias("_lo"), length(reach("x0", "x1", ox), reach("y0", "y1", oy)).alias("_hi"))
+        met = met.withColumn("_sum", F.sum("n").over(rising))
+        met = met.withColumn("_bound", F.min(F.when(F.col("_sum") >= k, F.col("_hi"))).over(whole))
+        # slack for rounding; no bound: all destinations together are fewer than k
+        held = met.where(F.col("_bound").isNull() | (F.col("_lo") <= F.col("_bound") * (1 + 1e-9) + 1e-6)).select("block_id", "ox", "oy", *key)
+    return held.join(checked_broadcast(own_leaf), key).select(
+        "block_id", "dest_id", length(F.col("dx") - ox, F.col("dy") - oy).alias("dist_m"))
 
 
 def od_straight_line(

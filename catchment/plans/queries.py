@@ -437,6 +437,11 @@ def q_od_straight_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(straight_line_od(spark, sf_dir))
 
 
+def q_od_dense_town(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Straight-line proxy OD to one dense town and a few places on empty land."""
+    return rounded(od_straight_line(roles.block_points(spark, sf_dir), roles.town_points(spark, sf_dir), k=K, plane_origin=ORIGIN))
+
+
 def q_straight_line_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest-5 means over the straight-line proxy OD."""
     return rounded(nearest_k_mean(straight_line_od(spark, sf_dir), keys=["block_id", "mode"], k=K))
@@ -685,6 +690,7 @@ QUERIES = {
     "csv_failures": q_csv_failures,
     "geojson_zones": q_geojson_zones,
     "od_straight_line": q_od_straight_line,
+    "od_dense_town": q_od_dense_town,
     "straight_line_gap": q_straight_line_gap,
     "od_network": q_od_network,
     "network_gap": q_network_gap,

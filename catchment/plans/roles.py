@@ -398,6 +398,24 @@ SQL_DEST_POINTS = f"""dpts AS (
 )"""
 
 
+def town_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dest_id, lon, lat: nine of ten destinations in a town of a few hundred
+    metres, the others over the whole box."""
+    far = F.col("dest_id") % 10 == 0
+    return dest_points(spark, sf_dir).select(
+        "dest_id",
+        F.when(far, F.col("lon")).otherwise(_d(BOX_LON0 + 1.0) + (F.col("lon") - _d(BOX_LON0)) / _d(500.0)).alias("lon"),
+        F.when(far, F.col("lat")).otherwise(_d(BOX_LAT0 + 0.1) + (F.col("lat") - _d(BOX_LAT0)) / _d(500.0)).alias("lat"))
+
+
+SQL_TOWN_POINTS = SQL_DEST_POINTS.replace("dpts AS", "wide AS", 1) + f""",
+dpts AS (
+  SELECT dest_id, CASE WHEN dest_id % 10 = 0 THEN lon ELSE ({BOX_LON0 + 1.0!r})::DOUBLE + (lon - {BOX_LON0}::DOUBLE) / 500.0::DOUBLE END AS lon,
+         CASE WHEN dest_id % 10 = 0 THEN lat ELSE ({BOX_LAT0 + 0.1!r})::DOUBLE + (lat - {BOX_LAT0}::DOUBLE) / 500.0::DOUBLE END AS lat
+  FROM wide
+)"""
+
+
 def points_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """point_id, lon, lat, population: every point as 'all', and once more as
     'sub' when it is in the sub-population."""

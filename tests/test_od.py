@@ -75,3 +75,39 @@ def test_crowded_address(spark):
     d = spark.range(5000).selectExpr("id as dest_id", f"double({ORIGIN[0]}) as lon", f"double({ORIGIN[1]}) as lat")
     got = nearest_destinations(o, d, k=5).collect()
     assert sorted((r.block_id, r.dest_id) for r in got) == [(b, i) for b in range(3) for i in range(5)]
+
+
+def test_candidates_are_bounded_where_densities_mix(spark):
+    """A town of 20,000 destinations on 200 m, a suburb, and empty land: whatever
+    the densities around, an origin measures a few dozen destinations."""
+    from catchment.operators.od import nearest_candidates
+
+    rnd = random.Random(3)
+    town = [(i, ORIGIN[0] + rnd.uniform(0, 200) / KX, ORIGIN[1] + rnd.uniform(0, 200) / KY) for i in range(20000)]
+    suburb = [(30000 + i, ORIGIN[0] + rnd.uniform(500, 4000) / KX, ORIGIN[1] + rnd.uniform(0, 3000) / KY) for i in range(400)]
+    land = [(40000 + i, ORIGIN[0] + rnd.uniform(-90000, 90000) / KX, ORIGIN[1] + rnd.uniform(-90000, 90000) / KY) for i in range(30)]
+    dests = town + suburb + land
+    spots = [(rnd.uniform(-10, 210), rnd.uniform(-10, 210)) for _ in range(30)]
+    spots += [(rnd.uniform(210, 700), rnd.uniform(-300, 400)) for _ in range(30)]  # beside the town
+    spots += [(rnd.uniform(-95000, 95000), rnd.uniform(-95000, 95000)) for _ in range(30)]
+    origins = [(j, ORIGIN[0] + x / KX, ORIGIN[1] + y / KY) for j, (x, y) in enumerate(spots)]
+    o = spark.createDataFrame(origins, "block_id long, lon double, lat double")
+    d = spark.createDataFrame(dests, "dest_id long, lon double, lat double")
+    measured = {r.block_id: r["count"] for r in nearest_candidates(o, d, k=5, plane_origin=ORIGIN).groupBy("block_id").count().collect()}
+    assert len(measured) == 90 and max(measured.values()) <= 300 and sum(measured.values()) / 90 < 100
+    got = {}
+    for r in nearest_destinations(o, d, k=5, plane_origin=ORIGIN).collect():
+        got.setdefault(r.block_id, []).append((r.dist_m, r.dest_id))
+    want = brute(origins, dests, 5)
+    assert {b: [x[1] for x in sorted(v)] for b, v in got.items()} == want
+
+
+def test_few_destinations_and_equal_distances(spark):
+    o = spark.createDataFrame([(1, ORIGIN[0], ORIGIN[1])], "block_id long, lon double, lat double")
+    ring = [(i, ORIGIN[0] + dx / KX, ORIGIN[1] + dy / KY) for i, (dx, dy) in enumerate([(100, 0), (-100, 0), (0, 100), (0, -100)] * 30)]
+    d = spark.createDataFrame(ring, "dest_id long, lon double, lat double")
+    got = nearest_destinations(o, d.where("dest_id < 3"), k=5, plane_origin=ORIGIN).collect()
+    assert sorted(r.dest_id for r in got) == [0, 1, 2]
+    assert nearest_destinations(o, d, k=120, plane_origin=ORIGIN).count() == 120
+    assert nearest_destinations(o, d.limit(0), k=5, plane_origin=ORIGIN).collect() == []
+    assert nearest_destinations(o.limit(0), d, k=5, plane_origin=ORIGIN).collect() == []
