@@ -7,7 +7,14 @@ distances; the rounding errors of both sides are known vector by vector, so
 each distance has a sure interval. Vectors whose lower bound lies above the
 k-th smallest upper bound (or above the k-th distance of the heap so far) are
 out; the rest are computed again in double precision. Heaps per query merge the
-tiles of a task, and a ranked top-k merges the tasks. The result is exact.
+tiles that a block of queries has in a group, are handed on before the next block
+of queries begins, and a ranked top-k merges the groups. The result is exact.
+
+Vectors are shuffled once, into groups of ``GROUP_BLOCKS`` blocks (fewer while
+there are fewer groups than cores); queries once to each group. For given queries
+the shuffle so grows with the vectors, a copy of the queries for every
+``GROUP_BLOCKS * BLOCK_BYTES`` of them. A task holds the heaps of one block of
+queries.
 
 Defined results. Vectors that are null, empty, all zero, or hold null or
 non-finite components take no part; so do null ids. Vectors are compared with
@@ -31,8 +38,8 @@ from ..session import materialize
 
 BLOCK_BYTES = 1 << 20
 QUERY_BYTES = 1 << 18
-# Blocks of vectors that form a row group: query blocks are copied once to each.
-GROUP_BLOCKS = 4
+# Blocks of vectors that form a group: query blocks are copied once to each.
+GROUP_BLOCKS = 128
 
 
 def _block_batches(limit: int):
@@ -94,12 +101,26 @@ def distance_bounds(a: tuple, b: tuple, na: np.ndarray, nb: np.ndarray) -> tuple
 
 def _tile_batches(k: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heaps: dict[int, list] = {}  # per query, the k best so far as (-distance, -id)
+        heaps: dict[int, list] = {}  # per query of a block, the k best so far as (-distance, -id)
+        held = None  # the block of queries
+
+        def hand_on() -> Iterator[pa.RecordBatch]:
+            rows = [(query, -i, -d) for query, heap in heaps.items() for d, i in heap]
+            heaps.clear()
+            if rows:
+                query, ids, score = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(ids), pa.array(score)], ["query_id", "vec_id", "score"])
+
         for batch in batches:
-            for dim, qi, qv, bi, bv in zip(*(c.to_pylist() for c in batch.columns)):
-                q_ids, q = np.frombuffer(qi, np.int64), np.frombuffer(qv).reshape(-1, dim)
+            for tile in range(batch.num_rows):
+                dim, qi, qv, bi, bv = (c[tile].as_py() for c in batch.columns)
+                if (dim, qi, qv) != held:
+                    yield from hand_on()
+                    held = (dim, qi, qv)
+                    q_ids, q = np.frombuffer(qi, np.int64), np.frombuffer(qv).reshape(-1, dim)
+                    q_int, q_norm = quantised(q), np.linalg.norm(q, axis=1)
                 ids, v = np.frombuffer(bi, np.int64), np.frombuffer(bv).reshape(-1, dim)
-                lower, upper = distance_bounds(quantised(q), quantised(v), np.linalg.norm(q, axis=1), np.linalg.norm(v, axis=1))
+                lower, upper = distance_bounds(q_int, quantised(v), q_norm, np.linalg.norm(v, axis=1))
                 own = q_ids[:, None] == ids[None, :]
                 upper[own] = lower[own] = np.inf
                 kth = np.partition(upper, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
@@ -114,10 +135,7 @@ def _tile_batches(k: int):
                             heapq.heappush(heap, (-d, -i))
                         elif (-d, -i) > heap[0]:
                             heapq.heapreplace(heap, (-d, -i))
-        rows = [(query, -i, -d) for query, heap in heaps.items() for d, i in heap]
-        if rows:
-            query, ids, score = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(ids), pa.array(score)], ["query_id", "vec_id", "score"])
+        yield from hand_on()
 
     return work
 
@@ -138,11 +156,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     pick = rows.select("id", "v")
     base = materialize(pick.mapInArrow(_block_batches(BLOCK_BYTES), kind).withColumn("n", F.monotonically_increasing_id()))
     queries = materialize(rows.where("q").select("id", "v").mapInArrow(_block_batches(QUERY_BYTES), kind))
-    groups = max(1, -(-base.count() // GROUP_BLOCKS))  # a number of blocks, not of rows
+    blocks = base.count()  # a number of blocks, not of rows
+    groups = max(1, -(-blocks // GROUP_BLOCKS), min(blocks, vectors.sparkSession.sparkContext.defaultParallelism))
     base = base.withColumn("grp", F.pmod(F.xxhash64("n"), F.lit(groups)))
     copies = queries.select("dim", F.col("ids").alias("qi"), F.col("vectors").alias("qv"),
                             F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")).alias("grp"))
-    tiles = copies.join(base, ["grp", "dim"]).select("dim", "qi", "qv", "ids", "vectors")
+    # merge join: the tiles of a block of queries follow each other
+    tiles = copies.join(base.hint("merge"), ["grp", "dim"]).select("dim", "qi", "qv", "ids", "vectors")
     found = tiles.mapInArrow(_tile_batches(k), "query_id long, vec_id long, score double")
     turn = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", turn).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

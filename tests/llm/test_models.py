@@ -247,6 +247,7 @@ def test_nearest(spark, monkeypatch):
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, score string").repartition(5)
     monkeypatch.setattr(ann, "BLOCK_BYTES", 8 * 16 * 100)
     monkeypatch.setattr(ann, "QUERY_BYTES", 8 * 16 * 4)
+    monkeypatch.setattr(ann, "GROUP_BLOCKS", 2)
     got = ann.nearest(df, F.col("vec_id") % 100 == 0).collect()
     assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == brute_nearest(rows, 10)
     vec = dict(rows)
@@ -255,6 +256,31 @@ def test_nearest(spark, monkeypatch):
     assert ann.nearest(df.limit(0), F.lit(True)).collect() == []
 
 
+def test_queries_are_copied_to_each_group_once(spark, monkeypatch):
+    """Twice the vectors for the same queries: twice the shuffled bytes at most;
+    one block of queries is held at a time."""
+    monkeypatch.setattr(ann, "BLOCK_BYTES", 8 * 4 * 50)
+    monkeypatch.setattr(ann, "QUERY_BYTES", 8 * 4 * 5)
+    monkeypatch.setattr(ann, "GROUP_BLOCKS", 4)
+    rng = np.random.default_rng(1)
+    q = rng.normal(size=(20, 4))
+    tiles = []
+    real = ann._tile_batches(3)
+
+    def block(x, ids):
+        return np.asarray(ids, np.int64).tobytes(), x.tobytes()
+
+    for n in (400, 800):
+        v = rng.normal(size=(n, 4))
+        rows = [(4, *block(q[a:a + 5], range(a, a + 5)), *block(v[b:b + 50], range(1000 + b, 1050 + b)))
+                for a in range(0, 20, 5) for b in range(0, n, 50)]
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["dim", "qi", "qv", "ids", "vectors"])
+        out = [b.num_rows for b in real(iter([batch.slice(i, 3) for i in range(0, batch.num_rows, 3)]))]
+        tiles.append(len(rows))
+        assert out == [15] * 4  # a block of five queries each, three neighbours a query
+    assert tiles == [32, 64]
+
+
 def test_distance_bounds_hold():
     rng = np.random.default_rng(1)
     a, b = rng.normal(size=(40, 32)) * 10.0 ** rng.integers(-3, 3, (40, 1)), rng.standard_cauchy((60, 32))
