@@ -36,8 +36,10 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .text import mix
 
-# Rows that one task orders after the exchange.
+# Rows that one task orders after the exchange, and most blocks (a task draws its
+# row of the matrix over all of them; from 10 ** 10 rows on, blocks grow).
 BLOCK_ROWS = 20_000
+MOST_BLOCKS = 1 << 19
 _EXACT_LIMIT = 10**9
 
 
@@ -70,12 +72,22 @@ def _split(rng: np.random.Generator, capacity: np.ndarray, n: int) -> np.ndarray
     """A multivariate hypergeometric draw of ``n`` from ``capacity``."""
     if capacity.sum() < _EXACT_LIMIT:
         return rng.multivariate_hypergeometric(capacity, n, method="marginals")
-    out, rest = np.zeros_like(capacity), int(capacity.sum())
-    for i, c in enumerate(capacity.tolist()):
-        rest -= c
-        out[i] = _hypergeometric(rng, c, rest, n)
-        n -= int(out[i])
-    return out
+    # a tree over the columns, too: each level is drawn at once where numpy's limit allows
+    size = 1 << (len(capacity) - 1).bit_length()
+    sums = [np.concatenate([capacity, np.zeros(size - len(capacity), np.int64)])]
+    while len(sums[-1]) > 1:
+        sums.append(sums[-1].reshape(-1, 2).sum(axis=1))
+    drawn = np.array([n])
+    for level in reversed(sums[:-1]):
+        first, second = level[::2], level[1::2]
+        left = np.where(second == 0, drawn, 0)
+        some = (drawn > 0) & (first > 0) & (second > 0)
+        small = np.flatnonzero(some & (first + second < _EXACT_LIMIT))
+        left[small] = rng.hypergeometric(first[small], second[small], drawn[small])
+        for i in np.flatnonzero(some & (first + second >= _EXACT_LIMIT)).tolist():
+            left[i] = _hypergeometric(rng, int(first[i]), int(second[i]), int(drawn[i]))
+        drawn = np.stack([left, drawn - left], axis=1).ravel()
+    return drawn[: len(capacity)]
 
 
 def matrix_row(sizes: np.ndarray, capacity: np.ndarray, partition: int, seed: int) -> np.ndarray:
@@ -101,16 +113,18 @@ def shard_rows(docs: DataFrame, columns: dict[str, Column], n_shards: int, seed:
     sizes = np.zeros(max(counts, default=0) + 1, np.int64)
     sizes[list(counts)] = list(counts.values())
     total = int(sizes.sum())
-    shard_sizes = even_sizes(total, n_shards)
-    per_shard = max(1, -(-total // (n_shards * BLOCK_ROWS)))
-    capacity = np.concatenate([even_sizes(s, per_shard) for s in shard_sizes])
-    starts = np.concatenate([np.concatenate([[0], np.cumsum(c)[:-1]]) for c in capacity.reshape(n_shards, per_shard)])
+    per_shard = max(1, min(-(-total // (n_shards * BLOCK_ROWS)), MOST_BLOCKS // n_shards))
     names = list(columns)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = TaskContext.get().partitionId()
-        if p >= len(sizes):
+        if p >= len(sizes) or not sizes[p]:
+            if any(batch.num_rows for batch in batches):
+                raise RuntimeError("a partition has rows that were not counted: the input is not stored")
             return
+        capacity = np.concatenate([even_sizes(s, per_shard) for s in even_sizes(total, n_shards)])
+        by_shard = capacity.reshape(n_shards, per_shard)
+        starts = (np.cumsum(by_shard, axis=1) - by_shard).ravel()
         labels = np.repeat(np.arange(len(capacity)), matrix_row(sizes, capacity, p, seed))
         np.random.default_rng([seed, p, 1]).shuffle(labels)
         at = 0

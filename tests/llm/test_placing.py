@@ -24,6 +24,40 @@ def test_matrix_has_exact_margins():
     assert (m.sum(axis=1) == sizes).all() and (m.sum(axis=0) == capacity).all()
 
 
+def test_matrix_of_very_many_rows():
+    sizes = np.array([10**9, 5 * 10**8, 2 * 10**9, 7])
+    capacity = sharding.even_sizes(int(sizes.sum()), 37)
+    m = np.array([sharding.matrix_row(sizes, capacity, i, 3) for i in range(4)])
+    assert (m.sum(axis=1) == sizes).all() and (m.sum(axis=0) == capacity).all() and (m >= 0).all()
+    rows, blocks = 10**11, sharding.MOST_BLOCKS
+    one = sharding.matrix_row(sharding.even_sizes(rows, 4096), sharding.even_sizes(rows, blocks), 777, 42)
+    mean = rows / 4096 / blocks
+    assert one.sum() == sharding.even_sizes(rows, 4096)[777] and abs(one.mean() - mean) < 0.1
+    assert abs(one.var() / mean - 1) < 0.02  # nearly Poisson: a task has few of a block's rows
+
+
+def test_split_over_a_tree_is_hypergeometric(monkeypatch):
+    monkeypatch.setattr(sharding, "_EXACT_LIMIT", 30)  # scalar draws near the root, numpy's below
+    draws = np.array([sharding._split(np.random.default_rng(s), np.array([20, 5, 0, 15, 10]), 25) for s in range(4000)])
+    assert (draws.sum(axis=1) == 25).all() and (draws <= [20, 5, 0, 15, 10]).all() and (draws[:, 2] == 0).all()
+    assert np.abs(draws.mean(axis=0) - np.array([10, 2.5, 0, 7.5, 5])).max() < 0.15
+    assert abs(draws[:, 0].var() - 25 * 0.4 * 0.6 * 25 / 49) < 0.2
+
+
+def test_uncounted_rows_are_an_error(spark, monkeypatch):
+    df = spark.range(40, numPartitions=4).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    grown = df.select("doc_id", "text", F.spark_partition_id().alias("p"))
+    real = type(df).collect
+
+    def fewer(self):
+        rows = real(self)
+        return rows[:-1] if "count" in self.columns else rows
+
+    monkeypatch.setattr(type(df), "collect", fewer)
+    with pytest.raises(Exception, match="not counted"):
+        sharding.shard_documents(grown, 3, stored=True).toPandas()
+
+
 def test_matrix_is_hypergeometric():
     draws = np.array([sharding.matrix_row(np.array([10, 30]), np.array([20, 20]), 0, s)[0] for s in range(3000)])
     assert abs(draws.mean() - 5) < 0.12  # mean 5, variance 10 * .25 * 30 / 39
