@@ -287,6 +287,7 @@ def source_divergence(docs: DataFrame, lang_col: str = "lang", source_col: str =
     found = merged.where("term is not null").select("lang", "term", "counts").mapInArrow(_emit_batches(groups, kept, top), schema)
     bare = totals.select("lang", "source").alias("a").join(totals.select("lang", F.col("source").alias("item")).alias("b"), "lang").where(
         "source <> item").select("lang", "source", F.lit("pair").alias("part"), "item", F.lit(0).cast("long").alias("value"))
-    each = found.union(bare).groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
-    turn = Window.partitionBy("lang", "source", "part").orderBy(F.col("value").desc(), "item")
-    return each.withColumn("rank", F.row_number().over(turn)).where((F.col("part") == "pair") | (F.col("rank") <= top))
+    each = materialize(found.union(bare).groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value")))
+    turn = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
+    ranked = [each.where(F.col("part") == part).withColumn("rank", F.row_number().over(turn)) for part in ("pair", "term")]
+    return ranked[0].union(ranked[1].where(F.col("rank") <= top))  # of the terms, a task hands on that many
