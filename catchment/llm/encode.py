@@ -16,6 +16,8 @@ import os
 import re
 
 import numpy as np
+from pyspark import SparkFiles
+from pyspark.sql import SparkSession
 
 from .text import hash_spans, segments
 
@@ -135,9 +137,19 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+def ship_tokenizer(spark: SparkSession, path: str) -> None:
+    """Hand the driver's tokenizer file to every executor, once per application."""
+    sc = spark.sparkContext
+    sent = getattr(sc, "_catchment_sent", set())
+    if path not in sent:
+        sc.addFile(path)
+        sc._catchment_sent = sent | {path}
+
+
 def encoder(path: str) -> Encoder:
-    """The encoder of a file; a worker that runs several tasks keeps it."""
+    """The encoder of a tokenizer file that :func:`ship_tokenizer` has handed
+    over, in a task; a worker that runs several tasks keeps it."""
     if path not in _encoders:
         _encoders.clear()
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(SparkFiles.get(os.path.basename(path)))
     return _encoders[path]

@@ -91,6 +91,8 @@ class Words:
     def __init__(self, files: list[tuple[int, str, int]], shards: int, tokens: int):
         self.shards, self.tokens = shards, tokens
         self.size = sum(n for _, _, n in files)
+        if self.size >= 1 << 32:
+            raise ValueError("a pair of words takes 64 bits: the corpus has 2 ** 32 distinct words or more")
         self.level, self.first = {}, np.zeros(shards + 1, np.int64)
         for shard, url, n in files:
             raw = map_file(url).view(_U)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .encode import ENCODE_BYTES, encoder
+from .encode import ENCODE_BYTES, encoder, ship_tokenizer
 from .shared import numbered
 from .text import chunks
 
@@ -131,6 +131,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id:
                  text_col: str = "text") -> DataFrame:
     """Pieces of at most ``window`` ids: ``doc_id, start, length, ids_crc32,
     doc_tokens``, in order and without gaps for every document."""
+    ship_tokenizer(docs.sparkSession, tokenizer)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(_piece_batches(tokenizer, end_id, window),
                            "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")

@@ -271,8 +271,10 @@ def _name_documents(rows: DataFrame, truth: DataFrame, per_round: int, sure: flo
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          seed: int = 42) -> dict | None:
-    """The model, or None without labels of both kinds."""
+          seed: int = 42, fit_labelled: int = FIT_LABELLED, per_round: int = PER_ROUND, sure: float = SURE) -> dict | None:
+    """The model, or None without labels of both kinds. At most ``fit_labelled``
+    labelled documents are fitted, and in each round the ``per_round`` surest
+    unlabelled documents for either view, of those surer than ``sure``."""
     turn = F.xxhash64("_id", F.lit(seed))
     truth = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).alias("y")).where(
         "_id is not null and y is not null").groupBy("_id").agg((F.min(F.col("y").cast("double")) > 0).cast("double").alias("y"))
@@ -283,8 +285,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     bad, good = count.get(0.0, 0), count.get(1.0, 0)
     if min(bad, good) < 2:
         return None
-    half = FIT_LABELLED // 2
-    take = {0.0: min(bad, max(half, FIT_LABELLED - good)), 1.0: min(good, max(half, FIT_LABELLED - bad))}
+    half = fit_labelled // 2
+    take = {0.0: min(bad, max(half, fit_labelled - good)), 1.0: min(good, max(half, fit_labelled - bad))}
     of_bad, of_good = (present.where(F.col("y") == label).orderBy(turn, "_id").limit(n) for label, n in take.items())
     chosen = of_bad.union(of_good)
     rows = docs.select(*_columns(docs, id_col, text_col))
@@ -299,7 +301,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         at = np.flatnonzero(y == label)
         at = at[np.argsort(mix(got["id"].to_numpy(np.int64)[at].view(np.uint64)))]
         held[at[::HELD_OUT]] = True
-    c, m, combine = co_train(content, meta, y, held, name=_name_documents(rows, truth, PER_ROUND, SURE, seed),
+    c, m, combine = co_train(content, meta, y, held, name=_name_documents(rows, truth, per_round, sure, seed),
                             stands=np.where(y == 1, good / take[1.0], bad / take[0.0]))
     return {"content": c, "meta": m, "combine": combine}
 

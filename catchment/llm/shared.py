@@ -14,12 +14,12 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, shared_dir
+from ..session import materialize, stored_dir
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
     """The name of an unused folder below the shared one (not yet made)."""
-    return f"{shared_dir(spark)}/catchment-tables/{kind}-{uuid.uuid4().hex}"
+    return f"{stored_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
 def open_folder(url: str) -> tuple[pafs.FileSystem, str]:

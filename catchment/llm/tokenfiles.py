@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .bitpack import PackedFile, file_parts, width
-from .encode import ENCODE_BYTES, encoder
+from .encode import ENCODE_BYTES, encoder, ship_tokenizer
 from .shared import map_file, new_folder, write_file
 from .text import chunks
 
@@ -70,6 +70,7 @@ def write_token_files(
     ids, first_id`` with one row per file, in document order by ``part, seq``."""
     from tokenizers import Tokenizer
 
+    ship_tokenizer(docs.sparkSession, tokenizer)
     folder = folder or new_folder(docs.sparkSession, "tokens")
     bits = width(Tokenizer.from_file(tokenizer).get_vocab_size())
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
