@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..session import checked_broadcast, materialize
@@ -71,8 +71,9 @@ LEAF = 4
 SPLIT = 4
 
 
-def density_pyramid(dests: DataFrame, k: int, cell_m: float = 1.0) -> tuple[DataFrame, DataFrame, list, int]:
-    """Square nodes over ``dests`` (``dest_id, dx, dy`` on a plane), each ``SPLIT``
+def density_pyramid(dests: DataFrame, ext: Row, k: int, cell_m: float = 1.0) -> tuple[DataFrame, DataFrame, list, int]:
+    """Square nodes over ``dests`` (``dest_id, dx, dy`` on a plane, from ``a`` to
+    ``b`` and from ``c`` to ``d`` of ``ext``), each ``SPLIT``
     times as wide as the next smaller ones, as far down as they hold more than
     ``LEAF * k`` destinations (or to ``cell_m``): a dense town gets small nodes,
     empty land large ones.
@@ -81,7 +82,6 @@ def density_pyramid(dests: DataFrame, k: int, cell_m: float = 1.0) -> tuple[Data
     box and ``to_level, to_cx, to_cy`` of each node below it; a leaf leads to
     itself), the destinations with their leaf, the top nodes (four at most) and
     the number of steps from the top to the deepest leaf."""
-    ext = dests.agg(F.min("dx").alias("a"), F.max("dx").alias("b"), F.min("dy").alias("c"), F.max("dy").alias("d")).first()
     widest = max(ext["b"] - ext["a"], ext["d"] - ext["c"], cell_m)
     top = max(1, math.ceil(math.log(widest / cell_m, SPLIT) + 1e-9))
 
@@ -103,8 +103,8 @@ def density_pyramid(dests: DataFrame, k: int, cell_m: float = 1.0) -> tuple[Data
         *[F.col(f"to_{c}").alias(c) for c in key], "n", "x0", "x1", "y0", "y1").unionByName(roots.where(~inner).select(*key, "n", "x0", "x1", "y0", "y1"))
     steps = materialize(below.unionByName(leaves.withColumns({f"to_{c}": F.col(c) for c in key})))
     own_leaf = materialize(placed.join(steps.where("to_level = level").select(*key), key, "left_semi"))
-    deepest = steps.agg(F.min("to_level")).first()[0]
-    return steps, own_leaf, roots.collect(), top - deepest
+    seen = steps.agg(F.min("to_level").alias("deepest"), F.collect_set(F.when(level == top, F.struct(*key))).alias("roots")).first()
+    return steps, own_leaf, seen["roots"], top - seen["deepest"]
 
 
 def nearest_destinations(
@@ -159,11 +159,12 @@ def nearest_candidates(
         plane_origin = (0.0, 0.0) if st["x0"] is None else ((st["x0"] + st["x1"]) / 2.0, (st["y0"] + st["y1"]) / 2.0)
     dx, dy = to_plane(F.col("lon"), F.col("lat"), plane_origin)
     dm = materialize(d.select("dest_id", dx.alias("dx"), dy.alias("dy")))
-    if dm.isEmpty():
+    ext = dm.agg(F.min("dx").alias("a"), F.max("dx").alias("b"), F.min("dy").alias("c"), F.max("dy").alias("d")).first()
+    if ext["a"] is None:
         return spark.range(0).select(
             F.lit(None).cast(origins.schema["block_id"].dataType).alias("block_id"),
             F.lit(None).cast(dests.schema["dest_id"].dataType).alias("dest_id"), F.lit(None).cast("double").alias("dist_m"))
-    steps, own_leaf, roots, depth = density_pyramid(dm, k, float(cell_m or 1.0))
+    steps, own_leaf, roots, depth = density_pyramid(dm, ext, k, float(cell_m or 1.0))
     key = ["level", "cx", "cy"]
     first = F.array(*[F.struct(*[F.lit(r[c]).cast("int" if c == "level" else "long").alias(c) for c in key]) for r in roots])
     held = o.select("block_id", dx.alias("ox"), dy.alias("oy"), F.inline(first)).repartition("block_id")

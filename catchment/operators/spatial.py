@@ -25,12 +25,12 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import buffer_rings, close_rings, near_any, path_parity, ring_edges, rings_bbox, valid_lonlat
 from ..functions.projection import LocalPlane, Plane, map_points
-from ..session import DEFAULT_BROADCAST_BYTES
+from ..session import DEFAULT_BROADCAST_BYTES, materialize
 
 
 def zone_origin(zones: DataFrame) -> tuple[float, float]:
@@ -95,19 +95,18 @@ def zone_cell_edges(zones_m: DataFrame, cell_m: float, tolerance_m: float) -> Da
     touched = rows.select("zone_id", "top", "e", "cy", F.explode(F.sequence(
         F.floor((F.least(xa, xb) - tol) / cs), F.floor((F.greatest(xa, xb) + tol) / cs))).alias("cx"))
 
-    cell = ["zone_id", "level", "cx", "cy"]
+    row = ["zone_id", "level", "cy"]
     level = F.explode(F.sequence(F.lit(0), F.col("top"))).alias("level")
-    open_ = touched.select("zone_id", "cx", "cy", "e", level).select(
-        "zone_id", "level", F.expr("shiftright(cx, level)").alias("cx"), F.expr("shiftright(cy, level)").alias("cy"),
-        F.when(F.col("level") == 0, F.col("e")).alias("e"),
-    ).groupBy(*cell).agg(F.collect_list("e").alias("edges"))
-    half = F.array(F.lit(0), F.lit(1))
-    quarters = open_.where("level > 0").select(
-        "zone_id", (F.col("level") - 1).alias("level"), "cy", F.explode(F.transform(half, lambda h: F.col("cx") * 2 + h)).alias("cx"),
-    ).select("zone_id", "level", "cx", F.explode(F.transform(half, lambda h: F.col("cy") * 2 + h)).alias("cy"))
-    listed = open_.withColumn("_open", F.lit(True)).unionByName(quarters.withColumn("_open", F.lit(False)), allowMissingColumns=True)
-    listed = listed.groupBy(*cell).agg(F.flatten(F.collect_list("edges")).alias("edges"), F.max("_open").alias("_open")).where(
-        ~F.col("_open") | (F.col("level") == 0))
+
+    def cell(lv: Column, x: Column, y: Column, is_open: bool, e: Column) -> Column:
+        return F.struct(lv.alias("level"), x.alias("cx"), y.alias("cy"), F.lit(is_open).alias("open"), e.alias("e"))
+
+    none = F.lit(None).cast(touched.schema["e"].dataType)
+    above = touched.select("zone_id", "e", level, F.expr("shiftright(cx, level)").alias("cx"), F.expr("shiftright(cy, level)").alias("cy"))
+    quarters = [cell(F.col("level") - 1, F.col("cx") * 2 + i, F.col("cy") * 2 + j, False, none) for i in (0, 1) for j in (0, 1)]
+    own = cell(F.col("level"), F.col("cx"), F.col("cy"), True, F.when(F.col("level") == 0, F.col("e")))
+    named = F.when(F.col("level") == 0, F.array(own)).otherwise(F.array(own, *quarters))
+    listed = above.select("zone_id", F.inline(named)).withColumn("crossed", F.lit(0))
 
     side = F.pow(F.lit(2.0), F.col("level")) * cs
     ref_y = (F.col("cy") + REFERENCE) * side
@@ -115,11 +114,16 @@ def zone_cell_edges(zones_m: DataFrame, cell_m: float, tolerance_m: float) -> Da
         "zone_id", "level", "e", F.explode(F.sequence(F.floor(lo_y / side), F.floor(hi_y / side))).alias("cy"),
     ).where((F.col("e.y1") > ref_y) != (F.col("e.y2") > ref_y)).select(
         # the last column whose reference point is left of the crossing
-        "zone_id", "level", (F.ceil(x_at(ref_y) / side - REFERENCE) - 1).alias("cx"), "cy", F.lit(1).alias("_crossed"))
-    along = Window.partitionBy("zone_id", "level", "cy").orderBy("cx", "_crossed").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = listed.withColumn("_crossed", F.lit(0)).unionByName(crossings, allowMissingColumns=True)
-    placed = placed.withColumn("ref_in", F.sum("_crossed").over(along) % 2 == 1).where("_crossed = 0")
-    return placed.where((F.size("edges") > 0) | F.col("ref_in")).select(*cell, "edges", "ref_in")
+        "zone_id", "level", (F.ceil(x_at(ref_y) / side - REFERENCE) - 1).alias("cx"), "cy", F.lit(1).alias("crossed"))
+    # one exchange by row of cells: for the cells, then for the crossings along a row
+    placed = listed.unionByName(crossings, allowMissingColumns=True).repartition(*row).groupBy(*row, "cx", "crossed").agg(
+        F.collect_list("e").alias("edges"), F.max("open").alias("open"), F.sum("crossed").alias("_n"))
+    along = Window.partitionBy(*row).orderBy("cx", "crossed").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = placed.withColumn("ref_in", F.sum("_n").over(along) % 2 == 1)
+    # open cells are listed with their edges at level 0, by their quarters above it
+    boundary = (F.col("level") == 0) & F.col("open")
+    return placed.where((F.col("crossed") == 0) & (boundary | (~F.col("open") & F.col("ref_in")))).select(
+        "zone_id", "level", "cx", "cy", "edges", "ref_in")
 
 
 def cell_join_side(cells: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, list[int]]:
@@ -155,7 +159,7 @@ def points_in_zones(
         cell_m = max(median_extent(zm), 4.0 * tolerance_m)
     if not (cell_m > 0 and math.isfinite(cell_m)):
         raise ValueError("cell_m must be a positive number")
-    cells, levels = cell_join_side(zone_cell_edges(zm, cell_m, tolerance_m))
+    cells, levels = cell_join_side(materialize(zone_cell_edges(zm, cell_m, tolerance_m)))
     px, py = plane.forward(F.col(lon), F.col(lat))
     cs = F.lit(float(cell_m))
     at_level = F.array(*[F.lit(x) for x in levels]) if levels else F.array().cast("array<int>")
