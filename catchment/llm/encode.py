@@ -25,6 +25,8 @@ from .text import hash_spans, segments
 CACHE_PIECES = 1 << 21
 # Bytes of text that are encoded at once: new pieces are merged into the store once for each.
 ENCODE_BYTES = 4 << 20
+# Bytes of pieces that are compared with the kept ones at once.
+COMPARE_BYTES = 1 << 17
 # New pieces that are encoded in one call, each on its own.
 GROUP = 64
 _ODD = re.compile(
@@ -67,9 +69,9 @@ class Encoder:
             new = first[at < 0]
             self._learn(uniq[at < 0], raw, start[plain][new], end[plain][new], uniq)
             at = self._find(uniq)
-        other = self._differing(data, start[plain], end[plain], at[inverse])
-        if len(other):
-            odd = np.union1d(odd, np.searchsorted(offsets, start[plain][other], "right") - 1)
+        differing = self._differing(data, start[plain], end[plain], at[inverse])
+        if len(differing):
+            odd = np.union1d(odd, np.searchsorted(offsets, start[plain][differing], "right") - 1)
         n = np.zeros(len(start), np.int64)
         begin = np.zeros(len(start), np.int64)
         n[plain], begin[plain] = self.length[at][inverse], self.start[at][inverse]
@@ -98,12 +100,16 @@ class Encoder:
         """The pieces whose bytes are not those kept under their hash."""
         length = end - start
         alike = length == self.spelt_len[at]
-        n = np.where(alike, length, 0)
-        first = np.cumsum(n) - n
-        within = np.arange(int(n.sum())) - np.repeat(first, n)
-        differs = data[np.repeat(start, n) + within] != self.spelt[np.repeat(self.spelt_at[at], n) + within]
-        where = np.flatnonzero(differs)
-        alike[np.searchsorted(first + n, where, "right")] = False
+        before = np.cumsum(length) - length
+        edge = [*np.searchsorted(before, np.arange(0, int(length.sum()) + 1, COMPARE_BYTES)).tolist(), len(start)]
+        for i, j in zip(edge[:-1], edge[1:]):
+            n = np.where(alike[i:j], length[i:j], 0)
+            ends = np.cumsum(n)
+            # both sides at once: where a byte of a piece lies, and where that of the kept one
+            step = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start[i:j] - (ends - n), n)
+            other = step + np.repeat(self.spelt_at[at[i:j]] - start[i:j], n)
+            where = np.flatnonzero(data[step] != self.spelt[other])
+            alike[i:j][np.searchsorted(ends, where, "right")] = False
         return np.flatnonzero(~alike)
 
     def _learn(self, keys: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray, needed: np.ndarray) -> None:
