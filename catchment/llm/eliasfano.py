@@ -23,7 +23,7 @@ class EliasFano:
     def build(values: np.ndarray, universe: int) -> bytes:
         values = np.asarray(values, _U)
         n = len(values)
-        l = max(0, (max(1, int(universe) // max(1, n))).bit_length() - 1)
+        l = min(60, max(0, (max(1, int(universe) // max(1, n))).bit_length() - 1))  # shifts by 64 bits don't exist
         low = pack(values & _U((1 << l) - 1), l) if l else np.empty(0, _U)
         low = np.append(low, _U(0))
         high = (values >> _U(l)) + np.arange(n, dtype=_U)

@@ -7,20 +7,32 @@ context of a first word. The model is a bigram model smoothed by the unigrams:
 grid that fits the training pairs best when each occurrence is left out of its
 own counts. All counts cover all training documents.
 
-The trie lies in the shared folder in two levels and is memory-mapped.
+The trie lies in the shared folder in two levels of files.
 
 * Words: sorted 64-bit hashes, cut into files by hash range, as Elias-Fano
-  sequences with their counts. A word's number is its rank over all files.
-* Pairs: dealt over files by a hash of the pair, so that no frequent context
-  ends up in one task or file. A file holds its contexts, monotone pointers to
-  where each context's successors begin, and the successors relative to their
-  context (``rank of context * V + word``), all Elias-Fano, and the smoothed
-  log probabilities in 16-bit steps. A lookup finds the context, reads two
-  pointers and searches the successor between them.
+  sequences with their counts.
+* Pairs: a word file owns the pairs that end in its words, and deals them over
+  pair files by the hash of the context, as many as its words' counts ask for, so
+  that no frequent word or context ends up in one task or file. A pair file holds
+  its contexts, monotone pointers to where each context's successors begin, and
+  the successors relative to their context (``rank of context * words of the word
+  file + place of the word``), all Elias-Fano, and in 16-bit steps what the pair
+  adds to the log probability. A lookup finds the context, reads two pointers and
+  searches the successor between them.
+
+The logarithm splits into ``log p(w) + log(mu / (c(v) + mu)) + log(1 + c(vw) /
+(mu * p(w)))``. Contexts of a document are its tokens in another order, so the
+first two terms are sums over tokens, and all three need only the word file and
+the pair file of a pair's last word. So tokens go to the files, never files to the
+tokens: a task cuts its texts into chunks, sends each owner the pairs of a chunk
+once with the rows they stand in, the owner returns one sum for each row, and the
+sums of a chunk are added up. A task opens one word file and one pair file at a
+time, and words are never numbered over the whole corpus.
 
 Counts are summed per chunk before any shuffle; pairs travel as compressed
 sorted runs. The number of files grows with the corpus, so that no task holds
-more than a bounded part.
+more than a bounded part; the driver holds one number for each word file. Runs that
+many chunks send to one owner are split by the adaptive skew join.
 
 Defined results. A null text is empty: one end token. A null id is never held
 out. Repeated rows are counted and scored one by one. Without training
@@ -30,6 +42,7 @@ empty result. Further columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +62,7 @@ _CHUNK = 4 << 20
 _HELD = 1 << 21
 MU_GRID = (0.5, 2.0, 8.0, 32.0, 128.0, 512.0, 2048.0, 8192.0, 32768.0)
 ADDED = 0.1
+_SUB_BITS = 24  # of an owner's number: the pair file within its word file
 _U = np.uint64
 END = mix(np.array([0xE0D], _U))[0]
 
@@ -70,77 +84,100 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return k[first], np.add.reduceat(c, first)
 
 
-def _pack_run(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """A sorted run, small: differences by byte plane, compressed."""
-    gaps = np.diff(keys, prepend=_U(0))
-    plane = np.concatenate([gaps.view(np.uint8).reshape(-1, 8).T.ravel(), counts.astype(_U).view(np.uint8).reshape(-1, 8).T.ravel()])
-    return zstandard.ZstdCompressor(level=1).compress(plane.tobytes())
+def _packed(*columns: np.ndarray) -> bytes:
+    """Arrays of 64-bit values, small: byte planes, compressed."""
+    head = np.array([len(columns), *map(len, columns)], _U).tobytes()
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, *planes]))
 
 
-def _unpack_run(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _unpacked(raw: bytes, kinds: str) -> list[np.ndarray]:
+    """The arrays of ``_packed``; ``kinds``: a numpy type character for each."""
     plane = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-    n = len(plane) // 16
-    gaps = np.ascontiguousarray(plane[: 8 * n].reshape(8, n).T).view(_U).ravel()
-    counts = np.ascontiguousarray(plane[8 * n:].reshape(8, n).T).view(_U).ravel()
-    return np.cumsum(gaps, dtype=_U), counts.astype(np.int64)
+    sizes = plane[8: 8 * (len(kinds) + 1)].view(np.int64)
+    at, out = 8 * (len(kinds) + 1), []
+    for n, kind in zip(sizes.tolist(), kinds, strict=True):
+        out.append(np.ascontiguousarray(plane[at: at + 8 * n].reshape(8, n).T).view(_U).ravel().view(kind))
+        at += 8 * n
+    return out
+
+
+class Chunk:
+    """The tokens of some rows: distinct ``words`` (hashes, ascending), for each
+    distinct pair of neighbours its words' places there (last word, context), for
+    each token its ``pair``, and the row ``edge``s."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        h, self.edge = _tokens(data, offsets)
+        self.words, number = np.unique(h, return_inverse=True)
+        before = np.empty_like(number)
+        before[1:] = number[:-1]
+        before[self.edge[:-1]] = np.searchsorted(self.words, END)
+        key, self.pair, self.count = np.unique(
+            number * len(self.words) + before, return_inverse=True, return_counts=True)
+        self.last, self.context = key // len(self.words), key % len(self.words)
+
+    def owners(self, splits: np.ndarray) -> np.ndarray:
+        """Number of the pair file that owns each pair."""
+        file = _file_of(self.words, len(splits))[self.last]
+        sub = mix(self.words)[self.context] % splits[file].astype(_U)
+        return (file << _SUB_BITS) | sub.astype(np.int64)
+
+    def spelled(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The hashes in some pairs (their gaps), and the pairs' places among them."""
+        used = np.zeros(len(self.words), bool)
+        used[self.last[pairs]] = used[self.context[pairs]] = True
+        place = np.cumsum(used) - 1
+        return np.diff(self.words[used], prepend=_U(0)), place[self.last[pairs]], place[self.context[pairs]]
+
+
+def _groups(owner: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each owner and the places where it stands."""
+    order = np.argsort(owner, kind="stable")
+    cut = np.flatnonzero(np.diff(owner[order], prepend=-1))
+    for a, b in zip(cut, np.append(cut[1:], len(order)), strict=True):
+        yield int(owner[order[a]]), order[a:b]
+
+
+def _file_of(hashes: np.ndarray, files: int) -> np.ndarray:
+    """Number of the word file of each hash."""
+    return (((hashes >> _U(44)) * _U(files)) >> _U(20)).astype(np.int64)
+
+
+def _floor(file: int, files: int) -> int:
+    """The smallest hash of a word file."""
+    return (-(-(file << 20) // files)) << 44
 
 
 class Words:
-    """The first level: numbers and counts of words by hash."""
-
-    def __init__(self, files: list[tuple[int, str, int]], shards: int, tokens: int):
-        self.shards, self.tokens = shards, tokens
-        self.size = sum(n for _, _, n in files)
-        if self.size >= 1 << 32:
-            raise ValueError("a pair of words takes 64 bits: the corpus has 2 ** 32 distinct words or more")
-        self.level, self.first = {}, np.zeros(shards + 1, np.int64)
-        for shard, url, n in files:
-            raw = map_file(url).view(_U)
-            keys = EliasFano(raw)
-            self.level[shard] = (keys, raw[keys.words: keys.words + n])
-            self.first[shard + 1] = n
-        self.first = np.cumsum(self.first)
-        self.floor = tokens + ADDED * (self.size + 1)
-
-    def shard_of(self, hashes: np.ndarray) -> np.ndarray:
-        return (((hashes >> _U(44)) * _U(self.shards)) >> _U(20)).astype(np.int64)
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number (-1 if unseen) and count of each word; ``hashes`` are sorted."""
-        number, count = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        edges = np.searchsorted(self.shard_of(hashes), np.arange(self.shards + 1))
-        for s, (keys, counts) in self.level.items():
-            a, b = edges[s], edges[s + 1]
-            if b > a:
-                i = keys.find(hashes[a:b] - _U(_shard_floor(s, self.shards)))
-                hit = np.flatnonzero(i >= 0)
-                number[a + hit] = i[hit] + self.first[s]
-                count[a + hit] = counts[i[hit]]
-        return number, count
-
-    def counts(self, numbers: np.ndarray) -> np.ndarray:
-        """Counts of words by number."""
-        out = np.empty(len(numbers), np.int64)
-        shard = np.searchsorted(self.first, numbers, "right") - 1
-        for s in np.unique(shard).tolist():
-            at = shard == s
-            out[at] = self.level[s][1][numbers[at] - self.first[s]]
-        return out
+    """One word file."""
 
-    def chance(self, counts: np.ndarray) -> np.ndarray:
-        return (counts + ADDED) / self.floor
+    def __init__(self, url: str, file: int, files: int, n: int):
+        raw = map_file(url).view(_U)
+        self.keys = EliasFano(raw)
+        self.n, self.low = n, _U(_floor(file, files))
+        self.count = raw[self.keys.words: self.keys.words + n].view(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each word of this file's range, -1 if unseen."""
+        return self.keys.find(hashes - self.low)
 
 
-def _shard_floor(shard: int, shards: int) -> int:
-    """The smallest hash of a file."""
-    return (-(-(shard << 20) // shards)) << 44
+class Base:
+    """The numbers behind every probability: training tokens and distinct words."""
+
+    def __init__(self, tokens: int, words: int):
+        self.tokens, self.floor = tokens, tokens + ADDED * (words + 1)
+
+    def chance(self, counts: np.ndarray) -> np.ndarray:
+        return (counts + ADDED) / self.floor
 
 
 _open: dict = {}
 
 
 def _opened(kind: str, key: tuple, make):
-    """An opened level; a worker keeps the last of each kind."""
+    """An opened file; a worker keeps the last of each kind."""
     if _open.get(kind, (None,))[0] != key:
         _open[kind] = (key, make())
     return _open[kind][1]
@@ -166,114 +203,113 @@ def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield out()
 
 
-def count_words(training: DataFrame, text_col: str) -> tuple[list, int, int]:
-    """Writes the first level; its files, their number and the tokens."""
+def count_words(training: DataFrame, text_col: str) -> tuple[DataFrame, np.ndarray, Base, list[float]]:
+    """Writes the first level. Returns the owners (``s``, number of a pair file,
+    and its word file's ``file, url, n``), the pair files of each word file, the
+    base numbers and, for each ``mu`` of the grid, the contexts' part of the log
+    likelihood."""
     folder = new_folder(training.sparkSession, "words")
     counts = materialize(
         training.select(text_col).mapInArrow(_word_batches, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
-    n, tokens = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
-    shards = max(1, -(-n // WORDS_PER_FILE))
+    c = F.col("c").cast("double")
+    n, tokens, *contexts = counts.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0)),
+        *[F.coalesce(F.sum(c * F.log10(c + F.lit(mu - 1))), F.lit(0.0)) for mu in MU_GRID]).first()
+    files = max(1, -(-n // WORDS_PER_FILE))
 
     def write(table: pa.Table) -> pa.Table:
         h = table["h"].to_numpy().view(_U)
         order = np.argsort(h)
-        s = int(table["s"][0].as_py())
-        floor, ceiling = _shard_floor(s, shards), _shard_floor(s + 1, shards)
-        url = write_file(folder, f"{s:06d}", [
-            EliasFano.build(h[order] - _U(floor), ceiling - floor), table["c"].to_numpy()[order].astype(_U).tobytes()])
-        return pa.table({"s": [s], "url": [url], "n": [len(h)]})
-
-    s = F.shiftright(F.shiftrightunsigned("h", 44) * F.lit(shards), 20)
-    files = materialize(counts.withColumn("s", s).groupBy("s").applyInArrow(write, "s long, url string, n long"))
-    return sorted(tuple(r) for r in files.collect()), shards, tokens  # one row per file
-
-
-def _pair_batches(words_key: tuple, files: int):
+        f = int(table["file"][0].as_py())
+        floor = _floor(f, files)
+        count = table["c"].to_numpy()[order]
+        url = write_file(folder, f"{f:06d}", [EliasFano.build(h[order] - _U(floor), _floor(f + 1, files) - floor), count.tobytes()])
+        return pa.table({"file": [f], "url": [url], "n": [len(h)], "k": [max(1, -(-int(count.sum()) // TOKENS_PER_FILE))]})
+
+    file = F.shiftright(F.shiftrightunsigned("h", 44) * F.lit(files), 20)
+    written = materialize(
+        counts.withColumn("file", file).groupBy("file").applyInArrow(write, "file long, url string, n long, k long"))
+    splits = np.ones(files, np.int64)
+    for r in written.select("file", "k").collect():  # one row per word file
+        splits[r.file] = r.k
+    first = F.shiftleft("file", _SUB_BITS)
+    owners = written.select(F.explode(F.sequence(first, first + F.col("k") - 1)).alias("s"), "file", "url", "n")
+    return owners, splits, Base(tokens, n), contexts
+
+
+def _pair_batches(splits: np.ndarray):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _opened("words", words_key, lambda: Words(*words_key))
-        keys, counts, held = [], [], 0
-
-        def out() -> pa.RecordBatch:
-            k, c = _summed(keys, counts)
-            shard = (mix(k) % _U(files)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            edges = np.searchsorted(shard[order], np.arange(files + 1))
-            some = np.flatnonzero(np.diff(edges))
-            runs = [_pack_run(k[order[edges[s]: edges[s + 1]]], c[order[edges[s]: edges[s + 1]]]) for s in some]
-            return pa.RecordBatch.from_arrays([pa.array(some), pa.array(runs, pa.binary())], ["s", "run"])
-
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(0), _CHUNK):
-                h, edge = _tokens(data, offsets)
-                uniq, inverse = np.unique(h, return_inverse=True)
-                number = words.find(uniq)[0][inverse]
-                k, c = np.unique(_contexts(number, edge, words) * _U(words.size) + number.astype(_U), return_counts=True)
-                keys.append(k)
-                counts.append(c)
-                held += len(k)
-                if held > _HELD:
-                    yield out()
-                    keys, counts, held = [], [], 0
-        if keys:
-            yield out()
+                chunk = Chunk(data, offsets)
+                found = [(s, _packed(*chunk.spelled(at), chunk.count[at])) for s, at in _groups(chunk.owners(splits))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([s for s, _ in found]), pa.array([r for _, r in found], pa.binary())], ["s", "run"])
 
     return work
 
 
-def _contexts(number: np.ndarray, edge: np.ndarray, words: Words) -> np.ndarray:
-    """Number of the token before each token; of a row's first, the end's."""
-    before = np.empty_like(number)
-    before[1:] = number[:-1]
-    before[edge[:-1]] = words.find(np.array([END], _U))[0][0]
-    return before.astype(_U)
+def _spelled_out(raw: bytes, kinds: str) -> list[np.ndarray]:
+    """A run's last words and contexts as hashes, and its other arrays."""
+    gaps, last, context, *others = _unpacked(raw, "Qqq" + kinds)
+    words = np.cumsum(gaps, dtype=_U)
+    return [words[last], words[context], *others]
 
 
-def count_pairs(training: DataFrame, text_col: str, words_key: tuple, files: int) -> DataFrame:
-    """Stored runs of pair counts: ``s, url, n`` and, for each ``mu`` of the
-    grid, the log likelihood of its pairs with each left out of its own counts."""
+def count_pairs(training: DataFrame, text_col: str, owners: DataFrame, splits: np.ndarray, base: Base) -> DataFrame:
+    """Stored pair counts by owner: ``s, pairs`` (a file of context, word's place
+    and counts of pair and word), the word file's columns and, for each ``mu`` of
+    the grid, the pairs' part of the log likelihood, each left out of its own counts."""
     folder = new_folder(training.sparkSession, "pairs")
-    runs = training.select(text_col).mapInArrow(_pair_batches(words_key, files), "s long, run binary")
-
-    def merge(table: pa.Table) -> pa.Table:
-        words = _opened("words", words_key, lambda: Words(*words_key))
-        parts = [_unpack_run(r) for r in table["run"].to_pylist()]
-        k, c = _summed([p[0] for p in parts], [p[1] for p in parts])
-        s = table["s"][0].as_py()
-        url = write_file(folder, f"{s:06d}", [_pack_run(k, c)])
-        v, w = (k // _U(words.size)).astype(np.int64), (k % _U(words.size)).astype(np.int64)
-        cv, p = words.counts(v), words.chance(words.counts(w))
-        fit = [float((c * np.log10((c - 1 + mu * p) / (cv - 1 + mu))).sum()) for mu in MU_GRID]
-        return pa.table({"s": [s], "url": [url], "n": [len(k)], **{f"m{i}": [x] for i, x in enumerate(fit)}})
-
-    schema = "s long, url string, n long" + "".join(f", m{i} double" for i in range(len(MU_GRID)))
-    return materialize(runs.groupBy("s").applyInArrow(merge, schema))
-
-
-def _trie_batches(words_key: tuple, mu: float, folder: str):
+    files = len(splits)
+    runs = training.select(text_col).mapInArrow(_pair_batches(splits), "s long, run binary")
+    fields = [pa.field("s", pa.int64()), pa.field("pairs", pa.string()), pa.field("url", pa.string()), pa.field("n", pa.int64()),
+              *[pa.field(f"m{i}", pa.float64()) for i in range(len(MU_GRID))]]
+
+    def merge(sent: pa.Table, owner: pa.Table) -> pa.Table:
+        if not sent.num_rows:
+            return pa.schema(fields).empty_table()
+        file, url, n = (owner[c][0].as_py() for c in ("file", "url", "n"))
+        words = _opened("words", (url,), lambda: Words(url, file, files, n))
+        w, v, c = (np.concatenate(x) for x in zip(*[_spelled_out(r, "q") for r in sent["run"].to_pylist()], strict=True))
+        each, at = np.unique(w, return_inverse=True)
+        w = words.find(each)[at]
+        order = np.lexsort((w, v))
+        v, w, c = v[order], w[order], c[order]
+        first = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])]))
+        v, w, c = v[first], w[first], np.add.reduceat(c, first)
+        cw = words.count[w]
+        p = base.chance(cw)
+        fit = [float((c * np.log10(c - 1 + mu * p)).sum()) for mu in MU_GRID]
+        s = owner["s"][0].as_py()
+        pairs = write_file(folder, f"{s:012d}", [_packed(v, w, c, cw)])
+        return pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip([s, pairs, url, n, *fit], fields, strict=True)], schema=pa.schema(fields))
+
+    schema = "s long, pairs string, url string, n long" + "".join(f", m{i} double" for i in range(len(MU_GRID)))
+    return materialize(runs.groupBy("s").cogroup(owners.groupBy("s")).applyInArrow(merge, schema))
+
+
+def _trie_batches(base: Base, mu: float, folder: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _opened("words", words_key, lambda: Words(*words_key))
         for batch in batches:
-            for s, url in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                k, c = _unpack_run(map_file(url).tobytes())
-                v, w = k // _U(words.size), k % _U(words.size)
+            for s, pairs, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                v, w, c, cw = _unpacked(map_file(pairs).tobytes(), "QQqq")
                 contexts, first = np.unique(v, return_index=True)
-                rank = np.repeat(np.arange(len(contexts), dtype=_U), np.diff(np.append(first, len(k))))
-                p = words.chance(words.counts(w.astype(np.int64)))
-                logs = np.log10((c + mu * p) / (words.counts(v.astype(np.int64)) + mu))
-                low = float(logs.min())
-                step = max(-low, 1e-9) / 65535
-                codes = np.rint((logs - low) / step).astype(np.uint16)
-                path = write_file(folder, f"{s:06d}", [
-                    EliasFano.build(contexts, words.size), EliasFano.build(np.append(first, len(k)), len(k) + 1),
-                    EliasFano.build(rank * _U(words.size) + w, len(contexts) * words.size),
-                    np.array([low, step]).tobytes(), np.pad(codes, (0, -len(codes) % 4)).tobytes()])
-                yield pa.RecordBatch.from_arrays([pa.array([s]), pa.array([path])], ["s", "url"])
+                rank = np.repeat(np.arange(len(contexts), dtype=_U), np.diff(np.append(first, len(v))))
+                adds = np.log10(1 + c / (mu * base.chance(cw)))
+                step = max(float(adds.max()), 1e-9) / 65535
+                codes = np.rint(adds / step).astype(np.uint16)
+                path = write_file(folder, f"{s:012d}", [
+                    EliasFano.build(contexts, 1 << 64), EliasFano.build(np.append(first, len(v)), len(v) + 1),
+                    EliasFano.build(rank * _U(n) + w, len(contexts) * n),
+                    np.array([step]).tobytes(), np.pad(codes, (0, -len(codes) % 4)).tobytes()])
+                yield pa.RecordBatch.from_arrays([pa.array([s]), pa.array([path])], ["s", "trie"])
 
     return work
 
 
 class Pairs:
-    """One file of the second level."""
+    """One file of the second level; ``words``: the number of words of its word file."""
 
     def __init__(self, url: str, words: int):
         raw = map_file(url).view(_U)
@@ -283,62 +319,98 @@ class Pairs:
         at = self.contexts.words + self.pointers.words
         self.successors = EliasFano(raw[at:])
         at += self.successors.words
-        self.low, self.step = raw[at: at + 2].view(np.float64)
-        self.codes = raw[at + 2:].view(np.uint16)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """log10 p of sorted ``context * words + word``; NaN if unseen."""
-        out = np.full(len(keys), np.nan)
-        v, w = keys // _U(self.words), keys % _U(self.words)
-        each, run = np.unique(v, return_inverse=True)
+        self.step = float(raw[at: at + 1].view(np.float64)[0])
+        self.codes = raw[at + 1:].view(np.uint16)
+
+    def find(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """What pairs (context hash, place of the word or -1) add; 0 if unseen."""
+        out = np.zeros(len(words))
+        each, run = np.unique(contexts, return_inverse=True)
         rank = self.contexts.find(each)
         seen = np.flatnonzero(rank >= 0)
         lo, hi = np.zeros(len(each), np.int64), np.zeros(len(each), np.int64)
         lo[seen] = self.pointers.access(rank[seen]).astype(np.int64)
         hi[seen] = self.pointers.access(rank[seen] + 1).astype(np.int64)
-        at = np.flatnonzero(rank[run] >= 0)
+        at = np.flatnonzero((rank[run] >= 0) & (words >= 0))
         r = run[at]
-        i = self.successors.find(rank[r].astype(_U) * _U(self.words) + w[at], lo[r], hi[r])
+        i = self.successors.find(rank[r].astype(_U) * _U(self.words) + words[at].astype(_U), lo[r], hi[r])
         hit = np.flatnonzero(i >= 0)
-        out[at[hit]] = self.low + self.step * self.codes[i[hit]]
+        out[at[hit]] = self.step * self.codes[i[hit]]
         return out
 
 
-def _score_batches(words_key: tuple, trie: tuple, mu: float):
+_SENT = "chunk long, s long, run binary, ids array<long>, held array<boolean>"
+
+
+def _send_batches(splits: np.ndarray):
+    """For each chunk a row with its ids and lengths (``s`` is -1), and one for each
+    owner: the pairs, and for each of their tokens the pair and the row."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _opened("words", words_key, lambda: Words(*words_key))
-        pairs = _opened("pairs", trie, lambda: {s: Pairs(url, words.size) for s, url in trie[1]})
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column(2), _CHUNK):
-                h, edge = _tokens(data, offsets)
-                uniq, inverse = np.unique(h, return_inverse=True)
-                number, count = (x[inverse] for x in words.find(uniq))
-                base = np.log10(words.chance(count))
-                model = base.copy()
-                if words.size:
-                    v = _contexts(number, edge, words)
-                    cv = np.empty_like(count)
-                    cv[1:] = count[:-1]
-                    cv[edge[:-1]] = words.find(np.array([END], _U))[1][0]
-                    model += np.log10(mu / (cv + mu))
-                    both = np.flatnonzero((number >= 0) & (v.view(np.int64) >= 0))
-                    key, back = np.unique(v[both] * _U(words.size) + number[both].astype(_U), return_inverse=True)
-                    found = np.full(len(key), np.nan)
-                    shard = (mix(key) % _U(trie[0])).astype(np.int64)
-                    order = np.argsort(shard, kind="stable")
-                    cut = np.searchsorted(shard[order], np.arange(trie[0] + 1))
-                    for s, p in pairs.items():
-                        mine = order[cut[s]: cut[s + 1]]
-                        if len(mine):
-                            found[mine] = p.find(key[mine])
-                    found = found[back]
-                    hit = ~np.isnan(found)
-                    model[both[hit]] = found[hit]
-                sums = [np.add.reduceat(x, edge[:-1]) for x in ((count > 0).astype(np.int64), base, model)]
+                chunk = Chunk(data, offsets)
+                name = uuid.uuid4().int >> 65
+                length = np.diff(chunk.edge)
+                row = np.repeat(np.arange(hi - lo), length)
+                owner = chunk.owners(splits)
+                out = [(-1, _packed(length))]
+                of_pair = dict(_groups(owner))
+                place = np.empty(len(owner), np.int64)
+                for at in of_pair.values():
+                    place[at] = np.arange(len(at))
+                for s, at in _groups(owner[chunk.pair]):
+                    out.append((s, _packed(*chunk.spelled(of_pair[s]), place[chunk.pair[at]], np.diff(row[at], prepend=0))))
+                lists = [pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column(i).slice(lo, hi - lo)) for i in (0, 1)]
+                lists = [pa.concat_arrays([x, pa.nulls(len(out) - 1, x.type)]) for x in lists]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(np.diff(edge)),
-                     pa.array(sums[0]), pa.array(np.full(hi - lo, words.tokens)), pa.array(sums[1]), pa.array(sums[2])],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                    [pa.array([name] * len(out)), pa.array([s for s, _ in out]), pa.array([r for _, r in out], pa.binary()), *lists],
+                    ["chunk", "s", "run", "ids", "held"])
+
+    return work
+
+
+def _owner_batches(files: int, base: Base, mu: float):
+    """For each run the sums of its rows: row, known tokens, base and model scores."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = []
+            for raw, file, url, n, trie in zip(*(batch.column(i) for i in range(1, 6)), strict=True):
+                w, v, pair, gaps = _spelled_out(raw.as_py(), "qq")
+                place, count = np.full(len(w), -1, np.int64), np.zeros(len(w), np.int64)
+                model = np.zeros(len(w))
+                if url.is_valid:
+                    words = _opened("words", (url.as_py(),), lambda: Words(url.as_py(), file.as_py(), files, n.as_py()))
+                    each, at = np.unique(w, return_inverse=True)
+                    place = words.find(each)[at]
+                    seen = np.flatnonzero(place >= 0)
+                    count[seen] = words.count[place[seen]]
+                if trie.is_valid:
+                    model = _opened("pairs", (trie.as_py(),), lambda: Pairs(trie.as_py(), n.as_py())).find(v, place)
+                own = np.log10(base.chance(count))
+                model += own + np.log10(mu / (count + mu))
+                row = np.cumsum(gaps)
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                sums.append(_packed(row[first], *[np.add.reduceat(x[pair], first) for x in ((count > 0).astype(np.int64), own, model)]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.binary())], ["chunk", "sums"])
+
+    return work
+
+
+def _add_up(tokens: int):
+    fields = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+              ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
+
+    def work(heads: pa.Table, parts: pa.Table) -> pa.Table:
+        (length,) = _unpacked(heads["run"][0].as_py(), "q")
+        known, own, model = np.zeros(len(length), np.int64), np.zeros(len(length)), np.zeros(len(length))
+        for raw in sorted(parts["sums"].to_pylist()):  # one order, so that reruns agree in the last bit
+            row, k, b, m = _unpacked(raw, "qqdd")
+            known[row] += k
+            own[row] += b
+            model[row] += m
+        columns = [heads["ids"].combine_chunks().flatten(), heads["held"].combine_chunks().flatten(), length, known,
+                   np.full(len(length), tokens), own, model]
+        return pa.table([pa.array(c, t) if isinstance(c, np.ndarray) else c for c, (_, t) in zip(columns, fields, strict=True)], schema=pa.schema(fields))
 
     return work
 
@@ -355,14 +427,19 @@ def lm_scores(docs: DataFrame, is_held_out: Column | None = None, id_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("id"), (held_out(id_col) if is_held_out is None else is_held_out).alias("out"),
                        F.col(text_col).alias("text"))
     training = rows.where("not out")
-    words_key = count_words(training, "text")
-    files = max(1, -(-words_key[2] // TOKENS_PER_FILE))
-    runs = count_pairs(training, "text", words_key, files)
-    fit = runs.agg(*[F.sum(f"m{i}") for i in range(len(MU_GRID))]).first()
-    mu = MU_GRID[int(np.argmax([-np.inf if x is None else x for x in fit]))]
-    folder = new_folder(spark, "trie")
-    trie = materialize(runs.select("s", "url").repartition(files).mapInArrow(_trie_batches(words_key, mu, folder), "s long, url string"))
-    listed = (files, sorted(tuple(r) for r in trie.collect()))  # one row per file
-    return rows.mapInArrow(
-        _score_batches(words_key, listed, mu),
+    owners, splits, base, contexts = count_words(training, "text")
+    counted = count_pairs(training, "text", owners, splits, base)
+    fit = counted.agg(*[F.coalesce(F.sum(f"m{i}"), F.lit(0.0)) for i in range(len(MU_GRID))]).first()
+    mu = MU_GRID[int(np.argmax(np.array(fit) - np.array(contexts)))]
+    trie = materialize(counted.select("s", "pairs", "n").mapInArrow(
+        _trie_batches(base, mu, new_folder(spark, "trie")), "s long, trie string"))
+    sent = materialize(rows.mapInArrow(_send_batches(splits), _SENT))
+    files = owners.join(trie, "s", "left")
+    # a merge join: its partitions come sorted by owner, and a hot owner's runs are split
+    at_owner = sent.where("s >= 0").select("chunk", "s", "run").join(files.hint("merge"), "s", "left")
+    sums = at_owner.select("chunk", "run", "file", "url", "n", "trie").mapInArrow(
+        _owner_batches(len(splits), base, mu), "chunk long, sums binary")
+    heads = sent.where("s = -1").select("chunk", "run", "ids", "held")
+    return heads.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(
+        _add_up(base.tokens),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -79,6 +79,37 @@ def test_lm_scores_over_many_files(docs, corpus, monkeypatch):
     check_scores(ngram.lm_scores(docs).collect(), corpus)
 
 
+def test_pairs_go_to_the_files_that_own_them():
+    """A hot word's pairs are dealt over its pair files by context; what a run
+    carries is what the chunk holds."""
+    texts = [" ".join(f"w{i} hot" for i in range(j, j + 400)) for j in range(0, 2000, 100)]
+    raw = [t.encode() for t in texts]
+    chunk = ngram.Chunk(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    splits = np.array([3, 5], np.int64)
+    owner = chunk.owners(splits)
+    want = Counter(p for t in texts for w in [t.split()] for p in zip([0] + w, w + [0]))
+    assert sorted(chunk.count.tolist()) == sorted(want.values())
+    hot = np.bincount(owner[np.bincount(chunk.last).argmax() == chunk.last] & ((1 << 24) - 1))
+    assert len(hot) in (3, 5) and hot.min() > 200
+    seen = 0
+    for s, at in ngram._groups(owner):
+        w, v, c = ngram._spelled_out(ngram._packed(*chunk.spelled(at), chunk.count[at]), "q")
+        assert (ngram._file_of(w, 2) == s >> 24).all() and (c == chunk.count[at]).all()
+        assert (w == chunk.words[chunk.last[at]]).all() and (v == chunk.words[chunk.context[at]]).all()
+        seen += len(at)
+    assert seen == len(owner) == len(want)
+
+
+def test_owners_cover_all_word_files(docs, monkeypatch):
+    monkeypatch.setattr(ngram, "WORDS_PER_FILE", 3000)
+    monkeypatch.setattr(ngram, "TOKENS_PER_FILE", 9000)
+    training = docs.where(~ngram.held_out()).select("text")
+    owners, splits, base, _ = ngram.count_words(training, "text")
+    assert owners.count() == splits.sum() > len(splits) > 1
+    sizes = {r.file: r.n for r in owners.collect()}
+    assert sum(sizes.values()) == round((base.floor - base.tokens) / ngram.ADDED) - 1
+
+
 # ------------------------------------------------------------ quality
 def test_quality(spark, awkward, no_docs):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
