@@ -27,7 +27,10 @@ the pair file of a pair's last word. So tokens go to the files, never files to t
 tokens: a task cuts its texts into chunks, sends each owner the pairs of a chunk
 once with the rows they stand in, the owner returns one sum for each row, and the
 sums of a chunk are added up. A task opens one word file and one pair file at a
-time, and words are never numbered over the whole corpus.
+time, and words are never numbered over the whole corpus. A chunk is named after
+its place and its content. So a table whose rows come in the same order when a lost
+task runs again (a stored one) is scored through any loss; of other input, sums of
+two different attempts that do not belong together are an error, never a result.
 
 Counts are summed per chunk before any shuffle; pairs travel as compressed
 sorted runs. The number of files grows with the corpus, so that no task holds
@@ -42,12 +45,13 @@ empty result. Further columns are ignored.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,7 +62,7 @@ from .text import chunks, mix, word_hashes
 
 WORDS_PER_FILE = 1 << 20
 TOKENS_PER_FILE = 1 << 22
-_CHUNK = 4 << 20
+_CHUNK = 8 << 20
 _HELD = 1 << 21
 MU_GRID = (0.5, 2.0, 8.0, 32.0, 128.0, 512.0, 2048.0, 8192.0, 32768.0)
 ADDED = 0.1
@@ -123,12 +127,16 @@ class Chunk:
         sub = mix(self.words)[self.context] % splits[file].astype(_U)
         return (file << _SUB_BITS) | sub.astype(np.int64)
 
-    def spelled(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The hashes in some pairs (their gaps), and the pairs' places among them."""
-        used = np.zeros(len(self.words), bool)
-        used[self.last[pairs]] = used[self.context[pairs]] = True
-        place = np.cumsum(used) - 1
-        return np.diff(self.words[used], prepend=_U(0)), place[self.last[pairs]], place[self.context[pairs]]
+    def spelled(self, pairs: np.ndarray) -> list[np.ndarray]:
+        """Some ascending pairs: the gaps of the hashes and of the places of their
+        last words, then the gaps of the hashes and the places of their contexts."""
+        out = []
+        for part in (self.last[pairs], self.context[pairs]):
+            used = np.zeros(len(self.words), bool)
+            used[part] = True
+            out += [np.diff(self.words[used], prepend=_U(0)), (np.cumsum(used) - 1)[part]]
+        out[1] = np.diff(out[1], prepend=0)
+        return out
 
 
 def _groups(owner: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -251,20 +259,19 @@ def _pair_batches(splits: np.ndarray):
 
 def _spelled_out(raw: bytes, kinds: str) -> list[np.ndarray]:
     """A run's last words and contexts as hashes, and its other arrays."""
-    gaps, last, context, *others = _unpacked(raw, "Qqq" + kinds)
-    words = np.cumsum(gaps, dtype=_U)
-    return [words[last], words[context], *others]
+    lasts, last, contexts, context, *others = _unpacked(raw, "QqQq" + kinds)
+    return [np.cumsum(lasts, dtype=_U)[np.cumsum(last)], np.cumsum(contexts, dtype=_U)[context], *others]
 
 
 def count_pairs(training: DataFrame, text_col: str, owners: DataFrame, splits: np.ndarray, base: Base) -> DataFrame:
-    """Stored pair counts by owner: ``s, pairs`` (a file of context, word's place
-    and counts of pair and word), the word file's columns and, for each ``mu`` of
-    the grid, the pairs' part of the log likelihood, each left out of its own counts."""
+    """Stored pair counts by owner: ``s, pairs`` (a file of contexts, words' places
+    and counts), the word file's columns and, for each ``mu`` of the grid, the pairs'
+    part of the log likelihood, each left out of its own counts."""
     folder = new_folder(training.sparkSession, "pairs")
     files = len(splits)
     runs = training.select(text_col).mapInArrow(_pair_batches(splits), "s long, run binary")
-    fields = [pa.field("s", pa.int64()), pa.field("pairs", pa.string()), pa.field("url", pa.string()), pa.field("n", pa.int64()),
-              *[pa.field(f"m{i}", pa.float64()) for i in range(len(MU_GRID))]]
+    fields = [pa.field("s", pa.int64()), pa.field("pairs", pa.string()), pa.field("file", pa.int64()), pa.field("url", pa.string()),
+              pa.field("n", pa.int64()), *[pa.field(f"m{i}", pa.float64()) for i in range(len(MU_GRID))]]
 
     def merge(sent: pa.Table, owner: pa.Table) -> pa.Table:
         if not sent.num_rows:
@@ -278,30 +285,31 @@ def count_pairs(training: DataFrame, text_col: str, owners: DataFrame, splits: n
         v, w, c = v[order], w[order], c[order]
         first = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])]))
         v, w, c = v[first], w[first], np.add.reduceat(c, first)
-        cw = words.count[w]
-        p = base.chance(cw)
+        p = base.chance(words.count[w])
         fit = [float((c * np.log10(c - 1 + mu * p)).sum()) for mu in MU_GRID]
         s = owner["s"][0].as_py()
-        pairs = write_file(folder, f"{s:012d}", [_packed(v, w, c, cw)])
-        return pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip([s, pairs, url, n, *fit], fields, strict=True)], schema=pa.schema(fields))
+        pairs = write_file(folder, f"{s:012d}", [_packed(np.diff(v, prepend=_U(0)), w, c)])
+        return pa.Table.from_arrays([pa.array([x], f.type) for x, f in zip([s, pairs, file, url, n, *fit], fields, strict=True)], schema=pa.schema(fields))
 
-    schema = "s long, pairs string, url string, n long" + "".join(f", m{i} double" for i in range(len(MU_GRID)))
+    schema = "s long, pairs string, file long, url string, n long" + "".join(f", m{i} double" for i in range(len(MU_GRID)))
     return materialize(runs.groupBy("s").cogroup(owners.groupBy("s")).applyInArrow(merge, schema))
 
 
-def _trie_batches(base: Base, mu: float, folder: str):
+def _trie_batches(files: int, base: Base, mu: float, folder: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s, pairs, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                v, w, c, cw = _unpacked(map_file(pairs).tobytes(), "QQqq")
+            for s, pairs, file, url, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = _opened("words", (url,), lambda: Words(url, file, files, n))
+                v, w, c = _unpacked(map_file(pairs).tobytes(), "Qqq")
+                v = np.cumsum(v, dtype=_U)
                 contexts, first = np.unique(v, return_index=True)
                 rank = np.repeat(np.arange(len(contexts), dtype=_U), np.diff(np.append(first, len(v))))
-                adds = np.log10(1 + c / (mu * base.chance(cw)))
+                adds = np.log10(1 + c / (mu * base.chance(words.count[w])))
                 step = max(float(adds.max()), 1e-9) / 65535
                 codes = np.rint(adds / step).astype(np.uint16)
                 path = write_file(folder, f"{s:012d}", [
                     EliasFano.build(contexts, 1 << 64), EliasFano.build(np.append(first, len(v)), len(v) + 1),
-                    EliasFano.build(rank * _U(n) + w, len(contexts) * n),
+                    EliasFano.build(rank * _U(n) + w.astype(_U), len(contexts) * n),
                     np.array([step]).tobytes(), np.pad(codes, (0, -len(codes) % 4)).tobytes()])
                 yield pa.RecordBatch.from_arrays([pa.array([s]), pa.array([path])], ["s", "trie"])
 
@@ -343,23 +351,28 @@ _SENT = "chunk long, s long, run binary, ids array<long>, held array<boolean>"
 
 
 def _send_batches(splits: np.ndarray):
-    """For each chunk a row with its ids and lengths (``s`` is -1), and one for each
-    owner: the pairs, and for each of their tokens the pair and the row."""
+    """For each chunk a row with its ids and lengths (``s`` is negative), and one for
+    each owner: the pairs, and for each of their tokens the pair and the row."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = 0
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column(2), _CHUNK):
                 chunk = Chunk(data, offsets)
-                name = uuid.uuid4().int >> 65
+                content = hashlib.blake2b(np.array([TaskContext.get().partitionId(), done]).tobytes(), digest_size=8)
+                for part in (data, offsets, np.array(batch.column(0).slice(lo, hi - lo).fill_null(0))):
+                    content.update(np.ascontiguousarray(part))
+                name = int.from_bytes(content.digest()) >> 1
+                done += 1
                 length = np.diff(chunk.edge)
-                row = np.repeat(np.arange(hi - lo), length)
                 owner = chunk.owners(splits)
-                out = [(-1, _packed(length))]
-                of_pair = dict(_groups(owner))
-                place = np.empty(len(owner), np.int64)
-                for at in of_pair.values():
-                    place[at] = np.arange(len(at))
-                for s, at in _groups(owner[chunk.pair]):
-                    out.append((s, _packed(*chunk.spelled(of_pair[s]), place[chunk.pair[at]], np.diff(row[at], prepend=0))))
+                order = np.argsort(chunk.pair, kind="stable")  # tokens by pair, then by row
+                row = np.repeat(np.arange(hi - lo), length)[order]
+                start = np.concatenate([[0], np.cumsum(chunk.count)])
+                out = [(-1 - name % (1 << 20), _packed(length))]
+                for s, at in _groups(owner):
+                    n = chunk.count[at]
+                    tokens = np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    out.append((s, _packed(*chunk.spelled(at), n, row[tokens])))
                 lists = [pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column(i).slice(lo, hi - lo)) for i in (0, 1)]
                 lists = [pa.concat_arrays([x, pa.nulls(len(out) - 1, x.type)]) for x in lists]
                 yield pa.RecordBatch.from_arrays(
@@ -370,47 +383,56 @@ def _send_batches(splits: np.ndarray):
 
 
 def _owner_batches(files: int, base: Base, mu: float):
-    """For each run the sums of its rows: row, known tokens, base and model scores."""
+    """For each run the sums of its rows: row, tokens, known ones, base and model
+    scores. A chunk's first row passes."""
+    def sums(run: bytes, file: int | None, url: str | None, n: int | None, trie: str | None) -> bytes:
+        w, v, times, row = _spelled_out(run, "qq")
+        place, count, model = np.full(len(w), -1, np.int64), np.zeros(len(w), np.int64), np.zeros(len(w))
+        if url is not None:
+            words = _opened("words", (url,), lambda: Words(url, file, files, n))
+            each, at = np.unique(w, return_inverse=True)
+            place = words.find(each)[at]
+            seen = np.flatnonzero(place >= 0)
+            count[seen] = words.count[place[seen]]
+        if trie is not None:
+            model = _opened("pairs", (trie,), lambda: Pairs(trie, n)).find(v, place)
+        own = np.log10(base.chance(count))
+        model += own + np.log10(mu / (count + mu))
+        each, at = np.unique(row, return_inverse=True)
+        pair = np.repeat(np.arange(len(w)), times)
+        known = np.bincount(at, count[pair] > 0).astype(np.int64)
+        return _packed(np.diff(each, prepend=0), np.bincount(at), known, np.bincount(at, own[pair]), np.bincount(at, model[pair]))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = []
-            for raw, file, url, n, trie in zip(*(batch.column(i) for i in range(1, 6)), strict=True):
-                w, v, pair, gaps = _spelled_out(raw.as_py(), "qq")
-                place, count = np.full(len(w), -1, np.int64), np.zeros(len(w), np.int64)
-                model = np.zeros(len(w))
-                if url.is_valid:
-                    words = _opened("words", (url.as_py(),), lambda: Words(url.as_py(), file.as_py(), files, n.as_py()))
-                    each, at = np.unique(w, return_inverse=True)
-                    place = words.find(each)[at]
-                    seen = np.flatnonzero(place >= 0)
-                    count[seen] = words.count[place[seen]]
-                if trie.is_valid:
-                    model = _opened("pairs", (trie.as_py(),), lambda: Pairs(trie.as_py(), n.as_py())).find(v, place)
-                own = np.log10(base.chance(count))
-                model += own + np.log10(mu / (count + mu))
-                row = np.cumsum(gaps)
-                first = np.flatnonzero(np.diff(row, prepend=-1))
-                sums.append(_packed(row[first], *[np.add.reduceat(x[pair], first) for x in ((count > 0).astype(np.int64), own, model)]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.binary())], ["chunk", "sums"])
+            out = [run.as_py() if ids.is_valid else sums(run.as_py(), *(x.as_py() for x in more))
+                   for run, ids, _, *more in zip(*batch.columns[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(out, pa.binary()), batch.column(2), batch.column(3)], ["chunk", "sums", "ids", "held"])
 
     return work
 
 
-def _add_up(tokens: int):
-    fields = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-              ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
+def _add_up(total: int):
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                        ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
-    def work(heads: pa.Table, parts: pa.Table) -> pa.Table:
-        (length,) = _unpacked(heads["run"][0].as_py(), "q")
-        known, own, model = np.zeros(len(length), np.int64), np.zeros(len(length)), np.zeros(len(length))
-        for raw in sorted(parts["sums"].to_pylist()):  # one order, so that reruns agree in the last bit
-            row, k, b, m = _unpacked(raw, "qqdd")
-            known[row] += k
-            own[row] += b
-            model[row] += m
-        columns = [heads["ids"].combine_chunks().flatten(), heads["held"].combine_chunks().flatten(), length, known,
-                   np.full(len(length), tokens), own, model]
-        return pa.table([pa.array(c, t) if isinstance(c, np.ndarray) else c for c, (_, t) in zip(columns, fields, strict=True)], schema=pa.schema(fields))
+    def work(parts: pa.Table) -> pa.Table:
+        heads = parts.filter(parts["ids"].is_valid())
+        length = _unpacked(heads["sums"][0].as_py(), "q")[0] if heads.num_rows == 1 else np.empty(0, np.int64)
+        tokens, known = np.zeros((2, len(length)), np.int64)
+        own, model = np.zeros((2, len(length)))
+        if heads.num_rows == 1:
+            for raw in sorted(parts.filter(parts["ids"].is_null())["sums"].to_pylist()):  # one order: reruns agree in the last bit
+                gaps, t, k, b, m = _unpacked(raw, "qqqdd")
+                row = np.cumsum(gaps)
+                for sum_, x in ((tokens, t), (known, k), (own, b), (model, m)):
+                    sum_[row] += x
+        if heads.num_rows != 1 or (tokens != length).any():
+            raise RuntimeError("a lost task read the documents in another order: store them as a table first")
+        columns = [*(heads[c].combine_chunks().flatten() for c in ("ids", "held")),
+                   *map(pa.array, (length, known, np.full(len(length), total), own, model))]
+        return pa.Table.from_arrays(columns, schema=schema)
 
     return work
 
@@ -431,15 +453,13 @@ def lm_scores(docs: DataFrame, is_held_out: Column | None = None, id_col: str =
     counted = count_pairs(training, "text", owners, splits, base)
     fit = counted.agg(*[F.coalesce(F.sum(f"m{i}"), F.lit(0.0)) for i in range(len(MU_GRID))]).first()
     mu = MU_GRID[int(np.argmax(np.array(fit) - np.array(contexts)))]
-    trie = materialize(counted.select("s", "pairs", "n").mapInArrow(
-        _trie_batches(base, mu, new_folder(spark, "trie")), "s long, trie string"))
-    sent = materialize(rows.mapInArrow(_send_batches(splits), _SENT))
+    trie = materialize(counted.select("s", "pairs", "file", "url", "n").mapInArrow(
+        _trie_batches(len(splits), base, mu, new_folder(spark, "trie")), "s long, trie string"))
     files = owners.join(trie, "s", "left")
     # a merge join: its partitions come sorted by owner, and a hot owner's runs are split
-    at_owner = sent.where("s >= 0").select("chunk", "s", "run").join(files.hint("merge"), "s", "left")
-    sums = at_owner.select("chunk", "run", "file", "url", "n", "trie").mapInArrow(
-        _owner_batches(len(splits), base, mu), "chunk long, sums binary")
-    heads = sent.where("s = -1").select("chunk", "run", "ids", "held")
-    return heads.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(
+    at_owner = rows.mapInArrow(_send_batches(splits), _SENT).join(files.hint("merge"), "s", "left")
+    sums = at_owner.select("chunk", "run", "ids", "held", "file", "url", "n", "trie").mapInArrow(
+        _owner_batches(len(splits), base, mu), "chunk long, sums binary, ids array<long>, held array<boolean>")
+    return sums.groupBy("chunk").applyInArrow(
         _add_up(base.tokens),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
