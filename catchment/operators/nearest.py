@@ -51,13 +51,13 @@ def nearest_k_mean(
     keys = list(keys)
     base = od.where(_all_not_null(keys))
     long = base.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(name).alias("_m"), F.col(col).cast("double").alias("_v")) for name, (col, _) in measures.items()
+        F.struct(F.lit(i).alias("_m"), F.col(col).cast("double").alias("_v")) for i, (col, _) in enumerate(measures.values())
     ])))
     top = top_k_per_group(long, [*keys, "_m"], "_v", k)
     per_measure = top.groupBy(*keys, "_m").agg(F.avg("_v").alias("_a"))
     cols = []
-    for name, (_, divisor) in measures.items():
-        mean = F.max(F.when(F.col("_m") == F.lit(name), F.col("_a")))
+    for i, (name, (_, divisor)) in enumerate(measures.items()):
+        mean = F.max(F.when(F.col("_m") == F.lit(i), F.col("_a")))
         if divisor != 1.0:
             mean = mean / F.lit(float(divisor))
         cols.append(mean.alias(name))

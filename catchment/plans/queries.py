@@ -28,7 +28,7 @@ from ..operators.ranktest import signed_rank_test, test_report
 from ..operators.spatial import points_in_zones, zone_buffers, zone_counts
 from ..operators.summary import summary_table
 from ..operators.weighting import area_shares, block_weights, zone_access, zone_population
-from ..session import materialize, shared_dir
+from ..session import input_tasks, materialize, shared_dir
 from ..sources import files, sinks
 from . import gaps, roles
 
@@ -398,14 +398,15 @@ def q_csv_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.unionByName(good.select(F.lit(None).cast("string").alias("column"), F.lit("(number)").alias("text"), "n"))
 
 
-BUCKETS = 8
+BUCKETS = 8  # at least
 
 
 def q_od_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The OD table stored in buckets by origin and read back: nearest-5 means
     without an exchange of OD rows."""
     path = f"{_scratch(spark, 'od-buckets')}/od"
-    sinks.write_od_buckets(roles.od_table(spark, sf_dir), path, BUCKETS)
+    od = roles.od_table(spark, sf_dir)
+    sinks.write_od_buckets(od, path, max(BUCKETS, input_tasks(od)))
     return rounded(nearest_k_mean(files.read_od_buckets(spark, path), keys=["block_id", "mode"], k=K))
 
 

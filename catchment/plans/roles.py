@@ -26,7 +26,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast
+from ..session import checked_broadcast, input_tasks
 
 # Fixed values of the role mapping.
 MODES = ("auto", "pedestrian")
@@ -95,6 +95,10 @@ def od_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     # A join of two fact tables: shuffled on the order key at any scale (never
     # a broadcast, whatever the statistics of a small test file say).
+    # In tasks by the tables' size: a line item becomes up to eight rows of the
+    # nearest-k means before they are sorted, which its shuffled size says nothing of.
+    tasks = input_tasks(li, orders)
+    li, orders = li.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
     joined = li.join(orders.hint("merge"), li["l_orderkey"] == orders["o_orderkey"])
     auto = F.struct(
         F.lit("auto").alias("mode"),
