@@ -70,6 +70,9 @@ STRAIGHT_LINE_MODES: dict[str, tuple[float, float]] = {"auto": (1.3, 40.0), "ped
 LEAF = 4
 SPLIT = 4
 
+# Origins whose candidates one task holds and sorts.
+ORIGINS_PER_TASK = 8192
+
 
 def density_pyramid(dests: DataFrame, ext: Row, k: int, cell_m: float = 1.0) -> tuple[DataFrame, DataFrame, list, int]:
     """Square nodes over ``dests`` (``dest_id, dx, dy`` on a plane, from ``a`` to
@@ -167,7 +170,10 @@ def nearest_candidates(
     steps, own_leaf, roots, depth = density_pyramid(dm, ext, k, float(cell_m or 1.0))
     key = ["level", "cx", "cy"]
     first = F.array(*[F.struct(*[F.lit(r[c]).cast("int" if c == "level" else "long").alias(c) for c in key]) for r in roots])
-    held = o.select("block_id", dx.alias("ox"), dy.alias("oy"), F.inline(first)).repartition("block_id")
+    # by number, not left to the size of what is shuffled: an origin is one row
+    # here and as many as it has candidates at the end
+    tasks = -(-o.count() // ORIGINS_PER_TASK) or 1
+    held = o.select("block_id", dx.alias("ox"), dy.alias("oy")).repartition(tasks, "block_id").select("*", F.inline(first))
     side = checked_broadcast(steps)
     ox, oy = F.col("ox"), F.col("oy")
 

@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+from catchment.operators import od
 from catchment.plans import gaps, roles
 from catchment.session import input_tasks
 
@@ -26,3 +27,12 @@ def test_od_rows_are_dealt_by_number(spark):
     li, orders = roles.table(spark, SF, "lineitem"), roles.table(spark, SF, "orders")
     assert roles.od_table(spark, SF).rdd.getNumPartitions() == input_tasks(li, orders)
     assert gaps.od_table(spark, SF).rdd.getNumPartitions() == input_tasks(li, orders, roles.table(spark, SF, "customer"))
+
+
+def test_origins_are_dealt_by_number(spark, monkeypatch):
+    monkeypatch.setattr(od, "ORIGINS_PER_TASK", 10)
+    places = [(i, -75.0 + (i * 37 % 101) / 500.0, 45.0 + (i * 53 % 97) / 500.0) for i in range(100)]
+    o, d = spark.createDataFrame(places, "block_id long, lon double, lat double"), spark.createDataFrame(places, "dest_id long, lon double, lat double")
+    assert od.nearest_candidates(o, d, k=2).rdd.getNumPartitions() == 10
+    near = {(r.block_id, r.dest_id) for r in od.nearest_destinations(o, d, k=1).collect()}
+    assert near == {(i, i) for i in range(100)}
