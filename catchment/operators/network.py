@@ -47,23 +47,32 @@ def usable_edges(edges: DataFrame) -> DataFrame:
 def islands(edges: DataFrame) -> DataFrame:
     """``mode, node, island``: the connected parts of each mode's network,
     direction left aside, named by their smallest node. Every round a node takes
-    the smallest name among its neighbours, then that name's own name: the
-    number of rounds grows with the logarithm of a part's width."""
-    ends = edges.select("mode", F.col("from_node").alias("node"), F.col("to_node").alias("other"))
-    both = materialize(ends.union(ends.select("mode", "other", "node")).where("node <> other").distinct())
-    alone = edges.select("mode", F.col("from_node").alias("node")).union(edges.select("mode", F.col("to_node").alias("node"))).distinct()
-    names = materialize(alone.withColumn("island", F.col("node")))
-    while True:
-        near = both.join(names.withColumnRenamed("node", "other"), ["mode", "other"]).groupBy("mode", "node").agg(
-            F.min("island").alias("_near"))
-        step = names.join(near, ["mode", "node"], "left").select(
-            "mode", "node", F.col("island").alias("_was"), F.least("island", F.coalesce("_near", "island")).alias("island"))
-        step = materialize(step)
-        jump = step.select("mode", F.col("node").alias("island"), F.col("island").alias("_next"))
-        names = materialize(step.join(jump, ["mode", "island"]).select("mode", "node", F.col("_next").alias("island"), "_was"))
-        if names.where("island <> _was").isEmpty():
-            return names.select("mode", "node", "island")
-        names = names.drop("_was")
+    the smallest node among its neighbours, then that one's own: the number of
+    rounds grows with the logarithm of a part's width. After a round the streets
+    lead between the nodes taken, and those within one are gone, so only the
+    first round meets all streets."""
+    def pairs(rows: DataFrame) -> DataFrame:
+        return materialize(rows.where("a <> b").select("mode", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+    def nodes(rows: DataFrame) -> DataFrame:
+        return rows.select("mode", F.explode(F.array("a", "b")).alias("node"))
+
+    ends = edges.select("mode", F.col("from_node").alias("a"), F.col("to_node").alias("b"))
+    names = nodes(ends).distinct().withColumn("island", F.col("node"))
+    ends = pairs(ends)
+    while not ends.isEmpty():
+        both = ends.select("mode", F.inline(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")),
+                                                    F.struct(F.col("b").alias("node"), F.col("a").alias("other")))))
+        near = materialize(both.groupBy("mode", "node").agg(F.min("other").alias("_near")).select(
+            "mode", "node", F.least("node", "_near").alias("_near")))
+        jump = near.select("mode", F.col("node").alias("_near"), F.col("_near").alias("_next"))
+        taken = materialize(near.join(jump, ["mode", "_near"]).select("mode", "node", F.col("_next").alias("_to")))
+        names = materialize(names.join(taken.withColumnRenamed("node", "island"), ["mode", "island"], "left").select(
+            "mode", "node", F.coalesce("_to", "island").alias("island")))
+        for end in ("a", "b"):
+            ends = ends.join(taken.withColumnRenamed("node", end), ["mode", end]).drop(end).withColumnRenamed("_to", end)
+        ends = pairs(ends)
+    return names
 
 
 def reachable_network(edges: DataFrame, min_reachability: int) -> DataFrame:
@@ -71,6 +80,7 @@ def reachable_network(edges: DataFrame, min_reachability: int) -> DataFrame:
     edges = usable_edges(edges)
     if min_reachability <= 1:
         return edges
+    edges = materialize(edges)  # read for the islands and once more for what is kept
     named = islands(edges)
     large = named.groupBy("mode", "island").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_reachability)
     kept = named.join(large, ["mode", "island"], "left_semi").select("mode", F.col("node").alias("from_node"))
@@ -105,17 +115,29 @@ def network_labels(edges: DataFrame, seeds: DataFrame, k: int = 5, cost: str = "
     where = [*layers, "node"]
     order = [cost, carried, "dest_id"]
     edges = materialize(edges.select("mode", "from_node", F.col("to_node").alias("node"), F.col(cost).alias("_c"), F.col(carried).alias("_d")))
+    n_nodes = edges.agg(F.approx_count_distinct(F.struct("mode", "node"))).first()[0]
     start = seeds.where(F.col("node").isNotNull()).select(*where, "dest_id").distinct()
     start = start.withColumns({cost: F.lit(0.0), carried: F.lit(0.0), "_new": F.lit(1)})
     state = materialize(top_k_per_group(start, where, order, k))
     rounds = 0
     while True:
         moved = state.where("_new = 1")
-        if moved.isEmpty():
+        n_moved = moved.count()
+        if not n_moved:
             return state.drop("_new")
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"labels still improve after {max_rounds} rounds")
-        steps = moved.join(edges, ["mode", "node"]).select(
+        steps = moved.join(edges, ["mode", "node"])
+        if n_moved > 2 * n_nodes:
+            # Most labels come too late at a node that has k already: its streets
+            # know its worst label of each layer before they meet the others' labels.
+            full = state.groupBy(*where).agg(F.count(F.lit(1)).alias("_n"), F.max(cost).alias("_worst")).where(F.col("_n") >= k)
+            worst = full.groupBy("mode", F.col("node").alias("from_node")).agg(F.map_from_entries(F.collect_list(
+                F.struct(F.struct(*layers), "_worst"))).alias("_worst"))
+            known = edges.join(worst, ["mode", "from_node"], "left")
+            late = F.col("_c") + F.col(cost) > F.col("_worst")[F.struct(*layers)]
+            steps = moved.join(known, ["mode", "node"]).where(~F.coalesce(late, F.lit(False)))
+        steps = steps.select(
             *layers, F.col("from_node").alias("node"), "dest_id",
             (F.col("_c") + F.col(cost)).alias(cost), (F.col("_d") + F.col(carried)).alias(carried), F.lit(1).alias("_new"))
         # of equal ways the one that is known already stays

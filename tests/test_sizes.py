@@ -1,11 +1,13 @@
 """Steps that make many more rows than they shuffle: dealt into tasks by the
-size of their input."""
+size of their input, and a network search that sheds rows as it goes."""
 
+import heapq
 import os
+import random
 
 import pytest
 
-from catchment.operators import od
+from catchment.operators import network, od
 from catchment.plans import gaps, roles
 from catchment.session import input_tasks
 
@@ -36,3 +38,55 @@ def test_origins_are_dealt_by_number(spark, monkeypatch):
     assert od.nearest_candidates(o, d, k=2).rdd.getNumPartitions() == 10
     near = {(r.block_id, r.dest_id) for r in od.nearest_destinations(o, d, k=1).collect()}
     assert near == {(i, i) for i in range(100)}
+
+
+def streets(seed: int, nodes: int, n: int) -> list:
+    rnd = random.Random(seed)
+    return [("a", rnd.randrange(nodes), rnd.randrange(nodes), float(rnd.randrange(9)), float(rnd.randrange(9))) for _ in range(n)]
+
+
+EDGES = "mode string, from_node int, to_node int, distance double, time double"
+
+
+def test_islands_shed_streets(spark, monkeypatch):
+    rows = streets(1, 400, 520) + [("b", 7, 3, 1.0, 1.0), ("b", 9, 9, 1.0, 1.0)]
+    sizes, stored = [], network.materialize
+
+    def keep(df):
+        out = stored(df)
+        if "a" in out.columns:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(network, "materialize", keep)
+    got = {(r.mode, r.node): r.island for r in network.islands(spark.createDataFrame(rows, EDGES)).collect()}
+    want = {(m, x): x for m, a, b, *_ in rows for x in (a, b)}
+    for _ in range(400):
+        for m, a, b, *_ in rows:
+            want[m, a] = want[m, b] = min(want[m, a], want[m, b])
+    assert got == want
+    assert sizes == sorted(sizes, reverse=True) and sizes[2] < sizes[0] / 2
+
+
+def test_labels_with_late_ones_left_out(spark):
+    """More labels than streets' nodes from the first rounds on, equal costs, two layers."""
+    rows, rnd = streets(2, 40, 260), random.Random(3)
+    seeds = [("a", p, d, rnd.randrange(40)) for d in range(60) for p in ("x", "y") if p == "x" or d % 3 == 0]
+    got = network.network_labels(spark.createDataFrame(rows, EDGES), spark.createDataFrame(
+        seeds, "mode string, population string, dest_id int, node int"), k=3, cost="time")
+    back = {}
+    for _, a, b, dist, t in rows:
+        back.setdefault(b, []).append((a, dist, t))
+    best = {}
+    for _, p, d, at in seeds:
+        seen, heap = {}, [(0.0, 0.0, at)]
+        while heap:
+            t, dist, n = heapq.heappop(heap)
+            if n not in seen:
+                seen[n] = (t, dist)
+                for a, ed, et in back.get(n, []):
+                    heapq.heappush(heap, (t + et, dist + ed, a))
+        for n, (t, dist) in seen.items():
+            best.setdefault((p, n), []).append((t, dist, d))
+    want = {(p, n, d, dist, t) for (p, n), found in best.items() for t, dist, d in sorted(found)[:3]}
+    assert {(r.population, r.node, r.dest_id, r.distance, r.time) for r in got.collect()} == want
