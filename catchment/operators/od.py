@@ -70,9 +70,9 @@ STRAIGHT_LINE_MODES: dict[str, tuple[float, float]] = {"auto": (1.3, 40.0), "ped
 LEAF = 4
 SPLIT = 4
 
-# Origins whose candidates one task holds and sorts: the sorts of all steps down
-# take some 200 KB an origin.
-ORIGINS_PER_TASK = 2048
+# Origins whose candidates one task holds and sorts. Fewer save next to nothing: each
+# step down has its own sort, and a sort takes a memory page at least.
+ORIGINS_PER_TASK = 8192
 
 
 def density_pyramid(dests: DataFrame, ext: Row, k: int, cell_m: float = 1.0) -> tuple[DataFrame, DataFrame, list, int]:
