@@ -23,8 +23,9 @@ from .text import hash_spans, segments
 
 # Pieces kept per task; beyond that the store starts anew with the chunk at hand.
 CACHE_PIECES = 1 << 21
-# Bytes of text that are encoded at once: new pieces are merged into the store once for each.
-ENCODE_BYTES = 4 << 20
+# Bytes of text that are encoded at once (a worker holds some 60 bytes more for each):
+# new pieces are merged into the store once for each.
+ENCODE_BYTES = 1 << 20
 # Bytes of pieces that are compared with the kept ones at once.
 COMPARE_BYTES = 1 << 17
 # New pieces that are encoded in one call, each on its own.

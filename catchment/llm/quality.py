@@ -325,20 +325,21 @@ def _scored(base: DataFrame, model: dict | None, id_col: str, text_col: str, thr
         return own.withColumns({
             "content_score": F.lit(0.0), "meta_score": F.lit(0.0), "quality_score": F.lit(1.0), "kept": F.lit(True)})
 
+    at = dict(zip(base.columns, names))
+    k, text = len(names), names.index(at[text_col])
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k = len(names)
-            for lo, hi, data, offsets in chunks(batch.column(k + 1)):
+            for lo, hi, data, offsets in chunks(batch.column(text)):
                 part = batch.slice(lo, hi - lo)
                 a = _logit(content_features(data, offsets).astype(np.float64), model["content"])
-                b = _logit(meta_features(*(part.column(k + i).to_pylist() for i in (2, 3, 4))).astype(np.float64), model["meta"])
+                b = _logit(meta_features(*(part.column(k + i).to_pylist() for i in (0, 1, 2))).astype(np.float64), model["meta"])
                 p = 1 / (1 + np.exp(-np.clip(_logit(np.stack([a, b], axis=1), model["combine"]), -30, 30)))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:k], pa.array(a), pa.array(b), pa.array(p), pa.array(p >= threshold)],
                     [*names, *_RESULT])
 
-    at = dict(zip(base.columns, names))
-    fed = own.select(*names, *_columns(own, id_col, text_col, at))
+    fed = own.select(*names, *_columns(own, id_col, text_col, at)[2:])  # the text is sent once, among the documents' own columns
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema.fields)
     return fed.mapInArrow(score, schema + "".join(f", {n} {t}" for n, t in _RESULT.items()))
 
