@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import input_tasks
 from . import roles
 
 # Which driver rows have which gap.
@@ -67,9 +66,9 @@ SQL_SHARES = f"""shares AS (
 def od_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The OD table without the rows of one zone's blocks."""
     c = roles.table(spark, sf_dir, "customer").where(F.col("c_nationkey") != UNREACHABLE_ZONE)
-    od, keep = roles.od_table(spark, sf_dir), c.select(F.col("c_custkey").alias("block_id"))
-    tasks = input_tasks(od, keep)  # the means then need no other exchange
-    return od.repartition(tasks, "block_id").join(keep.repartition(tasks, "block_id").hint("merge"), "block_id", "left_semi")
+    keep = c.select(F.col("c_custkey").alias("block_id"))
+    tasks = roles.origin_tasks(spark, sf_dir, keep)  # the means then need no other exchange
+    return roles.od_table(spark, sf_dir, tasks).join(keep.repartition(tasks, "block_id").hint("merge"), "block_id", "left_semi")
 
 
 SQL_OD_POP = f"""od_pop AS (

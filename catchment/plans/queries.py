@@ -59,7 +59,7 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 # ------------------------------------------------------------ shared parts
 def block_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """block_id, mode, population, avg_dist, avg_time: nearest-5 means."""
-    od = roles.od_table(spark, sf_dir)
+    od = roles.od_to_rank(spark, sf_dir)
     tagged = od_by_population(od, roles.destinations(spark, sf_dir))
     return nearest_k_mean(tagged, keys=["block_id", "mode", "population"], k=K)
 
@@ -644,7 +644,7 @@ def pipeline_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         scatter_attr=SCATTER_ATTRIBUTE, walk_class=WALK_CLASS,
     )
     return run(
-        od=roles.od_table(spark, sf_dir), dests=dests, pops=roles.block_pops(spark, sf_dir),
+        od=roles.od_to_rank(spark, sf_dir), dests=dests, pops=roles.block_pops(spark, sf_dir),
         area_attributes=roles.area_attributes(spark, sf_dir), lookup=roles.block_zone(spark, sf_dir),
         zones=roles.zones(spark, sf_dir), zone_classes=roles.zone_classes(spark, sf_dir),
         zone_attributes=roles.zone_attributes(spark, sf_dir), params=params,

@@ -86,9 +86,11 @@ def _d(x: float):
 
 
 # --------------------------------------------------------------------- OD
-def od_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def od_table(spark: SparkSession, sf_dir: str, origin_tasks: int | None = None) -> DataFrame:
     """block_id, dest_id, mode, distance (km), time (s): one row per line item
-    and mode."""
+    and mode. With ``origin_tasks`` the rows are dealt by origin into so many tasks,
+    before there is a row per mode: what ranks an origin's rows then needs no other
+    exchange, whose tasks would be as many as the session says."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_extendedprice", "l_discount", "l_quantity", "l_tax"
     )
@@ -100,6 +102,8 @@ def od_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     tasks = input_tasks(li, orders)
     li, orders = li.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
     joined = li.join(orders.hint("merge"), li["l_orderkey"] == orders["o_orderkey"])
+    if origin_tasks:
+        joined = joined.drop("l_orderkey", "o_orderkey").repartition(origin_tasks, "o_custkey")
     auto = F.struct(
         F.lit("auto").alias("mode"),
         (F.col("l_extendedprice") / _d(1000.0)).alias("distance"),
@@ -116,6 +120,22 @@ def od_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def origin_tasks(spark: SparkSession, sf_dir: str, *more: DataFrame, least: int | None = None) -> int:
+    """Into how many tasks to deal the OD rows by origin: by the stored size of the
+    tables they come from, and of ``more``."""
+    return input_tasks(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"), *more, least=least)
+
+
+def od_to_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`od_table` for the nearest-k means. The limit on the map side leaves
+    their exchange up to ``k`` rows per origin and measure of every task, and it
+    has as many tasks as the session says. Where the tables need more than that, the
+    rows are dealt by origin in as many as needed, and no other exchange follows."""
+    tasks = origin_tasks(spark, sf_dir, least=1)
+    few = int(spark.conf.get("spark.sql.shuffle.partitions")) < tasks
+    return od_table(spark, sf_dir, tasks if few else None)
+
+
 SQL_OD = """od AS (
   SELECT o.o_custkey AS block_id, l.l_suppkey AS dest_id, m.mode,
          CASE WHEN m.mode = 'auto' THEN l.l_extendedprice / 1000.0::DOUBLE

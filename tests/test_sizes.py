@@ -6,9 +6,10 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from catchment.operators import network, od
-from catchment.plans import gaps, roles
+from catchment.plans import gaps, queries, roles
 from catchment.session import input_tasks
 
 SF = "/root/testdata/sf0.001"
@@ -31,6 +32,48 @@ def test_od_rows_are_dealt_by_number(spark):
     assert gaps.od_table(spark, SF).rdd.getNumPartitions() == input_tasks(li, orders, roles.table(spark, SF, "customer"))
 
 
+@pytest.fixture
+def od_dir(spark, tmp_path):
+    """Line items, orders, customers and suppliers: a crowded origin, orders that come twice, null keys."""
+    rnd = random.Random(5)
+    orders = [(i, 1 if i % 3 == 0 else i % 40, float(i)) for i in range(400)] + [(7, 12, 1.0), (None, 3, 1.0), (8, None, 1.0)]
+    items = [(rnd.randrange(410), rnd.randrange(30), float(rnd.randrange(50)), rnd.random() * 1000, 0.05, 0.02) for _ in range(3000)]
+    items += [(None, 4, 1.0, 1.0, 0.0, 0.0), (9, None, 1.0, 1.0, 0.0, 0.0)]
+    for name, rows, schema in (
+        ("orders", orders, "o_orderkey long, o_custkey long, o_totalprice double"),
+        ("lineitem", items, "l_orderkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double"),
+        ("supplier", [(i, float(i * 400 - 800)) for i in range(28)], "s_suppkey long, s_acctbal double"),
+        ("customer", [(i, i % 13) for i in range(42)], "c_custkey long, c_nationkey int"),
+    ):
+        spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_rows_by_origin_are_the_same_rows(spark, od_dir):
+    def rows(df):
+        return sorted(map(repr, df.collect()))
+
+    dealt = roles.od_table(spark, od_dir, 5)
+    assert dealt.columns == roles.od_table(spark, od_dir).columns
+    assert rows(dealt) == rows(roles.od_table(spark, od_dir)) and dealt.count() > 2000
+    by_task = dealt.withColumn("task", F.spark_partition_id()).groupBy("block_id").agg(F.countDistinct("task").alias("n"))
+    assert by_task.where("n > 1").count() == 0
+    left = roles.od_table(spark, od_dir).where(f"block_id is not null and block_id % 13 <> {gaps.UNREACHABLE_ZONE}")
+    assert rows(gaps.od_table(spark, od_dir)) == rows(left)
+
+
+@pytest.mark.parametrize("partitions", ["1", "6"])
+def test_ranking_of_an_origin_is_dealt_by_size(spark, od_dir, monkeypatch, partitions):
+    """However many shuffle partitions the session has."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(roles, "input_tasks", lambda *tables, **more: 11)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        assert queries.block_means(spark, od_dir).rdd.getNumPartitions() == 11
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_origins_are_dealt_by_number(spark, monkeypatch):
     monkeypatch.setattr(od, "ORIGINS_PER_TASK", 10)
     places = [(i, -75.0 + (i * 37 % 101) / 500.0, 45.0 + (i * 53 % 97) / 500.0) for i in range(100)]
