@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from llm_helpers import thue_morse
 
-from catchment.llm import packing, quality
+from catchment.llm import neardup, packing, quality
 from catchment.llm.encode import Encoder
 from catchment.llm.queries import tokenizer_path
 
@@ -37,3 +37,29 @@ def test_encoding_works_on_a_batch_in_small_runs(monkeypatch):
     n = sum(len(enc.tok.encode(t, add_special_tokens=False).ids) + 1 for t in texts[::100])
     rows = pa.Table.from_batches(got).to_pylist()
     assert sum(r["length"] for r in rows if r["doc_id"] % 100 == 0) == n
+
+
+def test_shingles_are_cut_in_small_runs():
+    words = [thue_morse(5)[i: i + 4] + str(i) for i in range(28)]
+    texts = [" ".join(words[(i + j) % 28] for j in range(300)) for i in range(1000)]  # some 2 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    for work in (neardup._signature_batches(5, 24, 4), neardup._set_batches(5)):
+        rows, peak = 0, 0
+        tracemalloc.start()
+        for out in work(iter([batch])):
+            rows += out.num_rows
+            peak = max(peak, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert rows == len(texts) and peak < 8 << 20
+
+
+def test_few_ids_are_sent_to_the_texts(spark, docs, monkeypatch):
+    own = docs.selectExpr("cast(doc_id as long) id", "text")
+    ids = neardup.materialize(own.select("id").distinct().orderBy("id").limit(20))
+    stored, plans = neardup.materialize, []
+    monkeypatch.setattr(neardup, "materialize", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df))
+    few = neardup._shingle_table(own, ids, 2)
+    monkeypatch.setattr(neardup, "FEW_IDS", 0)
+    many = neardup._shingle_table(own, ids, 2)
+    assert "strategy=broadcast" in plans[0] and "strategy=merge" in plans[1]
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect())) and few.count() > 0
