@@ -1,14 +1,17 @@
-"""What a Python worker holds of the texts of one batch."""
+"""What a Python worker holds of the texts of one batch, and how many files small tables become."""
 
+import glob
 import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from llm_helpers import thue_morse
 
-from catchment.llm import neardup, packing, quality
+from catchment.llm import exact, neardup, packing, quality
 from catchment.llm.encode import Encoder
 from catchment.llm.queries import tokenizer_path
+from catchment.session import materialize, stored_dir
 
 
 def test_scoring_gets_the_text_once(spark, docs):
@@ -63,3 +66,38 @@ def test_few_ids_are_sent_to_the_texts(spark, docs, monkeypatch):
     many = neardup._shingle_table(own, ids, 2)
     assert "strategy=broadcast" in plans[0] and "strategy=merge" in plans[1]
     assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect())) and few.count() > 0
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """A session that leaves 64 shuffle partitions as they are, and the number
+    of files written since."""
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    there = set(glob.glob(f"{stored_dir(spark).removeprefix('file:')}/*/part-*"))
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield lambda: len(set(glob.glob(f"{stored_dir(spark).removeprefix('file:')}/*/part-*")) - there)
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_components_of_a_few_links_are_few_files(spark, many_partitions):
+    links = spark.createDataFrame([(i, i + 1) for i in range(300) if i % 10], "a long, b long")
+    got = {r.id: r.component for r in neardup.components(materialize(links)).collect()}
+    assert got == {i: i - i % 10 + 1 if i % 10 else i - 9 for i in range(2, 301) if i % 10 != 1}
+    assert 0 < many_partitions() < 2 * 64  # each of some twenty tables had up to 64 files
+
+
+def test_groups_and_copies_of_a_small_table_are_few_files(spark, many_partitions):
+    docs = spark.createDataFrame([(i, f"text {i // 2}", "en") for i in range(600)], "doc_id long, text string, lang string")
+    kept = sorted(r.doc_id for r in exact.keep_one(materialize(docs)).collect())
+    assert kept == list(range(1, 600, 2))
+    assert 0 < many_partitions() < 64
+
+
+def test_a_table_of_unknown_size_keeps_its_partitions(spark):
+    rows = spark.createDataFrame(spark.sparkContext.parallelize([(i,) for i in range(40)], 20), "a long")
+    stored = materialize(rows, few=True)
+    assert sorted(r.a for r in stored.collect()) == list(range(40))
+    assert len(stored.inputFiles()) == 20
