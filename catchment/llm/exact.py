@@ -55,7 +55,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             "id", "sha", F.when(alone, F.col("id")).otherwise(F.col("keep")).alias("keep"), F.col("_n").alias("size"),
             (F.col("left") - run).alias("left"), F.when(~alone & ~ended, F.col("rest")).alias("rest"),
             "name", (alone | ended).alias("done"),
-        ))
+        ), few=True)
         settled.append(done.where("done").select("id", "sha", "keep", "size"))
         rows = done.where(~F.col("done")).select("id", "sha", F.col("name").alias("grp"), "left", "rest")
         if rows.isEmpty():
@@ -83,7 +83,8 @@ def _one_of_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     keys = materialize(
         found.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
         .agg(F.count(F.lit(1)).alias("_n"), F.first(~F.col("kept") & F.col("keep_id").isNotNull()).alias("_gone"))
-        .where("_gone or _n > 1")
+        .where("_gone or _n > 1"),
+        few=True,
     )
     sha = F.sha2(F.encode(normalised(docs[text_col]), "UTF-8"), 256)
     on = docs[id_col].eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))

@@ -117,21 +117,22 @@ def mixed_units(docs: DataFrame, id_col: str, source_col: str, text_col: str, se
     sized = materialize(
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"),
                     word_count(F.col(text_col)).alias("size"))
-        .groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("m"))
+        .groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("m")),
+        few=True,
     )
-    goal = materialize(source_targets(sized.select("source", (F.col("size") * F.col("m")).alias("size")), **targets))
+    goal = materialize(source_targets(sized.select("source", (F.col("size") * F.col("m")).alias("size")), **targets), few=True)
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     near = F.round(times)
     times = F.when(F.abs(times - near) < 1e-12, near).otherwise(times)
     units = sized.alias("s").join(goal.alias("g"), F.col("s.source").eqNullSafe(F.col("g.source"))).select(
         "s.*", "g.source_size", "g.target").withColumn("base", F.floor(times)).withColumn("p", (times - F.col("base")) * F.col("m"))
-    units = materialize(units.withColumn("sure", F.floor("p")).withColumn("p", F.col("p") - F.col("sure")))
+    units = materialize(units.withColumn("sure", F.floor("p")).withColumn("p", F.col("p") - F.col("sure")), few=True)
     of_source = ["source", "source_size", "target", "base"]
     open_ = (F.col("size") > 0) & (F.col("p") > 0)
     settled = [units.where(~open_).select(*of_source, "id", "size", "m", F.col("sure").alias("extra"))]
     level = units.where(open_).select(
         *of_source, F.struct(F.xxhash64(F.lit(seed), "id", "size").alias("h"), "id", "size", "m", "sure", "p").alias("u"))
-    counts = materialize(level.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(FAN_IN)).alias("buckets")))
+    counts = materialize(level.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(FAN_IN)).alias("buckets")), few=True)
     most = counts.agg(F.max("buckets")).first()[0]
     depth = 0
     while most:
@@ -141,7 +142,8 @@ def mixed_units(docs: DataFrame, id_col: str, source_col: str, text_col: str, se
         start = F.struct(F.element_at("all", 1).alias("open"), F.array().cast(_DONE).alias("done"))
         level = materialize(
             dealt.groupBy(*of_source, "bucket").agg(met.alias("all")).select(*of_source, F.aggregate(
-                F.slice("all", F.lit(2), F.size("all")), start, lambda acc, x: _pair(acc, x, seed)).alias("r"))
+                F.slice("all", F.lit(2), F.size("all")), start, lambda acc, x: _pair(acc, x, seed)).alias("r")),
+            few=True,
         )
         settled.append(level.select(*of_source, F.explode("r.done").alias("d")).select(
             *of_source, "d.id", "d.size", "d.m", "d.extra"))
@@ -150,7 +152,7 @@ def mixed_units(docs: DataFrame, id_col: str, source_col: str, text_col: str, se
             last = F.when(_uniform(F.lit(seed), "u.id", F.lit("last")) < F.col("u.p"), F.lit(1)).otherwise(F.lit(0))
             settled.append(level.select(*of_source, "u.id", "u.size", "u.m", (F.col("u.sure") + last).alias("extra")))
             break
-        counts = materialize(counts.select("source", F.ceil(F.col("buckets") / F.lit(FAN_IN)).alias("buckets")))
+        counts = materialize(counts.select("source", F.ceil(F.col("buckets") / F.lit(FAN_IN)).alias("buckets")), few=True)
         most, depth = -(-most // FAN_IN), depth + 1
     result = settled[0]
     for more in settled[1:]:

@@ -245,7 +245,7 @@ def _name_documents(rows: DataFrame, truth: DataFrame, per_round: int, sure: flo
 
         scored = rows.mapInArrow(score, "_id long, _mark long, p0 double, p1 double")
         able = scored.where(" or ".join(f"p{i} >= {sure!r} or 1 - p{i} >= {sure!r}" for i in (0, 1)))
-        able = materialize(able.join(truth, "_id", "left_anti").groupBy("_id", "_mark").agg(F.min("p0").alias("p0"), F.min("p1").alias("p1")))
+        able = materialize(able.join(truth, "_id", "left_anti").groupBy("_id", "_mark").agg(F.min("p0").alias("p0"), F.min("p1").alias("p1")), few=True)
         turn, picks = F.xxhash64("_id", "_mark", F.lit(seed)), []
         for i in (0, 1):
             free = able
@@ -278,9 +278,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     turn = F.xxhash64("_id", F.lit(seed))
     truth = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).alias("y")).where(
         "_id is not null and y is not null").groupBy("_id").agg((F.min(F.col("y").cast("double")) > 0).cast("double").alias("y"))
-    truth = materialize(truth)
+    truth = materialize(truth, few=True)
     ids = docs.select(F.col(id_col).cast("long").alias("_id")).where("_id is not null")
-    present = materialize(truth.join(ids, "_id", "left_semi"))
+    present = materialize(truth.join(ids, "_id", "left_semi"), few=True)
     count = {label: n for label, n in present.groupBy("y").count().collect()}  # two rows at most
     bad, good = count.get(0.0, 0), count.get(1.0, 0)
     if min(bad, good) < 2:
