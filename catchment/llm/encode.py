@@ -21,8 +21,9 @@ from pyspark.sql import SparkSession
 
 from .text import hash_spans, segments
 
-# Pieces kept per task; beyond that the store starts anew with the chunk at hand.
-CACHE_PIECES = 1 << 21
+# Pieces kept per task (some 150 bytes each); beyond that the store starts anew with the
+# chunk at hand.
+CACHE_PIECES = 1 << 18
 # Bytes of text that are encoded at once (a worker holds some 60 bytes more for each):
 # new pieces are merged into the store once for each.
 ENCODE_BYTES = 1 << 20

@@ -11,6 +11,7 @@ from llm_helpers import thue_morse
 from catchment.llm import exact, neardup, packing, quality
 from catchment.llm.encode import Encoder
 from catchment.llm.queries import tokenizer_path
+from catchment.llm.shared import BATCH_BYTES, ship_package
 from catchment.session import materialize, stored_dir
 
 
@@ -42,6 +43,34 @@ def test_encoding_works_on_a_batch_in_small_runs(monkeypatch):
     assert sum(r["length"] for r in rows if r["doc_id"] % 100 == 0) == n
 
 
+def test_the_encoder_keeps_a_bounded_number_of_pieces(monkeypatch):
+    enc = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    monkeypatch.setattr(packing, "encoder", lambda path: enc)
+    texts = [" ".join(f"{i:x}" for i in range(lo, lo + 1000)) for lo in range(0, 400_000, 1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    got = pa.Table.from_batches(packing._piece_batches("", 1, 1 << 20)(iter([batch]))).to_pylist()
+    assert [r["length"] for r in got[::80]] == [len(enc.tok.encode(t, add_special_tokens=False).ids) + 1 for t in texts[::80]]
+    assert len(enc.keys) <= 1 << 18
+
+
+def test_batches_to_python_are_bounded(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for allowed, bounded in (("64m", BATCH_BYTES), ("1m", 1 << 20)):
+            spark.conf.set(name, allowed)
+            ship_package(spark)
+            assert spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch() == bounded
+        spark.conf.set(name, "64m")
+        ship_package(spark)
+        texts = spark.range(0, 20_000, 1, 1).selectExpr("id", "repeat('some words ', 100) text")
+        sizes = texts.mapInArrow(
+            lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches), "n long").collect()
+        assert len(sizes) > 4 and max(r.n for r in sizes) < BATCH_BYTES + (64 << 10)
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_shingles_are_cut_in_small_runs():
     words = [thue_morse(5)[i: i + 4] + str(i) for i in range(28)]
     texts = [" ".join(words[(i + j) % 28] for j in range(300)) for i in range(1000)]  # some 2 MB
