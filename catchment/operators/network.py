@@ -40,6 +40,8 @@ MEASURES = ("distance", "time")
 # as many next for the places that are not done.
 MEET = 4
 WIDER = 4
+# Rows of the OD table that are made by one task.
+ROWS_PER_TASK = 250_000
 # Bits in which a node's neighbours are told apart.
 BITS = 64
 
@@ -157,9 +159,11 @@ def snap(places: DataFrame, met: DataFrame, nodes: DataFrame, modes: Sequence[st
         own = met.where(F.col("mode") == mode).select("node")
         at = nodes.select("node", "lon", "lat").join(own, "node", "left_semi").withColumnRenamed("node", "dest_id")
         near = nearest_destinations(spots, at, k=1, **kw)
-        part = near.select("block_id.lon", "block_id.lat", F.lit(mode).alias("mode"), F.col("dest_id").alias("node"))
+        part = near.select("block_id.lon", "block_id.lat", F.lit(mode).alias("mode"), "dist_m", F.col("dest_id").alias("node"))
         out = part if out is None else out.unionByName(part)
-    return places.join(checked_broadcast(materialize(out)), ["lon", "lat"]).select("place", "mode", "node")
+    # a place that comes several times has one row, the nearest of all
+    return places.join(checked_broadcast(materialize(out)), ["lon", "lat"]).groupBy("place", "mode").agg(
+        F.min(F.struct("dist_m", "node"))["node"].alias("node"))
 
 
 def network_labels(edges: DataFrame, seeds: DataFrame, k: int = 5, cost: str = "time", max_rounds: int | None = None) -> DataFrame:
@@ -364,6 +368,12 @@ def od_network(
         seeds = part if seeds is None else seeds.unionByName(part)
     at_origin = tied.where("kind = 'o'").select(F.col("id").cast(id_o).alias("block_id"), "mode", "node")
     wanted = at_origin.select("mode", "node").distinct().select("mode", F.explode(F.array(*map(F.lit, tags))).alias("population"), "node")
-    labels = labels_at(net, seeds.select("mode", "population", "dest_id", "node"), wanted, met.count(), k, cost)
+    labels = materialize(labels_at(net, seeds.select("mode", "population", "dest_id", "node"), wanted, met.count(), k, cost))
+    size = estimated_bytes(labels)
+    if size is not None and size <= DEFAULT_BROADCAST_BYTES:
+        # dealt by origin before there is a row per destination: what ranks an origin's rows needs no other exchange
+        n_rows = at_origin.count() * len(tags) * k
+        at_origin = at_origin.repartition(max(edges.sparkSession.sparkContext.defaultParallelism, -(-n_rows // ROWS_PER_TASK)), "block_id")
+        labels = F.broadcast(labels)
     out = at_origin.join(labels, ["mode", "node"]).select("block_id", "dest_id", "mode", *MEASURES, "population")
     return out if populations is not None else out.drop("population")

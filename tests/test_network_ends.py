@@ -122,3 +122,22 @@ def test_a_chain_of_rising_numbers_takes_few_rounds(spark, monkeypatch):
 
     monkeypatch.setattr(network, "materialize", counted)
     assert {r.island for r in network.islands(chain).collect()} == {0}
+
+
+def test_means_over_the_network_need_no_exchange(spark, monkeypatch):
+    """The OD rows are dealt by origin, by number, before there is one per destination."""
+    from catchment.operators.nearest import nearest_k_mean
+
+    monkeypatch.setattr(network, "ROWS_PER_TASK", 1)
+    place = "long, lon double, lat double"
+    at = [(i, -75.7 + 0.01 * i, 45.4) for i in range(6)]
+    edges = [("auto", a, b, 100.0, 10.0) for i in range(5) for a, b in ((i, i + 1), (i + 1, i))]
+    # places that come twice, one of them at two spots: the nearest node of all is its own
+    od = network.od_network(spark.createDataFrame(edges, EDGE), spark.createDataFrame(at, f"node {place}"), spark.createDataFrame(
+        at * 2 + [(5, -75.7, 45.5)], f"block_id {place}"), spark.createDataFrame(at[:3], f"dest_id {place}"), k=2, min_reachability=1)
+    assert od.count() == 12 and od.rdd.getNumPartitions() >= 12
+    means = nearest_k_mean(od, keys=["block_id", "mode"], k=2)
+    plan = means._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    got = {r.block_id: (r.avg_dist, r.avg_time * 60) for r in means.collect()}
+    assert got == {0: (50.0, 5.0), 1: (50.0, 5.0), 2: (50.0, 5.0), 3: (150.0, 15.0), 4: (250.0, 25.0), 5: (350.0, 35.0)}
